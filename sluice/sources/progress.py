@@ -1,0 +1,50 @@
+"""Offset progress as a queryable table. The streaming checkpoint decides where to resume; this
+table is for users who look offsets up or start another consumer from them."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from sluice.sources.keyed_table import KeyedTable
+
+
+def offset_space(topic: str, group: str) -> str:
+    """Fixed format of the key under which a group's offsets of a topic are kept."""
+    return f"offsets:{topic}:{group}"
+
+
+def batch_offsets(batch: DataFrame) -> DataFrame:
+    """Next offset per topic partition of a batch: combined per task, a few rows in the end."""
+    return batch.groupBy("topic", "partition").agg((F.max("offset") + 1).alias("next_offset"))
+
+
+def save_offsets(
+    table: KeyedTable, batch: DataFrame, topic: str, group: str, run: str, batch_id: int
+) -> bool:
+    """Records the batch's end offsets; partitions without records keep theirs."""
+    ends = batch_offsets(batch).filter(F.col("topic") == topic)
+    return table.upsert(
+        ends.select(
+            F.lit(offset_space(topic, group)).alias("space"),
+            F.col("partition").cast("string").alias("id"),
+            F.col("next_offset").cast("string").alias("data"),
+            F.lit("U").alias("op"),
+            F.col("partition").alias("src_partition"),
+            F.col("next_offset").alias("src_offset"),
+        ),
+        run,
+        batch_id,
+    )
+
+
+def offsets_table(table: KeyedTable, topic: str, group: str) -> DataFrame:
+    """``(partition, next_offset)`` of one group."""
+    return table.current(offset_space(topic, group)).select(
+        F.col("id").cast("int").alias("partition"), F.col("data").cast("bigint").alias("next_offset")
+    )
+
+
+def read_offsets(table: KeyedTable, topic: str, group: str) -> dict[int, int]:
+    """Start position for a topic source, one entry per partition; empty if nothing was saved."""
+    return {p: o for p, o in offsets_table(table, topic, group).collect()}
