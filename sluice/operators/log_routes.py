@@ -38,50 +38,36 @@ class LogTopics:
 
 
 def common_columns(log: Column) -> list[Column]:
-    common = log["common"]
-    return [
-        common["mid"],
-        common["uid"].alias("user_id"),
-        common["ar"].alias("province_id"),
-        common["ch"].alias("channel"),
-        common["is_new"],
-        common["md"].alias("model"),
-        common["os"].alias("operate_system"),
-        common["vc"].alias("version_code"),
-        common["ba"].alias("brand"),
-    ]
+    return _named(
+        log["common"], mid="mid", user_id="uid", province_id="ar", channel="ch", is_new="is_new",
+        model="md", operate_system="os", version_code="vc", brand="ba",
+    )
 
 
 def page_columns(log: Column) -> list[Column]:
     page = log["page"]
     return [
         *common_columns(log),
-        page["page_id"],
-        page["last_page_id"],
-        page["item"].alias("page_item"),
-        page["item_type"].alias("page_item_type"),
+        *_named(
+            page, page_id="page_id", last_page_id="last_page_id", page_item="item",
+            page_item_type="item_type",
+        ),
         whole(page["during_time"]).alias("during_time"),
-        page["source_type"].alias("sourceType"),
+        *_named(page, sourceType="source_type"),
     ]
 
 
 def display_columns(log: Column, display: Column) -> list[Column]:
-    return [
-        *page_columns(log),
-        display["display_type"],
-        display["item"].alias("display_item"),
-        display["item_type"].alias("display_item_type"),
-        display["order"].alias("display_order"),
-        display["pos_id"].alias("display_pos_id"),
-    ]
+    return page_columns(log) + _named(
+        display, display_type="display_type", display_item="item", display_item_type="item_type",
+        display_order="order", display_pos_id="pos_id",
+    )
 
 
 def action_columns(log: Column, action: Column) -> list[Column]:
     return [
         *page_columns(log),
-        action["action_id"],
-        action["item"].alias("action_item"),
-        action["item_type"].alias("action_item_type"),
+        *_named(action, action_id="action_id", action_item="item", action_item_type="item_type"),
         whole(action["ts"]).alias("action_ts"),
     ]
 
@@ -90,14 +76,18 @@ def start_columns(log: Column) -> list[Column]:
     start = log["start"]
     return [
         *common_columns(log),
-        start["entry"],
-        start["open_ad_id"],
+        *_named(start, entry="entry", open_ad_id="open_ad_id"),
         whole(start["loading_time"]).alias("loading_time_ms"),
         whole(start["open_ad_ms"]).alias("open_ad_ms"),
         whole(start["open_ad_skip_ms"]).alias("open_ad_skip_ms"),
     ]
 
 
+def _named(struct: Column, **fields: str) -> list[Column]:
+    """``output="input"`` fields of a struct."""
+    return [struct[source].alias(name) for name, source in fields.items()]
+
+
 def _ts(log: Column) -> Column:
     return whole(log["ts"]).alias("ts")
 
@@ -143,26 +133,29 @@ def _slot(route: str, display: Column | None = None, action: Column | None = Non
     )
 
 
-def page_log(parsed: DataFrame) -> DataFrame:
+def page_log(parsed: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
+    """Typed page views, with the record columns in ``carry`` beside them."""
     log = F.col("log")
-    return split_log(parsed, (PAGE,)).select(*page_columns(log), _ts(log))
+    return split_log(parsed, (PAGE,)).select(*page_columns(log), _ts(log), *carry)
 
 
-def page_display_log(parsed: DataFrame) -> DataFrame:
+def page_display_log(parsed: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
     log = F.col("log")
     return split_log(parsed, (DISPLAY,)).select(
-        *display_columns(log, F.col("slot.display")), _ts(log)
+        *display_columns(log, F.col("slot.display")), _ts(log), *carry
     )
 
 
-def page_action_log(parsed: DataFrame) -> DataFrame:
+def page_action_log(parsed: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
     log = F.col("log")
-    return split_log(parsed, (ACTION,)).select(*action_columns(log, F.col("slot.action")), _ts(log))
+    return split_log(parsed, (ACTION,)).select(
+        *action_columns(log, F.col("slot.action")), _ts(log), *carry
+    )
 
 
-def start_log(parsed: DataFrame) -> DataFrame:
+def start_log(parsed: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
     log = F.col("log")
-    return split_log(parsed, (START,)).select(*start_columns(log), _ts(log))
+    return split_log(parsed, (START,)).select(*start_columns(log), _ts(log), *carry)
 
 
 def error_log(parsed: DataFrame) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sluice.functions.align import align, overlay, type_default
@@ -50,14 +50,21 @@ def enrich_orders(
     return align(typed, ORDER_INFO)
 
 
-def pack_sides(info: DataFrame, detail: DataFrame) -> tuple[DataFrame, DataFrame]:
+def pack_sides(
+    info: DataFrame, detail: DataFrame,
+    carry_info: tuple[str, ...] = (), carry_detail: tuple[str, ...] = (),
+) -> tuple[DataFrame, DataFrame]:
     """Both sides packed as one struct each, under the wide record's names, beside the join key."""
-    i = info.select(*ORDER_INFO.names).withColumnRenamed("id", "order_id")
-    d = detail.select(*ORDER_DETAIL.names).withColumnRenamed("id", "detail_id")
-    return (
-        i.select(F.col("order_id").alias("_oid"), F.struct("*").alias("_info")),
-        d.select(F.col("order_id").alias("_did"), F.struct("*").alias("_detail")),
+
+    def pack(side: DataFrame, names: list[str], own_id: str, key: Column, into: str, carry) -> DataFrame:
+        fields = [F.col("id").alias(own_id), *[n for n in names if n != "id"]]
+        return side.select(key, F.struct(*fields).alias(into), *carry)
+
+    i = pack(info, ORDER_INFO.names, "order_id", F.col("id").alias("_oid"), "_info", carry_info)
+    d = pack(
+        detail, ORDER_DETAIL.names, "detail_id", F.col("order_id").alias("_did"), "_detail", carry_detail
     )
+    return i, d
 
 
 def merge_wide(joined: DataFrame, all_present: bool) -> DataFrame:

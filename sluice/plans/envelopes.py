@@ -138,7 +138,7 @@ def damaged_app_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(n == 2, F.lit(None))
         .when(n == 3, F.lit("[]"))
         .when(n == 4, F.replace(value, F.lit('"common"'), F.lit('"other"')))
-        .when(n == 5, F.replace(value, F.lit('"ts":17'), F.lit('"ts":"x17')))
+        .when(n == 5, F.regexp_replace(value, r'"ts":(\d+)}$', r'"ts":"x$1"}'))
         .when(n == 6, F.lit('{"common":{"mid":"m"},"page":{"page_id":"p"},"displays":[null]}'))
         .when(n == 7, F.lit('{"common":{"mid":"m"},"page":"{}"}'))
         .otherwise(value),

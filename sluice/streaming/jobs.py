@@ -71,7 +71,7 @@ def start_log_split(
             if progress:
                 batch.unpersist()
 
-    return _start(source.stream(spark), split, checkpoint, trigger, "log_split")
+    return _start(source.stream(spark), split, checkpoint, trigger)
 
 
 def start_change_split(
@@ -110,13 +110,12 @@ def start_change_split(
             if progress:
                 batch.unpersist()
 
-    return _start(source.stream(spark), split, checkpoint, trigger, "change_split")
+    return _start(source.stream(spark), split, checkpoint, trigger)
 
 
-def _start(records: DataFrame, batch_fn, checkpoint: str, trigger: dict, name: str) -> StreamingQuery:
+def _start(records: DataFrame, batch_fn, checkpoint: str, trigger: dict) -> StreamingQuery:
     return (
-        records.writeStream.queryName(name)
-        .foreachBatch(batch_fn)
+        records.writeStream.foreachBatch(batch_fn)
         .option("checkpointLocation", checkpoint)
         .trigger(**trigger)
         .start()
