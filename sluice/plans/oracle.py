@@ -133,7 +133,7 @@ m AS (
   UNION ALL SELECT 'DWD_START_LOG_TOPIC_1018', {obj(START)}, event_id FROM start_log
   UNION ALL SELECT 'DWD_ERROR_LOG_TOPIC_1018', {RAW}, event_id FROM f WHERE kind = 'error'
 ),
-cut AS (SELECT (max(event_id) + 1) // 2 AS at FROM events)"""
+cut AS (SELECT (max(event_id) + 1) // 2 AS middle FROM events)"""
 
 ORDERS = """
 o AS (
@@ -378,9 +378,9 @@ FROM v LEFT JOIN p ON province_id = p_id LEFT JOIN u ON uid = u_id""",
     "source_topic": _LOG + f"""
 SELECT 'ODS_BASE_LOG_1018' AS topic, "partition", "offset", {RAW} AS value FROM f""",
     "source_from_offsets": _MSG + """
-SELECT CAST(CASE WHEN event_id < at THEN 1 ELSE 2 END AS INTEGER) AS job, topic, value FROM m, cut""",
+SELECT CAST(CASE WHEN event_id < middle THEN 1 ELSE 2 END AS INTEGER) AS job, topic, value FROM m, cut""",
     "resume_from_checkpoint": _MSG + """
-SELECT topic, value, CAST(CASE WHEN event_id < at THEN 0 ELSE 1 END AS BIGINT) AS batch_id
+SELECT topic, value, CAST(CASE WHEN event_id < middle THEN 0 ELSE 1 END AS BIGINT) AS batch_id
 FROM m, cut""",
     "log_split_stream": _MSG + "SELECT topic, CAST(NULL AS VARCHAR) AS key, value FROM m",
     "offset_progress": """
