@@ -182,8 +182,28 @@ def log_messages(
 
     ``on_malformed="fail"`` fails the batch on the first record that cannot be routed.
     """
+    route = F.col("slot.route")
+    gated = split_log(parsed).select(
+        "topic", "partition", "offset", "value", "verdict", "slot",
+        F.struct(
+            F.col("log.common").alias("common"),
+            F.when(route.isin(PAGE, DISPLAY, ACTION), F.col("log.page")).alias("page"),
+            F.when(route == START, F.col("log.start")).alias("start"),
+            F.col("log.ts").alias("ts"),
+        ).alias("log"),
+    )
     log, slot = F.col("log"), F.col("slot")
-    route = slot["route"]
+    # One record with the fields of all routes: fields a route lacks are NULL here, and NULL
+    # fields are left out of the text. A branch per route would generate a method too long for
+    # the JVM to compile.
+    pages = page_columns(log)
+    record = message_json(
+        *pages,
+        *display_columns(log, slot["display"])[len(pages):],
+        *action_columns(log, slot["action"])[len(pages):],
+        *start_columns(log)[len(common_columns(log)):],
+        _ts(log),
+    )
     set_aside = message_json(
         F.col("verdict").alias("reason"), "topic", "partition", "offset", "value"
     )
@@ -191,17 +211,12 @@ def log_messages(
         set_aside = F.raise_error(F.concat(F.lit("cannot route record: "), set_aside)).cast("string")
     elif on_malformed != "quarantine":
         raise ValueError(f"on_malformed: quarantine or fail, not {on_malformed}")
-    value = (
-        F.when(route == PAGE, message_json(*page_columns(log), _ts(log)))
-        .when(route == DISPLAY, message_json(*display_columns(log, slot["display"]), _ts(log)))
-        .when(route == ACTION, message_json(*action_columns(log, slot["action"]), _ts(log)))
-        .when(route == START, message_json(*start_columns(log), _ts(log)))
-        .when(route == ERROR, F.col("value"))
-        .otherwise(set_aside)
-    )
     names = [F.lit(x) for name in ROUTES for x in (name, topics.of(name))]
-    return split_log(parsed).select(
+    return gated.select(
         F.element_at(F.create_map(*names), route).alias("topic"),
         F.lit(None).cast("string").alias("key"),
-        value.alias("value"),
+        F.when(route == ERROR, F.col("value"))
+        .when(route == QUARANTINE, set_aside)
+        .otherwise(record)
+        .alias("value"),
     )
