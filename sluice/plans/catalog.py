@@ -49,11 +49,14 @@ def _order_detail(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _dims(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
-    """Province and user sides from the latest dimension rows."""
-    latest = cr.latest_dims(cr.dim_rows(_routed(spark, sf)))
+    """Province and user sides, read from a dimension table filled by the change stream."""
+    log = parse_change(env.change_log(spark, sf, only=env.DIM_TABLES))
+    routed = cr.routed_changes(cr.coded_changes(log), env.control(spark))
+    dims = KeyedTable(spark, scratch_dir(spark, "dims"))
+    dims.upsert(cr.dim_rows(routed), "batch", 0)
     return (
-        lookup.provinces(latest.filter("space = 'DIM:BASE_PROVINCE'")),
-        lookup.users(latest.filter("space = 'DIM:USER_INFO'")),
+        lookup.provinces(dims.current("DIM:BASE_PROVINCE")),
+        lookup.users(dims.current("DIM:USER_INFO")),
     )
 
 
@@ -343,11 +346,10 @@ def control_refresh(spark: SparkSession, sf: str) -> DataFrame:
 
 def _messages(rows: DataFrame, topic: str) -> DataFrame:
     """Typed rows with a ``created`` time as records of one topic."""
-    payload = F.struct(*[c for c in rows.columns if c != "created"])
     return rows.select(
         F.lit(topic).alias("topic"), F.lit(0).alias("partition"), F.col("id").alias("offset"),
         F.col("created").alias("timestamp"), F.lit(None).cast("string").alias("key"),
-        F.to_json(payload).alias("value"),
+        F.to_json(env.payload(rows)).alias("value"),
     )
 
 

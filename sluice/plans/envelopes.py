@@ -6,6 +6,8 @@ are hashes, not a global row number.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -232,55 +234,78 @@ def control(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(CONTROL_ROWS, CONTROL)
 
 
-def change_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Change-log topic over six tables, with control records that carry no row."""
-    info, detail = order_info(spark, sf_dir), order_detail(spark, sf_dir)
-    customers = table(spark, sf_dir, "customer").withColumn(
-        "step",
-        F.explode(F.array_compact(F.array(
-            F.lit(0),
-            F.when(F.col("c_custkey") % 3 == 0, 1),
-            F.when(F.col("c_custkey") % 10 == 0, 2),
-        ))),
-    )
-    nations, regions = table(spark, sf_dir, "nation"), table(spark, sf_dir, "region")
-    suppliers = table(spark, sf_dir, "supplier")
-    custkey, nation = F.col("c_custkey"), F.col("n_nationkey").cast("string")
-    step = F.col("step")
-    user = F.struct(
-        custkey.alias("id"),
-        F.when(custkey % 2 == 0, "F").otherwise("M").alias("gender"),
-        (18 + custkey % 50).alias("age"),
+DIM_TABLES = ("user_info", "base_province")
+
+
+def change_log(spark: SparkSession, sf_dir: str, only: tuple[str, ...] | None = None) -> DataFrame:
+    """Change-log topic over six tables, with control records that carry no row; or over the
+    tables in ``only``."""
+    builders = {
+        "order_info": lambda: [_order_changes(spark, sf_dir)],
+        "order_detail": lambda: [_detail_changes(spark, sf_dir)],
+        "user_info": lambda: [_user_changes(spark, sf_dir), _markers(spark, sf_dir)],
+        "base_province": lambda: [_province_changes(spark, sf_dir)],
+        "supplier_info": lambda: [
+            _named_changes(table(spark, sf_dir, "supplier"), 4, "supplier_info", "s_suppkey", "s_name")
+        ],
+        "base_region": lambda: [
+            _named_changes(table(spark, sf_dir, "region"), 5, "base_region", "r_regionkey", "r_name")
+        ],
+    }
+    parts = [part for name in only or builders for part in builders[name]()]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _order_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows, key = order_info(spark, sf_dir), F.col("id")
+    return _changes(rows, 0, "order_info", key, _fact_type(key), payload(rows), created=F.col("created"))
+
+
+def _detail_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows, key = order_detail(spark, sf_dir), F.col("id")
+    return _changes(rows, 1, "order_detail", key, _fact_type(key), payload(rows), created=F.col("created"))
+
+
+def _user_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An insert per customer, a later update for every third and a last delete for every tenth."""
+    key, step = F.col("c_custkey"), F.col("step")
+    steps = F.array_compact(F.array(F.lit(0), F.when(key % 3 == 0, 1), F.when(key % 10 == 0, 2)))
+    rows = table(spark, sf_dir, "customer").withColumn("step", F.explode(steps))
+    data = F.struct(
+        key.alias("id"),
+        F.when(key % 2 == 0, "F").otherwise("M").alias("gender"),
+        (18 + key % 50).alias("age"),
         step.alias("rev"),
     )
-    province = F.struct(
-        F.col("n_nationkey").alias("id"),
+    kind = F.when(step == 0, "insert").when(step == 1, "update").otherwise("delete")
+    return _changes(rows, 2, "user_info", key, kind, data, step)
+
+
+def _province_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    key, name = F.col("n_nationkey"), F.col("n_nationkey").cast("string")
+    data = F.struct(
+        key.alias("id"),
         F.col("n_name").alias("name"),
-        F.concat(F.lit("1000"), nation).alias("area_code"),
-        F.concat(F.lit("CN-"), nation).alias("iso_code"),
-        F.concat(F.lit("ISO-"), nation).alias("iso_3166_2"),
+        F.concat(F.lit("1000"), name).alias("area_code"),
+        F.concat(F.lit("CN-"), name).alias("iso_code"),
+        F.concat(F.lit("ISO-"), name).alias("iso_3166_2"),
     )
-    markers = regions.withColumn(
-        "type",
-        F.explode(F.array(*[F.lit(t) for t in ("bootstrap-start", "bootstrap-complete", "table-create")])),
-    )
-    named = lambda key, name: F.struct(F.col(key).alias("id"), F.col(name).alias("name"))
-    first = F.lit(0)
-    update_type = F.element_at(F.array(*[F.lit(t) for t in ("insert", "update", "delete")]), step + 1)
-    payload = lambda rows: F.struct(*[c for c in rows.columns if c != "created"])
-    parts = [
-        _changes(info, 0, "order_info", F.col("id"), _fact_type(F.col("id")), payload(info), first, F.col("created")),
-        _changes(detail, 1, "order_detail", F.col("id"), _fact_type(F.col("id")), payload(detail), first, F.col("created")),
-        _changes(customers, 2, "user_info", custkey, update_type, user, step),
-        _changes(nations, 3, "base_province", F.col("n_nationkey"), F.lit("insert"), province, first),
-        _changes(suppliers, 4, "supplier_info", F.col("s_suppkey"), F.lit("insert"), named("s_suppkey", "s_name"), first),
-        _changes(regions, 5, "base_region", F.col("r_regionkey"), F.lit("insert"), named("r_regionkey", "r_name"), first),
-        _changes(markers, 6, "user_info", F.col("r_regionkey"), F.col("type"), None, first),
-    ]
-    log = parts[0]
-    for part in parts[1:]:
-        log = log.unionByName(part)
-    return log
+    return _changes(table(spark, sf_dir, "nation"), 3, "base_province", key, F.lit("insert"), data)
+
+
+def _named_changes(rows: DataFrame, number: int, name: str, key: str, label: str) -> DataFrame:
+    data = F.struct(F.col(key).alias("id"), F.col(label).alias("name"))
+    return _changes(rows, number, name, F.col(key), F.lit("insert"), data)
+
+
+def _markers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kinds = F.array(*[F.lit(t) for t in ("bootstrap-start", "bootstrap-complete", "table-create")])
+    rows = table(spark, sf_dir, "region").withColumn("type", F.explode(kinds))
+    return _changes(rows, 6, "user_info", F.col("r_regionkey"), F.col("type"), None)
+
+
+def payload(rows: DataFrame) -> Column:
+    return F.struct(*[c for c in rows.columns if c != "created"])
 
 
 def _fact_type(key: Column) -> Column:
@@ -293,8 +318,9 @@ def _fact_type(key: Column) -> Column:
 
 def _changes(
     rows: DataFrame, number: int, name: str, key: Column, change: Column, data: Column | None,
-    step: Column, created: Column | None = None,
+    step: Column | None = None, created: Column | None = None,
 ) -> DataFrame:
+    step = F.lit(0) if step is None else step
     fields = [change.alias("type"), F.lit(name).alias("table")]
     if data is not None:
         fields.append(data.alias("data"))

@@ -20,7 +20,7 @@ def wide_orders(
     details: DataFrame,
     within: str = "1 day",
     delay: str = "1 hour",
-    salts: int = 8,
+    salts: int = 4,
 ) -> DataFrame:
     """Inner stream-stream merge of order and detail messages (topic records).
 
