@@ -1,0 +1,190 @@
+"""App-log rules, one hand-written envelope each, and a brute-force model on random ones."""
+
+import json
+import random
+from collections import Counter
+
+import pytest
+from pyspark.sql import functions as F
+
+from sluice import schemas
+from sluice.operators import log_routes as lr
+from sluice.operators.parse import parse_log
+
+COMMON = {"ar": "1", "uid": "7", "os": "iOS", "ch": "c", "is_new": "1", "md": "m", "mid": "d1", "vc": "v", "ba": "b"}
+PAGE = {"page_id": "home", "item": 5, "item_type": "sku", "during_time": 9, "last_page_id": "x", "source_type": "s"}
+
+
+def log(**parts):
+    return json.dumps({"common": COMMON, "ts": 100, **parts})
+
+
+def verdicts(records, values):
+    rows = parse_log(records(values)).select("offset", "verdict").orderBy("offset").collect()
+    return [r["verdict"] for r in rows]
+
+
+@pytest.mark.parametrize(
+    "value, verdict",
+    [
+        ("not json", "malformed"),
+        ("", "malformed"),
+        (None, "malformed"),
+        ("[]", "malformed"),
+        ('[{"err":{}}]', "malformed"),
+        ('{"common":{"mid":"d"},"err":{"a":1}', "malformed"),
+        (json.dumps({"page": PAGE, "ts": 1}), "no_common"),
+        (log(page=PAGE, displays=[{"item": 1}, None]), "null_element"),
+        (log(page=PAGE, actions=[None]), "null_element"),
+        (log(start={"entry": "icon"}, displays=[None]), "routed"),
+        (log(page="{}"), "malformed"),
+        (log(page={**PAGE, "during_time": "9"}), "routed"),
+        (log(page={**PAGE, "during_time": "nine"}), "bad_number"),
+        (log(page=PAGE, actions=[{"ts": "soon"}]), "bad_number"),
+        (log(start={"loading_time": "x"}), "bad_number"),
+        (log(page=PAGE, ts="x"), "bad_number"),
+        (log(err={}), "error"),
+        (log(err={"code": 1}, page=PAGE), "error"),
+        (json.dumps({"err": {"code": 1}}), "error"),
+        (log(page="{}", err={"code": 1}), "error"),
+        (log(err=None, page=PAGE), "routed"),
+        (log(err=None), "unrouted"),
+        ("{}", "no_common"),
+        (log(displays=[{"item": 1}]), "unrouted"),
+    ],
+)
+def test_verdict(records, value, verdict):
+    assert verdicts(records, [value]) == [verdict]
+
+
+def test_page_row(records):
+    (row,) = lr.page_log(parse_log(records([log(page={**PAGE, "during_time": "9"})]))).collect()
+    assert row.asDict() == {
+        "mid": "d1", "user_id": "7", "province_id": "1", "channel": "c", "is_new": "1", "model": "m",
+        "operate_system": "iOS", "version_code": "v", "brand": "b", "page_id": "home",
+        "last_page_id": "x", "page_item": "5", "page_item_type": "sku", "during_time": 9,
+        "sourceType": "s", "ts": 100,
+    }
+
+
+def test_schemas(records):
+    parsed = parse_log(records([log(page=PAGE)]))
+    for rows, schema in (
+        (lr.page_log(parsed), schemas.PAGE_LOG),
+        (lr.page_display_log(parsed), schemas.PAGE_DISPLAY_LOG),
+        (lr.page_action_log(parsed), schemas.PAGE_ACTION_LOG),
+        (lr.start_log(parsed), schemas.START_LOG),
+    ):
+        assert [(f.name, f.dataType) for f in rows.schema] == [(f.name, f.dataType) for f in schema]
+
+
+def test_page_and_start_from_one_record(records):
+    values = [log(page=PAGE, start={"entry": "icon", "open_ad_ms": 3})]
+    topics = [r["topic"] for r in lr.log_messages(parse_log(records(values))).collect()]
+    assert sorted(topics) == ["DWD_PAGE_LOG_TOPIC_1018", "DWD_START_LOG_TOPIC_1018"]
+
+
+def test_page_message_has_no_start_fields(records):
+    values = [log(page=PAGE, start={"entry": "icon", "open_ad_ms": 3})]
+    sent = {r["topic"]: json.loads(r["value"]) for r in lr.log_messages(parse_log(records(values))).collect()}
+    assert set(sent["DWD_PAGE_LOG_TOPIC_1018"]) == set(schemas.PAGE_LOG.names)
+    assert "page_id" not in sent["DWD_START_LOG_TOPIC_1018"]
+
+
+def test_empty_and_missing_arrays_give_no_rows(records):
+    parsed = parse_log(records([log(page=PAGE, displays=[], actions=None), log(page=PAGE)]))
+    assert lr.page_display_log(parsed).count() == lr.page_action_log(parsed).count() == 0
+    assert lr.page_log(parsed).count() == 2
+
+
+def test_missing_number_is_null(records):
+    (row,) = lr.page_log(parse_log(records([json.dumps({"common": {}, "page": {}})]))).collect()
+    assert row["during_time"] is None and row["ts"] is None
+
+
+def test_error_record_is_passed_on_as_it_came(records):
+    text = '{ "err": {"a": [1, null]},  "zzz": 1.50 }'
+    (row,) = lr.log_messages(parse_log(records([text]))).collect()
+    assert (row["topic"], row["key"], row["value"]) == ("DWD_ERROR_LOG_TOPIC_1018", None, text)
+
+
+def test_quarantine_message_and_fail_option(spark, records):
+    parsed = parse_log(records(["nope"], topic="in", partition=3, first=8))
+    (row,) = lr.log_messages(parsed).collect()
+    assert row["topic"] == "QUARANTINE_LOG_1018"
+    assert json.loads(row["value"]) == {
+        "reason": "malformed", "topic": "in", "partition": 3, "offset": 8, "value": "nope",
+    }
+    with pytest.raises(Exception, match="cannot route record"):
+        lr.log_messages(parsed, on_malformed="fail").collect()
+    good = parse_log(records([log(page=PAGE)]))
+    assert lr.log_messages(good, on_malformed="fail").count() == 1
+    with pytest.raises(ValueError):
+        lr.log_messages(good, on_malformed="ignore")
+
+
+def test_topic_names_are_options(records):
+    topics = lr.LogTopics(page="P")
+    (row,) = lr.log_messages(parse_log(records([log(page=PAGE)])), topics).collect()
+    assert row["topic"] == "P"
+
+
+def random_record(rng):
+    """A random envelope, sometimes unusable, and what the rules say it gives."""
+    number = lambda: rng.choice([rng.randrange(1000), str(rng.randrange(1000)), None])
+    bad = lambda: rng.choice(["x", "1x"])
+    parts, reason = {}, None
+    if rng.random() < 0.9:
+        parts["common"] = {k: v for k, v in COMMON.items() if rng.random() < 0.8}
+    if rng.random() < 0.7:
+        parts["page"] = {**PAGE, "during_time": number() if rng.random() < 0.9 else bad()}
+    for name in ("displays", "actions"):
+        if rng.random() < 0.6:
+            parts[name] = [
+                None if rng.random() < 0.05 else {"item": i, "ts": number() if rng.random() < 0.97 else bad()}
+                for i in range(rng.randrange(4))
+            ]
+    if rng.random() < 0.4:
+        parts["start"] = {"entry": "icon", "open_ad_ms": number() if rng.random() < 0.9 else bad()}
+    if rng.random() < 0.15:
+        parts["err"] = rng.choice([{}, {"code": 1}, None])
+    parts["ts"] = number() if rng.random() < 0.95 else bad()
+    return parts
+
+
+def model(parts):
+    """Outputs of one record by the rules, in plain Python."""
+    is_bad = lambda v: isinstance(v, str) and not v.isdigit()
+    if parts.get("err") is not None:
+        return ["error"]
+    if parts.get("common") is None:
+        return ["quarantine"]
+    page, start = parts.get("page"), parts.get("start")
+    shown, acted = parts.get("displays") or [], parts.get("actions") or []
+    if page is not None and (None in shown or None in acted):
+        return ["quarantine"]
+    numbers = [parts["ts"]]
+    if page is not None:
+        numbers += [page["during_time"], *[a["ts"] for a in acted]]
+    if start is not None:
+        numbers.append(start["open_ad_ms"])
+    if any(is_bad(n) for n in numbers):
+        return ["quarantine"]
+    out = []
+    if page is not None:
+        out += ["page"] + ["display"] * len(shown) + ["action"] * len(acted)
+    if start is not None:
+        out.append("start")
+    return out
+
+
+def test_random_records_against_model(spark, records):
+    rng = random.Random(20)
+    batch = [random_record(rng) for _ in range(1500)]
+    expected = Counter((i, route) for i, parts in enumerate(batch) for route in model(parts))
+    parsed = parse_log(records([json.dumps(p) for p in batch]))
+    rows = lr.split_log(parsed).select("offset", F.col("slot.route").alias("route")).collect()
+    assert Counter((r["offset"], r["route"]) for r in rows) == expected
+    # Every record is in exactly one of: routed somewhere, quarantined, unrouted.
+    unrouted = {r["offset"] for r in lr.unrouted_log(parsed).collect()}
+    assert unrouted == {i for i, parts in enumerate(batch) if not model(parts)}
