@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from sluice.functions.changes import dim_space, fact_topic, op_code, row_id
 from sluice.functions.rows import emit, latest_by
 from sluice.functions.scalars import message_json
-from sluice.operators.lookup import BROADCAST_ROWS, small_key_join
+from sluice.operators.lookup import BROADCAST_ROWS, is_small, small_key_join
 from sluice.operators.parse import MALFORMED, unreadable
 
 NO_DATA, NO_ID = "no_data", "no_id"
@@ -55,10 +55,11 @@ def routed_changes(
 ) -> DataFrame:
     """Adds ``is_fact``, ``is_dim``, ``id`` and ``reason`` (NULL for good records); tables in
     neither set are dropped. Table names match case-sensitively."""
-    roles = table_roles(control)
+    small = is_small(control, broadcast_rows)
+    # Proven small, so one partition will do: grouping it then takes no shuffle.
+    roles = table_roles(control.coalesce(1) if small else control)
     joined = small_key_join(
-        coded, roles, "table_name", "ctl_table",
-        spread=["topic", "partition", "offset"], broadcast_rows=broadcast_rows,
+        coded, roles, "table_name", "ctl_table", spread=["topic", "partition", "offset"], small=small
     )
     is_fact, is_dim = (F.coalesce(F.col(c), F.lit(False)) for c in ("is_fact", "is_dim"))
     return (

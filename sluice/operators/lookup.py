@@ -24,16 +24,16 @@ def small_key_join(
     left_key: str,
     side_key: str,
     spread: list[str],
-    broadcast_rows: int = BROADCAST_ROWS,
+    small: bool,
 ) -> DataFrame:
     """Left join on a key with few values (a table name, a province).
 
     Shuffling on such a key alone would put a large share of all rows in one task. The side is
-    broadcast when its size is proven; otherwise each row meets one of ``SALTS`` copies of the
+    broadcast when it is proven ``small``; otherwise each row meets one of ``SALTS`` copies of the
     side, picked by a hash of ``spread``. Needs no runtime re-planning, so it also holds inside a
     streaming micro-batch.
     """
-    if is_small(side, broadcast_rows):
+    if small:
         return left.join(F.broadcast(side), F.col(left_key) == F.col(side_key), "left").drop(side_key)
     copies = side.withColumn("_copy", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     salted = left.withColumn("_salt", F.pmod(F.xxhash64(*spread), F.lit(SALTS)).cast("int"))
@@ -80,6 +80,7 @@ def with_lookups(
     """
     keyed = facts.withColumn("_pid", province_id.cast("string")).withColumn("_uid", user_id.cast("string"))
     joined = keyed.join(user_side, F.col("_uid") == F.col("u_id"), "left").drop("u_id")
+    small = is_small(province_side, broadcast_rows)
     return small_key_join(
-        joined, province_side, "_pid", "p_id", spread=["_uid"], broadcast_rows=broadcast_rows
+        joined, province_side, "_pid", "p_id", spread=["_uid"], small=small
     ).drop("_pid", "_uid")

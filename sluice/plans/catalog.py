@@ -433,3 +433,9 @@ QUERIES = {
     "order_wide_stream": order_wide_stream,
     "dau_stream": dau_stream,
 }
+
+# Queries that run a stream when called.
+STREAMING = (
+    "source_topic", "source_from_offsets", "resume_from_checkpoint", "log_split_stream",
+    "offset_progress", "cdc_split_stream", "control_refresh", "order_wide_stream", "dau_stream",
+)

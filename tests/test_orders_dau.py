@@ -1,0 +1,170 @@
+"""Aligned copies, the wide merge, lookups and first visits on small hand-written rows."""
+
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from sluice.functions.align import align, shared_fields
+from sluice.functions.scalars import event_date, event_hour
+from sluice.operators import daily_active as da
+from sluice.operators import lookup, orders
+from sluice.schemas import (
+    DAU_INFO, ORDER_DETAIL, ORDER_INFO, ORDER_WIDE, PAGE_LOG, strings, struct,
+)
+
+
+def rows_of(spark, schema, *dicts):
+    return spark.createDataFrame([tuple(d.get(n) for n in schema.names) for d in dicts], schema)
+
+
+def test_page_view_to_daily_active(spark):
+    pages = rows_of(spark, PAGE_LOG, {
+        "mid": "mid1001", "user_id": "uid101", "province_id": "prov101", "during_time": 0, "ts": 123456,
+    })
+    (row,) = da.page_to_dau(pages).collect()
+    given = {k: v for k, v in row.asDict().items() if v is not None}
+    assert given == {
+        "mid": "mid1001", "user_id": "uid101", "province_id": "prov101", "during_time": 0, "ts": 123456,
+    }
+    assert row.__fields__ == DAU_INFO.names
+    assert len(shared_fields(PAGE_LOG, DAU_INFO)) == 15
+
+
+def test_align_needs_the_exact_type(spark):
+    target = struct(("string", "a"), ("bigint", "b"), ("int", "c"), ("double", "d"))
+    df = spark.createDataFrame([("x", 1, 2)], "a string, b int, c int")
+    assert align(df, target).collect() == [("x", 0, 2, 0.0)]
+    assert align(df, target, {"b": F.lit(9)}).collect() == [("x", 9, 2, 0.0)]
+    empty = spark.createDataFrame([(None, None)], "a string, b bigint")
+    assert align(empty, target).collect() == [(None, None, 0, 0.0)]
+
+
+INFO = {"id": 1, "province_id": 3, "order_status": "S", "user_id": 8, "total_amount": 5.0, "create_time": "2024-01-02 03:04:05"}
+
+
+@pytest.fixture
+def sides(spark):
+    info = rows_of(spark, ORDER_INFO, INFO, {**INFO, "id": 2, "total_amount": None})
+    detail = rows_of(
+        spark, ORDER_DETAIL,
+        {"id": 10, "order_id": 1, "sku_id": 4, "create_time": "2024-01-02 03:04:06", "sku_num": 2},
+        {"id": 11, "order_id": 1, "create_time": None},
+        {"id": 12, "order_id": 9, "create_time": "t", "sku_name": "lost"},
+        {"id": 13, "order_id": None, "sku_name": "none"},
+    )
+    return info, detail
+
+
+def test_wide_inner(sides):
+    wide = orders.order_wide(*sides)
+    assert [(f.name, f.dataType) for f in wide.schema] == [(f.name, f.dataType) for f in ORDER_WIDE]
+    found = {r["detail_id"]: r for r in wide.collect()}
+    assert set(found) == {10, 11}
+    assert found[10]["create_time"] == "2024-01-02 03:04:06" and found[10]["total_amount"] == 5.0
+    # The detail's missing time wins over the order's.
+    assert found[11]["create_time"] is None and found[11]["order_id"] == 1
+
+
+def test_wide_full(sides):
+    found = {(r["order_id"], r["detail_id"]): r for r in orders.order_wide(*sides, "full").collect()}
+    assert set(found) == {(1, 10), (1, 11), (9, 12), (None, 13), (2, 0)}
+    lone_order, lone_detail = found[2, 0], found[9, 12]
+    assert (lone_order["sku_id"], lone_order["order_price"], lone_order["sku_name"]) == (0, 0.0, None)
+    # Defaults follow presence, not nullness: the order's own NULL stays NULL.
+    assert lone_order["total_amount"] is None
+    assert lone_order["create_time"] == INFO["create_time"]
+    assert (lone_detail["total_amount"], lone_detail["user_id"], lone_detail["user_age"]) == (0.0, 0, 0)
+    assert lone_detail["create_time"] == "t" and lone_detail["order_status"] is None
+    with pytest.raises(ValueError):
+        orders.order_wide(*sides, "outer")
+
+
+def test_decode_fact(spark, records):
+    values = ['{"id":"7","total_amount":1.5,"user_id":3,"extra":1}', "nope", '{"id":8,"total_amount":null}']
+    rows = orders.decode_fact(records(values), ORDER_INFO, ("offset",)).collect()
+    assert [(r["offset"], r["id"], r["total_amount"], r["user_id"]) for r in rows if r["id"]] == [
+        (0, 7, 1.5, 3), (2, 8, 0.0, 0),
+    ]
+
+
+def test_order_dates(spark):
+    df = spark.createDataFrame([("2024-01-02 03:04:05",), (None,)], "create_time string")
+    rows = orders.with_order_date(df).select("create_date", "create_hour").collect()
+    assert rows == [("2024-01-02", "03"), (None, None)]
+
+
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York", "Asia/Shanghai"])
+def test_event_dates_ignore_the_session_zone(spark, zone):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        df = spark.createDataFrame([(1704067199999,), (1704067200000,), (1704121200000,)], "ts bigint")
+        rows = df.select(event_date(F.col("ts")), event_hour(F.col("ts"))).collect()
+        assert rows == [("2023-12-31", "23"), ("2024-01-01", "00"), ("2024-01-01", "15")]
+        local = df.select(event_date(F.col("ts"), "Asia/Shanghai"), event_hour(F.col("ts"), "Asia/Shanghai"))
+        assert local.collect() == [("2024-01-01", "07"), ("2024-01-01", "08"), ("2024-01-01", "23")]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+
+
+@pytest.fixture
+def dims(spark):
+    dim = strings("id data")
+    province = spark.createDataFrame(
+        [("3", '{"id":3,"name":"P","area_code":"a","iso_code":"i","iso_3166_2":"s"}')], dim
+    )
+    user = spark.createDataFrame([("8", '{"id":8,"gender":"F","age":40}')], dim)
+    return lookup.provinces(province), lookup.users(user)
+
+
+@pytest.mark.parametrize("broadcast_rows", [lookup.BROADCAST_ROWS, 0])
+def test_order_lookups(spark, dims, broadcast_rows):
+    info = rows_of(spark, ORDER_INFO, INFO, {**INFO, "id": 2, "province_id": 4, "user_id": 9}, {"id": 3})
+    found = orders.enrich_orders(info, *dims, broadcast_rows=broadcast_rows).orderBy("id").collect()
+    looked_up = [
+        (r["province_name"], r["province_area_code"], r["province_3166_2_code"], r["province_iso_code"],
+         r["user_age"], r["user_gender"])
+        for r in found
+    ]
+    none = (None, None, None, None, 0, None)
+    assert looked_up == [("P", "a", "s", "i", 40, "F"), none, none]
+
+
+def test_dau_lookups_keep_age_as_text(spark, dims):
+    dau = rows_of(spark, DAU_INFO, {"mid": "m", "province_id": "3", "user_id": "8"})
+    (row,) = da.enrich_dau(dau, *dims).collect()
+    assert (row["user_age"], row["user_gender"], row["province_3166_2"]) == ("40", "F", "s")
+
+
+def test_first_visits_against_brute_force(spark):
+    rng = random.Random(11)
+    # One device holds about a third of all views.
+    views = [
+        {"mid": "hot" if rng.random() < 0.33 else f"m{rng.randrange(40)}", "page_id": str(i),
+         "ts": 1704060000000 + rng.randrange(3 * 86400) * 1000}
+        for i in range(3000)
+    ]
+    pages = rows_of(spark, PAGE_LOG, *views).repartition(5).withColumn("n", F.col("page_id").cast("int"))
+    best = {}
+    for i, v in enumerate(views):
+        key = (v["mid"], v["ts"] // 86400000)
+        best[key] = min(best.get(key, (v["ts"], i)), (v["ts"], i))
+    found = da.first_visits(pages, tie=("n",)).collect()
+    assert {(r["mid"], r["ts"], r["page_id"]) for r in found} == {
+        (mid, ts, str(i)) for (mid, _), (ts, i) in best.items()
+    }
+    assert len(found) == len(best)
+
+
+def test_hot_order_is_whole(spark):
+    """One order holds a third of all details; every merge still gives every row once."""
+    info = spark.range(300).select(F.col("id")).transform(lambda d: align(d, ORDER_INFO))
+    detail = align(
+        spark.range(9000).select("id", F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 290).alias("order_id")),
+        ORDER_DETAIL,
+    )
+    assert orders.order_wide(info, detail).count() == 9000
+    full = orders.order_wide(info, detail, "full")
+    assert full.count() == 9000 + 10
+    assert full.filter("order_id = 7").count() > 3000
