@@ -100,3 +100,12 @@ def test_space_filter_reaches_the_scan(spark, rows):
     table.upsert(rows(("s", "1", "a", "I", 1), ("t", "1", "b", "I", 2)), "run", 0)
     plan = table.current("s")._jdf.queryExecution().executedPlan().toString()
     assert "EqualTo(space,s)" in plan and "Exchange" not in plan
+
+
+def test_point_lookup_reaches_the_scan(spark, rows):
+    table = KeyedTable(spark, scratch_dir(spark, "keyed"))
+    for n in range(3):
+        table.upsert(rows(("s", "1", f"a{n}", "I", 1), ("s", "2", "b", "I", 2)), "run", n)
+    found = table.current("s").filter("id = '1'")
+    assert "EqualTo(id,1)" in found._jdf.queryExecution().executedPlan().toString()
+    assert [r["data"] for r in found.collect()] == ["a2"]

@@ -157,14 +157,55 @@ def test_first_visits_against_brute_force(spark):
     assert len(found) == len(best)
 
 
-def test_hot_order_is_whole(spark):
-    """One order holds a third of all details; every merge still gives every row once."""
-    info = spark.range(300).select(F.col("id")).transform(lambda d: align(d, ORDER_INFO))
-    detail = align(
-        spark.range(9000).select("id", F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 290).alias("order_id")),
-        ORDER_DETAIL,
+@pytest.fixture
+def at_scale(spark):
+    """Settings that make small data take the plans of large data: no broadcast, skew handling at
+    a few kilobytes."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    }
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    yield
+    for key, value in before.items():
+        spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+def final_plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("how", ["inner", "full"])
+def test_hot_order_is_split_and_whole(spark, at_scale, how):
+    """One order holds a third of all details: its partition is split, every row comes out once."""
+    info = align(spark.range(300).select("id"), ORDER_INFO)
+    hot = F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 290)
+    detail = align(spark.range(9000).select("id", hot.alias("order_id")), ORDER_DETAIL)
+    merged = orders.order_wide(info, detail, how)
+    found = merged.collect()
+    details = [r["detail_id"] for r in found if r["order_id"] < 290]
+    assert sorted(details) == list(range(9000))
+    alone = sorted(r["order_id"] for r in found if r["order_id"] >= 290)
+    assert alone == (list(range(290, 300)) if how == "full" else [])
+    assert "skew=true" in final_plan(merged)
+
+
+def test_hot_user_and_province_at_scale(spark, at_scale, dims):
+    """Two thirds of all orders from one user and province, no side broadcast."""
+    key = F.when(F.col("id") % 3 != 0, 8).otherwise(F.col("id") + 100)
+    info = align(
+        spark.range(6000).select("id", key.alias("user_id"), F.lit(3).cast("bigint").alias("province_id")),
+        ORDER_INFO,
     )
-    assert orders.order_wide(info, detail).count() == 9000
-    full = orders.order_wide(info, detail, "full")
-    assert full.count() == 9000 + 10
-    assert full.filter("order_id = 7").count() > 3000
+    enriched = orders.enrich_orders(info, *dims, broadcast_rows=0)
+    found = enriched.collect()
+    assert sorted(r["id"] for r in found) == list(range(6000))
+    assert {(r["user_age"], r["province_name"]) for r in found if r["id"] % 3 != 0} == {(40, "P")}
+    assert {r["user_age"] for r in found if r["id"] % 3 == 0} == {0}
+    assert "skew=true" in final_plan(enriched)
