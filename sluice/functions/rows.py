@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -16,15 +16,19 @@ def emit(df: DataFrame, row: Column) -> DataFrame:
 
 
 def latest_by(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
-    """Last row per key by ``order``. Combined per input partition before the shuffle, so a key
-    that holds a large share of the rows arrives as one row per task."""
-    rest = [c for c in df.columns if c not in keys]
-    last = F.max_by(F.struct(*rest), F.struct(*order)).alias("_r")
-    return df.groupBy(*keys).agg(last).select(*keys, "_r.*").select(*df.columns)
+    """Last row per key by ``order``.
+
+    Spark takes the limit of one row into each input task, before the shuffle, so a key that holds
+    a large share of the rows arrives as one row per task.
+    """
+    return _edge(df, keys, [F.col(c).desc() for c in order])
 
 
 def first_by(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
-    """First row per key by ``order``; combined like :func:`latest_by`."""
-    rest = [c for c in df.columns if c not in keys]
-    first = F.min_by(F.struct(*rest), F.struct(*order)).alias("_r")
-    return df.groupBy(*keys).agg(first).select(*keys, "_r.*").select(*df.columns)
+    """First row per key by ``order``; limited before the shuffle like :func:`latest_by`."""
+    return _edge(df, keys, [F.col(c).asc() for c in order])
+
+
+def _edge(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
+    rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
+    return df.withColumn("_rank", rank).filter("_rank = 1").drop("_rank")

@@ -21,9 +21,14 @@ def message_json(*columns: Column) -> Column:
     return F.to_json(F.struct(*columns))
 
 
+def event_day(ts_ms: Column, tz: str = "UTC") -> Column:
+    """Date of epoch milliseconds in ``tz``, whatever the session time zone."""
+    return _wall_clock(ts_ms, tz).cast("date")
+
+
 def event_date(ts_ms: Column, tz: str = "UTC") -> Column:
-    """``yyyy-MM-dd`` of epoch milliseconds in ``tz``, whatever the session time zone."""
-    return _wall_clock(ts_ms, tz).cast("date").cast("string")
+    """``yyyy-MM-dd`` of epoch milliseconds in ``tz``."""
+    return event_day(ts_ms, tz).cast("string")
 
 
 def event_hour(ts_ms: Column, tz: str = "UTC") -> Column:

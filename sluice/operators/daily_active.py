@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from sluice.functions.align import align
 from sluice.functions.rows import first_by
-from sluice.functions.scalars import event_date, event_hour
+from sluice.functions.scalars import event_day, event_hour
 from sluice.operators.lookup import BROADCAST_ROWS, with_lookups
 from sluice.schemas import DAU_INFO
 
@@ -18,11 +18,17 @@ def page_to_dau(pages: DataFrame) -> DataFrame:
 
 
 def first_visits(pages: DataFrame, tie: tuple[str, ...] = (), tz: str = "UTC") -> DataFrame:
-    """First page view per ``(mid, dt)`` by ``ts``, then by the ``tie`` columns."""
-    dated = pages.withColumn("dt", event_date(F.col("ts"), tz)).withColumn(
+    """First page view per ``(mid, dt)`` by ``ts``, then by the ``tie`` columns.
+
+    A view without ``ts`` belongs to no day and is left out.
+    """
+    days = pages.filter("ts is not null").withColumn("_day", event_day(F.col("ts"), tz))
+    first = first_by(days, ["mid", "_day"], ["ts", *tie])
+    # Dates are written out after the reduction, on fewer rows.
+    dated = first.withColumn("dt", F.col("_day").cast("string")).withColumn(
         "hr", event_hour(F.col("ts"), tz)
     )
-    return align(first_by(dated, ["mid", "dt"], ["ts", *tie]), DAU_INFO)
+    return align(dated, DAU_INFO)
 
 
 def enrich_dau(

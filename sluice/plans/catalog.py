@@ -371,7 +371,8 @@ def order_wide_stream(spark: SparkSession, sf: str) -> DataFrame:
 
     _replayed(
         lambda: derived.start_order_wide(
-            spark, *topics, f"{root}/out", f"{root}/checkpoint", trigger=jobs.ONCE
+            spark, *topics, f"{root}/out", f"{root}/checkpoint", trigger=jobs.ONCE,
+            partitions=spark.sparkContext.defaultParallelism,
         ),
         append, [0, 1],
     )
@@ -391,7 +392,10 @@ def dau_stream(spark: SparkSession, sf: str) -> DataFrame:
     topic = ReplayTopic(f"{root}/topic", lr.LogTopics.page)
     table = KeyedTable(spark, f"{root}/table")
     _replayed(
-        lambda: derived.start_daily_active(spark, topic, table, f"{root}/checkpoint", trigger=jobs.ONCE),
+        lambda: derived.start_daily_active(
+            spark, topic, table, f"{root}/checkpoint", trigger=jobs.ONCE,
+            partitions=spark.sparkContext.defaultParallelism,
+        ),
         topic.append, halves,
     )
     return derived.daily_active(table)

@@ -3,15 +3,15 @@ table is for users who look offsets up or start another consumer from them."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sluice.sources.keyed_table import KeyedTable
 
 
-def offset_space(topic: str, group: str) -> str:
-    """Fixed format of the key under which a group's offsets of a topic are kept."""
-    return f"offsets:{topic}:{group}"
+def offset_space(topic: Column, group: str) -> Column:
+    """``offsets:{topic}:{group}``, the key space of a group's offsets of a topic."""
+    return F.concat(F.lit("offsets:"), topic, F.lit(f":{group}"))
 
 
 def batch_offsets(batch: DataFrame) -> DataFrame:
@@ -19,14 +19,11 @@ def batch_offsets(batch: DataFrame) -> DataFrame:
     return batch.groupBy("topic", "partition").agg((F.max("offset") + 1).alias("next_offset"))
 
 
-def save_offsets(
-    table: KeyedTable, batch: DataFrame, topic: str, group: str, run: str, batch_id: int
-) -> bool:
+def save_offsets(table: KeyedTable, batch: DataFrame, group: str, run: str, batch_id: int) -> bool:
     """Records the batch's end offsets; partitions without records keep theirs."""
-    ends = batch_offsets(batch).filter(F.col("topic") == topic)
     return table.upsert(
-        ends.select(
-            F.lit(offset_space(topic, group)).alias("space"),
+        batch_offsets(batch).select(
+            offset_space(F.col("topic"), group).alias("space"),
             F.col("partition").cast("string").alias("id"),
             F.col("next_offset").cast("string").alias("data"),
             F.lit("U").alias("op"),
@@ -40,7 +37,7 @@ def save_offsets(
 
 def offsets_table(table: KeyedTable, topic: str, group: str) -> DataFrame:
     """``(partition, next_offset)`` of one group."""
-    return table.current(offset_space(topic, group)).select(
+    return table.current(f"offsets:{topic}:{group}").select(
         F.col("id").cast("int").alias("partition"), F.col("data").cast("bigint").alias("next_offset")
     )
 

@@ -12,7 +12,7 @@ from sluice.functions.scalars import event_date, event_hour
 from sluice.operators.orders import decode_fact, merge_wide, pack_sides, with_order_date
 from sluice.schemas import DAU_INFO, ORDER_DETAIL, ORDER_INFO, PAGE_LOG
 from sluice.sources.keyed_table import KeyedTable
-from sluice.streaming.jobs import INTERVAL, run_id
+from sluice.streaming.jobs import INTERVAL, run_id, state_partitions
 
 
 def wide_orders(
@@ -48,14 +48,20 @@ def wide_orders(
 
 
 def start_order_wide(
-    spark: SparkSession, orders, details, path: str, checkpoint: str, trigger: dict = INTERVAL, **how
+    spark: SparkSession,
+    orders,
+    details,
+    path: str,
+    checkpoint: str,
+    trigger: dict = INTERVAL,
+    partitions: int | None = None,
+    **how,
 ) -> StreamingQuery:
     """Wide orders appended to parquet at ``path``, exactly once."""
     wide = wide_orders(orders.stream(spark), details.stream(spark), **how)
-    return (
-        wide.writeStream.format("parquet").option("path", path)
-        .option("checkpointLocation", checkpoint).trigger(**trigger).start()
-    )
+    writer = wide.writeStream.format("parquet").option("path", path)
+    with state_partitions(spark, partitions):
+        return writer.option("checkpointLocation", checkpoint).trigger(**trigger).start()
 
 
 def first_visits(pages: DataFrame, delay: str = "1 day") -> DataFrame:
@@ -64,6 +70,7 @@ def first_visits(pages: DataFrame, delay: str = "1 day") -> DataFrame:
     An aggregate, not a duplicate filter: it is combined before the shuffle, so a device with a
     large share of all views arrives as one row per task, and it finds the earliest ``ts``, not
     the first arrival. Run it in update mode: a view that turns out earlier replaces the row.
+    A view without ``ts`` belongs to no day and is left out.
     """
     decoded = pages.withColumn("_p", F.from_json("value", PAGE_LOG))
     row = F.struct("partition", "offset", F.col("_p").alias("page"), F.timestamp_millis("_p.ts").alias("at"))
@@ -82,7 +89,12 @@ DAU_SPACE = "DAU:"
 
 
 def start_daily_active(
-    spark: SparkSession, pages, table: KeyedTable, checkpoint: str, trigger: dict = INTERVAL,
+    spark: SparkSession,
+    pages,
+    table: KeyedTable,
+    checkpoint: str,
+    trigger: dict = INTERVAL,
+    partitions: int | None = None,
     delay: str = "1 day",
 ) -> StreamingQuery:
     """Keeps ``table`` at one row per device and day; read it with :func:`daily_active`."""
@@ -98,10 +110,9 @@ def start_daily_active(
         )
         table.upsert(rows, run_id(batch), batch_id)
 
-    return (
-        first_visits(pages.stream(spark), delay).writeStream.outputMode("update")
-        .foreachBatch(save).option("checkpointLocation", checkpoint).trigger(**trigger).start()
-    )
+    writer = first_visits(pages.stream(spark), delay).writeStream.outputMode("update").foreachBatch(save)
+    with state_partitions(spark, partitions):
+        return writer.option("checkpointLocation", checkpoint).trigger(**trigger).start()
 
 
 def daily_active(table: KeyedTable, dt: str | None = None) -> DataFrame:

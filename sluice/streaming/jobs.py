@@ -7,6 +7,7 @@ that: at-least-once into Kafka, exactly-once into the table sinks, which know th
 
 from __future__ import annotations
 
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
@@ -46,6 +47,25 @@ def run_id(batch: DataFrame) -> str:
     return batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
 
 
+@contextmanager
+def state_partitions(spark: SparkSession, count: int | None):
+    """Starts a stream with ``count`` state partitions, whatever the session's shuffle setting.
+
+    The number is kept in the checkpoint and cannot change later, so choose it for the state the
+    stream will come to hold.
+    """
+    if count is None:
+        yield
+        return
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(count))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def start_log_split(
     spark: SparkSession,
     source,
@@ -66,7 +86,7 @@ def start_log_split(
         try:
             sink.write(log_messages(parse_log(batch), topics, on_malformed), run, batch_id)
             if progress:
-                save_offsets(progress.table, batch, topics.source, progress.group, run, batch_id)
+                save_offsets(progress.table, batch, progress.group, run, batch_id)
         finally:
             if progress:
                 batch.unpersist()
@@ -104,7 +124,7 @@ def start_change_split(
             sink.write(change_messages(routed, topics, on_malformed, key_by_id), run, batch_id)
             dims.upsert(dim_rows(routed), run, batch_id)
             if progress:
-                save_offsets(progress.table, batch, topics.source, progress.group, run, batch_id)
+                save_offsets(progress.table, batch, progress.group, run, batch_id)
         finally:
             routed.unpersist()
             if progress:
