@@ -14,7 +14,7 @@ from sluice.functions.changes import dim_key
 from sluice.operators import change_routes as cr
 from sluice.operators import daily_active as da
 from sluice.operators import log_routes as lr
-from sluice.operators import lookup, orders
+from sluice.operators import orders
 from sluice.operators.parse import parse_change, parse_log
 from sluice.plans import envelopes as env
 from sluice.schemas import ORDER_DETAIL, ORDER_INFO, ORDER_WIDE, PAGE_LOG
@@ -48,16 +48,17 @@ def _order_detail(spark: SparkSession, sf: str) -> DataFrame:
     return align(env.order_detail(spark, sf), ORDER_DETAIL)
 
 
-def _dims(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
-    """Province and user sides, read from a dimension table filled by the change stream."""
+def _dim_table(spark: SparkSession, sf: str) -> KeyedTable:
+    """A dimension table filled by the change stream."""
     log = parse_change(env.change_log(spark, sf, only=env.DIM_TABLES))
     routed = cr.routed_changes(cr.coded_changes(log), env.control(spark))
     dims = KeyedTable(spark, scratch_dir(spark, "dims"))
     dims.upsert(cr.dim_rows(routed), "batch", 0)
-    return (
-        lookup.provinces(dims.current("DIM:BASE_PROVINCE")),
-        lookup.users(dims.current("DIM:USER_INFO")),
-    )
+    return dims
+
+
+def _dims(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    return derived.lookup_sides(_dim_table(spark, sf))
 
 
 # App log
@@ -379,28 +380,55 @@ def order_wide_stream(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.parquet(f"{root}/out")
 
 
-def dau_stream(spark: SparkSession, sf: str) -> DataFrame:
-    """First visits kept by a stream over page messages, in two batches."""
-    root = scratch_dir(spark, "dau")
+def _page_messages(spark: SparkSession, sf: str) -> DataFrame:
     pages = lr.page_log(_log(spark, sf), carry=("partition", "offset"))
-    messages = pages.select(
+    return pages.select(
         F.lit(lr.LogTopics.page).alias("topic"), "partition", "offset",
         F.timestamp_millis("ts").alias("timestamp"), F.lit(None).cast("string").alias("key"),
         F.to_json(F.struct(*PAGE_LOG.names)).alias("value"),
     )
-    halves, _ = _halves(messages)
+
+
+def _dau_stream(spark: SparkSession, sf: str, dims: KeyedTable | None) -> DataFrame:
+    root = scratch_dir(spark, "dau")
+    halves, _ = _halves(_page_messages(spark, sf))
     topic = ReplayTopic(f"{root}/topic", lr.LogTopics.page)
     table = KeyedTable(spark, f"{root}/table")
     _replayed(
         lambda: derived.start_daily_active(
             spark, topic, table, f"{root}/checkpoint", trigger=jobs.ONCE,
-            partitions=spark.sparkContext.defaultParallelism,
+            partitions=spark.sparkContext.defaultParallelism, dims=dims,
         ),
         topic.append, halves,
     )
     return derived.daily_active(table)
 
 
+def dau_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """First visits kept by a stream over page messages, in two batches."""
+    return _dau_stream(spark, sf, None)
+
+
+def dau_enrich_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """First visits kept by a stream, with columns looked up in the dimension table."""
+    return _dau_stream(spark, sf, _dim_table(spark, sf))
+
+
+def order_enrich_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """Order messages enriched batch by batch from the dimension table."""
+    root = scratch_dir(spark, "order_enrich")
+    topic = ReplayTopic(f"{root}/topic", "DWD_ORDER_INFO_I_1018")
+    halves, _ = _halves(_messages(env.order_info(spark, sf), topic.topic))
+    dims, sink = _dim_table(spark, sf), FileSink(f"{root}/out")
+    _replayed(
+        lambda: derived.start_order_enrich(
+            spark, topic, dims, sink, f"{root}/checkpoint", trigger=jobs.ONCE
+        ),
+        topic.append, halves,
+    )
+    return orders.decode_fact(sink.read(spark), ORDER_INFO)
+
+
 QUERIES = {
     "parse_log": parse_log_query,
     "log_page": lambda spark, sf: lr.page_log(_log(spark, sf)),
@@ -437,11 +465,14 @@ QUERIES = {
     "cdc_split_stream": cdc_split_stream,
     "control_refresh": control_refresh,
     "order_wide_stream": order_wide_stream,
+    "order_enrich_stream": order_enrich_stream,
     "dau_stream": dau_stream,
+    "dau_enrich_stream": dau_enrich_stream,
 }
 
 # Queries that run a stream when called.
 STREAMING = (
     "source_topic", "source_from_offsets", "resume_from_checkpoint", "log_split_stream",
-    "offset_progress", "cdc_split_stream", "control_refresh", "order_wide_stream", "dau_stream",
+    "offset_progress", "cdc_split_stream", "control_refresh", "order_wide_stream",
+    "order_enrich_stream", "dau_stream", "dau_enrich_stream",
 )

@@ -396,3 +396,6 @@ FROM events GROUP BY user_id % 4""",
     "order_wide_stream": _with(ORDERS, PLAIN) + wide("INNER"),
     "dau_stream": _with(EVENTS, FIRST_VISIT) + FIRST_VISIT_ROWS,
 }
+# The streams must hold what the batch queries give.
+ORACLE["order_enrich_stream"] = ORACLE["order_enrich"]
+ORACLE["dau_enrich_stream"] = ORACLE["dau_enrich"]

@@ -1,4 +1,4 @@
-"""Streams over the routed topics: wide orders and daily actives."""
+"""Streams over the routed topics: order lookups, wide orders and daily actives."""
 
 from __future__ import annotations
 
@@ -9,7 +9,11 @@ from pyspark.sql.streaming import StreamingQuery
 from sluice.functions.align import align
 from sluice.functions.rows import emit
 from sluice.functions.scalars import event_date, event_hour
-from sluice.operators.orders import decode_fact, merge_wide, pack_sides, with_order_date
+from sluice.operators.daily_active import enrich_dau
+from sluice.operators.lookup import provinces, users
+from sluice.operators.orders import (
+    decode_fact, enrich_orders, merge_wide, pack_sides, with_order_date,
+)
 from sluice.schemas import DAU_INFO, ORDER_DETAIL, ORDER_INFO, PAGE_LOG
 from sluice.sources.keyed_table import KeyedTable
 from sluice.streaming.jobs import INTERVAL, run_id, state_partitions
@@ -64,6 +68,43 @@ def start_order_wide(
         return writer.option("checkpointLocation", checkpoint).trigger(**trigger).start()
 
 
+# Ours: topic of orders with their looked-up columns.
+ENRICHED_ORDERS = "DWD_ORDER_INFO_ENRICHED"
+
+
+def lookup_sides(dims: KeyedTable) -> tuple[DataFrame, DataFrame]:
+    """Province and user sides as the dimension table stands now."""
+    return (
+        provinces(dims.current("DIM:BASE_PROVINCE")),
+        users(dims.current("DIM:USER_INFO")),
+    )
+
+
+def start_order_enrich(
+    spark: SparkSession, orders, dims: KeyedTable, sink, checkpoint: str, trigger: dict = INTERVAL
+) -> StreamingQuery:
+    """Order messages with dates and looked-up columns, to a topic :func:`wide_orders` can read.
+
+    The dimension table is read anew for every batch; a dimension that comes later than its order
+    leaves the defaults.
+    """
+
+    def enrich(batch: DataFrame, batch_id: int) -> None:
+        info = align(with_order_date(decode_fact(batch, ORDER_INFO)), ORDER_INFO)
+        enriched = enrich_orders(info, *lookup_sides(dims))
+        messages = enriched.select(
+            F.lit(ENRICHED_ORDERS).alias("topic"),
+            F.col("id").cast("string").alias("key"),
+            F.to_json(F.struct(*ORDER_INFO.names)).alias("value"),
+        )
+        sink.write(messages, run_id(batch), batch_id)
+
+    return (
+        orders.stream(spark).writeStream.foreachBatch(enrich)
+        .option("checkpointLocation", checkpoint).trigger(**trigger).start()
+    )
+
+
 def first_visits(pages: DataFrame, delay: str = "1 day") -> DataFrame:
     """First page view per device and UTC day from page messages (topic records).
 
@@ -96,10 +137,18 @@ def start_daily_active(
     trigger: dict = INTERVAL,
     partitions: int | None = None,
     delay: str = "1 day",
+    dims: KeyedTable | None = None,
 ) -> StreamingQuery:
-    """Keeps ``table`` at one row per device and day; read it with :func:`daily_active`."""
+    """Keeps ``table`` at one row per device and day; read it with :func:`daily_active`.
+
+    With ``dims`` the rows get their looked-up columns, from the dimension table as it stands at
+    each batch.
+    """
 
     def save(batch: DataFrame, batch_id: int) -> None:
+        run = run_id(batch)
+        if dims is not None:
+            batch = enrich_dau(batch, *lookup_sides(dims))
         rows = batch.select(
             F.concat(F.lit(DAU_SPACE), "dt").alias("space"),
             F.col("mid").alias("id"),
@@ -108,7 +157,7 @@ def start_daily_active(
             F.lit(0).alias("src_partition"),
             F.col("ts").alias("src_offset"),
         )
-        table.upsert(rows, run_id(batch), batch_id)
+        table.upsert(rows, run, batch_id)
 
     writer = first_visits(pages.stream(spark), delay).writeStream.outputMode("update").foreachBatch(save)
     with state_partitions(spark, partitions):
