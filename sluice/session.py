@@ -13,8 +13,6 @@ SETTINGS = {
     # Runtime re-planning: coalesces small shuffle partitions, splits skewed join partitions.
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # Writes by topic keep one open file per topic and task instead of sorting the messages first.
-    "spark.sql.maxConcurrentOutputFileWriters": "64",
     # Stream-stream joins and daily actives hold keys for days: keep that state off the heap.
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",

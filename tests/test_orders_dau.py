@@ -209,3 +209,12 @@ def test_hot_user_and_province_at_scale(spark, at_scale, dims):
     assert {(r["user_age"], r["province_name"]) for r in found if r["id"] % 3 != 0} == {(40, "P")}
     assert {r["user_age"] for r in found if r["id"] % 3 == 0} == {0}
     assert "skew=true" in final_plan(enriched)
+
+
+def test_broadcast_probe_bounds_rows_and_bytes(spark, monkeypatch):
+    side = spark.range(100).select(F.repeat(F.lit("x"), 100).alias("name"))
+    assert lookup.is_small(side) and lookup.is_small(side, 100)
+    assert not lookup.is_small(side, 99)
+    assert lookup.is_small(side.limit(0))
+    monkeypatch.setattr(lookup, "BROADCAST_BYTES", 5000)
+    assert not lookup.is_small(side)

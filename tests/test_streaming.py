@@ -5,10 +5,13 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from sluice.functions.align import align
+from sluice.operators.daily_active import first_visits
 from sluice.operators.log_routes import LogTopics, log_messages
+from sluice.operators.orders import order_wide
 from sluice.operators.parse import parse_log
 from sluice.plans import envelopes
-from sluice.schemas import CONTROL
+from sluice.schemas import CONTROL, ORDER_DETAIL, ORDER_INFO, PAGE_LOG
 from sluice.session import scratch_dir
 from sluice.sources.keyed_table import KeyedTable
 from sluice.sources.progress import offsets_table, read_offsets
@@ -188,3 +191,52 @@ def test_damaged_topic_loses_no_record(spark):
         assert out.union(silent).count() == parsed.count() == 1000
     finally:
         parsed.unpersist()
+
+
+def test_hot_order_in_the_stream_equals_batch(spark):
+    """One order with a third of all details, merged over several batches."""
+    root = scratch_dir(spark, "wide")
+    info = align(spark.range(60).select("id", F.col("id").cast("double").alias("total_amount")), ORDER_INFO)
+    hot = F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 55)
+    detail = align(spark.range(600).select("id", hot.alias("order_id")), ORDER_DETAIL)
+    sides = [ReplayTopic(f"{root}/{n}", n, max_files_per_trigger=2) for n in ("orders", "details")]
+    for topic, rows in zip(sides, (info, detail)):
+        topic.append(rows.repartition(4).select(
+            F.lit(topic.topic).alias("topic"), F.lit(0).alias("partition"), F.col("id").alias("offset"),
+            F.timestamp_seconds(1700000000 + F.col("id") % 60).alias("timestamp"),
+            F.lit(None).cast("string").alias("key"), F.to_json(F.struct(*rows.columns)).alias("value"),
+        ))
+    derived.start_order_wide(
+        spark, *sides, f"{root}/out", f"{root}/cp", trigger=jobs.ONCE, partitions=4
+    ).awaitTermination()
+    found = spark.read.parquet(f"{root}/out")
+    expected = order_wide(info, detail)
+    assert found.count() == expected.count() == 600
+    names = [c for c in expected.columns if c not in ("create_date", "create_hour")]
+    assert found.select(*names).exceptAll(expected.select(*names)).count() == 0
+
+
+def test_wide_stream_needs_both_sides_near_in_time(spark, records):
+    root = scratch_dir(spark, "near")
+    sides = [ReplayTopic(f"{root}/{n}", n) for n in ("orders", "details")]
+    day = 86400
+    for topic, values in zip(sides, (['{"id":1}', '{"id":2}'], ['{"id":10,"order_id":1}', '{"id":20,"order_id":2}'])):
+        at = F.timestamp_seconds(F.when(F.col("offset") == 0, 1000).otherwise(
+            1000 if topic.topic == "orders" else 1000 + 2 * day
+        ))
+        topic.append(records(values, topic.topic).withColumn("timestamp", at))
+    derived.start_order_wide(
+        spark, *sides, f"{root}/out", f"{root}/cp", trigger=jobs.ONCE, partitions=2
+    ).awaitTermination()
+    assert [r["detail_id"] for r in spark.read.parquet(f"{root}/out").collect()] == [10]
+
+
+def test_undated_views_count_for_no_day(spark, records):
+    root = scratch_dir(spark, "undated")
+    topic = ReplayTopic(f"{root}/t", LogTopics.page)
+    topic.append(records(['{"mid":"m","page_id":"a"}', '{"mid":"m","page_id":"b","ts":5}'], LogTopics.page))
+    table = KeyedTable(spark, f"{root}/table")
+    derived.start_daily_active(spark, topic, table, f"{root}/cp", trigger=jobs.ONCE, partitions=2).awaitTermination()
+    assert [r["page_id"] for r in derived.daily_active(table).collect()] == ["b"]
+    pages = topic.batch(spark).select(F.from_json("value", PAGE_LOG).alias("p")).select("p.*")
+    assert [r["page_id"] for r in first_visits(pages).collect()] == ["b"]
