@@ -15,6 +15,7 @@ def op_code(change_type: Column) -> Column:
     return F.element_at(F.create_map(*pairs), change_type)
 
 
+# Formats of fact topic names and dimension keys.
 def fact_topic(table: Column, op: Column, suffix: str) -> Column:
     """``DWD_{TABLE}_{op}_{suffix}``"""
     return F.concat(F.lit("DWD_"), F.upper(table), F.lit("_"), op, F.lit(f"_{suffix}"))

@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from sluice.functions.changes import dim_space, fact_topic, op_code, row_id
 from sluice.functions.rows import emit, latest_by
 from sluice.functions.scalars import message_json
-from sluice.operators.lookup import BROADCAST_ROWS, is_small, small_key_join
+from sluice.functions.sizes import BROADCAST_ROWS, is_small
+from sluice.operators.lookup import small_key_join
 from sluice.operators.parse import MALFORMED, unreadable
 
 NO_DATA, NO_ID = "no_data", "no_id"

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from sluice.functions.align import align
 from sluice.functions.rows import first_by
 from sluice.functions.scalars import event_day, event_hour
-from sluice.operators.lookup import BROADCAST_ROWS, with_lookups
+from sluice.functions.sizes import BROADCAST_ROWS
+from sluice.operators.lookup import with_lookups
 from sluice.schemas import DAU_INFO
 
 

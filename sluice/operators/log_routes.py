@@ -37,6 +37,7 @@ class LogTopics:
         return getattr(self, route)
 
 
+# Which output field each input field becomes.
 def common_columns(log: Column) -> list[Column]:
     return _named(
         log["common"], mid="mid", user_id="uid", province_id="ar", channel="ch", is_new="is_new",

@@ -5,22 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sluice.functions.sizes import BROADCAST_ROWS, is_small
 from sluice.schemas import PROVINCE_DIM, USER_DIM
 
-# A side is broadcast only when it is proven to hold at most this many rows and bytes.
-BROADCAST_ROWS = 50_000
-BROADCAST_BYTES = 32 * 1024 * 1024
-# Beyond that, the lookup side is copied this often and the large side spread over the copies.
+# A side too large to broadcast is copied this often and the large side spread over the copies.
 SALTS = 16
 
 
-def is_small(side: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
-    """Reads at most ``rows + 1`` rows to find out."""
-    width = F.octet_length(F.to_json(F.struct("*")))
-    count, size = side.limit(rows + 1).agg(F.count("*"), F.coalesce(F.sum(width), F.lit(0))).first()
-    return count <= rows and size <= BROADCAST_BYTES
-
-
 def small_key_join(
     left: DataFrame,
     side: DataFrame,

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from sluice.functions.align import align, overlay, type_default
 from sluice.functions.rows import emit
 from sluice.functions.scalars import create_date, create_hour
-from sluice.operators.lookup import BROADCAST_ROWS, with_lookups
+from sluice.functions.sizes import BROADCAST_ROWS
+from sluice.operators.lookup import with_lookups
 from sluice.schemas import ORDER_DETAIL, ORDER_INFO, ORDER_WIDE, strings
 
 

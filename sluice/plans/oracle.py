@@ -341,7 +341,8 @@ FROM f""",
     "log_action": _LOG + f"SELECT {columns(ACTION)} FROM action",
     "log_start": _LOG + f"SELECT {columns(START)} FROM start_log",
     "log_error": _LOG + f"""SELECT "partition", "offset", {RAW} AS value FROM f WHERE kind = 'error'""",
-    "log_unrouted": _LOG + f"""SELECT "partition", "offset", {RAW} AS value FROM f WHERE kind = 'none'""",
+    "log_unrouted": _LOG + f"""
+SELECT "partition", "offset", {RAW} AS value FROM f WHERE kind = 'none'""",
     "log_quarantine": _LOG + _DAMAGE,
     "log_page_json": _LOG + f"SELECT {obj(PAGE + TS)} AS value FROM page",
     "log_fanout": _MSG + "SELECT topic, CAST(NULL AS VARCHAR) AS key, value FROM m",

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sluice.functions.rows import latest_by
+from sluice.functions.sizes import is_small
 
 ROW = T.StructType([
     T.StructField("space", T.StringType()),
@@ -63,12 +64,20 @@ class KeyedTable:
         self._merge_full_levels()
         return True
 
-    def current(self, space: str | None = None) -> DataFrame:
-        """Newest rows, of one key space or all. The space filter reaches the parquet scan."""
+    def current(self, space: str | None = None, ids: DataFrame | None = None) -> DataFrame:
+        """Newest rows, of one key space or all. The space filter reaches the parquet scan.
+
+        ``ids`` (one column ``id``) keeps only those rows. It is applied before commits are
+        brought together, so looking up a batch's keys in a large table shuffles the matches,
+        not the table.
+        """
         live = [commit for commit, _ in self._manifest()["live"]]
         rows = self._read(live)
         if space is not None:
             rows = rows.filter(F.col("space") == space)
+        if ids is not None:
+            wanted = ids.filter("id is not null").distinct()
+            rows = rows.join(F.broadcast(wanted) if is_small(wanted) else wanted, "id", "left_semi")
         if len(live) > 1:
             rows = latest_by(rows, KEYS, ["commit"])
         if self.on_delete == "remove":

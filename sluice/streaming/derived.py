@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -72,11 +73,13 @@ def start_order_wide(
 ENRICHED_ORDERS = "DWD_ORDER_INFO_ENRICHED"
 
 
-def lookup_sides(dims: KeyedTable) -> tuple[DataFrame, DataFrame]:
-    """Province and user sides as the dimension table stands now."""
+def lookup_sides(dims: KeyedTable, facts: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """Province and user sides as the dimension table stands now; users only as far as ``facts``
+    (with a ``user_id``) name them, if given."""
+    ids = None if facts is None else facts.select(F.col("user_id").cast("string").alias("id"))
     return (
         provinces(dims.current("DIM:BASE_PROVINCE")),
-        users(dims.current("DIM:USER_INFO")),
+        users(dims.current("DIM:USER_INFO", ids)),
     )
 
 
@@ -90,14 +93,21 @@ def start_order_enrich(
     """
 
     def enrich(batch: DataFrame, batch_id: int) -> None:
-        info = align(with_order_date(decode_fact(batch, ORDER_INFO)), ORDER_INFO)
-        enriched = enrich_orders(info, *lookup_sides(dims))
-        messages = enriched.select(
-            F.lit(ENRICHED_ORDERS).alias("topic"),
-            F.col("id").cast("string").alias("key"),
-            F.to_json(F.struct(*ORDER_INFO.names)).alias("value"),
+        run = run_id(batch)
+        # Read twice: for the user ids and for the rows.
+        info = align(with_order_date(decode_fact(batch, ORDER_INFO)), ORDER_INFO).persist(
+            StorageLevel.MEMORY_AND_DISK
         )
-        sink.write(messages, run_id(batch), batch_id)
+        try:
+            enriched = enrich_orders(info, *lookup_sides(dims, info))
+            messages = enriched.select(
+                F.lit(ENRICHED_ORDERS).alias("topic"),
+                F.col("id").cast("string").alias("key"),
+                F.to_json(F.struct(*ORDER_INFO.names)).alias("value"),
+            )
+            sink.write(messages, run, batch_id)
+        finally:
+            info.unpersist()
 
     return (
         orders.stream(spark).writeStream.foreachBatch(enrich)
@@ -147,23 +157,32 @@ def start_daily_active(
 
     def save(batch: DataFrame, batch_id: int) -> None:
         run = run_id(batch)
-        if dims is not None:
-            batch = enrich_dau(batch, *lookup_sides(dims))
-        rows = batch.select(
-            F.concat(F.lit(DAU_SPACE), "dt").alias("space"),
-            F.col("mid").alias("id"),
-            F.to_json(F.struct(*DAU_INFO.names)).alias("data"),
-            F.lit("U").alias("op"),
-            F.lit(0).alias("src_partition"),
-            F.col("ts").alias("src_offset"),
-        )
-        table.upsert(rows, run, batch_id)
+        if dims is None:
+            table.upsert(_dau_rows(batch), run, batch_id)
+            return
+        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            enriched = enrich_dau(batch, *lookup_sides(dims, batch))
+            table.upsert(_dau_rows(enriched), run, batch_id)
+        finally:
+            batch.unpersist()
 
     writer = first_visits(pages.stream(spark), delay).writeStream.outputMode("update").foreachBatch(save)
     with state_partitions(spark, partitions):
         return writer.option("checkpointLocation", checkpoint).trigger(**trigger).start()
 
 
+def _dau_rows(dau: DataFrame) -> DataFrame:
+    return dau.select(
+        F.concat(F.lit(DAU_SPACE), "dt").alias("space"),
+        F.col("mid").alias("id"),
+        F.to_json(F.struct(*DAU_INFO.names)).alias("data"),
+        F.lit("U").alias("op"),
+        F.lit(0).alias("src_partition"),
+        F.col("ts").alias("src_offset"),
+    )
+
+
 def daily_active(table: KeyedTable, dt: str | None = None) -> DataFrame:
     """Daily actives of one day, or of all days."""
     rows = table.current(None if dt is None else DAU_SPACE + dt)

@@ -5,6 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from sluice.functions import sizes
 from sluice.functions.align import align, shared_fields
 from sluice.functions.scalars import event_date, event_hour
 from sluice.operators import daily_active as da
@@ -40,7 +41,10 @@ def test_align_needs_the_exact_type(spark):
     assert align(empty, target).collect() == [(None, None, 0, 0.0)]
 
 
-INFO = {"id": 1, "province_id": 3, "order_status": "S", "user_id": 8, "total_amount": 5.0, "create_time": "2024-01-02 03:04:05"}
+INFO = {
+    "id": 1, "province_id": 3, "order_status": "S", "user_id": 8, "total_amount": 5.0,
+    "create_time": "2024-01-02 03:04:05",
+}
 
 
 @pytest.fixture
@@ -118,7 +122,7 @@ def dims(spark):
     return lookup.provinces(province), lookup.users(user)
 
 
-@pytest.mark.parametrize("broadcast_rows", [lookup.BROADCAST_ROWS, 0])
+@pytest.mark.parametrize("broadcast_rows", [sizes.BROADCAST_ROWS, 0])
 def test_order_lookups(spark, dims, broadcast_rows):
     info = rows_of(spark, ORDER_INFO, INFO, {**INFO, "id": 2, "province_id": 4, "user_id": 9}, {"id": 3})
     found = orders.enrich_orders(info, *dims, broadcast_rows=broadcast_rows).orderBy("id").collect()
@@ -213,8 +217,8 @@ def test_hot_user_and_province_at_scale(spark, at_scale, dims):
 
 def test_broadcast_probe_bounds_rows_and_bytes(spark, monkeypatch):
     side = spark.range(100).select(F.repeat(F.lit("x"), 100).alias("name"))
-    assert lookup.is_small(side) and lookup.is_small(side, 100)
-    assert not lookup.is_small(side, 99)
-    assert lookup.is_small(side.limit(0))
-    monkeypatch.setattr(lookup, "BROADCAST_BYTES", 5000)
-    assert not lookup.is_small(side)
+    assert sizes.is_small(side) and sizes.is_small(side, 100)
+    assert not sizes.is_small(side, 99)
+    assert sizes.is_small(side.limit(0))
+    monkeypatch.setattr(sizes, "BROADCAST_BYTES", 5000)
+    assert not sizes.is_small(side)
