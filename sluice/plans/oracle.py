@@ -317,7 +317,8 @@ _MSG = _with(EVENTS, LOG_MESSAGES)
 _CHG = _with(ORDERS, CHANGES)
 _DAMAGE = """
 SELECT "partition", "offset",
-       CASE WHEN n = 4 THEN 'no_common' WHEN n = 5 THEN 'bad_number' WHEN n = 6 THEN 'null_element' ELSE 'malformed' END AS reason
+       CASE n WHEN 4 THEN 'no_common' WHEN 5 THEN 'bad_number' WHEN 6 THEN 'null_element'
+              ELSE 'malformed' END AS reason
 FROM (SELECT *, event_id % 11 AS n FROM e)
 WHERE n IN (0, 1, 2, 3, 6, 7) OR (n = 4 AND kind <> 'error') OR (n = 5 AND kind <> 'error')"""
 
