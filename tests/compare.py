@@ -18,7 +18,7 @@ def connect(sf_dir: str):
 
 
 # DuckDB type by Spark type, for a schema check beside the values.
-TYPES = {"string": "VARCHAR", "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE"}
+TYPES = {"string": "VARCHAR", "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "boolean": "BOOLEAN"}
 
 
 def differences(df, con, sql: str) -> str | None:
