@@ -26,6 +26,66 @@ SELECT d.doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id, d.doc_id =
 FROM documents d LEFT JOIN sizes USING (doc_id) JOIN least USING (doc_id)
 """
 
+# Ten-word windows of the items, looked up among those of the documents; shorter items by their own length.
+DECONTAMINATION = r"""
+WITH doc AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents
+), item AS (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                     '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM benchmark
+), wanted AS (
+  SELECT DISTINCT item_id, least(len(w), 10) AS size, array_to_string(w[i:i + least(len(w), 10) - 1], ' ') AS win
+  FROM item, LATERAL (SELECT unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS i) WHERE len(w) > 0
+), sizes AS (SELECT DISTINCT size FROM wanted),
+placed AS (
+  SELECT doc_id, size, i, array_to_string(w[i:i + size - 1], ' ') AS win
+  FROM doc, sizes, LATERAL (SELECT unnest(range(1, len(w) - size + 2)) AS i)
+), hits AS (SELECT doc_id, i, size, item_id FROM placed JOIN wanted USING (size, win)),
+covered AS (
+  SELECT doc_id, count(DISTINCT p) AS n_hit
+  FROM (SELECT doc_id, unnest(range(i, i + size)) AS p FROM hits) GROUP BY 1
+), ids AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS listed
+  FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item FROM hits) GROUP BY 1
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+       sha256(coalesce(listed, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM doc LEFT JOIN covered USING (doc_id) LEFT JOIN ids USING (doc_id)
+"""
+
+# Payloads by digest; the smallest page of equal large ones answers for the others.
+WARC = r"""
+WITH p AS (SELECT page_id, strlen(coalesce(html, ''))::BIGINT AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages),
+f AS (SELECT payload_digest, min(page_id) AS first FROM p WHERE payload_bytes >= 100 GROUP BY 1)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN first IS NULL OR first = page_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN first <> page_id THEN first END AS refers_to
+FROM p LEFT JOIN f USING (payload_digest)
+"""
+
+# Every window of 20 words with its earliest place; words under later ones go.
+SUBSTRINGS = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+win AS (
+  SELECT doc_id, i, md5(array_to_string(w[i:i + 19], ' ')) AS h
+  FROM d, LATERAL (SELECT unnest(range(1, len(w) - 18)) AS i)
+), first AS (SELECT h, min({'d': doc_id, 'i': i}) AS f FROM win GROUP BY 1),
+gone AS (
+  SELECT DISTINCT doc_id, p
+  FROM (SELECT doc_id, unnest(range(i, i + 20)) AS p FROM win JOIN first USING (h) WHERE f <> {'d': doc_id, 'i': i})
+), word AS (SELECT doc_id, unnest(w) AS x, unnest(range(1, len(w) + 1)) AS p FROM d),
+kept AS (SELECT doc_id, string_agg(x, ' ' ORDER BY p) AS t FROM word ANTI JOIN gone USING (doc_id, p) GROUP BY 1),
+cut AS (SELECT doc_id, count(*) AS n FROM gone GROUP BY 1)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n, 0)::BIGINT AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id) LEFT JOIN cut USING (doc_id)
+"""
+
 ORACLE: dict[str, str] = {
     "op1_near_duplicates": NEAR_DUPLICATES,
+    "op3_decontamination": DECONTAMINATION,
+    "op7_warc": WARC,
+    "op8_substring_duplicates": SUBSTRINGS,
 }
