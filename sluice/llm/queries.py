@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.llm import toxicity
+from sluice.llm import pii, toxicity
 from sluice.llm.common import crc32_of_id, documents, table
 from sluice.llm.decontamination import contamination
 from sluice.llm.language import fit, identify
@@ -55,6 +55,18 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality(table(spark, sf_dir, "documents"), trusted)
 
 
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pattern spans and the terms that disclose them."""
+    found = pii.find(table(spark, sf_dir, "documents"))
+    count = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == pii.KINDS.index(kind))).cast("long")
+    return found.select(
+        "doc_id",
+        *(count(kind).alias(f"n_{kind}") for kind in pii.KINDS[:4]),
+        F.sha2(pii.listed(F.col("spans")).cast("binary"), 256).alias("base_sha256"),
+        pii.listed(F.sort_array(F.concat("spans", "terms"))).alias("spans"),
+    )
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sequences of at most 1024 tokens."""
     return pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
@@ -91,6 +103,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_toxicity": op2_toxicity,
     "op3_decontamination": op3_decontamination,
     "op4_quality": op4_quality,
+    "op5_pii": op5_pii,
     "op6_packing": op6_packing,
     "op7_warc": op7_warc,
     "op8_substring_duplicates": op8_substring_duplicates,
