@@ -29,6 +29,12 @@ def documents(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").alias("text"))
 
 
+def with_keys(docs: DataFrame) -> DataFrame:
+    """Adds _k1 and _k2, 64-bit hashes of id and whole text, that tell rows apart; equal rows share them."""
+    doc_id, text = F.col("doc_id").cast("long"), F.coalesce("text", F.lit(""))
+    return docs.withColumns({"_k1": F.xxhash64(doc_id, text), "_k2": F.xxhash64(text, doc_id)})
+
+
 def stored(rows: DataFrame, name: str) -> DataFrame:
     """Writes rows to the shared folder and reads them back: cuts the lineage, survives lost executors."""
     path = scratch_dir(rows.sparkSession, name)

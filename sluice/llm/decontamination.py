@@ -12,12 +12,13 @@ from __future__ import annotations
 from collections import Counter, defaultdict
 from functools import reduce
 
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sluice.llm.common import documents, map_rows
+from sluice.llm.common import documents, map_rows, stored
 
 WINDOW = 10
 FOUND = "doc_id long, n_words long, spans array<struct<start: long, end: long>>, items array<string>"
@@ -91,10 +92,15 @@ def united(spans) -> list[dict[str, int]]:
     return [{"start": start, "end": end} for start, end in out]
 
 
+def _index(docs: DataFrame, items: list[tuple[str, list[bytes]]], size: int):
+    """The broadcast index of one block of items."""
+    frequency = frequencies(docs, {word for _, words in items for word in words})
+    return docs.sparkSession.sparkContext.broadcast(prefix_index(items, frequency, size))
+
+
 def _scan(docs: DataFrame, items: list[tuple[str, list[bytes]]], size: int) -> DataFrame:
     """(row, doc_id, n_words, spans, items) for one block of items."""
-    frequency = frequencies(docs, {word for _, words in items for word in words})
-    shared = docs.sparkSession.sparkContext.broadcast(prefix_index(items, frequency, size))
+    shared = _index(docs, items, size)
 
     def make():
         def give(doc_id, text):
@@ -149,3 +155,25 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW, block
 
     return map_rows(joined, make, FOUND)
 
+
+
+def uncontaminated(docs: DataFrame, items: DataFrame, window: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """The rows of ``docs`` in which no item window occurs, with all their columns.
+
+    Rows without words, null texts too, stay. Items are taken in blocks as in :func:`contamination`;
+    what one block leaves is written before the next, so that a task holds one index.
+    """
+    blocks = _blocks(items.filter("text is not null"), block_bytes)
+    for n, block in enumerate(blocks):
+        shared = _index(documents(docs), [(item, split(bytes(text))) for item, text in block.collect()], window)
+        docs = docs.filter(~_hit(shared)(F.col("text").cast("binary")))
+        if n + 1 < len(blocks):
+            docs = stored(docs, "uncontaminated")
+    return docs
+
+
+def _hit(shared):
+    def judge(texts: pd.Series) -> pd.Series:
+        return pd.Series([next(occurrences(split(text), shared.value), None) is not None for text in texts], dtype=bool)
+
+    return F.pandas_udf(judge, "boolean")

@@ -129,8 +129,8 @@ def fit(examples: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE) -> Hierarc
     return Hierarchy(np.stack([np.frombuffer(bytes(f), np.float32) for _, f in rows]), [lang for lang, _ in rows])
 
 
-def identify(docs: DataFrame, model: Hierarchy | None, text: str = "text") -> DataFrame:
-    """Adds lang_pred and score to every row, judging its whole text.
+def identify(docs: DataFrame, model: Hierarchy | None, text: str = "text", names: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
+    """Adds the predicted language and a score from 0 to 1 to every row, judging its whole text.
 
     A null text, one without a letter, or a model that learned nothing gives ``und`` and score 0.
     Rows, repeated ones too, are judged one by one; columns called like the new ones are replaced.
@@ -140,7 +140,7 @@ def identify(docs: DataFrame, model: Hierarchy | None, text: str = "text") -> Da
     judge = _judge(shared)
     return (
         docs.withColumn("_judged", judge(F.col(text)))
-        .withColumns({"lang_pred": F.col("_judged.lang_pred"), "score": F.col("_judged.score")})
+        .withColumns(dict(zip(names, (F.col("_judged.lang_pred"), F.col("_judged.score")))))
         .drop("_judged")
     )
 

@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sluice.llm.common import documents, stored
+from sluice.llm.common import documents, stored, with_keys
 
 KINDS = ["email", "ip", "card", "phone", "term"]
 #: The same matches as the plain patterns, in linear time: runs are entered at their start (or where
@@ -96,12 +96,6 @@ def base_spans(rows: DataFrame, text: str) -> DataFrame:
     return rows.withColumn("spans", F.sort_array(F.concat(*found))).drop("_digit", *(f"_{k}" for k in KINDS[:4]))
 
 
-def keyed(docs: DataFrame) -> DataFrame:
-    """(doc_id, text, k1, k2): rows told by id and whole text; equal rows share their keys."""
-    rows = documents(docs).withColumn("text", F.coalesce("text", F.lit("")))
-    return rows.withColumns({"k1": F.xxhash64("doc_id", "text"), "k2": F.xxhash64("text", "doc_id")})
-
-
 def _contexts(found: DataFrame) -> DataFrame:
     """(k1, k2, same, entity, start, end, term): the terms around each entity, outside of all spans.
 
@@ -146,7 +140,8 @@ def find(docs: DataFrame, disclosure: float = DISCLOSURE, support: int = SUPPORT
     places in code points and ends exclusive. Only terms within :data:`CONTEXT` characters of an
     entity that they disclose are taken. A null text is empty. Repeated rows have equal results.
     """
-    rows = keyed(docs)
+    rows = with_keys(documents(docs)).withColumnsRenamed({"_k1": "k1", "_k2": "k2"})
+    rows = rows.withColumn("text", F.coalesce("text", F.lit("")))
     base = base_spans(rows, "text")
     some = F.size("spans") > 0
     base = base.withColumns({"same": F.xxhash64("text"), "size": F.length("text"), "text": F.when(some, F.col("text"))})
@@ -178,23 +173,21 @@ def _united(spans: Column) -> Column:
     return F.aggregate(F.sort_array(spans), F.array().cast("array<struct<start: long, kind: int, end: long>>"), add)
 
 
-def sanitised(docs: DataFrame, text: str = "text", **thresholds) -> DataFrame:
+def sanitised(docs: DataFrame, **thresholds) -> DataFrame:
     """The rows of ``docs``, all columns as they are but the text, in which every span is generalised.
 
     An entity becomes its kind in brackets, ``[EMAIL]``; a disclosing term becomes ``[TERM]``, or
     ``[NUMBER]`` if it is one. Spans that overlap become one, of the first one's kind. Texts without
     spans, null ones too, stay as they are.
     """
-    id_text = docs.select("doc_id", F.col(text).alias("text"))
-    found = find(id_text, **thresholds).filter(F.size("spans") + F.size("terms") > 0)
+    text = "text"
+    found = find(docs, **thresholds).filter(F.size("spans") + F.size("terms") > 0)
     numbered = F.transform("terms", lambda s: F.struct(s["start"], F.when(s["value"].rlike("^[0-9]+$"), len(KINDS)).otherwise(s["kind"]).alias("kind"), s["end"], s["value"]).cast(_SPAN))
     masks = found.dropDuplicates(["k1", "k2"]).select(F.col("k1").alias("_k1"), F.col("k2").alias("_k2"), _united(F.concat("spans", numbered)).alias("_spans"))
-    plain = F.coalesce(F.col(text), F.lit(""))
-    rows = docs.withColumns({"_a": F.xxhash64(F.col("doc_id").cast("long"), plain), "_b": F.xxhash64(plain, F.col("doc_id").cast("long"))})
-    rows = rows.join(stored(masks, "masks"), (F.col("_a") == F.col("_k1")) & (F.col("_b") == F.col("_k2")), "left")
+    rows = with_keys(docs).join(stored(masks, "masks"), ["_k1", "_k2"], "left")
     names = F.array(*(F.lit(f"[{k.upper()}]") for k in [*KINDS, "number"]))
     begin = lambda i: F.when(i == 0, F.lit(0).cast("long")).otherwise(F.try_element_at("_spans", i)["end"])
     piece = lambda s, i: F.concat(F.substring(text, begin(i).cast("int") + 1, (s["start"] - begin(i)).cast("int")), F.element_at(names, s["kind"] + 1))
     tail = F.substring(text, F.element_at("_spans", -1)["end"].cast("int") + 1, F.length(text))
     masked = F.when(F.size("_spans") > 0, F.concat(F.array_join(F.transform("_spans", piece), ""), tail)).otherwise(F.col(text))
-    return rows.withColumn(text, masked).select(*docs.columns)
+    return rows.withColumn(text, masked).select(*(F.col(f"`{c}`") for c in docs.columns))
