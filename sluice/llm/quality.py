@@ -3,7 +3,8 @@
 Two multinomials over hashed word 1-grams and 2-grams are counted: one from the texts of a trusted
 target, one from the whole raw corpus. A text's ratio is the mean over its n-grams of the log of
 their probability in the target over that in the raw corpus, so length has no weight. Every text is
-judged by a fixed threshold; nothing is drawn at random.
+judged by one threshold, nothing is drawn at random: a fifth of the trusted documents, told by their
+ids, is left out of the target, and the threshold is what all but one in a thousand of them reach.
 """
 
 from __future__ import annotations
@@ -13,11 +14,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sluice.llm.common import documents, map_rows, mixed, run_hashes, word_hashes
+from sluice.llm.common import crc32_of_id, documents, map_rows, mixed, run_hashes, stored, word_hashes
 
 #: 2 to this power hashed n-grams; counts and ratios of all of them are what is broadcast (512 KB).
 BITS = 16
+#: The threshold where no trusted document is left out.
 THRESHOLD = -0.15
+#: Left-out documents that the threshold may fail, room below that, and the grid of ratios.
+FAILING = 0.001
+ROOM = 0.02
+GRID = 1000
 WINDOW = 5
 _SYMBOLS = b"#*$%&|<>"
 _SPACES = b" \t\n\r\x0b\x0c"
@@ -80,8 +86,8 @@ def repeated_lines(text: bytes) -> int:
     return len(lines) - len(set(lines))
 
 
-def judge(docs: DataFrame, ratio: np.ndarray, threshold: float = THRESHOLD) -> DataFrame:
-    """The measures, log_ratio and verdicts of every row; see :func:`quality`."""
+def judge(docs: DataFrame, ratio: np.ndarray) -> DataFrame:
+    """(doc_id, measures, log_ratio, base_failed) of every row; see :func:`quality`."""
     shared = docs.sparkSession.sparkContext.broadcast(ratio)
 
     def make():
@@ -97,7 +103,7 @@ def judge(docs: DataFrame, ratio: np.ndarray, threshold: float = THRESHOLD) -> D
             repeats = repeated_words(found)
             failed = n < 10 or 100 * repeats > 20 * n
             log_ratio = float(shared.value[grams(found)].mean()) if n else 0.0
-            return [(doc_id, n, word_chars, symbols, repeated_lines(text), repeats, log_ratio, failed, not failed and log_ratio >= threshold)]
+            return [(doc_id, n, word_chars, symbols, repeated_lines(text), repeats, log_ratio, failed)]
 
         return give
 
@@ -105,18 +111,35 @@ def judge(docs: DataFrame, ratio: np.ndarray, threshold: float = THRESHOLD) -> D
         documents(docs).select("doc_id", F.col("text").cast("binary")),
         make,
         "doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "
-        "log_ratio double, base_failed boolean, kept boolean",
+        "log_ratio double, base_failed boolean",
     )
 
 
-def quality(docs: DataFrame, trusted: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+def calibrated(judged: DataFrame, left_out: DataFrame) -> float:
+    """The threshold from the ratios, on a grid, of left-out trusted documents that pass the plain rules."""
+    rows = judged.filter("not base_failed").join(left_out, F.col("doc_id") == F.col("trusted_id"), "left_semi")
+    cells = rows.groupBy(F.floor(F.col("log_ratio") * GRID).alias("cell")).count().collect()  # the grid bounds them
+    total, below = sum(r["count"] for r in cells), 0
+    for cell, count in sorted(map(tuple, cells)):
+        below += count
+        if below > FAILING * total:
+            return cell / GRID - ROOM
+    return THRESHOLD
+
+
+def quality(docs: DataFrame, trusted: DataFrame, threshold: float | None = None) -> DataFrame:
     """(doc_id, measures, log_ratio, base_failed, kept) for every row of ``docs``.
 
     ``trusted`` holds the doc_id of the target's documents. Raw counts are over all rows of
     ``docs``, repeated ones as often as they occur. A null or empty text has no words, ratio 0 and
-    fails; without any trusted document all ratios are 0. Null ids are trusted by nobody.
+    fails; without any trusted document all ratios are 0. Null ids are trusted by nobody. A given
+    threshold takes the place of the calibrated one.
     """
-    ids = trusted.select(F.col("doc_id").cast("long").alias("trusted_id")).distinct()
+    ids = trusted.select(F.col("doc_id").cast("long").alias("trusted_id")).filter("trusted_id is not null").distinct()
+    left_out = crc32_of_id(F.col("trusted_id")) % 5 == 0
     rows = documents(docs)
-    marked = rows.join(ids, rows["doc_id"] == ids["trusted_id"], "left").select("text", F.col("trusted_id").isNotNull().alias("trusted"))
-    return judge(docs, ratios(gram_counts(marked)), threshold)
+    target = ids.filter(~left_out)
+    marked = rows.join(target, rows["doc_id"] == target["trusted_id"], "left").select("text", F.col("trusted_id").isNotNull().alias("trusted"))
+    judged = stored(judge(docs, ratios(gram_counts(marked))), "quality")
+    least = calibrated(judged, ids.filter(left_out)) if threshold is None else threshold
+    return judged.withColumn("kept", ~F.col("base_failed") & (F.col("log_ratio") >= least))

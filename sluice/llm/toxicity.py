@@ -107,7 +107,7 @@ def _first_weights(sample: DataFrame) -> np.ndarray:
     for f, b, n in counts.collect():  # at most 2^18 rows
         bad[f], good[f] = b, n - b
     odds = np.log((bad + 1) / (total.get(1, 0) + 2)) - np.log((good + 1) / (total.get(0, 0) + 2))
-    return odds * (bad + good) / (bad + good + 5)
+    return odds * (bad + good) / (bad + good + 3)
 
 
 def _examples(sample: DataFrame, weights: np.ndarray) -> list[tuple[int, list[int], list[int] | None]]:
@@ -130,7 +130,7 @@ def _examples(sample: DataFrame, weights: np.ndarray) -> list[tuple[int, list[in
     return sorted((tuple(r) for r in rows.collect()), key=lambda r: (r[0], r[1], r[2] or []))
 
 
-def regression(examples, penalty: float = 1e-4, counterfactual: float = 1.0, steps: int = 300) -> np.ndarray:
+def regression(examples, penalty: float = 1e-5, counterfactual: float = 1.0, steps: int = 600) -> np.ndarray:
     """Weights, bias last, by gradient descent with momentum on the class-balanced logistic loss.
 
     ``counterfactual`` times the mean squared difference of the scores of a sentence and its
@@ -155,7 +155,7 @@ def regression(examples, penalty: float = 1e-4, counterfactual: float = 1.0, ste
         if pairs:
             change = np.bincount(p_rows, w[p_cols] * p_sign, len(pairs)) * (2 * counterfactual / len(pairs))
             grad += np.clip(np.bincount(p_cols, change[p_rows] * p_sign, BIAS + 1), -1, 1)
-        speed = 0.9 * speed - 0.5 * grad
+        speed = 0.9 * speed - 2.0 * grad
         w += speed
     return w.astype(np.float32)
 
