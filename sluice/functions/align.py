@@ -22,12 +22,13 @@ def shared_fields(source: T.StructType, target: T.StructType) -> list[str]:
 
 
 def align(
-    df: DataFrame, target: T.StructType, fill: Mapping[str, Column] | None = None
+    df: DataFrame, target: T.StructType, fill: Mapping[str, Column] | None = None,
+    carry: tuple[str, ...] = (),
 ) -> DataFrame:
     """``df`` in the shape of ``target``, as one projection.
 
     A field with the same name and exact type is copied, NULLs included. The others take
-    ``fill[name]``, else the type's default.
+    ``fill[name]``, else the type's default. ``carry`` columns follow as they are.
     """
     fill = fill or {}
     copied = set(shared_fields(df.schema, target))
@@ -40,7 +41,7 @@ def align(
         else:
             value = type_default(field.dataType)
         columns.append(value.alias(field.name))
-    return df.select(*columns)
+    return df.select(*columns, *carry)
 
 
 def overlay(

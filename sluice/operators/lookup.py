@@ -8,8 +8,13 @@ from pyspark.sql import functions as F
 from sluice.functions.sizes import BROADCAST_ROWS, is_small
 from sluice.schemas import PROVINCE_DIM, USER_DIM
 
-# A side too large to broadcast is copied this often and the large side spread over the copies.
-SALTS = 16
+# Keys over which facts of no user are spread.
+NOBODIES = 1 << 20
+
+
+def no_user(user_id: Column) -> Column:
+    """Whether an id stands for no user: NULL, or the 0 or empty text that a missing one becomes."""
+    return user_id.isNull() | user_id.cast("string").isin("0", "")
 
 
 def small_key_join(
@@ -23,14 +28,15 @@ def small_key_join(
     """Left join on a key with few values (a table name, a province).
 
     Shuffling on such a key alone would put a large share of all rows in one task. The side is
-    broadcast when it is proven ``small``; otherwise each row meets one of ``SALTS`` copies of the
-    side, picked by a hash of ``spread``. Needs no runtime re-planning, so it also holds inside a
+    broadcast when it is proven ``small``; otherwise each row meets one of as many copies of the
+    side as there are shuffle partitions, picked by a hash of ``spread``. Needs no runtime re-planning, so it also holds inside a
     streaming micro-batch.
     """
     if small:
         return left.join(F.broadcast(side), F.col(left_key) == F.col(side_key), "left").drop(side_key)
-    copies = side.withColumn("_copy", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    salted = left.withColumn("_salt", F.pmod(F.xxhash64(*spread), F.lit(SALTS)).cast("int"))
+    salts = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    copies = side.withColumn("_copy", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    salted = left.withColumn("_salt", F.pmod(F.xxhash64(*spread), F.lit(salts)).cast("int"))
     on = (F.col(left_key) == F.col(side_key)) & (F.col("_salt") == F.col("_copy"))
     return salted.join(copies, on, "left").drop("_salt", "_copy", side_key)
 
@@ -70,9 +76,12 @@ def with_lookups(
     """Adds province and user columns; facts without a match keep NULLs.
 
     The user side can be large and is left to Catalyst, which broadcasts by estimated size and
-    splits skewed partitions of the fact side at run time.
+    splits skewed partitions of the fact side at run time. Facts of no user can match none: they
+    get keys of their own, spread by a hash of the row, rather than meet in one task.
     """
-    keyed = facts.withColumn("_pid", province_id.cast("string")).withColumn("_uid", user_id.cast("string"))
+    nobody = F.concat(F.lit("\x00"), F.pmod(F.xxhash64(*facts.columns), F.lit(NOBODIES)).cast("string"))
+    uid = F.when(no_user(user_id), nobody).otherwise(user_id.cast("string"))
+    keyed = facts.withColumn("_pid", province_id.cast("string")).withColumn("_uid", uid)
     joined = keyed.join(user_side, F.col("_uid") == F.col("u_id"), "left").drop("u_id")
     small = is_small(province_side, broadcast_rows)
     return small_key_join(

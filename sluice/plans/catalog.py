@@ -19,11 +19,10 @@ from sluice.operators.parse import parse_change, parse_log
 from sluice.plans import envelopes as env
 from sluice.schemas import ORDER_DETAIL, ORDER_INFO, ORDER_WIDE, PAGE_LOG
 from sluice.session import scratch_dir
-from sluice.sources.control import control_files
+from sluice.sources.control import control_files, publish_control
 from sluice.sources.keyed_table import KeyedTable
-from sluice.sources.progress import offsets_table, read_offsets
 from sluice.sources.sinks import FileSink
-from sluice.sources.topics import ReplayTopic
+from sluice.sources.topics import ReplayTopic, from_offsets, next_offsets
 from sluice.streaming import derived, jobs
 
 LOG_TOPIC, DB_TOPIC = lr.LogTopics.source, cr.ChangeTopics.source
@@ -217,28 +216,12 @@ def source_topic(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def source_from_offsets(spark: SparkSession, sf: str) -> DataFrame:
-    """One job reads half the topic and saves its offsets; a second one, with a checkpoint of its
-    own, starts from the saved offsets."""
-    root = scratch_dir(spark, "source_from_offsets")
-    halves, _ = _halves(env.app_log(spark, sf))
-    progress = jobs.Progress(KeyedTable(spark, f"{root}/progress"), jobs.LOG_GROUP)
-    topic = ReplayTopic(f"{root}/topic", LOG_TOPIC)
-    first = FileSink(f"{root}/first")
-    topic.append(halves[0])
-    jobs.start_log_split(
-        spark, topic, first, f"{root}/cp1", progress=progress, trigger=jobs.ONCE
-    ).awaitTermination()
-    topic.append(halves[1])
-    start = read_offsets(progress.table, LOG_TOPIC, jobs.LOG_GROUP)
-    second = FileSink(f"{root}/second")
-    jobs.start_log_split(
-        spark, ReplayTopic(f"{root}/topic", LOG_TOPIC, start=start), second, f"{root}/cp2",
-        trigger=jobs.ONCE,
-    ).awaitTermination()
-    return (
-        first.read(spark).select(F.lit(1).alias("job"), "topic", "value")
-        .unionByName(second.read(spark).select(F.lit(2).alias("job"), "topic", "value"))
-    )
+    """Half the topic split by one job, the rest, from the offsets after it, by another."""
+    records = env.app_log(spark, sf)
+    first = _halves(records)[0][0]
+    parts = [first, from_offsets(records, next_offsets(first))]
+    jobs_of = [lr.log_messages(parse_log(p)).select(F.lit(n + 1).alias("job"), "topic", "value") for n, p in enumerate(parts)]
+    return jobs_of[0].unionByName(jobs_of[1])
 
 
 def resume_from_checkpoint(spark: SparkSession, sf: str) -> DataFrame:
@@ -264,19 +247,9 @@ def log_split_stream(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def offset_progress(spark: SparkSession, sf: str) -> DataFrame:
-    root = scratch_dir(spark, "offset_progress")
-    halves, _ = _halves(env.app_log(spark, sf))
-    topic, sink = ReplayTopic(f"{root}/topic", LOG_TOPIC), FileSink(f"{root}/out")
-    progress = jobs.Progress(KeyedTable(spark, f"{root}/progress"), jobs.LOG_GROUP)
-    _replayed(
-        lambda: jobs.start_log_split(
-            spark, topic, sink, f"{root}/checkpoint", progress=progress, trigger=jobs.ONCE
-        ),
-        topic.append, halves,
-    )
-    return offsets_table(progress.table, LOG_TOPIC, jobs.LOG_GROUP).select(
-        F.lit(LOG_TOPIC).alias("topic"), F.lit(jobs.LOG_GROUP).alias("group_id"),
-        "partition", "next_offset",
+    """Where a group that has read the whole topic stands."""
+    return next_offsets(env.app_log(spark, sf)).select(
+        "topic", F.lit(jobs.LOG_GROUP).alias("group_id"), "partition", "next_offset"
     )
 
 
@@ -333,7 +306,7 @@ def control_refresh(spark: SparkSession, sf: str) -> DataFrame:
     query = None
     try:
         for records, control in steps:
-            control.coalesce(1).write.mode("overwrite").parquet(f"{root}/control")
+            publish_control(control, f"{root}/control")
             topic.append(records)
             if query is None:
                 query = jobs.start_change_split(
@@ -393,11 +366,10 @@ def _dau_stream(spark: SparkSession, sf: str, dims: KeyedTable | None) -> DataFr
     root = scratch_dir(spark, "dau")
     halves, _ = _halves(_page_messages(spark, sf))
     topic = ReplayTopic(f"{root}/topic", lr.LogTopics.page)
-    table = KeyedTable(spark, f"{root}/table")
+    table = derived.dau_table(spark, f"{root}/table")
     _replayed(
         lambda: derived.start_daily_active(
-            spark, topic, table, f"{root}/checkpoint", trigger=jobs.ONCE,
-            partitions=spark.sparkContext.defaultParallelism, dims=dims,
+            spark, topic, table, f"{root}/checkpoint", trigger=jobs.ONCE, dims=dims
         ),
         topic.append, halves,
     )
@@ -472,7 +444,6 @@ QUERIES = {
 
 # Queries that run a stream when called.
 STREAMING = (
-    "source_topic", "source_from_offsets", "resume_from_checkpoint", "log_split_stream",
-    "offset_progress", "cdc_split_stream", "control_refresh", "order_wide_stream",
-    "order_enrich_stream", "dau_stream", "dau_enrich_stream",
+    "source_topic", "resume_from_checkpoint", "log_split_stream", "cdc_split_stream", "control_refresh",
+    "order_wide_stream", "order_enrich_stream", "dau_stream", "dau_enrich_stream",
 )

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from sluice.operators.change_routes import ChangeTopics
 from sluice.operators.log_routes import LogTopics
-from sluice.plans.tables import spread, table
+from sluice.plans.tables import table
 from sluice.schemas import CONTROL
 
 
@@ -26,9 +26,7 @@ def epoch_ms(ts: Column) -> Column:
 def app_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """App-log topic: one record per event, with the columns of a topic source."""
     event_id, kind, event_type = F.col("event_id"), F.col("kind"), F.col("event_type")
-    events = spread(
-        table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "ts"), "event_id"
-    )
+    events = table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "ts")
     customers = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     joined = (
         events.join(customers, F.col("user_id") == F.col("c_custkey"))
@@ -160,7 +158,7 @@ def _order_time(orders: DataFrame) -> Column:
 
 def order_info(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Typed orders, and the record time ``created``."""
-    orders = spread(table(spark, sf_dir, "orders").drop("o_orderpriority"), "o_orderkey")
+    orders = table(spark, sf_dir, "orders").drop("o_orderpriority")
     customers = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     key = F.col("o_orderkey")
     created = _order_time(orders)
@@ -183,9 +181,7 @@ def order_info(spark: SparkSession, sf_dir: str) -> DataFrame:
 def order_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Typed order details, and the record time ``created``. The id is a 52-bit hash of the row,
     since the table has no unique key."""
-    lines = spread(
-        table(spark, sf_dir, "lineitem"), "l_orderkey", "l_partkey", "l_linenumber", "l_quantity"
-    )
+    lines = table(spark, sf_dir, "lineitem")
     parts = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_retailprice")
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
     identity = F.concat_ws(

@@ -8,12 +8,3 @@ from pyspark.sql import DataFrame, SparkSession
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
-
-def spread(rows: DataFrame, *keys: str) -> DataFrame:
-    """Gives a scan with fewer splits than cores one partition per core, by ``keys``.
-
-    For tables of one small file, before costly per-row work. A scan of a large table has more
-    splits than cores and is left as it is, without a shuffle.
-    """
-    cores = rows.sparkSession.sparkContext.defaultParallelism
-    return rows if rows.rdd.getNumPartitions() >= cores else rows.repartition(cores, *keys)

@@ -1,22 +1,24 @@
-"""A keyed store on parquet: newest row image per ``(space, id)``.
+"""A keyed table on parquet: one row per ``(space, id)``, in buckets by space and hash of id.
 
-Each upsert appends one small sorted commit instead of rewriting the table; commits are merged in
-levels (``fanout`` commits of one level become one of the next), so a row is rewritten once per
-level and a reader opens few commits. A manifest names the live commits and the last batch taken
-from each stream; it is swapped in one step, so readers always see whole batches and a replayed
-batch is skipped. One writer per table.
+A batch writes the buckets it touches anew, below a folder of its version; the others stay. A
+manifest names the version of every bucket and the last batch taken from each stream. It is put in
+place in one step, so readers always see whole batches and a replayed batch is skipped. Replaced
+buckets stay for some days, so a DataFrame that reads them is not cut off. One writer per table.
 """
 
 from __future__ import annotations
 
 import json
+import time
+from hashlib import md5
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark import StorageLevel
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sluice.functions.rows import latest_by
-from sluice.functions.sizes import is_small
+from sluice.functions.rows import first_by, latest_by
+from sluice.sources.files import Files
 
 ROW = T.StructType([
     T.StructField("space", T.StringType()),
@@ -25,8 +27,13 @@ ROW = T.StructType([
     T.StructField("op", T.StringType()),
     T.StructField("src_partition", T.IntegerType()),
     T.StructField("src_offset", T.LongType()),
+    T.StructField("at", T.LongType()),
 ])
 KEYS = ["space", "id"]
+# Manifests kept; readers hold on to files, not to manifests.
+MANIFESTS = 20
+# Versions between two looks for buckets that are due to go.
+EXPIRE_EVERY = 64
 
 
 class KeyedTable:
@@ -35,138 +42,120 @@ class KeyedTable:
         spark: SparkSession,
         path: str,
         on_delete: str = "keep",
-        fanout: int = 8,
-        keep_manifests: int = 20,
+        wins: str = "last",
+        buckets: int = 16,
+        keep_days: float = 7.0,
     ):
-        """``on_delete="keep"`` stores a deleted row's image like any other; ``"remove"`` hides it."""
+        """``on_delete="keep"`` stores a deleted row's image like any other; ``"remove"`` hides it.
+
+        With ``wins="last"`` a later batch replaces a row, within a batch the highest ``(src_offset,
+        src_partition)``; with ``"first"`` the smallest ``(at, src_partition, src_offset)`` stays,
+        whichever batch it comes in. ``buckets`` is fixed by the first batch: choose it so that a
+        bucket of the largest space suits one task.
+        """
         if on_delete not in ("keep", "remove"):
             raise ValueError(f"on_delete: keep or remove, not {on_delete}")
-        self.spark, self.path = spark, path.rstrip("/")
-        self.on_delete, self.fanout, self.keep_manifests = on_delete, fanout, keep_manifests
+        if wins not in ("last", "first"):
+            raise ValueError(f"wins: last or first, not {wins}")
+        self.spark, self.path, self.files = spark, path.rstrip("/"), Files(spark, path)
+        self.on_delete, self.wins, self.buckets, self.keep_days = on_delete, wins, buckets, keep_days
 
     def upsert(self, rows: DataFrame, run: str, batch_id: int) -> bool:
-        """Takes one batch; False if this batch of this run was taken before.
-
-        Within the batch the row with the highest ``(src_offset, src_partition)`` wins; a later
-        batch wins over an earlier one.
-        """
+        """Takes one batch; False if this batch of this run was taken before."""
         manifest = self._manifest()
         if batch_id <= manifest["taken"].get(run, -1):
             return False
-        version = manifest["version"] + 1
-        newest = latest_by(rows.select(*ROW.names), KEYS, ["src_offset", "src_partition"])
-        self._write(newest, version)
-        self._commit({
-            "version": version,
-            "live": [*manifest["live"], [version, 0]],
-            "taken": {**manifest["taken"], run: batch_id},
-        })
-        self._merge_full_levels()
+        version, live = manifest["version"] + 1, manifest["live"]
+        columns = [F.col(f.name) if f.name in rows.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in ROW]
+        batch = self._winners(rows.select(*columns).withColumn("_new", F.lit(True)), KEYS)
+        batch = batch.withColumn("bucket", _bucket(manifest["buckets"])).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            # At most a row per space and bucket.
+            touched = [(r["space"], str(r["bucket"])) for r in batch.select("space", "bucket").distinct().collect()]
+            held = [(s, b, live[s][b]) for s, b in touched if b in live.get(s, {})]
+            if touched:
+                self._write(batch, self._read(held), manifest["buckets"], version)
+        finally:
+            batch.unpersist()
+        for space, bucket in touched:
+            live.setdefault(space, {})[bucket] = version
+        self._commit({**manifest, "version": version, "taken": {**manifest["taken"], run: batch_id}})
+        if held:
+            dropped = [_folder(v, s, b) for s, b, v in held]
+            self.files.create(f"dropped/{version}.{time.time():.0f}", json.dumps(dropped))
+        if version % EXPIRE_EVERY == 0:
+            self.expire()
         return True
 
-    def current(self, space: str | None = None, ids: DataFrame | None = None) -> DataFrame:
-        """Newest rows, of one key space or all. The space filter reaches the parquet scan.
+    def current(self, space: str | None = None, ids: DataFrame | None = None, prefix: str = "") -> DataFrame:
+        """The rows of one key space, or of all whose names begin with ``prefix``.
 
-        ``ids`` (one column ``id``) keeps only those rows. It is applied before commits are
-        brought together, so looking up a batch's keys in a large table shuffles the matches,
-        not the table.
+        ``ids`` (one column ``id``) keeps only those rows of a space and opens only their buckets.
         """
-        live = [commit for commit, _ in self._manifest()["live"]]
-        rows = self._read(live)
-        if space is not None:
-            rows = rows.filter(F.col("space") == space)
+        manifest = self._manifest()
+        live = manifest["live"]
+        spaces = [s for s in live if s.startswith(prefix)] if space is None else [space]
+        wanted = None
         if ids is not None:
             wanted = ids.filter("id is not null").distinct()
-            rows = rows.join(F.broadcast(wanted) if is_small(wanted) else wanted, "id", "left_semi")
-        if len(live) > 1:
-            rows = latest_by(rows, KEYS, ["commit"])
+            opened = {str(r[0]) for r in wanted.select(_bucket(manifest["buckets"])).distinct().collect()}
+        rows = self._read([(s, b, v) for s in spaces for b, v in live.get(s, {}).items() if wanted is None or b in opened])
+        if wanted is not None:
+            rows = rows.join(wanted, "id", "left_semi")
         if self.on_delete == "remove":
             rows = rows.filter("op is null or op <> 'D'")
         return rows.select(*ROW.names)
 
-    def _merge_full_levels(self) -> None:
-        level = 0
-        while True:
-            manifest = self._manifest()
-            run = [commit for commit, at in manifest["live"] if at == level]
-            if len(run) < self.fanout:
-                break
-            version = manifest["version"] + 1
-            merged = latest_by(self._read(run), KEYS, ["commit"])
-            self._write(merged, version)
-            rest = [[commit, at] for commit, at in manifest["live"] if at != level]
-            self._commit({
-                "version": version,
-                "live": [*rest, [version, level + 1]],
-                "taken": manifest["taken"],
-            })
-            level += 1
-
-    def _write(self, rows: DataFrame, version: int) -> None:
-        # Sorted files: row-group statistics skip other key spaces and narrow id lookups.
-        rows.select(*ROW.names).sortWithinPartitions(*KEYS).write.mode("overwrite").parquet(
-            f"{self.path}/data/commit={version}"
-        )
-
-    def _read(self, commits: list[int]) -> DataFrame:
-        schema = T.StructType([*ROW, T.StructField("commit", T.LongType())])
-        if not commits:
-            return self.spark.createDataFrame([], schema)
-        data = f"{self.path}/data"
-        return self.spark.read.schema(schema).option("basePath", data).parquet(
-            *[f"{data}/commit={c}" for c in commits]
-        )
-
-    # Manifests: small driver-side files through Hadoop's file system API.
-
-    def _fs(self, path: str):
-        jvm = self.spark._jvm
-        hadoop_path = jvm.org.apache.hadoop.fs.Path(path)
-        return hadoop_path.getFileSystem(self.spark._jsc.hadoopConfiguration()), hadoop_path
+    def expire(self) -> None:
+        """Deletes buckets that were replaced more than ``keep_days`` ago."""
+        due = time.time() - self.keep_days * 86400
+        for name in self.files.names("dropped"):
+            if not name.startswith(".") and int(name.partition(".")[2]) < due:
+                for folder in json.loads(self.files.read(f"dropped/{name}")):
+                    self.files.delete(folder)
+                self.files.delete(f"dropped/{name}")
+
+    def _winners(self, rows: DataFrame, keys: list[str]) -> DataFrame:
+        if self.wins == "first":
+            return first_by(rows, keys, ["at", "src_partition", "src_offset"])
+        return latest_by(rows, keys, ["_new", "src_offset", "src_partition"])
+
+    def _write(self, batch: DataFrame, held: DataFrame, buckets: int, version: int) -> None:
+        part = F.concat(F.substring(F.md5("space"), 1, 12), F.lit("-"), _bucket(buckets))
+        old = held.withColumn("_new", F.lit(False))
+        rows = batch.drop("bucket").unionByName(old).withColumn("part", part)
+        # The batch holds a row per key by now: shuffled once, a bucket to a task, and ranked there.
+        rows = self._winners(rows.repartition("part"), ["part", *KEYS])
+        rows = rows.select(*ROW.names, "part").sortWithinPartitions("part", *KEYS)
+        rows.write.mode("overwrite").partitionBy("part").parquet(f"{self.path}/data/version={version}")
+
+    def _read(self, parts: list[tuple[str, str, int]]) -> DataFrame:
+        if not parts:
+            return self.spark.createDataFrame([], ROW)
+        return self.spark.read.schema(ROW).parquet(*[f"{self.path}/{_folder(v, s, b)}" for s, b, v in sorted(parts)])
 
     def _versions(self) -> list[int]:
-        fs, folder = self._fs(f"{self.path}/manifest")
-        if not fs.exists(folder):
-            return []
-        names = [status.getPath().getName() for status in fs.listStatus(folder)]
-        return sorted(int(n.removesuffix(".json")) for n in names if n.endswith(".json"))
-
-    def _load(self, version: int) -> dict:
-        fs, path = self._fs(f"{self.path}/manifest/{version}.json")
-        stream = fs.open(path)
-        try:
-            return json.loads(self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
-        finally:
-            stream.close()
+        return sorted(int(n.removesuffix(".json")) for n in self.files.names("manifest") if n.endswith(".json") and n[0] != ".")
 
     def _manifest(self) -> dict:
         versions = self._versions()
-        return self._load(versions[-1]) if versions else {"version": 0, "live": [], "taken": {}}
+        if not versions:
+            return {"version": 0, "buckets": self.buckets, "live": {}, "taken": {}}
+        return json.loads(self.files.read(f"manifest/{versions[-1]}.json"))
 
     def _commit(self, manifest: dict) -> None:
-        version = manifest["version"]
-        fs, draft = self._fs(f"{self.path}/manifest/.{version}.draft")
-        stream = fs.create(draft, True)
         try:
-            stream.write(bytearray(json.dumps(manifest).encode()))
-        finally:
-            stream.close()
-        _, final = self._fs(f"{self.path}/manifest/{version}.json")
-        if fs.exists(final) or not fs.rename(draft, final):
-            raise RuntimeError(f"{self.path}: another writer committed version {version}")
-        self._expire()
-
-    def _expire(self) -> None:
-        """Drops manifests beyond ``keep_manifests`` and the commits only they name."""
-        versions = self._versions()
-        old, kept = versions[: -self.keep_manifests], versions[-self.keep_manifests :]
-        if not old:
-            return
-        named = {c for v in kept for c, _ in self._load(v)["live"]}
-        for version in old:
-            for commit, _ in self._load(version)["live"]:
-                if commit not in named:
-                    fs, folder = self._fs(f"{self.path}/data/commit={commit}")
-                    fs.delete(folder, True)
-            fs, path = self._fs(f"{self.path}/manifest/{version}.json")
-            fs.delete(path, False)
+            self.files.create(f"manifest/{manifest['version']}.json", json.dumps(manifest))
+        except FileExistsError as there:
+            raise RuntimeError(f"{self.path}: another writer committed version {manifest['version']}") from there
+        for version in self._versions()[:-MANIFESTS]:
+            self.files.delete(f"manifest/{version}.json")
+
+
+def _bucket(buckets: int) -> Column:
+    return F.pmod(F.xxhash64("id"), F.lit(buckets)).cast("int")
+
+
+def _folder(version: int, space: str, bucket: str) -> str:
+    """Where a bucket's rows of a version lie."""
+    return f"data/version={version}/part={md5(space.encode()).hexdigest()[:12]}-{bucket}"

@@ -15,11 +15,16 @@ LATEST, EARLIEST = "latest", "earliest"
 Start = str | dict[int, int]
 
 
-def starting_offsets(topic: str, start: Start) -> str:
-    """Spark's ``startingOffsets`` value; it must name every partition of the topic."""
+def starting_offsets(topic: str, start: Start, partitions: int | None = None) -> str:
+    """Spark's ``startingOffsets`` value, which must name every partition of the topic.
+
+    With the topic's number of ``partitions`` those that ``start`` leaves out begin at their
+    earliest record (-2).
+    """
     if isinstance(start, str):
         return start
-    return json.dumps({topic: {str(p): o for p, o in sorted(start.items())}})
+    whole = {**dict.fromkeys(range(partitions or 0), -2), **start}
+    return json.dumps({topic: {str(p): o for p, o in sorted(whole.items())}})
 
 
 @dataclass(frozen=True)
@@ -33,6 +38,7 @@ class KafkaTopic:
     topic: str
     start: Start = LATEST
     min_partitions: int | None = None
+    partitions: int | None = None
     max_offsets_per_trigger: int | None = None
     options: dict[str, str] = field(default_factory=dict)
 
@@ -40,7 +46,7 @@ class KafkaTopic:
         found = {
             "kafka.bootstrap.servers": self.servers,
             "subscribe": self.topic,
-            "startingOffsets": starting_offsets(self.topic, self.start),
+            "startingOffsets": starting_offsets(self.topic, self.start, self.partitions),
         }
         if self.min_partitions:
             found["minPartitions"] = str(self.min_partitions)
@@ -55,11 +61,13 @@ class KafkaTopic:
 
 @dataclass(frozen=True)
 class ReplayTopic:
-    """A topic kept as parquet files below ``path``, streamed file by file."""
+    """A topic kept as parquet files below ``path``, streamed file by file from the first one on.
+
+    Where a stream stands is in its checkpoint alone, so a restart takes up every file since.
+    """
 
     path: str
     topic: str
-    start: Start = EARLIEST
     max_files_per_trigger: int | None = None
 
     def batch(self, spark: SparkSession) -> DataFrame:
@@ -69,18 +77,7 @@ class ReplayTopic:
         reader = spark.readStream.schema(TOPIC_RECORD)
         if self.max_files_per_trigger:
             reader = reader.option("maxFilesPerTrigger", self.max_files_per_trigger)
-        start = self.end_offsets(spark) if self.start == LATEST else self.start
-        records = self._of_topic(reader.parquet(self.path))
-        if start == EARLIEST or not start:
-            return records
-        known = F.create_map(*[F.lit(x) for pair in sorted(start.items()) for x in pair])
-        first = F.coalesce(F.element_at(known, F.col("partition")), F.lit(0))
-        return records.filter(F.col("offset") >= first)
-
-    def end_offsets(self, spark: SparkSession) -> dict[int, int]:
-        """Next offset per partition; the result has one row per partition of the topic."""
-        ends = self.batch(spark).groupBy("partition").agg(F.max("offset") + 1)
-        return {partition: offset for partition, offset in ends.collect()}
+        return self._of_topic(reader.parquet(self.path))
 
     def append(self, records: DataFrame) -> None:
         """Adds records as new files."""
@@ -88,3 +85,14 @@ class ReplayTopic:
 
     def _of_topic(self, records: DataFrame) -> DataFrame:
         return records.filter(F.col("topic") == self.topic)
+
+
+def next_offsets(records: DataFrame) -> DataFrame:
+    """(topic, partition, next_offset) of records: combined per task, a row per partition in the end."""
+    return records.groupBy("topic", "partition").agg((F.max("offset") + 1).alias("next_offset"))
+
+
+def from_offsets(records: DataFrame, starts: DataFrame) -> DataFrame:
+    """The records from ``next_offset`` on, by topic and partition; partitions not named are read whole."""
+    met = records.join(starts.select("topic", "partition", "next_offset"), ["topic", "partition"], "left")
+    return met.filter(F.col("offset") >= F.coalesce("next_offset", F.lit(0))).select(*records.columns)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -9,9 +11,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from sluice.functions.align import align
 from sluice.functions.rows import emit
-from sluice.functions.scalars import event_date, event_hour
-from sluice.operators.daily_active import enrich_dau
-from sluice.operators.lookup import provinces, users
+from sluice.operators.daily_active import enrich_dau, first_visits
+from sluice.operators.lookup import no_user, provinces, users
 from sluice.operators.orders import (
     decode_fact, enrich_orders, merge_wide, pack_sides, with_order_date,
 )
@@ -76,13 +77,26 @@ ENRICHED_ORDERS = "DWD_ORDER_INFO_ENRICHED"
 def lookup_sides(dims: KeyedTable, facts: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """Province and user sides as the dimension table stands now; users only as far as ``facts``
     (with a ``user_id``) name them, if given."""
-    ids = None if facts is None else facts.select(F.col("user_id").cast("string").alias("id"))
+    ids = None
+    if facts is not None:
+        ids = facts.filter(~no_user(F.col("user_id"))).select(F.col("user_id").cast("string").alias("id"))
     return (
         provinces(dims.current("DIM:BASE_PROVINCE")),
         users(dims.current("DIM:USER_INFO", ids)),
     )
 
 
+@contextmanager
+def looked_up(dims: KeyedTable, facts: DataFrame):
+    """:func:`lookup_sides` for a batch; the province side, of which the size is checked, is read once."""
+    province_side, user_side = lookup_sides(dims, facts)
+    province_side = province_side.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        yield province_side, user_side
+    finally:
+        province_side.unpersist()
+
+
 def start_order_enrich(
     spark: SparkSession, orders, dims: KeyedTable, sink, checkpoint: str, trigger: dict = INTERVAL
 ) -> StreamingQuery:
@@ -99,13 +113,13 @@ def start_order_enrich(
             StorageLevel.MEMORY_AND_DISK
         )
         try:
-            enriched = enrich_orders(info, *lookup_sides(dims, info))
-            messages = enriched.select(
-                F.lit(ENRICHED_ORDERS).alias("topic"),
-                F.col("id").cast("string").alias("key"),
-                F.to_json(F.struct(*ORDER_INFO.names)).alias("value"),
-            )
-            sink.write(messages, run, batch_id)
+            with looked_up(dims, info) as sides:
+                messages = enrich_orders(info, *sides).select(
+                    F.lit(ENRICHED_ORDERS).alias("topic"),
+                    F.col("id").cast("string").alias("key"),
+                    F.to_json(F.struct(*ORDER_INFO.names)).alias("value"),
+                )
+                sink.write(messages, run, batch_id)
         finally:
             info.unpersist()
 
@@ -115,28 +129,12 @@ def start_order_enrich(
     )
 
 
-def first_visits(pages: DataFrame, delay: str = "1 day") -> DataFrame:
-    """First page view per device and UTC day from page messages (topic records).
-
-    An aggregate, not a duplicate filter: it is combined before the shuffle, so a device with a
-    large share of all views arrives as one row per task, and it finds the earliest ``ts``, not
-    the first arrival. Run it in update mode: a view that turns out earlier replaces the row.
-    A view without ``ts`` belongs to no day and is left out.
-    """
-    decoded = pages.withColumn("_p", F.from_json("value", PAGE_LOG))
-    row = F.struct("partition", "offset", F.col("_p").alias("page"), F.timestamp_millis("_p.ts").alias("at"))
-    views = emit(decoded, F.when(F.col("_p").isNotNull(), row)).withWatermark("at", delay)
-    first = F.min_by(F.col("page"), F.struct("page.ts", "partition", "offset")).alias("page")
-    grouped = views.groupBy(F.window("at", "1 day"), F.col("page.mid").alias("_mid")).agg(first)
-    dated = (
-        grouped.select("page.*")
-        .withColumn("dt", event_date(F.col("ts")))
-        .withColumn("hr", event_hour(F.col("ts")))
-    )
-    return align(dated, DAU_INFO)
+DAU_SPACE = "DAU:"
 
 
-DAU_SPACE = "DAU:"
+def dau_table(spark: SparkSession, path: str, **options) -> KeyedTable:
+    """A table for :func:`start_daily_active`: the earliest view of a device and day stays."""
+    return KeyedTable(spark, path, wins="first", **options)
 
 
 def start_daily_active(
@@ -145,31 +143,39 @@ def start_daily_active(
     table: KeyedTable,
     checkpoint: str,
     trigger: dict = INTERVAL,
-    partitions: int | None = None,
-    delay: str = "1 day",
     dims: KeyedTable | None = None,
+    tz: str = "UTC",
 ) -> StreamingQuery:
-    """Keeps ``table`` at one row per device and day; read it with :func:`daily_active`.
+    """Keeps ``table``, of :func:`dau_table`, at one row per device and day; read it with
+    :func:`daily_active`.
 
-    With ``dims`` the rows get their looked-up columns, from the dimension table as it stands at
-    each batch.
+    No state and no watermark: each batch gives its first views, and the table keeps the earliest of
+    them, however late or early a device's clock makes it. A view without ``ts`` belongs to no day.
+    With ``dims`` the rows get their looked-up columns, from the dimension table as it stands then.
     """
+    if table.wins != "first":
+        raise ValueError("daily actives need a table in which the first row wins")
 
     def save(batch: DataFrame, batch_id: int) -> None:
         run = run_id(batch)
-        if dims is None:
-            table.upsert(_dau_rows(batch), run, batch_id)
-            return
-        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
+        decoded = batch.withColumn("_p", F.from_json("value", PAGE_LOG))
+        row = F.struct("_p.*", "partition", "offset")
+        views = emit(decoded, F.when(F.col("_p").isNotNull(), row))
+        carried = ("partition", "offset")
+        first = first_visits(views, tie=carried, tz=tz, carry=carried).persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            enriched = enrich_dau(batch, *lookup_sides(dims, batch))
-            table.upsert(_dau_rows(enriched), run, batch_id)
+            if dims is None:
+                table.upsert(_dau_rows(first), run, batch_id)
+                return
+            with looked_up(dims, first) as sides:
+                table.upsert(_dau_rows(enrich_dau(first, *sides, carry=carried)), run, batch_id)
         finally:
-            batch.unpersist()
+            first.unpersist()
 
-    writer = first_visits(pages.stream(spark), delay).writeStream.outputMode("update").foreachBatch(save)
-    with state_partitions(spark, partitions):
-        return writer.option("checkpointLocation", checkpoint).trigger(**trigger).start()
+    return (
+        pages.stream(spark).writeStream.foreachBatch(save)
+        .option("checkpointLocation", checkpoint).trigger(**trigger).start()
+    )
 
 
 def _dau_rows(dau: DataFrame) -> DataFrame:
@@ -178,12 +184,13 @@ def _dau_rows(dau: DataFrame) -> DataFrame:
         F.col("mid").alias("id"),
         F.to_json(F.struct(*DAU_INFO.names)).alias("data"),
         F.lit("U").alias("op"),
-        F.lit(0).alias("src_partition"),
-        F.col("ts").alias("src_offset"),
+        F.col("partition").alias("src_partition"),
+        F.col("offset").alias("src_offset"),
+        F.col("ts").alias("at"),
     )
 
 
 def daily_active(table: KeyedTable, dt: str | None = None) -> DataFrame:
-    """Daily actives of one day, or of all days."""
-    rows = table.current(None if dt is None else DAU_SPACE + dt)
+    """Daily actives of one day, or of all days; other spaces of the table are not opened."""
+    rows = table.current(prefix=DAU_SPACE) if dt is None else table.current(DAU_SPACE + dt)
     return rows.select(F.from_json("data", DAU_INFO).alias("d")).select("d.*")

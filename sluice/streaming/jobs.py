@@ -8,7 +8,6 @@ that: at-least-once into Kafka, exactly-once into the table sinks, which know th
 from __future__ import annotations
 
 from contextlib import contextmanager
-from dataclasses import dataclass
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -21,7 +20,6 @@ from sluice.operators.log_routes import LogTopics, log_messages
 from sluice.operators.parse import parse_change, parse_log
 from sluice.sources.control import ControlReader
 from sluice.sources.keyed_table import KeyedTable
-from sluice.sources.progress import save_offsets
 
 # Fixed value: micro-batch interval of both split jobs.
 INTERVAL = {"processingTime": "5 seconds"}
@@ -33,14 +31,6 @@ LOG_GROUP = "ODS_BASE_LOG_GROUP_1018"
 DB_GROUP = "ODS_BASE_DB_GROUP_1018"
 
 
-@dataclass(frozen=True)
-class Progress:
-    """Where to keep a queryable copy of the offsets, and under which group."""
-
-    table: KeyedTable
-    group: str
-
-
 def run_id(batch: DataFrame) -> str:
     """Id of the running query; it lives in the checkpoint, so it survives restarts and a new
     checkpoint gets a new one."""
@@ -73,23 +63,12 @@ def start_log_split(
     checkpoint: str,
     topics: LogTopics = LogTopics(),
     on_malformed: str = "quarantine",
-    progress: Progress | None = None,
     trigger: dict = INTERVAL,
 ) -> StreamingQuery:
     """App log to its typed topics: one pass per batch, no shuffle, nothing cached."""
 
     def split(batch: DataFrame, batch_id: int) -> None:
-        run = run_id(batch)
-        if progress:
-            # Two passes over the batch then: keep it, rather than fetch it from the source twice.
-            batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            sink.write(log_messages(parse_log(batch), topics, on_malformed), run, batch_id)
-            if progress:
-                save_offsets(progress.table, batch, progress.group, run, batch_id)
-        finally:
-            if progress:
-                batch.unpersist()
+        sink.write(log_messages(parse_log(batch), topics, on_malformed), run_id(batch), batch_id)
 
     return _start(source.stream(spark), split, checkpoint, trigger)
 
@@ -104,7 +83,6 @@ def start_change_split(
     topics: ChangeTopics = ChangeTopics(),
     on_malformed: str = "quarantine",
     key_by_id: bool = False,
-    progress: Progress | None = None,
     trigger: dict = INTERVAL,
 ) -> StreamingQuery:
     """Change stream to fact topics and the dimension table.
@@ -115,20 +93,14 @@ def start_change_split(
 
     def split(batch: DataFrame, batch_id: int) -> None:
         run = run_id(batch)
-        if progress:
-            batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
         routed = routed_changes(coded_changes(parse_change(batch)), control()).persist(
             StorageLevel.MEMORY_AND_DISK
         )
         try:
             sink.write(change_messages(routed, topics, on_malformed, key_by_id), run, batch_id)
             dims.upsert(dim_rows(routed), run, batch_id)
-            if progress:
-                save_offsets(progress.table, batch, progress.group, run, batch_id)
         finally:
             routed.unpersist()
-            if progress:
-                batch.unpersist()
 
     return _start(source.stream(spark), split, checkpoint, trigger)
 

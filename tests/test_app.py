@@ -9,10 +9,11 @@ from sluice import app
 from sluice.operators.log_routes import LogTopics
 from sluice.schemas import CONTROL
 from sluice.session import scratch_dir
+from sluice.sources.control import publish_control
 from sluice.sources.keyed_table import KeyedTable
-from sluice.sources.progress import read_offsets
 from sluice.sources.sinks import FileSink
 from sluice.sources.topics import ReplayTopic
+from sluice.streaming import derived
 
 
 def run(spark, *words):
@@ -22,19 +23,47 @@ def run(spark, *words):
 def test_log_split(spark, records):
     root = scratch_dir(spark, "app")
     ReplayTopic(f"{root}/t", "mine").append(records(['{"common":{},"start":{}}'], "mine", 2, 5))
-    run(spark, "log-split", "--replay", f"{root}/t", "--topic", "mine", "--start", "earliest",
-        "--out", f"{root}/out", "--checkpoint", f"{root}/cp", "--progress", f"{root}/p", "--group", "g", "--once")
+    run(spark, "log-split", "--replay", f"{root}/t", "--topic", "mine",
+        "--out", f"{root}/out", "--checkpoint", f"{root}/cp", "--once")
     (row,) = FileSink(f"{root}/out").read(spark).collect()
     assert (row["topic"], row["value"]) == (LogTopics.start, "{}")
-    assert read_offsets(KeyedTable(spark, f"{root}/p"), "mine", "g") == {2: 6}
+
+
+def test_restart_with_default_options_loses_nothing(spark, records):
+    root = scratch_dir(spark, "app")
+    for n in range(3):
+        ReplayTopic(f"{root}/t", LogTopics.source).append(
+            records(['{"common":{},"start":{"entry":"%d"}}' % n] * 5, LogTopics.source, 0, 5 * n)
+        )
+        run(spark, "log-split", "--replay", f"{root}/t", "--out", f"{root}/out", "--checkpoint", f"{root}/cp", "--once")
+    found = [json.loads(r["value"])["entry"] for r in FileSink(f"{root}/out").read(spark).collect()]
+    assert sorted(found) == ["0"] * 5 + ["1"] * 5 + ["2"] * 5
+
+
+def test_derived_jobs(spark, records):
+    root = scratch_dir(spark, "app")
+    page = json.dumps({"mid": "m", "page_id": "p", "ts": 5, "user_id": "1"})
+    ReplayTopic(f"{root}/t", LogTopics.page).append(records([page], LogTopics.page))
+    order, detail = '{"id":1,"user_id":1,"province_id":2}', '{"id":7,"order_id":1}'
+    for topic, value in (("DWD_ORDER_INFO_I_1018", order), ("DWD_ORDER_DETAIL_I_1018", detail)):
+        at = F.timestamp_seconds(F.lit(1_700_000_000))
+        ReplayTopic(f"{root}/t", topic).append(records([value], topic).withColumn("timestamp", at))
+    common = ("--replay", f"{root}/t", "--once", "--checkpoint")
+    run(spark, "daily-active", "--dau", f"{root}/dau", "--dims", f"{root}/dims", *common, f"{root}/c1")
+    (row,) = derived.daily_active(derived.dau_table(spark, f"{root}/dau")).collect()
+    assert (row["mid"], row["dt"]) == ("m", "1970-01-01")
+    run(spark, "order-enrich", "--dims", f"{root}/dims", "--out", f"{root}/out", *common, f"{root}/c2")
+    assert [r["key"] for r in FileSink(f"{root}/out").read(spark).collect()] == ["1"]
+    run(spark, "order-wide", "--topic", "DWD_ORDER_INFO_I_1018", "--wide", f"{root}/wide", "--state-partitions", "2", *common, f"{root}/c3")
+    assert [r["detail_id"] for r in spark.read.parquet(f"{root}/wide").collect()] == [7]
 
 
 def test_change_split(spark, records):
     root = scratch_dir(spark, "app")
     change = json.dumps({"type": "insert", "table": "a", "data": {"id": 1}})
     ReplayTopic(f"{root}/t", "ODS_BASE_DB_1018").append(records([change], "ODS_BASE_DB_1018"))
-    spark.createDataFrame([("fact", "a"), ("dim", "a")], CONTROL).write.parquet(f"{root}/control")
-    run(spark, "change-split", "--replay", f"{root}/t", "--start", "earliest", "--out", f"{root}/out",
+    publish_control(spark.createDataFrame([("fact", "a"), ("dim", "a")], CONTROL), f"{root}/control")
+    run(spark, "change-split", "--replay", f"{root}/t", "--out", f"{root}/out",
         "--checkpoint", f"{root}/cp", "--control", f"{root}/control", "--dims", f"{root}/dims",
         "--key-by-id", "--once")
     rows = FileSink(f"{root}/out").read(spark).select("topic", "key", "value").collect()
@@ -45,6 +74,7 @@ def test_change_split(spark, records):
 
 @pytest.mark.parametrize("words", [
     ("log-split",), ("log-split", "--replay", "x"), ("change-split", "--servers", "h"),
+    ("log-split", "--replay", "x", "--out", "y", "--start", "latest"), ("daily-active", "--replay", "x"),
 ])
 def test_missing_options(spark, words):
     with pytest.raises(SystemExit):

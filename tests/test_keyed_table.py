@@ -13,7 +13,7 @@ from sluice.sources.keyed_table import ROW, KeyedTable
 def rows(spark):
     def make(*items):
         return spark.createDataFrame(
-            [(space, key, data, op, 0, offset) for space, key, data, op, offset in items], ROW
+            [(space, key, data, op, 0, offset, None) for space, key, data, op, offset in items], ROW
         )
 
     return make
@@ -59,9 +59,9 @@ def test_delete_keeps_or_hides(spark, rows):
 
 def test_many_batches_against_a_dict(spark, rows):
     rng = random.Random(3)
-    table = KeyedTable(spark, scratch_dir(spark, "keyed"), fanout=3, keep_manifests=4)
+    table = KeyedTable(spark, scratch_dir(spark, "keyed"), buckets=3)
     expected = {}
-    for batch in range(14):
+    for batch in range(10):
         items = [
             (rng.choice("ab"), str(rng.randrange(6)), f"{batch}-{i}", "U", i) for i in range(rng.randrange(5))
         ]
@@ -70,11 +70,37 @@ def test_many_batches_against_a_dict(spark, rows):
             expected[space, key] = data
         assert held(table) == expected
     assert held(table, "a") == {k: v for k, v in expected.items() if k[0] == "a"}
-    live = table._manifest()["live"]
-    assert len(live) <= 2 * 3 and max(level for _, level in live) == 2
-    # Commits that only expired manifests name are gone from disk.
-    assert len(os.listdir(f"{table.path}/data")) < 14
-    assert len(table._versions()) == 4
+
+
+def test_first_wins(spark):
+    table = KeyedTable(spark, scratch_dir(spark, "keyed"), wins="first")
+    for batch, (data, at, offset) in enumerate([("b", 5, 9), ("a", 3, 8), ("c", 3, 9), ("d", 7, 1), ("e", 3, 2)]):
+        table.upsert(spark.createDataFrame([("s", "1", data, "U", 0, offset, at)], ROW), "run", batch)
+    assert held(table) == {("s", "1"): "e"}
+    with pytest.raises(ValueError):
+        KeyedTable(spark, table.path, wins="biggest")
+
+
+def test_a_batch_rewrites_only_its_buckets(spark, rows):
+    table = KeyedTable(spark, scratch_dir(spark, "keyed"), buckets=8)
+    table.upsert(rows(*[("s", str(i), "a", "I", i) for i in range(200)]), "run", 0)
+    table.upsert(rows(("s", "7", "b", "U", 1)), "run", 1)
+    assert len(os.listdir(f"{table.path}/data/version=1")) >= 8
+    assert [n for n in os.listdir(f"{table.path}/data/version=2") if n.startswith("part=")].__len__() == 1
+
+
+def test_readers_outlive_upserts_until_age_ends_them(spark, rows):
+    table = KeyedTable(spark, scratch_dir(spark, "keyed"), buckets=2)
+    table.upsert(rows(("s", "1", "first", "I", 1)), "run", 0)
+    reader = table.current()
+    for n in range(1, 101):
+        table.upsert(rows(("s", "1", f"{n}", "U", 1)), "run", n)
+    assert [r["data"] for r in reader.collect()] == ["first"]
+    assert held(table) == {("s", "1"): "100"}
+    KeyedTable(spark, table.path, keep_days=-1).expire()
+    assert held(table) == {("s", "1"): "100"} and table.files.names("dropped") == []
+    left = [v for v in os.listdir(f"{table.path}/data") if any(n.startswith("part=") for n in os.listdir(f"{table.path}/data/{v}"))]
+    assert left == ["version=101"]
 
 
 def test_unfinished_commit_is_not_seen(spark, rows):
@@ -82,8 +108,12 @@ def test_unfinished_commit_is_not_seen(spark, rows):
     overwrites the leftovers."""
     table = KeyedTable(spark, scratch_dir(spark, "keyed"))
     table.upsert(rows(("s", "1", "a", "I", 1)), "run", 0)
-    table._write(rows(("s", "1", "half", "U", 2)), 2)
+    commit = table._commit
+    table._commit = lambda manifest: (_ for _ in ()).throw(OSError("lost"))
+    with pytest.raises(OSError):
+        table.upsert(rows(("s", "1", "half", "U", 2)), "run", 1)
     assert held(table) == {("s", "1"): "a"}
+    table._commit = commit
     table.upsert(rows(("s", "1", "b", "U", 2)), "run", 1)
     assert held(table) == {("s", "1"): "b"}
 
@@ -95,11 +125,11 @@ def test_second_writer_is_refused(spark, rows):
         table._commit({"version": 1, "live": [], "taken": {}})
 
 
-def test_space_filter_reaches_the_scan(spark, rows):
+def test_a_space_opens_its_own_files(spark, rows):
     table = KeyedTable(spark, scratch_dir(spark, "keyed"))
     table.upsert(rows(("s", "1", "a", "I", 1), ("t", "1", "b", "I", 2)), "run", 0)
-    plan = table.current("s")._jdf.queryExecution().executedPlan().toString()
-    assert "EqualTo(space,s)" in plan and "Exchange" not in plan
+    assert len(table.current("s").inputFiles()) == len(table.current("t").inputFiles()) == 1
+    assert "Exchange" not in table.current("s")._jdf.queryExecution().executedPlan().toString()
 
 
 def test_point_lookup_reaches_the_scan(spark, rows):
@@ -111,13 +141,11 @@ def test_point_lookup_reaches_the_scan(spark, rows):
     assert [r["data"] for r in found.collect()] == ["a2"]
 
 
-def test_wanted_ids_are_joined_before_commits_meet(spark, rows):
-    table = KeyedTable(spark, scratch_dir(spark, "keyed"))
+def test_wanted_ids_open_their_buckets_only(spark, rows):
+    table = KeyedTable(spark, scratch_dir(spark, "keyed"), buckets=32)
     for n in range(3):
-        table.upsert(rows(*[("s", str(i), f"{n}", "I", i) for i in range(n, 20)]), "run", n)
-    ids = spark.createDataFrame([("1",), ("5",), ("5",), (None,), ("99",)], "id string")
+        table.upsert(rows(*[("s", str(i), f"{n}", "I", i) for i in range(n, 200)]), "run", n)
+    ids = spark.createDataFrame([("1",), ("5",), ("5",), (None,), ("999",)], "id string")
     found = table.current("s", ids)
     assert sorted((r["id"], r["data"]) for r in found.collect()) == [("1", "1"), ("5", "2")]
-    plan = found._jdf.queryExecution().optimizedPlan().toString()
-    # Plans print from the top: the join lies below the ranking.
-    assert plan.index("Window") < plan.index("LeftSemi")
+    assert len(found.inputFiles()) <= 3 < len(table.current("s").inputFiles())

@@ -2,11 +2,10 @@
 
 import pytest
 
-import __spark_entry__ as driver
 from sluice.operators import change_routes as cr
 from sluice.operators import log_routes as lr
 from sluice.operators.parse import parse_change, parse_log
-from sluice.plans.catalog import STREAMING
+from sluice.plans.catalog import QUERIES, STREAMING
 from sluice.schemas import CONTROL, TOPIC_RECORD
 from sluice.session import scratch_dir
 
@@ -52,9 +51,17 @@ def test_change_split_decodes_once_and_shuffles_once(spark, topic):
     assert "row_number(), 1, Partial" in dims.split("Exchange hashpartitioning")[1]
 
 
+def test_every_batch_query_decodes_once(spark):
+    """As often as it names its topic, and never in a filter or a scan."""
+    for name, query in QUERIES.items():
+        if name not in STREAMING:
+            lines = [x for x in plan(query(spark, SF)).split("\n") if "from_json(" in x]
+            assert not [x for x in lines if "Filter" in x or "FileScan" in x], name
+
+
 def test_no_query_pairs_up_rows(spark):
     """No cartesian product and no nested-loop join in any batch query."""
-    for name, query in driver.queries().items():
+    for name, query in QUERIES.items():
         if name not in STREAMING:
             text = plan(query(spark, SF))
             assert "CartesianProduct" not in text and "NestedLoop" not in text, name

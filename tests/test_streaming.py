@@ -11,12 +11,13 @@ from sluice.operators.log_routes import LogTopics, log_messages
 from sluice.operators.orders import order_wide
 from sluice.operators.parse import parse_log
 from sluice.plans import envelopes
-from sluice.schemas import CONTROL, ORDER_DETAIL, ORDER_INFO, PAGE_LOG
+from sluice.schemas import CONTROL, DAU_INFO, ORDER_DETAIL, ORDER_INFO, PAGE_LOG
 from sluice.session import scratch_dir
+from sluice.sources.files import Files
 from sluice.sources.keyed_table import KeyedTable
-from sluice.sources.progress import offsets_table, read_offsets
 from sluice.sources.sinks import FileSink, KafkaSink
-from sluice.sources.topics import LATEST, KafkaTopic, ReplayTopic, starting_offsets
+from sluice.sources.control import control_files, publish_control
+from sluice.sources.topics import KafkaTopic, ReplayTopic, from_offsets, next_offsets, starting_offsets
 from sluice.streaming import derived, jobs
 
 LOG, DB = LogTopics.source, "ODS_BASE_DB_1018"
@@ -83,44 +84,41 @@ def test_fail_option_stops_the_query(spark, records):
     assert sorted(r["topic"] for r in sink.read(spark).collect()) == [LogTopics.page, LogTopics.quarantine]
 
 
-def test_start_positions(spark, records):
-    root = scratch_dir(spark, "start")
-    path = f"{root}/t"
-    for partition in (0, 1):
-        ReplayTopic(path, LOG).append(records([page(i) for i in range(4)], LOG, partition))
-    ReplayTopic(path, LOG).append(records([page(99)], "another", 0))
-
-    def offsets(topic, append=()):
-        out = FileSink(f"{root}/{len(seen)}")
-        stream = topic.stream(spark)
-        for rows in append:
-            topic.append(rows)
-        query = stream.writeStream.foreachBatch(
-            lambda b, n: b.select("topic", F.concat_ws("/", "partition", "offset").alias("key"), "value")
-            .transform(lambda d: out.write(d, "r", n) or d)
-        ).option("checkpointLocation", f"{root}/cp{len(seen)}").trigger(**jobs.ONCE).start()
-        query.awaitTermination()
-        seen.append(sorted(r["key"] for r in out.read(spark).collect()))
-        return seen[-1]
-
-    seen = []
-    assert offsets(ReplayTopic(path, LOG)) == [f"{p}/{o}" for p in (0, 1) for o in range(4)]
-    assert offsets(ReplayTopic(path, LOG, start={0: 3, 1: 2})) == ["0/3", "1/2", "1/3"]
-    assert ReplayTopic(path, LOG).end_offsets(spark) == {0: 4, 1: 4}
-    late = records([page(7)], LOG, 1, first=4)
-    assert offsets(ReplayTopic(path, LOG, start=LATEST), [late]) == ["1/4"]
-
-
-def test_progress_is_saved_per_batch(spark, records):
-    root = scratch_dir(spark, "progress")
-    topic, sink = ReplayTopic(f"{root}/t", LOG), FileSink(f"{root}/out")
-    progress = jobs.Progress(KeyedTable(spark, f"{root}/p"), "g")
-    assert read_offsets(progress.table, LOG, "g") == {}
-    for values, partition, first in (([page(1)] * 3, 0, 0), ([page(1)] * 2, 1, 5), ([page(1)], 0, 3)):
-        topic.append(records(values, LOG, partition, first))
-        jobs.start_log_split(spark, topic, sink, f"{root}/cp", progress=progress, trigger=jobs.ONCE).awaitTermination()
-    assert read_offsets(progress.table, LOG, "g") == {0: 4, 1: 7}
-    assert offsets_table(progress.table, LOG, "other").count() == 0
+def test_offsets_of_records(spark, records):
+    rows = records([page(i) for i in range(4)], LOG, 0).union(records([page(9)] * 2, LOG, 1, first=5))
+    ends = {(r["topic"], r["partition"]): r["next_offset"] for r in next_offsets(rows).collect()}
+    assert ends == {(LOG, 0): 4, (LOG, 1): 7}
+    starts = spark.createDataFrame([(LOG, 0, 3)], "topic string, partition int, next_offset long")
+    assert sorted((r["partition"], r["offset"]) for r in from_offsets(rows, starts).collect()) == [(0, 3), (1, 5), (1, 6)]
+
+
+def test_half_written_control_loses_nothing(spark, records):
+    """No complete rules: the batch fails and waits. A half-written newer set: the last whole one counts."""
+    root = scratch_dir(spark, "control")
+    topic, sink, dims = ReplayTopic(f"{root}/t", DB), FileSink(f"{root}/out"), KeyedTable(spark, f"{root}/dims")
+    change = lambda n: json.dumps({"type": "insert", "table": "a", "data": {"id": n}})
+    rules = spark.createDataFrame([("fact", "a")], CONTROL)
+
+    def run():
+        jobs.start_change_split(
+            spark, topic, control_files(spark, f"{root}/control"), sink, dims, f"{root}/cp", trigger=jobs.ONCE
+        ).awaitTermination()
+
+    topic.append(records([change(1)], DB))
+    with pytest.raises(Exception, match="no complete control table"):
+        run()
+    publish_control(rules, f"{root}/control")
+    run()
+    half = f"{root}/control/version=2"
+    rules.limit(0).write.parquet(half)
+    Files(spark, half).delete("_SUCCESS")
+    topic.append(records([change(2)], DB, 0, 1))
+    run()
+    assert sorted(r["value"] for r in sink.read(spark).collect()) == ['{"id":1}', '{"id":2}']
+    publish_control(rules.limit(0), f"{root}/control")  # an empty set is a decision
+    topic.append(records([change(3)], DB, 0, 2))
+    run()
+    assert sink.read(spark).count() == 2
 
 
 def test_kafka_options():
@@ -131,6 +129,7 @@ def test_kafka_options():
     }
     assert KafkaTopic("h", "t").reader_options()["startingOffsets"] == "latest"
     assert starting_offsets("t", "earliest") == "earliest"
+    assert starting_offsets("t", {1: 5}, partitions=3) == '{"t": {"0": -2, "1": 5, "2": -2}}'
     assert KafkaSink("h").writer_options() == {
         "kafka.bootstrap.servers": "h", "kafka.enable.idempotence": "true", "kafka.acks": "all",
     }
@@ -166,7 +165,7 @@ def test_batch_equals_stream_on_a_third_in_one_key(spark, records):
 def test_earlier_view_in_a_later_batch_replaces_the_first(spark, records):
     root = scratch_dir(spark, "dau")
     topic = ReplayTopic(f"{root}/t", LogTopics.page)
-    table = KeyedTable(spark, f"{root}/table")
+    table = derived.dau_table(spark, f"{root}/table")
     for n, ts in enumerate((5000, 3000, 9000)):
         topic.append(records([json.dumps({"mid": "m", "page_id": str(n), "ts": ts})], LogTopics.page, 0, n))
         derived.start_daily_active(spark, topic, table, f"{root}/cp", trigger=jobs.ONCE).awaitTermination()
@@ -235,8 +234,77 @@ def test_undated_views_count_for_no_day(spark, records):
     root = scratch_dir(spark, "undated")
     topic = ReplayTopic(f"{root}/t", LogTopics.page)
     topic.append(records(['{"mid":"m","page_id":"a"}', '{"mid":"m","page_id":"b","ts":5}'], LogTopics.page))
-    table = KeyedTable(spark, f"{root}/table")
-    derived.start_daily_active(spark, topic, table, f"{root}/cp", trigger=jobs.ONCE, partitions=2).awaitTermination()
+    table = derived.dau_table(spark, f"{root}/table")
+    derived.start_daily_active(spark, topic, table, f"{root}/cp", trigger=jobs.ONCE).awaitTermination()
     assert [r["page_id"] for r in derived.daily_active(table).collect()] == ["b"]
     pages = topic.batch(spark).select(F.from_json("value", PAGE_LOG).alias("p")).select("p.*")
     assert [r["page_id"] for r in first_visits(pages).collect()] == ["b"]
+
+
+def view(mid, ts, **more):
+    return json.dumps({"mid": mid, "page_id": "p", "ts": ts, **more})
+
+
+def test_a_clock_far_ahead_silences_nobody(spark, records):
+    root = scratch_dir(spark, "ahead")
+    topic, table = ReplayTopic(f"{root}/t", LogTopics.page), derived.dau_table(spark, f"{root}/table")
+    day = 86_400_000
+    for n, (mid, ts) in enumerate([("wrong", 400 * day), ("honest", day), ("late", 5)]):
+        topic.append(records([view(mid, ts)], LogTopics.page, 0, n))
+        derived.start_daily_active(spark, topic, table, f"{root}/cp", trigger=jobs.ONCE).awaitTermination()
+    found = {(r["mid"], r["dt"]) for r in derived.daily_active(table).collect()}
+    assert found == {("wrong", "1971-02-05"), ("honest", "1970-01-02"), ("late", "1970-01-01")}
+
+
+def test_replay_without_the_checkpoint_commit(spark, records):
+    """The table took the batch, the checkpoint did not: the restart goes on."""
+    root = scratch_dir(spark, "commit")
+    topic, table = ReplayTopic(f"{root}/t", LogTopics.page), derived.dau_table(spark, f"{root}/table")
+    for n in range(2):
+        topic.append(records([view(f"m{n}", 5)], LogTopics.page, 0, n))
+        derived.start_daily_active(spark, topic, table, f"{root}/cp", trigger=jobs.ONCE).awaitTermination()
+        files = Files(spark, f"{root}/cp/commits")
+        for name in files.names():
+            if name in ("0", ".0.crc"):
+                files.delete(name)
+    topic.append(records([view("m2", 5)], LogTopics.page, 0, 2))
+    derived.start_daily_active(spark, topic, table, f"{root}/cp", trigger=jobs.ONCE).awaitTermination()
+    assert sorted(r["mid"] for r in derived.daily_active(table).collect()) == ["m0", "m1", "m2"]
+
+
+def test_half_of_all_views_without_a_user(spark, records):
+    """Views of nobody are spread over the tasks of the lookup, and come out once."""
+    from sluice.operators.daily_active import enrich_dau
+    from sluice.operators.lookup import provinces, users
+
+    facts = spark.range(4000).select(
+        F.concat(F.lit("m"), "id").alias("mid"), F.when(F.col("id") % 2 == 0, (F.col("id") % 50).cast("string")).alias("user_id")
+    )
+    dims = spark.createDataFrame([(str(i), json.dumps({"id": i, "gender": "F", "age": i})) for i in range(1, 50)], "id string, data string")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = enrich_dau(align(facts, DAU_INFO), provinces(dims.limit(0)), users(dims))
+        rows = joined.select("mid", "user_gender", F.spark_partition_id().alias("p")).collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert len({r["mid"] for r in rows}) == len(rows) == 4000
+    assert sum(r["user_gender"] == "F" for r in rows) == 1920
+    root = scratch_dir(spark, "nobody")
+    topic, table = ReplayTopic(f"{root}/t", LogTopics.page), derived.dau_table(spark, f"{root}/table")
+    people = KeyedTable(spark, f"{root}/dims")
+    people.upsert(dims.select(F.lit("DIM:USER_INFO").alias("space"), "id", "data", F.lit("I").alias("op"), F.lit(0).alias("src_partition"), F.lit(1).cast("long").alias("src_offset")), "r", 0)
+    topic.append(records([view(f"m{i}", i, user_id=str(i) if i % 2 else None) for i in range(40)], LogTopics.page))
+    derived.start_daily_active(spark, topic, table, f"{root}/cp", trigger=jobs.ONCE, dims=people).awaitTermination()
+    assert sorted(r["user_gender"] or "" for r in derived.daily_active(table).collect()) == [""] * 20 + ["F"] * 20
+
+
+def test_daily_active_opens_its_own_spaces_only(spark, records):
+    root = scratch_dir(spark, "spaces")
+    table = derived.dau_table(spark, f"{root}/table")
+    other = spark.createDataFrame([("DIM:A", "1", "{}", "I", 0, 1, 5)], "space string, id string, data string, op string, src_partition int, src_offset long, at long")
+    table.upsert(other, "r", 0)
+    topic = ReplayTopic(f"{root}/t", LogTopics.page)
+    topic.append(records([view("m", 5)], LogTopics.page))
+    derived.start_daily_active(spark, topic, table, f"{root}/cp", trigger=jobs.ONCE).awaitTermination()
+    assert [r["mid"] for r in derived.daily_active(table).collect()] == ["m"]
