@@ -62,6 +62,7 @@ def parser() -> argparse.ArgumentParser:
     cli.add_argument("--dau", help="path of the table of daily actives")
     cli.add_argument("--wide", help="path of the wide orders")
     cli.add_argument("--details", default="DWD_ORDER_DETAIL_I_1018", help="topic of order details")
+    cli.add_argument("--keep-unmatched", action="store_true", help="wide orders: also details without an order")
     cli.add_argument("--state-partitions", type=int, help="of the wide merge; fixed by the first run")
     cli.add_argument("--time-zone", default="UTC", help="of the days of daily actives")
     cli.add_argument("--on-delete", choices=["keep", "remove"], default="keep")
@@ -111,7 +112,8 @@ def start(spark, args: argparse.Namespace):
     if args.job == "order-enrich":
         return derived.start_order_enrich(spark, records, dims, sink, args.checkpoint, trigger)
     return derived.start_order_wide(
-        spark, records, source(args, args.details), args.wide, args.checkpoint, trigger, args.state_partitions
+        spark, records, source(args, args.details), args.wide, args.checkpoint, trigger, args.state_partitions,
+        keep_unmatched=args.keep_unmatched,
     )
 
 

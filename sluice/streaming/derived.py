@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from contextlib import contextmanager
 
 from pyspark import StorageLevel
@@ -27,13 +28,18 @@ def wide_orders(
     within: str = "1 day",
     delay: str = "1 hour",
     salts: int = 4,
+    keep_unmatched: bool = False,
 ) -> DataFrame:
-    """Inner stream-stream merge of order and detail messages (topic records).
+    """Stream-stream merge of order and detail messages (topic records).
 
     Record times stand in for event times, because a detail's own time may be missing. Both sides
     must arrive ``within`` of each other, which also bounds the state. The details of one order
     are spread over ``salts`` tasks, each of which gets a copy of the order, so an order with a
     large share of all details does not fill one task.
+
+    Inner by default. With ``keep_unmatched`` details without an order in reach come out too, once
+    the watermark has passed them, with the order's fields at their defaults. Records later than the
+    watermark are in neither; :func:`late_rows` counts them.
     """
     info, detail = pack_sides(
         with_order_date(decode_fact(orders, ORDER_INFO, ("timestamp",))).withColumnRenamed("timestamp", "order_at"),
@@ -50,9 +56,19 @@ def wide_orders(
         f"detail_at >= order_at - interval {within} and detail_at <= order_at + interval {within}"
     )
     on = (F.col("_did") == F.col("_oid")) & (F.col("_salt") == F.col("_copy")) & near
+    if keep_unmatched:
+        return merge_wide(detail.join(info, on, "leftOuter"), all_present=False)
     return merge_wide(detail.join(info, on, "inner"), all_present=True)
 
 
+def late_rows(query: StreamingQuery) -> int:
+    """Rows that came later than the watermark in the progress reports that Spark holds of a query."""
+    return sum(
+        state["numRowsDroppedByWatermark"]
+        for report in query.recentProgress for state in json.loads(report.json)["stateOperators"]
+    )
+
+
 def start_order_wide(
     spark: SparkSession,
     orders,

@@ -230,6 +230,28 @@ def test_wide_stream_needs_both_sides_near_in_time(spark, records):
     assert [r["detail_id"] for r in spark.read.parquet(f"{root}/out").collect()] == [10]
 
 
+def test_unmatched_details_come_out_and_late_ones_are_counted(spark, records):
+    root, day = scratch_dir(spark, "unmatched"), 86400
+    sides = [ReplayTopic(f"{root}/{n}", n) for n in ("orders", "details")]
+    steps = [
+        (['{"id":1}'], ['{"id":10,"order_id":1}', '{"id":20,"order_id":2}'], 1000),
+        (['{"id":3}'], ['{"id":30,"order_id":3}'], 1000 + 9 * day),
+        (['{"id":4}'], ['{"id":40,"order_id":4}'], 2000),  # late by days
+    ]
+    late = 0
+    for n, (orders, details, at) in enumerate(steps):
+        for topic, values in zip(sides, (orders, details)):
+            rows = records(values, topic.topic, 0, 10 * n)
+            topic.append(rows.withColumn("timestamp", F.timestamp_seconds(F.lit(at))))
+        query = derived.start_order_wide(
+            spark, *sides, f"{root}/out", f"{root}/cp", trigger=jobs.ONCE, partitions=2, keep_unmatched=True
+        )
+        query.awaitTermination()
+        late += derived.late_rows(query)
+    found = {(r["detail_id"], r["order_id"]) for r in spark.read.parquet(f"{root}/out").collect()}
+    assert found == {(10, 1), (20, 2), (30, 3)} and late > 0
+
+
 def test_undated_views_count_for_no_day(spark, records):
     root = scratch_dir(spark, "undated")
     topic = ReplayTopic(f"{root}/t", LogTopics.page)
