@@ -16,18 +16,23 @@ no part, since their first one stands for them.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from hashlib import sha256
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
-from sluice.llm.common import documents, map_rows, run_hashes, stored, word_hashes
+from sluice.llm.common import documents, map_arrays, map_rows, run_hashes, stored, word_hashes
 
 WINDOW = 20
 ANCHOR = 8
 #: The place of a null id: after all others.
 LAST = (1 << 63) - 1
+FACTORS = "array<struct<start: int, length: int, ref_id: long, ref_start: int>>"
 NOTHING = sha256(b"").hexdigest()
 
 
@@ -78,15 +83,15 @@ def _repeated_anchors(docs: DataFrame, window: int) -> DataFrame:
             runs = run_hashes(hashes(words), ANCHOR)
             each = np.unique(anchors(runs, window))
             if not len(each):
-                return []
+                return ()
             known, counts = np.unique(runs, return_counts=True)
             times = counts[np.searchsorted(known, each)]
             key = _number(_digest(words))
-            return list(zip(each.view(np.int64).tolist(), [key] * len(each), (times > 1).tolist()))
+            return each.view(np.int64), np.full(len(each), key), times > 1
 
         return give
 
-    rows = map_rows(docs.select(F.col("text").cast("binary")), make, "anchor long, text_key long, again boolean", flush=50_000)
+    rows = map_arrays(docs.select(F.col("text").cast("binary")), make, "anchor long, text_key long, again boolean")
     shared = rows.groupBy("anchor").agg(F.min("text_key").alias("x"), F.max("text_key").alias("y"), F.max("again").alias("again"))
     shared = shared.filter("again or x <> y").select("anchor")
     return rows.join(shared, "anchor").groupBy("text_key").agg(F.collect_set("anchor").alias("anchors"))
@@ -120,24 +125,24 @@ def _windows(candidates: DataFrame, window: int) -> DataFrame:
             repeated = np.isin(anchors(run_hashes(each, ANCHOR), window), np.array(found, np.int64).view(np.uint64))
             starts = np.flatnonzero(repeated)
             keys = run_hashes(each, window)[starts].view(np.int64)
-            return [(h, at, text_key, s) for h, s in zip(keys.tolist(), starts.tolist())]
+            n = len(starts)
+            return (keys, np.full(n, at), np.full(n, text_key), starts.astype(np.int32)) if n else ()
 
         return give
 
-    return map_rows(candidates, make, "hash long, at long, text_key long, start int", flush=50_000)
+    return map_arrays(candidates, make, "hash long, at long, text_key long, start int")
 
 
-def factors(starts: list[int], refs: list[tuple[int, int]], window: int) -> list[dict[str, int]]:
-    """Greedy parse: sorted starts of repeated windows, with their earliest occurrences, to factors."""
-    out: list[dict[str, int]] = []
-    for start, (ref_at, ref_start) in sorted(zip(starts, refs)):
-        last = out[-1] if out else None
-        grown = last and last["start"] + last["length"] - window + 1
-        if last and start == grown and (ref_at, ref_start - start) == (last["ref_id"], last["ref_start"] - last["start"]):
-            last["length"] += 1
-        else:
-            out.append({"start": start, "length": window, "ref_id": ref_at, "ref_start": ref_start})
-    return out
+def factors(starts: np.ndarray, ref_ids: np.ndarray, ref_starts: np.ndarray, window: int) -> list[dict[str, int]]:
+    """Greedy parse: the starts of repeated windows, with their earliest occurrences, to factors."""
+    order = np.argsort(starts, kind="stable")
+    starts, ref_ids, ref_starts = starts[order], ref_ids[order], ref_starts[order]
+    goes_on = (np.diff(starts) == 1) & (np.diff(ref_ids) == 0) & (np.diff(ref_starts) == 1)
+    first = np.flatnonzero(np.append(True, ~goes_on))
+    runs = np.diff(np.append(first, len(starts)))
+    columns = (starts[first], runs + window - 1, ref_ids[first], ref_starts[first])
+    names = ("start", "length", "ref_id", "ref_start")
+    return [dict(zip(names, values)) for values in zip(*(c.tolist() for c in columns))]
 
 
 def _factors(candidates: DataFrame, window: int) -> DataFrame:
@@ -146,17 +151,19 @@ def _factors(candidates: DataFrame, window: int) -> DataFrame:
     earliest = rows.groupBy("hash").agg(F.min(F.struct("at", "start")).alias("first"), F.count("*").alias("k")).filter("k > 1")
     met = rows.join(earliest.select("hash", "first"), "hash")
     met = met.filter((F.col("at") != F.col("first.at")) | (F.col("start") != F.col("first.start")))
-    each = met.groupBy("at", "text_key").agg(F.collect_set(F.struct("start", F.col("first.at").alias("ref"), F.col("first.start").alias("ref_start"))).alias("found"))
+    found = F.collect_set(F.struct("start", F.col("first.at").alias("ref"), F.col("first.start").alias("ref_start")))
+    each = met.groupBy("at", "text_key").agg(found.alias("found"))
 
-    def make():
-        def give(at, text_key, found):
-            starts, refs = [f["start"] for f in found], [(f["ref"], f["ref_start"]) for f in found]
-            return [(at, text_key, factors(starts, refs, window))]
-
-        return give
+    def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column(2)
+            fields = [f.to_numpy(zero_copy_only=False) for f in lists.flatten().flatten()]
+            ends = np.cumsum([0, *lists.value_lengths().to_pylist()])
+            parsed = [factors(*(f[a:b] for f in fields), window) for a, b in zip(ends, ends[1:])]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(parsed, kind)], names=["at", "text_key", "factors"])
 
-    schema = "at long, text_key long, factors array<struct<start: int, length: int, ref_id: long, ref_start: int>>"
-    return map_rows(each, make, schema)
+    kind = to_arrow_type(T.StructType.fromDDL(f"f {FACTORS}")["f"].dataType)
+    return each.mapInArrow(parse, f"at long, text_key long, factors {FACTORS}")
 
 
 def _cut(text: bytes, spans) -> tuple[int, str]:
@@ -193,9 +200,8 @@ def substring_duplicates(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     def make():
         return lambda at, text_key, text, spans: [(at, text_key, *_cut(text, spans), spans)]
 
-    spans = "array<struct<start: int, length: int, ref_id: long, ref_start: int>>"
     met = candidates.join(found, ["at", "text_key"]).select("at", "text_key", "text", "factors")
-    cut = map_rows(met, make, f"at long, text_key long, n_cut long, cut_sha256 string, factors {spans}", flush=256)
+    cut = map_rows(met, make, f"at long, text_key long, n_cut long, cut_sha256 string, factors {FACTORS}", flush=256)
     copy = (F.col("at") > F.col("first_at")) & (F.col("n_words") >= window)
     whole = F.array(F.struct(F.lit(0).alias("start"), F.col("n_words").cast("int").alias("length"), F.col("first_at").alias("ref_id"), F.lit(0).alias("ref_start")))
     return parsed.join(cut, ["at", "text_key"], "left").select(
@@ -203,5 +209,5 @@ def substring_duplicates(docs: DataFrame, window: int = WINDOW) -> DataFrame:
         "n_words",
         F.when(copy, F.col("n_words")).otherwise(F.coalesce("n_cut", F.lit(0))).alias("n_removed"),
         F.when(copy, F.lit(NOTHING)).otherwise(F.coalesce("cut_sha256", F.lower(F.hex("digest")))).alias("kept_sha256"),
-        F.when(copy, whole).otherwise(F.coalesce("factors", F.array().cast(spans))).alias("factors"),
+        F.when(copy, whole).otherwise(F.coalesce("factors", F.array().cast(FACTORS))).alias("factors"),
     )
