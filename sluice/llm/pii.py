@@ -184,7 +184,8 @@ def sanitised(docs: DataFrame, **thresholds) -> DataFrame:
     found = find(docs, **thresholds).filter(F.size("spans") + F.size("terms") > 0)
     numbered = F.transform("terms", lambda s: F.struct(s["start"], F.when(s["value"].rlike("^[0-9]+$"), len(KINDS)).otherwise(s["kind"]).alias("kind"), s["end"], s["value"]).cast(_SPAN))
     masks = found.dropDuplicates(["k1", "k2"]).select(F.col("k1").alias("_k1"), F.col("k2").alias("_k2"), _united(F.concat("spans", numbered)).alias("_spans"))
-    rows = with_keys(docs).join(stored(masks, "masks"), ["_k1", "_k2"], "left")
+    # Merged at every size: the masks grow with the documents.
+    rows = with_keys(docs).join(stored(masks, "masks").hint("merge"), ["_k1", "_k2"], "left")
     names = F.array(*(F.lit(f"[{k.upper()}]") for k in [*KINDS, "number"]))
     begin = lambda i: F.when(i == 0, F.lit(0).cast("long")).otherwise(F.try_element_at("_spans", i)["end"])
     piece = lambda s, i: F.concat(F.substring(text, begin(i).cast("int") + 1, (s["start"] - begin(i)).cast("int")), F.element_at(names, s["kind"] + 1))
