@@ -13,8 +13,8 @@ NOBODIES = 1 << 20
 
 
 def no_user(user_id: Column) -> Column:
-    """Whether an id stands for no user: NULL, or the 0 or empty text that a missing one becomes."""
-    return user_id.isNull() | user_id.cast("string").isin("0", "")
+    """Whether an id stands for no user: NULL or empty. 0 can be a user's id, so it is looked up."""
+    return user_id.isNull() | (user_id.cast("string") == "")
 
 
 def small_key_join(
