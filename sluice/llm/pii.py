@@ -8,7 +8,10 @@ term t reveals an entity c is estimated from the corpus by their pointwise mutua
 which is at most the information IC(c) = -log p(c) of the entity. A term near an entity whose PMI
 reaches :data:`DISCLOSURE` times IC(c) would let a reader infer much of what was masked; it is a
 span of kind ``term`` and is generalised with the entity. p(c) and p(c, t) count distinct texts, so
-that copies are no evidence; p(t) counts all documents of the corpus with the term.
+that copies are no evidence; p(t) counts all documents of the corpus with the term. p(c | t) is
+estimated as if :data:`UNSEEN` more texts had the term alone: one text is weak evidence, but no
+number of texts is required. A mail address is an entity, and so is its domain, whose evidence pools
+over the addresses in it.
 """
 
 from __future__ import annotations
@@ -32,8 +35,8 @@ TERM = r"[\p{L}\p{N}]+"
 #: Characters on either side of an entity in which terms are looked for.
 CONTEXT = 80
 DISCLOSURE = 0.8
-#: Distinct texts in which a term must come with the entity.
-SUPPORT = 3
+#: Texts with the term and without the entity that are imagined beside those seen.
+UNSEEN = 1.0
 _BLOCK = 256
 _SPAN = "struct<start: long, kind: int, end: long, value: string>"
 
@@ -96,17 +99,23 @@ def base_spans(rows: DataFrame, text: str) -> DataFrame:
     return rows.withColumn("spans", F.sort_array(F.concat(*found))).drop("_digit", *(f"_{k}" for k in KINDS[:4]))
 
 
+def entities(span: Column) -> Column:
+    """What a span names: its value and, of a mail address, the domain, after the kind's number."""
+    value = F.lower(span["value"])
+    whole = F.concat_ws(":", span["kind"].cast("string"), value)
+    domain = F.concat(F.lit("0:@"), F.substring_index(value, "@", -1))
+    return F.when(span["kind"] == 0, F.array(whole, domain)).otherwise(F.array(whole))
+
+
 def _contexts(found: DataFrame) -> DataFrame:
     """(k1, k2, same, entity, start, end, term): the terms around each entity, outside of all spans.
 
     Words that the context cuts through are left out; ``same`` names the text.
     """
-    around = lambda s: F.struct(
-        F.concat_ws(":", s["kind"].cast("string"), F.lower(s["value"])).alias("entity"),
-        F.greatest(s["start"] - CONTEXT, F.lit(0)).alias("at"),
-        (s["end"] + CONTEXT).alias("until"),
-    )
-    rows = found.select("k1", "k2", "same", "size", "spans", "text").withColumn("around", F.explode(F.transform("spans", around)))
+    around = lambda s: F.transform(entities(s), lambda e: F.struct(
+        e.alias("entity"), F.greatest(s["start"] - CONTEXT, F.lit(0)).alias("at"), (s["end"] + CONTEXT).alias("until")
+    ))
+    rows = found.select("k1", "k2", "same", "size", "spans", "text").withColumn("around", F.explode(F.flatten(F.transform("spans", around))))
     rows = rows.select("k1", "k2", "same", "size", "spans", "around.*", F.substring("text", F.col("around.at").cast("int") + 1, (F.col("around.until") - F.col("around.at")).cast("int")).alias("near"))
     rows = _located(rows, "near", TERM, F.lit(True), "terms")
     rows = rows.withColumn("term", F.explode("terms")).select("k1", "k2", "same", "size", "spans", "entity", "at", "until", (F.col("at") + F.col("term.start")).alias("start"), (F.col("at") + F.col("term.end")).alias("end"), F.lower("term.value").alias("term"))
@@ -115,13 +124,13 @@ def _contexts(found: DataFrame) -> DataFrame:
     return rows.filter(whole & apart).select("k1", "k2", "same", "entity", "start", "end", "term")
 
 
-def revealing(docs: DataFrame, near: DataFrame, disclosure: float = DISCLOSURE, support: int = SUPPORT) -> DataFrame:
+def revealing(docs: DataFrame, near: DataFrame, disclosure: float = DISCLOSURE, unseen: float = UNSEEN) -> DataFrame:
     """(entity, term, pmi, information): the pairs whose term discloses the entity.
 
     Rows of ``near`` are those of :func:`_contexts`; counts of terms are over all of ``docs``.
     """
     together = near.select("entity", "term", "same").distinct().groupBy("entity", "term").agg(F.count("*").alias("n_both"))
-    together = stored(together.filter(F.col("n_both") >= support), "pairs")
+    together = stored(together, "pairs")
     entities = near.select("entity", "same").distinct().groupBy("entity").agg(F.count("*").alias("n_entity"))
     wanted = stored(together.select("term").distinct(), "terms")
     words = docs.select(F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(TERM), F.lit(0)))).alias("term"))
@@ -129,11 +138,12 @@ def revealing(docs: DataFrame, near: DataFrame, disclosure: float = DISCLOSURE,
     n = F.lit(max(1, docs.count()))
     pairs = together.join(known, "term").join(entities, "entity")
     pairs = pairs.withColumn("information", -F.log(F.col("n_entity") / n))
-    pairs = pairs.withColumn("pmi", F.log(F.col("n_both") * n / (F.col("n_entity") * F.col("n_term"))))
+    sure = F.col("n_both") / (F.col("n_both") + unseen)
+    pairs = pairs.withColumn("pmi", F.log(sure * F.col("n_both") * n / (F.col("n_entity") * F.col("n_term"))))
     return pairs.filter((F.col("information") > 0) & (F.col("pmi") >= disclosure * F.col("information"))).select("entity", "term", "pmi", "information")
 
 
-def find(docs: DataFrame, disclosure: float = DISCLOSURE, support: int = SUPPORT) -> DataFrame:
+def find(docs: DataFrame, disclosure: float = DISCLOSURE, unseen: float = UNSEEN) -> DataFrame:
     """(doc_id, k1, k2, spans, terms) for every row: pattern matches and disclosing terms.
 
     spans and terms are array<struct<start, kind, end, value>> with kind a place in :data:`KINDS`,
@@ -147,7 +157,7 @@ def find(docs: DataFrame, disclosure: float = DISCLOSURE, support: int = SUPPORT
     base = base.withColumns({"same": F.xxhash64("text"), "size": F.length("text"), "text": F.when(some, F.col("text"))})
     base = stored(base.select("doc_id", "k1", "k2", "same", "size", "spans", "text"), "spans")
     near = stored(_contexts(base.filter(some).drop("doc_id").dropDuplicates(["k1", "k2"])), "contexts")
-    pairs = stored(revealing(rows, near, disclosure, support).select("entity", "term"), "revealing")
+    pairs = stored(revealing(rows, near, disclosure, unseen).select("entity", "term"), "revealing")
     span = F.struct("start", F.lit(KINDS.index("term")).alias("kind"), "end", F.col("term").alias("value")).cast(_SPAN)
     terms = near.join(pairs, ["entity", "term"], "left_semi").groupBy("k1", "k2").agg(F.sort_array(F.collect_set(span)).alias("terms"))
     joined = base.select("doc_id", "k1", "k2", "spans").join(stored(terms, "term-spans"), ["k1", "k2"], "left")

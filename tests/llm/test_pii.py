@@ -134,3 +134,14 @@ def test_main_path_is_native(told):
     for df in (pii.find(docs), pii.sanitised(docs)):
         plan = df._jdf.queryExecution().executedPlan().toString()
         assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
+
+
+def test_an_entity_of_one_or_two_texts_gets_terms(spark):
+    rows = [(i, f"filler number w{i} goes on") for i in range(200)]
+    rows += [(500, "filler rarissima calls rare@one.mx on"), (501, "filler twofold calls +1 (212) 555-0199"), (502, "filler twofold goes to +1 (212) 555-0199")]
+    rows += [(600 + i, f"filler guildhall writes to member{i}@guild.mx") for i in range(4)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    terms = {r["doc_id"]: {t["value"] for t in r["terms"]} for r in pii.find(docs).collect()}
+    assert "rarissima" in terms[500] and "twofold" in terms[501] & terms[502]
+    assert all("guildhall" in terms[600 + i] for i in range(4))  # each address is in one text, the domain in four
+    assert not {"filler", "on", "goes"} & set().union(*terms.values())
