@@ -7,10 +7,10 @@ term t reveals an entity c is estimated from the corpus by their pointwise mutua
 
 which is at most the information IC(c) = -log p(c) of the entity. A term near an entity whose PMI
 reaches :data:`DISCLOSURE` times IC(c) would let a reader infer much of what was masked; it is a
-span of kind ``term`` and is generalised with the entity. p(c) and p(c, t) count distinct texts, so
-that copies are no evidence; p(t) counts all documents of the corpus with the term. p(c | t) is
-estimated as if :data:`UNSEEN` more texts had the term alone: one text is weak evidence, but no
-number of texts is required. A mail address is an entity, and so is its domain, whose evidence pools
+span of kind ``term`` and is generalised with the entity. All probabilities are over all documents,
+copies included. Of the d distinct texts with both, copies are no evidence: p(c | t) is estimated as
+if :data:`UNSEEN` more texts had the term alone, times d / (d + UNSEEN). One text is weak evidence,
+but no number of texts is required. A mail address is an entity, and so is its domain, whose evidence pools
 over the addresses in it.
 """
 
@@ -108,20 +108,21 @@ def entities(span: Column) -> Column:
 
 
 def _contexts(found: DataFrame) -> DataFrame:
-    """(k1, k2, same, entity, start, end, term): the terms around each entity, outside of all spans.
+    """(k1, k2, same, copies, entity, start, end, term): the terms around each entity, outside of all spans.
 
-    Words that the context cuts through are left out; ``same`` names the text.
+    Words that the context cuts through are left out; ``same`` names the text,
+    ``copies`` counts equal rows.
     """
     around = lambda s: F.transform(entities(s), lambda e: F.struct(
         e.alias("entity"), F.greatest(s["start"] - CONTEXT, F.lit(0)).alias("at"), (s["end"] + CONTEXT).alias("until")
     ))
-    rows = found.select("k1", "k2", "same", "size", "spans", "text").withColumn("around", F.explode(F.flatten(F.transform("spans", around))))
-    rows = rows.select("k1", "k2", "same", "size", "spans", "around.*", F.substring("text", F.col("around.at").cast("int") + 1, (F.col("around.until") - F.col("around.at")).cast("int")).alias("near"))
+    rows = found.select("k1", "k2", "same", "copies", "size", "spans", "text").withColumn("around", F.explode(F.flatten(F.transform("spans", around))))
+    rows = rows.select("k1", "k2", "same", "copies", "size", "spans", "around.*", F.substring("text", F.col("around.at").cast("int") + 1, (F.col("around.until") - F.col("around.at")).cast("int")).alias("near"))
     rows = _located(rows, "near", TERM, F.lit(True), "terms")
-    rows = rows.withColumn("term", F.explode("terms")).select("k1", "k2", "same", "size", "spans", "entity", "at", "until", (F.col("at") + F.col("term.start")).alias("start"), (F.col("at") + F.col("term.end")).alias("end"), F.lower("term.value").alias("term"))
+    rows = rows.withColumn("term", F.explode("terms")).select("k1", "k2", "same", "copies", "size", "spans", "entity", "at", "until", (F.col("at") + F.col("term.start")).alias("start"), (F.col("at") + F.col("term.end")).alias("end"), F.lower("term.value").alias("term"))
     whole = ((F.col("start") > F.col("at")) | (F.col("at") == 0)) & ((F.col("end") < F.col("until")) | (F.col("until") >= F.col("size")))
     apart = ~F.exists("spans", lambda s: (F.col("start") < s["end"]) & (F.col("end") > s["start"]))
-    return rows.filter(whole & apart).select("k1", "k2", "same", "entity", "start", "end", "term")
+    return rows.filter(whole & apart).select("k1", "k2", "same", "copies", "entity", "start", "end", "term")
 
 
 def revealing(docs: DataFrame, near: DataFrame, disclosure: float = DISCLOSURE, unseen: float = UNSEEN) -> DataFrame:
@@ -129,16 +130,17 @@ def revealing(docs: DataFrame, near: DataFrame, disclosure: float = DISCLOSURE,
 
     Rows of ``near`` are those of :func:`_contexts`; counts of terms are over all of ``docs``.
     """
-    together = near.select("entity", "term", "same").distinct().groupBy("entity", "term").agg(F.count("*").alias("n_both"))
+    rows = lambda *by: near.select(*by, "k1", "k2", "same", "copies").distinct().groupBy(*by)
+    together = rows("entity", "term").agg(F.sum("copies").alias("n_both"), F.count_distinct("same").alias("n_texts"))
     together = stored(together, "pairs")
-    entities = near.select("entity", "same").distinct().groupBy("entity").agg(F.count("*").alias("n_entity"))
+    entities = rows("entity").agg(F.sum("copies").alias("n_entity"))
     wanted = stored(together.select("term").distinct(), "terms")
     words = docs.select(F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(TERM), F.lit(0)))).alias("term"))
     known = words.join(wanted, "term", "left_semi").groupBy("term").agg(F.count("*").alias("n_term"))
     n = F.lit(max(1, docs.count()))
     pairs = together.join(known, "term").join(entities, "entity")
     pairs = pairs.withColumn("information", -F.log(F.col("n_entity") / n))
-    sure = F.col("n_both") / (F.col("n_both") + unseen)
+    sure = F.col("n_texts") / (F.col("n_texts") + unseen)
     pairs = pairs.withColumn("pmi", F.log(sure * F.col("n_both") * n / (F.col("n_entity") * F.col("n_term"))))
     return pairs.filter((F.col("information") > 0) & (F.col("pmi") >= disclosure * F.col("information"))).select("entity", "term", "pmi", "information")
 
@@ -156,7 +158,8 @@ def find(docs: DataFrame, disclosure: float = DISCLOSURE, unseen: float = UNSEEN
     some = F.size("spans") > 0
     base = base.withColumns({"same": F.xxhash64("text"), "size": F.length("text"), "text": F.when(some, F.col("text"))})
     base = stored(base.select("doc_id", "k1", "k2", "same", "size", "spans", "text"), "spans")
-    near = stored(_contexts(base.filter(some).drop("doc_id").dropDuplicates(["k1", "k2"])), "contexts")
+    each = base.filter(some).groupBy("k1", "k2").agg(F.count("*").alias("copies"), *(F.first(c).alias(c) for c in ("same", "size", "spans", "text")))
+    near = stored(_contexts(each), "contexts")
     pairs = stored(revealing(rows, near, disclosure, unseen).select("entity", "term"), "revealing")
     span = F.struct("start", F.lit(KINDS.index("term")).alias("kind"), "end", F.col("term").alias("value")).cast(_SPAN)
     terms = near.join(pairs, ["entity", "term"], "left_semi").groupBy("k1", "k2").agg(F.sort_array(F.collect_set(span)).alias("terms"))

@@ -145,3 +145,11 @@ def test_an_entity_of_one_or_two_texts_gets_terms(spark):
     assert "rarissima" in terms[500] and "twofold" in terms[501] & terms[502]
     assert all("guildhall" in terms[600 + i] for i in range(4))  # each address is in one text, the domain in four
     assert not {"filler", "on", "goes"} & set().union(*terms.values())
+
+
+def test_copies_do_not_hide_a_term(spark):
+    rows = [(i, f"filler number w{i} goes on") for i in range(2000)]
+    rows += [(5000 + i, "filler xylograph for solo@one.mx on") for i in range(30)] + [(1, "xylograph, solo@one.mx"), (2, "so solo@one.mx xylograph")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    terms = {r["doc_id"]: {t["value"] for t in r["terms"]} for r in pii.find(docs).collect()}
+    assert all("xylograph" in terms[i] for i in (5000, 5029)) and not {"filler", "on"} & terms[5000]
