@@ -5,9 +5,9 @@ term t reveals an entity c is estimated from the corpus by their pointwise mutua
 
     PMI(c; t) = log(p(c, t) / (p(c) p(t))),
 
-which is at most the information IC(c) = -log p(c) of the entity. A term near an entity whose PMI
-reaches :data:`DISCLOSURE` times IC(c) would let a reader infer much of what was masked; it is a
-span of kind ``term`` and is generalised with the entity. All probabilities are over all documents,
+which is at most the information IC(c) = -log p(c) of the entity. A term of a text with the entity
+whose PMI reaches :data:`DISCLOSURE` times IC(c) would let a reader infer much of what was masked; it is a
+span of kind ``term`` wherever it stands, in texts without the entity too. All probabilities are over all documents,
 copies included. Of the d distinct texts with both, copies are no evidence: p(c | t) is estimated as
 if :data:`UNSEEN` more texts had the term alone, times d / (d + UNSEEN). One text is weak evidence,
 but no number of texts is required. A mail address is an entity, and so is its domain, whose evidence pools
@@ -32,12 +32,12 @@ PATTERNS = {
 }
 IP_PARTS = r"^(0*(25[0-5]|2[0-4][0-9]|1?[0-9]{1,2})(\.|$)){4}$"
 TERM = r"[\p{L}\p{N}]+"
-#: Characters on either side of an entity in which terms are looked for.
-CONTEXT = 80
 DISCLOSURE = 0.8
 #: Texts with the term and without the entity that are imagined beside those seen.
 UNSEEN = 1.0
 _BLOCK = 256
+#: Hashes of terms in the filter before the join with disclosing terms; bounds its broadcast.
+_HASHES = 1 << 20
 _SPAN = "struct<start: long, kind: int, end: long, value: string>"
 
 
@@ -107,63 +107,93 @@ def entities(span: Column) -> Column:
     return F.when(span["kind"] == 0, F.array(whole, domain)).otherwise(F.array(whole))
 
 
-def _contexts(found: DataFrame) -> DataFrame:
-    """(k1, k2, same, copies, entity, start, end, term): the terms around each entity, outside of all spans.
+def _terms(text: Column) -> Column:
+    """The distinct lower-cased terms of a text."""
+    return F.array_distinct(F.transform(F.regexp_extract_all(text, F.lit(TERM), F.lit(0)), F.lower))
 
-    Words that the context cuts through are left out; ``same`` names the text,
-    ``copies`` counts equal rows.
-    """
-    around = lambda s: F.transform(entities(s), lambda e: F.struct(
-        e.alias("entity"), F.greatest(s["start"] - CONTEXT, F.lit(0)).alias("at"), (s["end"] + CONTEXT).alias("until")
-    ))
-    rows = found.select("k1", "k2", "same", "copies", "size", "spans", "text").withColumn("around", F.explode(F.flatten(F.transform("spans", around))))
-    rows = rows.select("k1", "k2", "same", "copies", "size", "spans", "around.*", F.substring("text", F.col("around.at").cast("int") + 1, (F.col("around.until") - F.col("around.at")).cast("int")).alias("near"))
-    rows = _located(rows, "near", TERM, F.lit(True), "terms")
-    rows = rows.withColumn("term", F.explode("terms")).select("k1", "k2", "same", "copies", "size", "spans", "entity", "at", "until", (F.col("at") + F.col("term.start")).alias("start"), (F.col("at") + F.col("term.end")).alias("end"), F.lower("term.value").alias("term"))
-    whole = ((F.col("start") > F.col("at")) | (F.col("at") == 0)) & ((F.col("end") < F.col("until")) | (F.col("until") >= F.col("size")))
-    apart = ~F.exists("spans", lambda s: (F.col("start") < s["end"]) & (F.col("end") > s["start"]))
-    return rows.filter(whole & apart).select("k1", "k2", "same", "copies", "entity", "start", "end", "term")
-
-
-def revealing(docs: DataFrame, near: DataFrame, disclosure: float = DISCLOSURE, unseen: float = UNSEEN) -> DataFrame:
-    """(entity, term, pmi, information): the pairs whose term discloses the entity.
-
-    Rows of ``near`` are those of :func:`_contexts`; counts of terms are over all of ``docs``.
+
+def _outside(rows: DataFrame) -> DataFrame:
+    """(s1, s2, terms) of (s1, s2, spans, text): the distinct terms of the whole text that no span touches."""
+    rows = rows.withColumn("covered", _united(F.col("spans")))
+    begin = lambda i: F.when(i == 0, F.lit(0).cast("long")).otherwise(F.try_element_at("covered", i)["end"])
+    piece = lambda s, i: F.substring("text", begin(i).cast("int") + 1, (s["start"] - begin(i)).cast("int"))
+    tail = F.substring("text", F.element_at("covered", -1)["end"].cast("int") + 1, F.length("text"))
+    pieces = F.concat(F.transform("covered", piece), F.array(tail))
+    # A mark stands for each span, so that words it touches go with it.
+    marked = F.array_join(F.transform(pieces, lambda p: F.translate(p, "\x01", " ")), "\x01")
+    return rows.select("s1", "s2", _terms(F.regexp_replace(marked, r"[\p{L}\p{N}]*+(?:\x01[\p{L}\p{N}]*+)+", " ")).alias("terms"))
+
+
+def revealing(docs: DataFrame, texts: DataFrame, disclosure: float = DISCLOSURE, unseen: float = UNSEEN) -> DataFrame:
+    """(s1, s2, entity, term) for each text and each pair in it whose term discloses the entity.
+
+    ``texts`` are the distinct ones with entities, (s1, s2, copies, spans, text). Counts are over
+    all of ``docs``. A pair can only pass if n_term <= n_entity^d n^(1 - d), d being ``disclosure``,
+    as n_both <= n_entity; the others are left out before pairs are counted.
     """
-    rows = lambda *by: near.select(*by, "k1", "k2", "same", "copies").distinct().groupBy(*by)
-    together = rows("entity", "term").agg(F.sum("copies").alias("n_both"), F.count_distinct("same").alias("n_texts"))
-    together = stored(together, "pairs")
-    entities = rows("entity").agg(F.sum("copies").alias("n_entity"))
-    wanted = stored(together.select("term").distinct(), "terms")
-    words = docs.select(F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(TERM), F.lit(0)))).alias("term"))
-    known = words.join(wanted, "term", "left_semi").groupBy("term").agg(F.count("*").alias("n_term"))
-    n = F.lit(max(1, docs.count()))
-    pairs = together.join(known, "term").join(entities, "entity")
-    pairs = pairs.withColumn("information", -F.log(F.col("n_entity") / n))
+    n = max(1, docs.count())
+    named = texts.select("s1", "s2", "copies", F.explode(F.array_distinct(F.flatten(F.transform("spans", entities)))).alias("entity"))
+    named = stored(named, "entities")
+    n_entity = named.groupBy("entity").agg(F.sum("copies").alias("n_entity")).filter(F.col("n_entity") < n)
+    named = stored(named.join(n_entity, "entity"), "counted-entities")
+    known = docs.select(F.explode(_terms(F.col("text"))).alias("term")).groupBy("term").agg(F.count("*").alias("n_term"))
+    words = _outside(texts).select("s1", "s2", F.explode("terms").alias("term")).join(known, "term")
+    most = F.pow(F.col("n_entity"), F.lit(disclosure)) * F.pow(F.lit(float(n)), F.lit(1 - disclosure)) * (1 + 1e-9)
+    near = stored(named.join(words.hint("merge"), ["s1", "s2"]).filter(F.col("n_term") <= most), "near")
+    pairs = near.groupBy("entity", "term", "n_entity", "n_term").agg(F.sum("copies").alias("n_both"), F.count("*").alias("n_texts"))
     sure = F.col("n_texts") / (F.col("n_texts") + unseen)
+    pairs = pairs.withColumn("information", -F.log(F.col("n_entity") / n))
     pairs = pairs.withColumn("pmi", F.log(sure * F.col("n_both") * n / (F.col("n_entity") * F.col("n_term"))))
-    return pairs.filter((F.col("information") > 0) & (F.col("pmi") >= disclosure * F.col("information"))).select("entity", "term", "pmi", "information")
+    pairs = pairs.filter(F.col("pmi") >= disclosure * F.col("information")).select("entity", "term")
+    return near.select("s1", "s2", "entity", "term").join(pairs, ["entity", "term"], "left_semi")
+
+
+def _everywhere(rows: DataFrame, terms: DataFrame) -> DataFrame:
+    """(k1, k2, term) of all rows that hold one of the terms, in a text with the entity or not."""
+    slot = lambda: F.pmod(F.xxhash64("term"), F.lit(_HASHES)).cast("int")
+    slots = F.broadcast(terms.select(slot().alias("slot")).distinct())  # at most _HASHES numbers
+    held = rows.select("k1", "k2", F.explode(_terms(F.col("text"))).alias("term")).withColumn("slot", slot())
+    return held.join(slots, "slot", "left_semi").select("k1", "k2", "term").join(terms.hint("merge"), "term", "left_semi")
+
+
+def _marked(rows: DataFrame) -> DataFrame:
+    """Adds terms, the places of the words in ``found`` outside of spans, to (text, spans, found)."""
+    has = F.size("found") > 0
+    rows = _located(rows, "text", TERM, has, "_words")
+    mine = F.filter("_words", lambda w: F.array_contains("found", F.lower(w["value"])))
+    apart = lambda w: ~F.exists("spans", lambda s: (w["start"] < s["end"]) & (w["end"] > s["start"]))
+    span = lambda w: F.struct(w["start"].alias("start"), F.lit(KINDS.index("term")).alias("kind"), w["end"].alias("end"), F.lower(w["value"]).alias("value"))
+    terms = F.transform(F.filter(mine, apart), span).cast(f"array<{_SPAN}>")
+    return rows.withColumn("terms", F.when(has, terms).otherwise(F.array().cast(f"array<{_SPAN}>"))).drop("_words")
 
 
-def find(docs: DataFrame, disclosure: float = DISCLOSURE, unseen: float = UNSEEN) -> DataFrame:
+def find(docs: DataFrame, disclosure: float = DISCLOSURE, unseen: float = UNSEEN, everywhere: bool = False) -> DataFrame:
     """(doc_id, k1, k2, spans, terms) for every row: pattern matches and disclosing terms.
 
     spans and terms are array<struct<start, kind, end, value>> with kind a place in :data:`KINDS`,
-    places in code points and ends exclusive. Only terms within :data:`CONTEXT` characters of an
-    entity that they disclose are taken. A null text is empty. Repeated rows have equal results.
+    places in code points and ends exclusive. Terms are all mentions in whole texts: of the terms
+    that disclose an entity of the same text or, if ``everywhere``, any entity of the corpus. A null
+    text is empty. Repeated rows have equal results.
     """
     rows = with_keys(documents(docs)).withColumnsRenamed({"_k1": "k1", "_k2": "k2"})
     rows = rows.withColumn("text", F.coalesce("text", F.lit("")))
-    base = base_spans(rows, "text")
     some = F.size("spans") > 0
-    base = base.withColumns({"same": F.xxhash64("text"), "size": F.length("text"), "text": F.when(some, F.col("text"))})
-    base = stored(base.select("doc_id", "k1", "k2", "same", "size", "spans", "text"), "spans")
-    each = base.filter(some).groupBy("k1", "k2").agg(F.count("*").alias("copies"), *(F.first(c).alias(c) for c in ("same", "size", "spans", "text")))
-    near = stored(_contexts(each), "contexts")
-    pairs = stored(revealing(rows, near, disclosure, unseen).select("entity", "term"), "revealing")
-    span = F.struct("start", F.lit(KINDS.index("term")).alias("kind"), "end", F.col("term").alias("value")).cast(_SPAN)
-    terms = near.join(pairs, ["entity", "term"], "left_semi").groupBy("k1", "k2").agg(F.sort_array(F.collect_set(span)).alias("terms"))
-    joined = base.select("doc_id", "k1", "k2", "spans").join(stored(terms, "term-spans"), ["k1", "k2"], "left")
+    base = base_spans(rows, "text").withColumns({"s1": F.xxhash64("text"), "s2": F.xxhash64(F.length("text"), "text")})
+    base = stored(base.select("doc_id", "k1", "k2", "s1", "s2", "spans", F.when(some, F.col("text")).alias("text")), "spans")
+    same = base.filter(some).groupBy("s1", "s2")
+    texts = stored(same.agg(F.count("*").alias("copies"), F.first("spans").alias("spans"), F.first("text").alias("text")), "texts")
+    pairs = stored(revealing(rows, texts, disclosure, unseen), "revealing")
+    if everywhere:
+        hits = _everywhere(rows, stored(pairs.select("term").distinct(), "terms"))
+    else:
+        hits = base.filter(some).select("k1", "k2", "s1", "s2").join(pairs, ["s1", "s2"]).select("k1", "k2", "term")
+    hits = stored(hits.groupBy("k1", "k2").agg(F.collect_set("term").alias("found")), "hits")
+    # Only rows with a term need their text again; each is looked through once, repeated or not.
+    held = rows.select("k1", "k2", "text").join(hits.hint("merge"), ["k1", "k2"]).dropDuplicates(["k1", "k2"])
+    held = held.join(base.filter(some).select("k1", "k2", "spans").dropDuplicates(["k1", "k2"]).hint("merge"), ["k1", "k2"], "left")
+    held = held.withColumn("spans", F.coalesce("spans", F.array().cast(base.schema["spans"].dataType)))
+    terms = stored(_marked(held).select("k1", "k2", "terms"), "term-spans")
+    joined = base.select("doc_id", "k1", "k2", "spans").join(terms.hint("merge"), ["k1", "k2"], "left")
     return joined.withColumn("terms", F.coalesce("terms", F.array().cast(f"array<{_SPAN}>")))
 
 
@@ -194,7 +224,7 @@ def sanitised(docs: DataFrame, **thresholds) -> DataFrame:
     spans, null ones too, stay as they are.
     """
     text = "text"
-    found = find(docs, **thresholds).filter(F.size("spans") + F.size("terms") > 0)
+    found = find(docs, everywhere=True, **thresholds).filter(F.size("spans") + F.size("terms") > 0)
     numbered = F.transform("terms", lambda s: F.struct(s["start"], F.when(s["value"].rlike("^[0-9]+$"), len(KINDS)).otherwise(s["kind"]).alias("kind"), s["end"], s["value"]).cast(_SPAN))
     masks = found.dropDuplicates(["k1", "k2"]).select(F.col("k1").alias("_k1"), F.col("k2").alias("_k2"), _united(F.concat("spans", numbered)).alias("_spans"))
     # Merged at every size: the masks grow with the documents.

@@ -56,8 +56,8 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Pattern spans and the terms that disclose them."""
-    found = pii.find(table(spark, sf_dir, "documents"))
+    """Pattern spans, and all mentions of terms that disclose an entity of the corpus."""
+    found = pii.find(table(spark, sf_dir, "documents"), everywhere=True)
     count = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == pii.KINDS.index(kind))).cast("long")
     return found.select(
         "doc_id",

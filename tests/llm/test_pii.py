@@ -153,3 +153,15 @@ def test_copies_do_not_hide_a_term(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     terms = {r["doc_id"]: {t["value"] for t in r["terms"]} for r in pii.find(docs).collect()}
     assert all("xylograph" in terms[i] for i in (5000, 5029)) and not {"filler", "on"} & terms[5000]
+
+
+def test_disclosing_terms_are_marked_in_all_whole_texts(spark):
+    far = " ".join(["filler"] * 60)
+    rows = [(i, f"filler number w{i} goes on") for i in range(100)]
+    rows += [(200 + i, f"Zorro {far} writes from don@villa.mx {far} so ZORRO, {i}") for i in range(4)] + [(300, "zorro was not seen")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    texts = dict(rows)
+    terms = {r["doc_id"]: [texts[r["doc_id"]][t["start"] : t["end"]] for t in r["terms"]] for r in pii.find(docs, everywhere=True).collect()}
+    assert [w for w in terms[200] if w.lower() == "zorro"] == ["Zorro", "ZORRO"] and terms[300] == ["zorro"]
+    clean = {r["doc_id"]: r["text"] for r in pii.sanitised(docs).collect()}
+    assert all("zorro" not in clean[200 + i].lower() for i in range(4)) and clean[300] == "[TERM] was not seen"
