@@ -35,11 +35,22 @@ def with_keys(docs: DataFrame) -> DataFrame:
     return docs.withColumns({"_k1": F.xxhash64(doc_id, text), "_k2": F.xxhash64(text, doc_id)})
 
 
-def stored(rows: DataFrame, name: str) -> DataFrame:
-    """Writes rows to the shared folder and reads them back: cuts the lineage, survives lost executors."""
+def written(rows: DataFrame, name: str) -> str:
+    """The fresh folder in the shared one that rows were written to."""
     path = scratch_dir(rows.sparkSession, name)
     rows.write.parquet(path)
-    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+    return path
+
+
+def stored(rows: DataFrame, name: str) -> DataFrame:
+    """Writes rows to the shared folder and reads them back: cuts the lineage, survives lost executors."""
+    return rows.sparkSession.read.schema(rows.schema).parquet(written(rows, name))
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Deletes a folder that :func:`written` gave and nothing reads any more."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
 
 
 def map_rows(rows: DataFrame, make: Callable[[], Callable[..., Iterable[tuple]]], schema: str, flush: int = 2048) -> DataFrame:

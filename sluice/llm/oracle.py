@@ -83,9 +83,51 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n, 0)::BIGINT AS n_removed, s
 FROM d LEFT JOIN kept USING (doc_id) LEFT JOIN cut USING (doc_id)
 """
 
+# Product codes by plain full scans: one assignment and one update a round, written out.
+_CODES_FIRST = r"""
+WITH kept AS MATERIALIZED (
+  SELECT vec_id, label, list_transform(embedding, lambda x: floor(4096 * x::DOUBLE)::BIGINT) AS v
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), part AS MATERIALIZED (
+  SELECT vec_id, p, v[p * (len(v) // 8) + 1:(p + 1) * (len(v) // 8)] AS x FROM kept, range(8) AS t(p)
+), c0 AS MATERIALIZED (
+  SELECT p, row_number() OVER (PARTITION BY p ORDER BY vec_id) - 1 AS e, x AS c
+  FROM part WHERE vec_id IN (SELECT vec_id FROM kept ORDER BY vec_id LIMIT 16)
+)"""
+_CODES_ASSIGN = r""", a{r} AS MATERIALIZED (
+  SELECT vec_id, p, any_value(x) AS x, min({{'d': d, 'e': e}}) AS near
+  FROM (SELECT vec_id, p, x, e, list_sum(list_transform(range(1, len(x) + 1), lambda i: (x[i] - c[i]) * (x[i] - c[i])))::BIGINT AS d
+        FROM part JOIN c{r} USING (p))
+  GROUP BY vec_id, p
+)"""
+# Floored quotients: // goes towards zero.
+_CODES_UPDATE = r""", c{n} AS MATERIALIZED (
+  SELECT p, e, coalesce(moved.c, old.c) AS c
+  FROM c{r} AS old LEFT JOIN (
+    SELECT p, e, list((s - ((s % n) + n) % n) // n ORDER BY i) AS c
+    FROM (SELECT p, near.e AS e, i, sum(x[i])::BIGINT AS s, count(*) AS n
+          FROM a{r}, LATERAL (SELECT unnest(range(1, len(x) + 1)) AS i) GROUP BY 1, 2, 3)
+    GROUP BY p, e
+  ) AS moved USING (p, e)
+)"""
+_CODES_LAST = r"""
+, coded AS (
+  SELECT vec_id, string_agg(lpad(printf('%x', near.e::INT), 2, '0'), '' ORDER BY p) AS code, sum(near.d)::BIGINT AS error
+  FROM a6 GROUP BY vec_id
+), books AS (
+  SELECT sha256(string_agg(x::VARCHAR, ',' ORDER BY p, e, i)) AS codebooks_sha256
+  FROM (SELECT p, e, unnest(c) AS x, unnest(range(len(c))) AS i FROM c6)
+)
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, codebooks_sha256
+FROM coded JOIN kept USING (vec_id), books
+"""
+CODES = _CODES_FIRST + "".join(_CODES_ASSIGN.format(r=r) + _CODES_UPDATE.format(r=r, n=r + 1) for r in range(6)) + _CODES_ASSIGN.format(r=6) + _CODES_LAST
+
 ORACLE: dict[str, str] = {
     "op1_near_duplicates": NEAR_DUPLICATES,
     "op3_decontamination": DECONTAMINATION,
     "op7_warc": WARC,
     "op8_substring_duplicates": SUBSTRINGS,
+    "op11_vector_codes": CODES,
 }

@@ -17,6 +17,7 @@ from sluice.llm.packing import pack_documents
 from sluice.llm.quality import quality
 from sluice.llm.substrings import substring_duplicates
 from sluice.llm.tokens import lengths, suffix_sums
+from sluice.llm.vector_codes import codebooks_digest, compress, with_label_error
 from sluice.llm.warc import archive_folder, read_archives, write_archives
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -98,6 +99,13 @@ def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(docs.select("doc_id", "text", "held_out"), model).select("doc_id", "held_out", "lang_pred", "score")
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Codes of all vectors, eight parts of sixteen entries, after six rounds."""
+    codes, codebooks = compress(table(spark, sf_dir, "embeddings"))
+    found = with_label_error(codes).select("vec_id", "code", "error", "label_error")
+    return found.withColumn("codebooks_sha256", F.lit(codebooks_digest(codebooks)))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_near_duplicates": op1_near_duplicates,
     "op2_toxicity": op2_toxicity,
@@ -109,4 +117,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_substring_duplicates": op8_substring_duplicates,
     "op9_language": op9_language,
     "op10_token_counts": op10_token_counts,
+    "op11_vector_codes": op11_vector_codes,
 }
