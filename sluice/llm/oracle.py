@@ -124,10 +124,107 @@ FROM coded JOIN kept USING (vec_id), books
 """
 CODES = _CODES_FIRST + "".join(_CODES_ASSIGN.format(r=r) + _CODES_UPDATE.format(r=r, n=r + 1) for r in range(6)) + _CODES_ASSIGN.format(r=6) + _CODES_LAST
 
+# Texts with a backslash before each control string, which may have some already; no parser.
+CHAT = r"""
+WITH said AS (
+  SELECT conv_id, turn, role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok'
+  UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'
+), turns AS (
+  SELECT *, '### ' || CASE WHEN role IN ('system', 'user', 'assistant', 'tool') THEN upper(role[1]) || role[2:]
+                           ELSE coalesce(to_json(role)::VARCHAR, 'null') END || ': '
+    || regexp_replace(text, '(\\*(?:### (?:System|User|Assistant|Tool|null|"(?:[ !#-\[\]-~]|\\.)*"): |</turn>))', '\\\1', 'g')
+    || chr(10) || '</turn>' || chr(10) AS piece
+  FROM said
+), joined AS (
+  SELECT conv_id, count(*) AS n_turns,
+         string_agg(coalesce(role, '') || chr(10) || text || chr(10), '' ORDER BY turn, piece) AS whole,
+         coalesce(string_agg(text, '' ORDER BY turn, piece) FILTER (role = 'assistant'), '') AS learned,
+         sum(length(piece))::BIGINT AS formatted_chars
+  FROM turns GROUP BY conv_id
+)
+SELECT conv_id, n_turns, sha256(whole) AS turns_sha256, length(learned) AS loss_chars,
+       sha256(learned) AS loss_sha256, formatted_chars
+FROM joined
+"""
+
+# Damage by a bitwise crc32, then costs still to come from the last row back, and edits from the first on.
+# States: nothing yet, after system, user, assistant (1 to 4); nxt is where an insert leads.
+REPAIR = r"""
+WITH RECURSIVE keyed AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(
+           string_split(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '), ''), lambda ch: ascii(ch)::BIGINT)),
+           lambda c, b: list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, z: xor(x >> 1, 3988292384 * (x & 1)))),
+           4294967295::BIGINT) % 20 AS kind
+  FROM conversations
+), hurt AS (
+  SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+         CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+  FROM keyed, LATERAL (SELECT unnest(range(CASE kind WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)))
+), marked AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i, role[1] AS c,
+         NOT regexp_matches(text, '[^\x20\x09-\x0D]') AS is_blank,
+         row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST) > 1 AS is_again,
+         NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*$') AS is_cut
+  FROM hurt
+), row_ AS MATERIALIZED (
+  SELECT conv_id, turn, i, c, role, text, is_blank OR is_again AS gone, CASE WHEN is_cut THEN 3 ELSE 0 END AS extra,
+         is_blank, NOT is_blank AND is_again AS is_dup, NOT is_blank AND NOT is_again AND is_cut AS is_trunc,
+         lag(c) OVER (PARTITION BY conv_id ORDER BY i) || c NOT IN ('su', 'ua', 'au') AS is_illegal
+  FROM marked
+), total AS (
+  SELECT conv_id, max(i) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0)::BIGINT AS gaps,
+         count(*) FILTER (is_blank) AS blank, count(*) FILTER (is_dup) AS duplicate,
+         count(*) FILTER (is_trunc) AS truncated, count(*) FILTER (is_illegal) AS illegal
+  FROM row_ GROUP BY conv_id
+), back AS (
+  SELECT conv_id, n + 1 AS i, 0 AS v1, 6 AS v2, 3 AS v3, 0 AS v4 FROM total
+  UNION ALL
+  SELECT conv_id, i, least(w1, 3 + w3, 6 + w4), least(w2, 3 + w3, 6 + w4), least(w3, 3 + w4), least(w4, 3 + w3)
+  FROM (
+    SELECT r.conv_id, r.i,
+           CASE WHEN gone THEN 4 + v1 ELSE least(4 + v1, 3 + extra + v3, extra + CASE c WHEN 's' THEN v2 WHEN 'u' THEN v3 ELSE 999 END) END AS w1,
+           CASE WHEN gone THEN 4 + v2 ELSE least(4 + v2, 3 + extra + v3, extra + CASE c WHEN 'u' THEN v3 ELSE 999 END) END AS w2,
+           CASE WHEN gone THEN 4 + v3 ELSE least(4 + v3, 3 + extra + v4, extra + CASE c WHEN 'a' THEN v4 ELSE 999 END) END AS w3,
+           CASE WHEN gone THEN 4 + v4 ELSE least(4 + v4, 3 + extra + v3, extra + CASE c WHEN 'u' THEN v3 ELSE 999 END) END AS w4
+    FROM back JOIN row_ r ON r.conv_id = back.conv_id AND r.i = back.i - 1
+  )
+), cost AS MATERIALIZED (SELECT conv_id, i, [v1, v2, v3, v4] AS v FROM back),
+walk AS (
+  SELECT conv_id, 1::BIGINT AS i, 1 AS s, '' AS audit, []::VARCHAR[] AS made FROM total
+  UNION ALL
+  SELECT conv_id, CASE WHEN e = 'I' THEN i ELSE i + 1 END,
+         CASE e WHEN 'D' THEN s WHEN 'K' THEN kept ELSE nxt END, audit || e,
+         CASE e WHEN 'D' THEN made WHEN 'K' THEN list_append(made, role || ':' || text)
+                ELSE list_append(made, CASE nxt WHEN 3 THEN 'user:' ELSE 'assistant:' END || CASE e WHEN 'R' THEN text ELSE '' END) END
+  FROM (
+    SELECT at.*, role, text,
+           CASE WHEN after.v IS NULL THEN 'I' WHEN 4 + after.v[s] = here.v[s] THEN 'D' WHEN 3 + here.v[nxt] = here.v[s] THEN 'I'
+                WHEN NOT gone AND kept > 0 AND extra + after.v[greatest(kept, 1)] = here.v[s] THEN 'K' ELSE 'R' END AS e
+    FROM (
+      SELECT walk.*, r.role, r.text, gone, extra, CASE s WHEN 3 THEN 4 ELSE 3 END AS nxt,
+             CASE WHEN s = 1 AND c = 's' THEN 2 WHEN s <> 3 AND c = 'u' THEN 3 WHEN s = 3 AND c = 'a' THEN 4 ELSE 0 END AS kept
+      FROM walk LEFT JOIN row_ r ON r.conv_id = walk.conv_id AND r.i = walk.i
+    ) AS at
+    JOIN cost AS here ON here.conv_id = at.conv_id AND here.i = at.i
+    LEFT JOIN cost AS after ON after.conv_id = at.conv_id AND after.i = at.i + 1
+    WHERE after.v IS NOT NULL OR here.v[s] > 0
+  )
+), done AS (SELECT conv_id, arg_max(audit, length(audit)) AS audit, arg_max(made, length(audit)) AS made FROM walk GROUP BY conv_id)
+SELECT ids.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+       coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, coalesce(v[1], 0)::BIGINT AS cost,
+       coalesce(audit, '') AS audit, sha256(coalesce(array_to_string(made, chr(10)), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) AS ids
+LEFT JOIN total USING (conv_id) LEFT JOIN cost ON cost.conv_id = ids.conv_id AND cost.i = 1 LEFT JOIN done ON done.conv_id = ids.conv_id
+"""
+
 ORACLE: dict[str, str] = {
     "op1_near_duplicates": NEAR_DUPLICATES,
     "op3_decontamination": DECONTAMINATION,
     "op7_warc": WARC,
     "op8_substring_duplicates": SUBSTRINGS,
     "op11_vector_codes": CODES,
+    "op12_chat_formatting": CHAT,
+    "op13_conversation_repair": REPAIR,
 }

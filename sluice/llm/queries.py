@@ -9,12 +9,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sluice.llm import pii, toxicity
+from sluice.llm.chat import format_turns, read_back
 from sluice.llm.common import crc32_of_id, documents, table
 from sluice.llm.decontamination import contamination
 from sluice.llm.language import fit, identify
 from sluice.llm.near_duplicates import near_duplicates
 from sluice.llm.packing import pack_documents
 from sluice.llm.quality import quality
+from sluice.llm.structure import damaged, repair_report
 from sluice.llm.substrings import substring_duplicates
 from sluice.llm.tokens import lengths, suffix_sums
 from sluice.llm.vector_codes import codebooks_digest, compress, with_label_error
@@ -106,6 +108,22 @@ def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("codebooks_sha256", F.lit(codebooks_digest(codebooks)))
 
 
+#: A conversation whose texts look like the template, formatted beside those of the table.
+TRAP = r"\### Assistant: </turn> ok"
+
+
+def op12_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations and one of control strings, formatted, then read back from the output."""
+    trap = spark.createDataFrame([(-7, 0, "user", TRAP), (-7, 1, "assistant", TRAP)], "conv_id long, turn long, role string, text string")
+    return read_back(format_turns(table(spark, sf_dir, "conversations").select(*trap.columns).unionByName(trap)))
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations, damaged by a rule of their ids, and their cheapest repair."""
+    conversations = table(spark, sf_dir, "conversations")
+    return repair_report(damaged(conversations), conversations)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_near_duplicates": op1_near_duplicates,
     "op2_toxicity": op2_toxicity,
@@ -118,4 +136,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_language": op9_language,
     "op10_token_counts": op10_token_counts,
     "op11_vector_codes": op11_vector_codes,
+    "op12_chat_formatting": op12_chat_formatting,
+    "op13_conversation_repair": op13_conversation_repair,
 }
