@@ -162,12 +162,13 @@ WITH RECURSIVE keyed AS (
   SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
          CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
   FROM keyed, LATERAL (SELECT unnest(range(CASE kind WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)))
+), placed AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i, role[1] AS c FROM hurt
 ), marked AS (
-  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i, role[1] AS c,
-         NOT regexp_matches(text, '[^\x20\x09-\x0D]') AS is_blank,
-         row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST) > 1 AS is_again,
+  SELECT *, NOT regexp_matches(text, '[^\x20\x09-\x0D]') AS is_blank,
+         row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 AS is_again,
          NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*$') AS is_cut
-  FROM hurt
+  FROM placed
 ), row_ AS MATERIALIZED (
   SELECT conv_id, turn, i, c, role, text, is_blank OR is_again AS gone, CASE WHEN is_cut THEN 3 ELSE 0 END AS extra,
          is_blank, NOT is_blank AND is_again AS is_dup, NOT is_blank AND NOT is_again AND is_cut AS is_trunc,
@@ -199,16 +200,16 @@ walk AS (
          CASE e WHEN 'D' THEN made WHEN 'K' THEN list_append(made, role || ':' || text)
                 ELSE list_append(made, CASE nxt WHEN 3 THEN 'user:' ELSE 'assistant:' END || CASE e WHEN 'R' THEN text ELSE '' END) END
   FROM (
-    SELECT at.*, role, text,
+    SELECT step.*,
            CASE WHEN after.v IS NULL THEN 'I' WHEN 4 + after.v[s] = here.v[s] THEN 'D' WHEN 3 + here.v[nxt] = here.v[s] THEN 'I'
                 WHEN NOT gone AND kept > 0 AND extra + after.v[greatest(kept, 1)] = here.v[s] THEN 'K' ELSE 'R' END AS e
     FROM (
       SELECT walk.*, r.role, r.text, gone, extra, CASE s WHEN 3 THEN 4 ELSE 3 END AS nxt,
              CASE WHEN s = 1 AND c = 's' THEN 2 WHEN s <> 3 AND c = 'u' THEN 3 WHEN s = 3 AND c = 'a' THEN 4 ELSE 0 END AS kept
       FROM walk LEFT JOIN row_ r ON r.conv_id = walk.conv_id AND r.i = walk.i
-    ) AS at
-    JOIN cost AS here ON here.conv_id = at.conv_id AND here.i = at.i
-    LEFT JOIN cost AS after ON after.conv_id = at.conv_id AND after.i = at.i + 1
+    ) AS step
+    JOIN cost AS here ON here.conv_id = step.conv_id AND here.i = step.i
+    LEFT JOIN cost AS after ON after.conv_id = step.conv_id AND after.i = step.i + 1
     WHERE after.v IS NOT NULL OR here.v[s] > 0
   )
 ), done AS (SELECT conv_id, arg_max(audit, length(audit)) AS audit, arg_max(made, length(audit)) AS made FROM walk GROUP BY conv_id)
