@@ -1,0 +1,209 @@
+"""Structure repair against a search through all edits, and its table against plain rules."""
+
+import hashlib
+import itertools
+import random
+import re
+import zlib
+
+import pytest
+from pyspark.sql import functions as F
+
+from sluice.llm import structure as st
+
+SYMBOLS = [i + f for i in "sua?" for f in "-t"] + ["?x"]
+GOOD = re.compile(r"(s?(ua)+)?\Z")
+
+
+def searched(rows):
+    """Cost and audit of the cheapest edits, by every sequence that costs no more than deleting all rows."""
+    best = (4 * len(rows), "D" * len(rows))
+
+    def go(i, roles, cost, audit):
+        nonlocal best
+        if cost > best[0]:
+            return
+        if i == len(rows) and GOOD.match(roles):
+            best = min(best, (cost, audit))
+        for role in "ua":
+            go(i, roles + role, cost + 3, audit + "I")
+        if i < len(rows):
+            initial, fault = rows[i]
+            go(i + 1, roles, cost + 4, audit + "D")
+            if fault != "x":
+                extra = 3 if fault == "t" else 0
+                go(i + 1, roles + initial, cost + extra, audit + "K")
+                for role in "ua":
+                    go(i + 1, roles + role, cost + 3 + extra, audit + "R")
+
+    go(0, "", 0, "")
+    return best
+
+
+def runs(rows):
+    return tuple((k, len(list(g))) for k, g in itertools.groupby(rows))
+
+
+@pytest.mark.parametrize("n", [0, 1, 2])
+def test_all_short_conversations(n):
+    for rows in itertools.product(SYMBOLS, repeat=n):
+        assert st.audit(runs(rows)) == searched(rows), rows
+
+
+def test_some_longer_conversations():
+    r = random.Random(8)
+    for _ in range(60):
+        rows = [r.choice(SYMBOLS) for _ in range(r.choice([3, 4]))]
+        assert st.audit(runs(rows)) == searched(rows), rows
+
+
+def one_by_one(rows):
+    """The same by a plain table of costs, for any length."""
+    to_come = [st.END]
+    for row in reversed(rows):
+        to_come.append(st.applied(st.power(row, 0), to_come[-1]))
+    return int(to_come[-1][0])
+
+
+@pytest.mark.parametrize("length", [1, 2, 3, 7, 64, 1000, 12_345])
+@pytest.mark.parametrize("row", SYMBOLS)
+def test_long_runs_cross_by_powers(row, length):
+    rows = [row] * length + ["u-"] + [row] * 3
+    cost, audit = st.audit(runs(rows))
+    assert cost == one_by_one(rows)
+    assert audit == one_step_audit(rows)
+
+
+def one_step_audit(rows):
+    """Forward choices with all costs at hand."""
+    to_come = [st.END]
+    for row in reversed(rows):
+        to_come.append(st.applied(st.power(row, 0), to_come[-1]))
+    to_come.reverse()
+    out, state = [], 0
+    for i, row in enumerate(rows):
+        while True:
+            options = [(c, cost + to_come[i + 1][s], s) for c, cost, s in st.edits(row, state)]
+            options.append(("I", 3 + to_come[i][st.NEXT[state]], st.NEXT[state]))
+            c, _, state = min(o for o in options if o[1] == to_come[i][state])
+            out.append(c)
+            if c != "I":
+                break
+    while st.END[state]:
+        out.append("I")
+        state = st.NEXT[state]
+    return "".join(out)
+
+
+# ---- tables
+
+
+def plain_damage(rows):
+    out = []
+    for conv, turn, role, text in rows:
+        role, text = (" " if x is None else x for x in (role, text))
+        key = f"{' ' if conv is None else conv}:{' ' if turn is None else turn}"
+        kind = zlib.crc32(key.encode()) % 20
+        if kind == 0:
+            continue
+        if kind == 1:
+            text = ""
+        if kind == 2:
+            text = re.sub("[.!?]", "", text)
+        if kind == 4:
+            role = "user"
+        out += [(conv, turn, role, text)] * (2 if kind == 3 else 1)
+    return out
+
+
+def plain_report(rows, ids):
+    """Whole reports by plain rules; rows that share a turn must be equal or of other roles."""
+    out = {}
+    for conv in ids:
+        mine = sorted((r for r in rows if r[0] == conv), key=lambda r: (r[1] is not None, r[1] or 0, r[2], r[3]))
+        seen, symbols, counts = set(), [], dict.fromkeys(("blank", "duplicate", "truncated"), 0)
+        for _, _, role, text in mine:
+            visible = text.strip(" \t\n\x0b\x0c\r")
+            blank, again, cut = not visible, (role, text) in seen, visible[-1:] not in (".", "!", "?")
+            seen.add((role, text))
+            for name, is_it in (("blank", blank), ("duplicate", again), ("truncated", cut)):
+                if is_it:
+                    counts[name] += 1
+                    break
+            symbols.append(st.symbol(role[:1], blank or again, cut))
+        turns = [r[1] for r in mine if r[1] is not None]
+        gaps = max(turns) - min(turns) + 1 - len(set(turns)) if turns else 0
+        pairs = [a[2][:1] + b[2][:1] for a, b in zip(mine, mine[1:])]
+        cost, audit = st.audit(runs(symbols))
+        lines, state, left = [], "", iter(mine)
+        for c in audit:
+            row = next(left) if c != "I" else None
+            if c == "K":
+                state = row[2][:1]
+                lines.append(f"{row[2]}:{row[3]}")
+            elif c != "D":
+                state = "a" if state == "u" else "u"
+                lines.append(("assistant:" if state == "a" else "user:") + (row[3] if row else ""))
+        out[conv] = (gaps, *counts.values(), sum(p not in ("su", "ua", "au") for p in pairs), cost, audit, hashlib.sha256("\n".join(lines).encode()).hexdigest())
+    return out
+
+
+def some_rows(seed=4, n=400):
+    r = random.Random(seed)
+    said = ["Yes.", "No!", "cut off", "", " \n", None, "Why?  ", "x. y", "..."]
+    out = [(conv, turn, r.choice(["user", "assistant", "system", "tool", None, "User"]), r.choice(said)) for conv in range(n // 8) for turn in range(r.randrange(0, 9))]
+    out += [(900, t, "user" if t % 2 else "assistant", f"Turn {t}.") for t in range(0, 3000, 2)]
+    out += [(901, None, "user", "a."), (901, None, "user", "a."), (901, 5, "assistant", "b."), (902, None, None, None), (None, 0, "user", "Hi."), (None, 1, "assistant", "Ho.")]
+    out += [(903, 7, "", "empty role."), (903, 1 << 40, "assistant", "far."), (904, 3, "user", "a. " * 50_000), (905, 1, "user", "tie."), (905, 1, "assistant", "tie.")]
+    return out
+
+
+def reported(spark, turns, ids):
+    names = ("gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit", "repaired_sha256")
+    return {r["conv_id"]: tuple(r[n] for n in names) for r in st.repair_report(turns, ids).collect()}
+
+
+SCHEMA = "conv_id long, turn long, role string, text string"
+
+
+def test_table_equals_plain_rules(spark):
+    rows = some_rows()
+    df = spark.createDataFrame([(*r, 1, "x", True) for r in rows], SCHEMA + ", h1 int, audit string, body boolean").repartition(5)
+    damaged = st.damaged(df)
+    assert sorted(map(tuple, damaged.collect()), key=repr) == sorted(plain_damage(rows), key=repr)
+    found = reported(spark, damaged, df)
+    assert found == plain_report(plain_damage(rows), {r[0] for r in rows})
+
+
+def test_undamaged_turns_and_extra_columns(spark):
+    rows = [(r[0], r[1], r[2] or " ", " " if r[3] is None else r[3]) for r in some_rows(5)]
+    df = spark.createDataFrame([(*r, 1, "x", True) for r in rows], SCHEMA + ", h1 int, audit string, body boolean").repartition(5)
+    assert reported(spark, df, df.select("conv_id")) == plain_report(rows, {r[0] for r in rows})
+
+
+def test_repaired_turns_are_well_formed(spark):
+    rows = some_rows(6)
+    turns = st.damaged(spark.createDataFrame(rows, SCHEMA))
+    made = st.repaired(turns, st.audits(turns, turns)).collect()
+    by_conv = {}
+    for r in sorted(made, key=lambda r: (r["conv_id"] is None, r["conv_id"], r["place"])):
+        by_conv.setdefault(r["conv_id"], []).append(r["role"])
+    assert by_conv and all(GOOD.match("".join(x[:1] for x in v)) for v in by_conv.values())
+    assert all(r["text"] == "" for r in made if r["edit"] == "I")
+
+
+def test_empty_tables_and_conversations_without_turns(spark):
+    none = spark.createDataFrame([], SCHEMA)
+    assert st.repair_report(none, none).count() == 0
+    empty = (0, 0, 0, 0, 0, 0, "", hashlib.sha256(b"").hexdigest())
+    assert reported(spark, none, spark.createDataFrame([(1,), (None,), (1,)], "conv_id long")) == {1: empty, None: empty}
+    only = spark.createDataFrame([(2, 0, "user", "Hi."), (2, 1, "assistant", "Ho.")], SCHEMA)
+    assert reported(spark, only, none)[2][4:7] == (0, 0, "KK")
+
+
+def test_one_large_conversation_is_read_in_order(spark):
+    rows = spark.range(60_000).select(F.lit(1).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") % 2 == 0, "user").otherwise("assistant").alias("role"), F.concat(F.col("id").cast("string"), F.lit(".")).alias("text"))
+    found = reported(spark, rows.repartition(6), rows)
+    whole = "\n".join(("user:" if i % 2 == 0 else "assistant:") + f"{i}." for i in range(60_000))
+    assert found == {1: (0, 0, 0, 0, 0, 0, "K" * 60_000, hashlib.sha256(whole.encode()).hexdigest())}
+
