@@ -65,6 +65,7 @@ def parser() -> argparse.ArgumentParser:
     cli.add_argument("--keep-unmatched", action="store_true", help="wide orders: also details without an order")
     cli.add_argument("--state-partitions", type=int, help="of the wide merge; fixed by the first run")
     cli.add_argument("--time-zone", default="UTC", help="of the days of daily actives")
+    cli.add_argument("--buckets", type=int, help="of the keyed table that is written, per space; can be changed")
     cli.add_argument("--on-delete", choices=["keep", "remove"], default="keep")
     cli.add_argument("--on-malformed", choices=["quarantine", "fail"], default="quarantine")
     cli.add_argument("--key-by-id", action="store_true", help="key fact messages by row id")
@@ -95,7 +96,8 @@ def start(spark, args: argparse.Namespace):
     if missing := [n for n in NEEDS[args.job] if not given[n]]:
         raise SystemExit(f"{args.job} needs " + ", ".join(f"--{n}".replace("--sink", "--servers or --out") for n in missing))
     trigger = jobs.ONCE if args.once else {"processingTime": args.interval}
-    dims = KeyedTable(spark, args.dims, on_delete=args.on_delete) if args.dims else None
+    writes_dims = args.buckets if args.job == "change-split" else None
+    dims = KeyedTable(spark, args.dims, on_delete=args.on_delete, buckets=writes_dims) if args.dims else None
     names = {"source": args.topic, "suffix": args.suffix, "quarantine": args.quarantine}
     if args.job == "log-split":
         topics = replace(LogTopics(), **{k: v for k, v in names.items() if v and k != "suffix"})
@@ -107,7 +109,7 @@ def start(spark, args: argparse.Namespace):
             args.on_malformed, args.key_by_id, trigger,
         )
     if args.job == "daily-active":
-        table = derived.dau_table(spark, args.dau)
+        table = derived.dau_table(spark, args.dau, buckets=args.buckets)
         return derived.start_daily_active(spark, records, table, args.checkpoint, trigger, dims, args.time_zone)
     if args.job == "order-enrich":
         return derived.start_order_enrich(spark, records, dims, sink, args.checkpoint, trigger)

@@ -1,9 +1,12 @@
 """A keyed table on parquet: one row per ``(space, id)``, in buckets by space and hash of id.
 
-A batch writes the buckets it touches anew, below a folder of its version; the others stay. A
-manifest names the version of every bucket and the last batch taken from each stream. It is put in
-place in one step, so readers always see whole batches and a replayed batch is skipped. Replaced
-buckets stay for some days, so a DataFrame that reads them is not cut off. One writer per table.
+A batch appends its rows, a delta per bucket it touches; what the table held is not read. A reader
+ranks the deltas of a bucket with its older rows and keeps the row that counts per key. Deltas are
+merged when :data:`FAN` of the newest ones are alike in size, so a bucket has few of them and a
+row is rewritten about log(rows) times over its life. A manifest names the deltas of every bucket
+and the last batch taken from each stream. It is put in place in one step, so readers always see
+whole batches and a replayed batch is skipped. Merged deltas stay for some days, so a DataFrame
+that reads them is not cut off. One writer per table.
 """
 
 from __future__ import annotations
@@ -12,7 +15,6 @@ import json
 import time
 from hashlib import md5
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -30,10 +32,13 @@ ROW = T.StructType([
     T.StructField("at", T.LongType()),
 ])
 KEYS = ["space", "id"]
+# As stored: with the version that a row came in.
+STORED = T.StructType([*ROW, T.StructField("version", T.LongType())])
+BUCKETS = 16
+# Deltas of a bucket that are merged at once, at least; each at most twice as large as all newer ones together.
+FAN = 8
 # Manifests kept; readers hold on to files, not to manifests.
 MANIFESTS = 20
-# Versions between two looks for buckets that are due to go.
-EXPIRE_EVERY = 64
 
 
 class KeyedTable:
@@ -43,15 +48,15 @@ class KeyedTable:
         path: str,
         on_delete: str = "keep",
         wins: str = "last",
-        buckets: int = 16,
+        buckets: int | None = None,
         keep_days: float = 7.0,
     ):
         """``on_delete="keep"`` stores a deleted row's image like any other; ``"remove"`` hides it.
 
         With ``wins="last"`` a later batch replaces a row, within a batch the highest ``(src_offset,
         src_partition)``; with ``"first"`` the smallest ``(at, src_partition, src_offset)`` stays,
-        whichever batch it comes in. ``buckets`` is fixed by the first batch: choose it so that a
-        bucket of the largest space suits one task.
+        whichever batch it comes in. Choose ``buckets`` (per space) so that a bucket of the largest space suits
+        one task; another number than the table has makes the next batch deal its rows out anew.
         """
         if on_delete not in ("keep", "remove"):
             raise ValueError(f"on_delete: keep or remove, not {on_delete}")
@@ -65,74 +70,101 @@ class KeyedTable:
         manifest = self._manifest()
         if batch_id <= manifest["taken"].get(run, -1):
             return False
+        if self.buckets and self.buckets != manifest["buckets"]:
+            manifest = self._dealt_anew(manifest, self.buckets)
         version, live = manifest["version"] + 1, manifest["live"]
         columns = [F.col(f.name) if f.name in rows.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in ROW]
-        batch = self._winners(rows.select(*columns).withColumn("_new", F.lit(True)), KEYS)
-        batch = batch.withColumn("bucket", _bucket(manifest["buckets"])).persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            # At most a row per space and bucket.
-            touched = [(r["space"], str(r["bucket"])) for r in batch.select("space", "bucket").distinct().collect()]
-            held = [(s, b, live[s][b]) for s, b in touched if b in live.get(s, {})]
-            if touched:
-                self._write(batch, self._read(held), manifest["buckets"], version)
-        finally:
-            batch.unpersist()
-        for space, bucket in touched:
-            live.setdefault(space, {})[bucket] = version
-        self._commit({**manifest, "version": version, "taken": {**manifest["taken"], run: batch_id}})
-        if held:
-            dropped = [_folder(v, s, b) for s, b, v in held]
-            self.files.create(f"dropped/{version}.{time.time():.0f}", json.dumps(dropped))
-        if version % EXPIRE_EVERY == 0:
-            self.expire()
+        order = ["src_offset", "src_partition"] if self.wins == "last" else _FIRST
+        delta = self._rank(rows.select(*columns), order)
+        for space, bucket, n in self._write(delta, manifest["buckets"], version):
+            live.setdefault(space, {}).setdefault(bucket, []).append([version, n])
+        manifest = self._commit({**manifest, "version": version, "taken": {**manifest["taken"], run: batch_id}})
+        due = [(s, b, k) for s, each in live.items() for b, deltas in each.items() if (k := _mergeable(deltas)) is not None]
+        if due:
+            self._merge(manifest, due)
         return True
 
     def current(self, space: str | None = None, ids: DataFrame | None = None, prefix: str = "") -> DataFrame:
         """The rows of one key space, or of all whose names begin with ``prefix``.
 
         ``ids`` (one column ``id``) keeps only those rows of a space and opens only their buckets.
+        Buckets of one delta are read as they are, the others ranked.
         """
         manifest = self._manifest()
         live = manifest["live"]
         spaces = [s for s in live if s.startswith(prefix)] if space is None else [space]
-        wanted = None
+        wanted = opened = None
         if ids is not None:
             wanted = ids.filter("id is not null").distinct()
             opened = {str(r[0]) for r in wanted.select(_bucket(manifest["buckets"])).distinct().collect()}
-        rows = self._read([(s, b, v) for s in spaces for b, v in live.get(s, {}).items() if wanted is None or b in opened])
-        if wanted is not None:
-            rows = rows.join(wanted, "id", "left_semi")
+        parts = [(s, b, d) for s in spaces for b, d in live.get(s, {}).items() if wanted is None or b in opened]
+        found = []
+        for one in (True, False):
+            folders = [_folder(v, s, b) for s, b, deltas in parts if (len(deltas) == 1) is one for v, _ in deltas]
+            if folders:
+                rows = self._read(folders)
+                rows = rows if wanted is None else rows.join(wanted, "id", "left_semi").select(*STORED.names)
+                found.append(rows if one else self._counting(rows))
+        rows = self.spark.createDataFrame([], ROW) if not found else found[0] if len(found) == 1 else found[0].unionByName(found[1])
         if self.on_delete == "remove":
             rows = rows.filter("op is null or op <> 'D'")
         return rows.select(*ROW.names)
 
+    def compact(self) -> None:
+        """Merges all deltas of every bucket."""
+        manifest = self._manifest()
+        due = [(s, b, 0) for s, each in manifest["live"].items() for b, deltas in each.items() if len(deltas) > 1]
+        if due:
+            self._merge(manifest, due)
+
     def expire(self) -> None:
-        """Deletes buckets that were replaced more than ``keep_days`` ago."""
-        due = time.time() - self.keep_days * 86400
-        for name in self.files.names("dropped"):
-            if not name.startswith(".") and int(name.partition(".")[2]) < due:
-                for folder in json.loads(self.files.read(f"dropped/{name}")):
-                    self.files.delete(folder)
-                self.files.delete(f"dropped/{name}")
-
-    def _winners(self, rows: DataFrame, keys: list[str]) -> DataFrame:
-        if self.wins == "first":
-            return first_by(rows, keys, ["at", "src_partition", "src_offset"])
-        return latest_by(rows, keys, ["_new", "src_offset", "src_partition"])
-
-    def _write(self, batch: DataFrame, held: DataFrame, buckets: int, version: int) -> None:
+        """Deletes deltas that were merged more than ``keep_days`` ago."""
+        manifest = self._manifest()
+        if manifest["version"]:
+            self._commit({**manifest, "version": manifest["version"] + 1})
+
+    def _merge(self, manifest: dict, due: list[tuple[str, str, int]]) -> dict:
+        """Merges the deltas from the k-th on of each ``(space, bucket, k)``; older ones stay older."""
+        version, live = manifest["version"] + 1, manifest["live"]
+        taken = {(s, b): live[s][b][k:] for s, b, k in due}
+        rows = self._read([_folder(v, s, b) for (s, b), deltas in taken.items() for v, _ in deltas])
+        for space, bucket, n in self._write(self._counting(rows), manifest["buckets"], version):
+            live[space][bucket] = [*live[space][bucket][: -len(taken[space, bucket])], [version, n]]
+        return self._commit(_without(manifest, taken, version))
+
+    def _dealt_anew(self, manifest: dict, buckets: int) -> dict:
+        """All rows in another number of buckets."""
+        version = manifest["version"] + 1
+        taken = {(s, b): deltas for s, each in manifest["live"].items() for b, deltas in each.items()}
+        live: dict = {}
+        if taken:
+            rows = self._read([_folder(v, s, b) for (s, b), deltas in taken.items() for v, _ in deltas])
+            for space, bucket, n in self._write(self._counting(rows), buckets, version):
+                live.setdefault(space, {})[bucket] = [[version, n]]
+        return self._commit({**_without(manifest, taken, version), "buckets": buckets, "live": live})
+
+    def _counting(self, rows: DataFrame) -> DataFrame:
+        """The row that counts of each key among several versions."""
+        return self._rank(rows, ["version"] if self.wins == "last" else _FIRST)
+
+    def _rank(self, rows: DataFrame, order: list[str]) -> DataFrame:
+        return (latest_by if self.wins == "last" else first_by)(rows, KEYS, order)
+
+    def _write(self, rows: DataFrame, buckets: int, version: int) -> list[tuple[str, str, int]]:
+        """Writes rows, one per key by now, a bucket to a task; which buckets, and their rows."""
         part = F.concat(F.substring(F.md5("space"), 1, 12), F.lit("-"), _bucket(buckets))
-        old = held.withColumn("_new", F.lit(False))
-        rows = batch.drop("bucket").unionByName(old).withColumn("part", part)
-        # The batch holds a row per key by now: shuffled once, a bucket to a task, and ranked there.
-        rows = self._winners(rows.repartition("part"), ["part", *KEYS])
-        rows = rows.select(*ROW.names, "part").sortWithinPartitions("part", *KEYS)
-        rows.write.mode("overwrite").partitionBy("part").parquet(f"{self.path}/data/version={version}")
-
-    def _read(self, parts: list[tuple[str, str, int]]) -> DataFrame:
-        if not parts:
-            return self.spark.createDataFrame([], ROW)
-        return self.spark.read.schema(ROW).parquet(*[f"{self.path}/{_folder(v, s, b)}" for s, b, v in sorted(parts)])
+        rows = rows.select(*ROW.names, F.lit(version).cast("long").alias("version"), part.alias("part"))
+        rows = rows.repartition("part").sortWithinPartitions("part", *KEYS)
+        path = f"{self.path}/data/version={version}"
+        rows.write.mode("overwrite").partitionBy("part").parquet(path)
+        if not any(n.startswith("part=") for n in self.files.names(f"data/version={version}")):
+            return []
+        # Of what was written only the spaces are read again: at most a row per space and bucket comes of it.
+        held = self.spark.read.schema(T.StructType([ROW["space"], T.StructField("part", T.StringType())])).parquet(path)
+        return [(r["space"], r["part"].rpartition("-")[2], r["count"]) for r in held.groupBy("space", "part").count().collect()]
+
+    def _read(self, folders: list[str]) -> DataFrame:
+        return self.spark.read.schema(STORED).parquet(*[f"{self.path}/{f}" for f in sorted(folders)])
 
     def _versions(self) -> list[int]:
         return sorted(int(n.removesuffix(".json")) for n in self.files.names("manifest") if n.endswith(".json") and n[0] != ".")
@@ -140,16 +172,32 @@ class KeyedTable:
     def _manifest(self) -> dict:
         versions = self._versions()
         if not versions:
-            return {"version": 0, "buckets": self.buckets, "live": {}, "taken": {}}
+            return {"version": 0, "buckets": self.buckets or BUCKETS, "live": {}, "taken": {}, "dropped": []}
         return json.loads(self.files.read(f"manifest/{versions[-1]}.json"))
 
-    def _commit(self, manifest: dict) -> None:
+    def _commit(self, manifest: dict) -> dict:
+        """Puts a manifest in place, without the dropped deltas that are due to go.
+
+        These go before: a crash in between leaves them named, and they go again.
+        """
+        due = time.time() - self.keep_days * 86400
+        dropped = manifest.get("dropped", [])
+        for _, folder in (gone := [d for d in dropped if d[0] < due]):
+            self.files.delete(folder)
+        for parent in {folder.rpartition("/")[0] for _, folder in gone}:
+            if not any(n.startswith("part=") for n in self.files.names(parent)):
+                self.files.delete(parent)
+        manifest = {**manifest, "dropped": [d for d in dropped if d[0] >= due]}
         try:
             self.files.create(f"manifest/{manifest['version']}.json", json.dumps(manifest))
         except FileExistsError as there:
             raise RuntimeError(f"{self.path}: another writer committed version {manifest['version']}") from there
         for version in self._versions()[:-MANIFESTS]:
             self.files.delete(f"manifest/{version}.json")
+        return manifest
+
+
+_FIRST = ["at", "src_partition", "src_offset"]
 
 
 def _bucket(buckets: int) -> Column:
@@ -159,3 +207,19 @@ def _bucket(buckets: int) -> Column:
 def _folder(version: int, space: str, bucket: str) -> str:
     """Where a bucket's rows of a version lie."""
     return f"data/version={version}/part={md5(space.encode()).hexdigest()[:12]}-{bucket}"
+
+
+def _mergeable(deltas: list[list[int]]) -> int | None:
+    """From which delta on a bucket's newest ones are to be merged; None if they may stay."""
+    first, newer = len(deltas) - 1, deltas[-1][1]
+    while first and deltas[first - 1][1] <= 2 * newer:
+        first -= 1
+        newer += deltas[first][1]
+    return first if len(deltas) - first >= FAN else None
+
+
+def _without(manifest: dict, taken: dict, version: int) -> dict:
+    """The manifest of a version in which the deltas ``taken`` are replaced."""
+    now = time.time()
+    gone = [[now, _folder(v, s, b)] for (s, b), deltas in taken.items() for v, _ in deltas]
+    return {**manifest, "version": version, "dropped": [*manifest["dropped"], *gone]}
