@@ -6,6 +6,7 @@ from collections.abc import Callable, Iterable, Iterator
 from operator import methodcaller
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
@@ -29,10 +30,18 @@ def documents(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").alias("text"))
 
 
-def with_keys(docs: DataFrame) -> DataFrame:
-    """Adds _k1 and _k2, 64-bit hashes of id and whole text, that tell rows apart; equal rows share them."""
+def unused(rows: DataFrame, name: str) -> str:
+    """The name, with underscores before it until no column of ``rows`` is called like it."""
+    taken = {c.lower() for c in rows.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
+def with_keys(docs: DataFrame, names: tuple[str, str] = ("_k1", "_k2")) -> DataFrame:
+    """Adds two 64-bit hashes of id and whole text that tell rows apart; equal rows share them."""
     doc_id, text = F.col("doc_id").cast("long"), F.coalesce("text", F.lit(""))
-    return docs.withColumns({"_k1": F.xxhash64(doc_id, text), "_k2": F.xxhash64(text, doc_id)})
+    return docs.withColumns(dict(zip(names, (F.xxhash64(doc_id, text), F.xxhash64(text, doc_id)))))
 
 
 def written(rows: DataFrame, name: str) -> str:
@@ -151,6 +160,58 @@ def run_hashes(hashes: np.ndarray, words: int) -> np.ndarray:
     return mixed(out)
 
 
+#: Bits of a Bloom filter, a power of two: 8 MB to broadcast, whatever it holds; the fuller, the more passes.
+BLOOM_BITS = 1 << 26
+
+
+class Bloom:
+    """A filter of 64-bit numbers, of fixed size: passes all that were put in, and few others."""
+
+    def __init__(self, words: np.ndarray):
+        self.words = words
+
+    @classmethod
+    def of(cls, numbers: DataFrame) -> Bloom:
+        """From a table of one long column. Tasks set bits; at most 2^20 words of them come to the driver."""
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            words = np.zeros(BLOOM_BITS // 64, np.uint64)
+            for batch in batches:
+                places = cls.places(batch.column(0).drop_null().to_numpy(zero_copy_only=False)).ravel()
+                np.bitwise_or.at(words, places >> np.uint64(6), np.uint64(1) << (places & np.uint64(63)))
+            some = np.flatnonzero(words)
+            yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(words[some].view(np.int64))], names=["word", "bits"])
+
+        found = numbers.mapInArrow(run, "word long, bits long").groupBy("word").agg(F.bit_or("bits").alias("bits")).toPandas()
+        words = np.zeros(BLOOM_BITS // 64, np.uint64)
+        words[found["word"].to_numpy(np.int64)] = found["bits"].to_numpy(np.int64).view(np.uint64)
+        return cls(words)
+
+    @staticmethod
+    def places(numbers: np.ndarray) -> np.ndarray:
+        """The two bits of each number."""
+        h = mixed(numbers.astype(np.int64).view(np.uint64).copy())
+        return np.stack([h, h >> np.uint64(32)], axis=1) & np.uint64(BLOOM_BITS - 1)
+
+    def passing(self, numbers: np.ndarray) -> np.ndarray:
+        """Which of the numbers may be held."""
+        places = self.places(numbers)
+        return (self.words[places >> np.uint64(6)] >> (places & np.uint64(63)) & np.uint64(1)).all(1)
+
+
+def passing(rows: DataFrame, column: str, bloom: Bloom) -> DataFrame:
+    """The rows whose long in ``column`` a filter passes; nulls don't."""
+    shared = rows.sparkSession.sparkContext.broadcast(bloom)
+
+    def test(values: pd.Series) -> pd.Series:
+        known = values.notna().to_numpy()
+        out = np.zeros(len(values), bool)
+        out[known] = shared.value.passing(values[known].to_numpy(np.int64))
+        return pd.Series(out)
+
+    return rows.filter(F.pandas_udf(test, "boolean")(F.col(column)))
+
+
 def crc32_of_id(doc_id) -> F.Column:
     """crc32 of an id's decimal text; a null id counts as the empty text."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary"))

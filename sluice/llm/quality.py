@@ -4,24 +4,32 @@ Two multinomials over hashed word 1-grams and 2-grams are counted: one from the
 target, one from the whole raw corpus. A text's ratio is the mean over its n-grams of the log of
 their probability in the target over that in the raw corpus, so length has no weight. Every text is
 judged by one threshold, nothing is drawn at random: a fifth of the trusted documents, told by their
-ids, is left out of the target, and the threshold is what all but one in a thousand of them reach.
+ids, is left out of the target, and the threshold is a lower tolerance bound of theirs, which all but
+one in a thousand such documents reach.
+
+Counting the raw corpus moves no text. For the target, a Bloom filter of the trusted ids, of one size for
+any number of them, picks the rows that are joined with the ids.
 """
 
 from __future__ import annotations
 
+import math
+from statistics import NormalDist
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sluice.llm.common import crc32_of_id, documents, map_rows, mixed, run_hashes, stored, word_hashes
+from sluice.llm.common import Bloom, crc32_of_id, documents, map_rows, mixed, passing, run_hashes, stored, word_hashes
 
 #: 2 to this power hashed n-grams; counts and ratios of all of them are what is broadcast (512 KB).
 BITS = 16
 #: The threshold where no trusted document is left out.
 THRESHOLD = -0.15
-#: Left-out documents that the threshold may fail, room below that, and the grid of ratios.
+#: Documents like the left-out ones that the threshold may fail, its confidence, room below it, and the grid of ratios.
 FAILING = 0.001
+CONFIDENCE = 0.95
 ROOM = 0.02
 GRID = 1000
 WINDOW = 5
@@ -35,32 +43,30 @@ def grams(hashes: np.ndarray) -> np.ndarray:
 
 
 def gram_counts(docs: DataFrame) -> DataFrame:
-    """(bucket, raw, target): n-gram counts over all (text, trusted) rows, and over the trusted ones.
+    """(bucket, n): n-gram counts over all rows' texts.
 
     A task adds up its rows first and gives at most 2^16 counts, however common a word is.
     """
 
     def count(batches):
         hashes = word_hashes()
-        counts = np.zeros((2, 1 << BITS), np.int64)
+        counts = np.zeros(1 << BITS, np.int64)
         for batch in batches:
-            for text, trusted in zip(*batch.columns):
-                found = np.bincount(grams(hashes((text.as_py() or b"").split())).astype(np.int64), minlength=1 << BITS)
-                counts[0] += found
-                if trusted.as_py():
-                    counts[1] += found
-        some = np.flatnonzero(counts[0])
-        yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (some, *counts[:, some])], names=["bucket", "raw", "target"])
+            for text in batch.column(0):
+                counts += np.bincount(grams(hashes((text.as_py() or b"").split())).astype(np.int64), minlength=1 << BITS)
+        some = np.flatnonzero(counts)
+        yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (some, counts[some])], names=["bucket", "n"])
 
-    each = docs.select(F.col("text").cast("binary"), "trusted").mapInArrow(count, "bucket long, raw long, target long")
-    return each.groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("target").alias("target"))
+    each = docs.select(F.col("text").cast("binary")).mapInArrow(count, "bucket long, n long")
+    return each.groupBy("bucket").agg(F.sum("n").alias("n"))
 
 
-def ratios(counts: DataFrame, smoothing: float = 1.0) -> np.ndarray:
+def ratios(raw_counts: DataFrame, target_counts: DataFrame, smoothing: float = 1.0) -> np.ndarray:
     """Log ratio of the smoothed probabilities of each bucket; all 0 without target counts."""
     raw, target = np.zeros(1 << BITS), np.zeros(1 << BITS)
-    for bucket, r, t in counts.collect():  # at most 2^16 rows
-        raw[bucket], target[bucket] = r, t
+    for counts, rows in ((raw, raw_counts), (target, target_counts)):
+        for bucket, n in rows.collect():  # at most 2^16 rows
+            counts[bucket] = n
     if not target.sum():
         return np.zeros(1 << BITS, np.float32)
     share = lambda x: np.log(x + smoothing) - np.log(x.sum() + smoothing * len(x))
@@ -115,16 +121,59 @@ def judge(docs: DataFrame, ratio: np.ndarray) -> DataFrame:
     )
 
 
+def tolerance(cells: list[tuple[int, int]]) -> float | None:
+    """The lower tolerance bound of (ratio on the grid, count) cells; None without any.
+
+    With :data:`CONFIDENCE`, all but :data:`FAILING` of the population lie above. From some 3,000
+    ratios on it is one of them, whatever their distribution. Fewer can't tell so rare a tail: the bound
+    is taken from their mean and deviation with an exponential tail, which is heavier than a normal
+    one, or is the least of them if that is lower.
+    """
+    cells = sorted(cells)
+    n = sum(c for _, c in cells)
+    if not n:
+        return None
+    allowed = failing_allowed(n)
+    if allowed >= 0:
+        below = 0
+        for cell, count in cells:
+            below += count
+            if below > allowed:
+                return cell / GRID
+    mean = sum(x * c for x, c in cells) / n
+    deviation = math.sqrt(sum(c * (x - mean) ** 2 for x, c in cells) / max(1, n - 1))
+    tail, sure = -NormalDist().inv_cdf(FAILING), NormalDist().inv_cdf(CONFIDENCE)
+    # Natrella's factor of one-sided tolerance limits; it grows as n falls and has no value below 3.
+    a, b = 1 - sure**2 / (2 * max(2, n - 1)), tail**2 - sure**2 / n
+    factor = (tail + math.sqrt(max(0.0, tail**2 - a * b))) / max(a, 0.1)
+    heavier = math.log(1 / (2 * FAILING)) / math.sqrt(2) / tail
+    return min(cells[0][0], mean - factor * heavier * deviation) / GRID
+
+
+def failing_allowed(n: int) -> int:
+    """How many of n ratios may lie below a bound of the stated confidence; -1 if n is too small for one."""
+    if n * FAILING > 100:  # far from the edges the binomial is a normal one
+        return math.floor(n * FAILING - NormalDist().inv_cdf(CONFIDENCE) * math.sqrt(n * FAILING * (1 - FAILING))) - 1
+    allowed, chance, term = -1, 0.0, math.exp(n * math.log1p(-FAILING))
+    while chance + term <= 1 - CONFIDENCE:
+        allowed, chance = allowed + 1, chance + term
+        term *= (n - allowed) / (allowed + 1) * FAILING / (1 - FAILING)
+    return allowed
+
+
 def calibrated(judged: DataFrame, left_out: DataFrame) -> float:
     """The threshold from the ratios, on a grid, of left-out trusted documents that pass the plain rules."""
-    rows = judged.filter("not base_failed").join(left_out, F.col("doc_id") == F.col("trusted_id"), "left_semi")
+    rows = judged.filter("not base_failed").select("doc_id", "log_ratio")
+    rows = rows.join(left_out.hint("merge"), F.col("doc_id") == F.col("trusted_id"), "left_semi")
     cells = rows.groupBy(F.floor(F.col("log_ratio") * GRID).alias("cell")).count().collect()  # the grid bounds them
-    total, below = sum(r["count"] for r in cells), 0
-    for cell, count in sorted(map(tuple, cells)):
-        below += count
-        if below > FAILING * total:
-            return cell / GRID - ROOM
-    return THRESHOLD
+    bound = tolerance([tuple(c) for c in cells])
+    return THRESHOLD if bound is None else bound - ROOM
+
+
+def target_rows(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows whose doc_id is one of ``ids``: few others than these are shuffled."""
+    some = passing(docs, "doc_id", Bloom.of(ids))
+    return some.join(ids.hint("merge"), F.col("doc_id") == F.col("trusted_id"), "left_semi")
 
 
 def quality(docs: DataFrame, trusted: DataFrame, threshold: float | None = None) -> DataFrame:
@@ -132,14 +181,15 @@ def quality(docs: DataFrame, trusted: DataFrame, threshold: float | None = None)
 
     ``trusted`` holds the doc_id of the target's documents. Raw counts are over all rows of
     ``docs``, repeated ones as often as they occur. A null or empty text has no words, ratio 0 and
-    fails; without any trusted document all ratios are 0. Null ids are trusted by nobody. A given
-    threshold takes the place of the calibrated one.
+    fails; without any trusted document all ratios are 0. Null ids are trusted by nobody. Ties are
+    kept: a ratio equal to the threshold passes. Texts are read whole, however long; columns beside id and
+    text are not looked at, whatever their names. A given threshold takes the place of the calibrated one.
     """
     ids = trusted.select(F.col("doc_id").cast("long").alias("trusted_id")).filter("trusted_id is not null").distinct()
     left_out = crc32_of_id(F.col("trusted_id")) % 5 == 0
     rows = documents(docs)
-    target = ids.filter(~left_out)
-    marked = rows.join(target, rows["doc_id"] == target["trusted_id"], "left").select("text", F.col("trusted_id").isNotNull().alias("trusted"))
-    judged = stored(judge(docs, ratios(gram_counts(marked))), "quality")
+    ids = stored(ids, "trusted")
+    ratio = ratios(gram_counts(rows), gram_counts(target_rows(rows, ids.filter(~left_out))))
+    judged = stored(judge(docs, ratio), "quality")
     least = calibrated(judged, ids.filter(left_out)) if threshold is None else threshold
     return judged.withColumn("kept", ~F.col("base_failed") & (F.col("log_ratio") >= least))
