@@ -1,25 +1,30 @@
 """Personal data: patterns, and terms that give protected entities away. DataFrame functions only.
 
-Patterns find the protected entities: e-mail and IP addresses, card and phone numbers. How strongly a
-term t reveals an entity c is estimated from the corpus by their pointwise mutual information,
-
-    PMI(c; t) = log(p(c, t) / (p(c) p(t))),
-
-which is at most the information IC(c) = -log p(c) of the entity. A term of a text with the entity
-whose PMI reaches :data:`DISCLOSURE` times IC(c) would let a reader infer much of what was masked; it is a
-span of kind ``term`` wherever it stands, in texts without the entity too. All probabilities are over all documents,
-copies included. Of the d distinct texts with both, copies are no evidence: p(c | t) is estimated as
-if :data:`UNSEEN` more texts had the term alone, times d / (d + UNSEEN). One text is weak evidence,
-but no number of texts is required. A mail address is an entity, and so is its domain, whose evidence pools
-over the addresses in it.
+Patterns find the protected entities: e-mail and IP addresses, card and phone numbers, and what several of
+them share: a mail domain, the network of an IP address, the issuer of a card, the block of a phone number.
+How strongly a term t reveals an entity c is what remains unknown of the entity to a reader who meets the term,
+
+    IC(c) - PMI(c; t) = -log p(c | t),
+
+estimated from the corpus. A term whose texts leave at most :data:`RESIDUAL` nats discloses the entity;
+it is a span of kind ``term`` wherever it stands, in texts without the entity too. The bar is the same
+for every entity and size of corpus, and must be met by a lower confidence bound, not by the estimate:
+
+- p(c | t) is the share of the rows with the term that have the entity too, all rows counted, copies
+  included. Its confidence comes from the number of distinct texts with both, for copies are no
+  evidence; one distinct text never is enough.
+- The meetings must be more than chance would give among all pairs of the corpus: by the Chernoff bound,
+  less than :data:`CHANCE` of such a pair is expected if terms fell on texts at random.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sluice.llm.common import documents, stored, with_keys
+from sluice.llm.common import documents, stored, unused, with_keys
 
 KINDS = ["email", "ip", "card", "phone", "term"]
 #: The same matches as the plain patterns, in linear time: runs are entered at their start (or where
@@ -32,9 +37,13 @@ PATTERNS = {
 }
 IP_PARTS = r"^(0*(25[0-5]|2[0-4][0-9]|1?[0-9]{1,2})(\.|$)){4}$"
 TERM = r"[\p{L}\p{N}]+"
-DISCLOSURE = 0.8
-#: Texts with the term and without the entity that are imagined beside those seen.
-UNSEEN = 1.0
+#: A term in a text whose spans are blanked; with a mark in it, a span touches it.
+MARKED_TERM = r"[\p{L}\p{N}\x01]+"
+#: Nats that a reader of the term may at most lack; 0.9: the guess is right in two of five cases.
+RESIDUAL = 0.9
+#: Deviations of the one-sided 95 % confidence bound, and the pairs that chance may give in a corpus.
+SURE = 1.645
+CHANCE = 0.05
 _BLOCK = 256
 #: Hashes of terms in the filter before the join with disclosing terms; bounds its broadcast.
 _HASHES = 1 << 20
@@ -100,11 +109,20 @@ def base_spans(rows: DataFrame, text: str) -> DataFrame:
 
 
 def entities(span: Column) -> Column:
-    """What a span names: its value and, of a mail address, the domain, after the kind's number."""
-    value = F.lower(span["value"])
-    whole = F.concat_ws(":", span["kind"].cast("string"), value)
-    domain = F.concat(F.lit("0:@"), F.substring_index(value, "@", -1))
-    return F.when(span["kind"] == 0, F.array(whole, domain)).otherwise(F.array(whole))
+    """What a span names: its value and what it shares with others, after the kind's number.
+
+    Shared are the domain of a mail address, the first three parts of an IP address, the first six digits
+    of a card, and all but the last four of a phone number.
+    """
+    value, digits = F.lower(span["value"]), _digits(span["value"])
+    named = lambda mark, x: F.concat(span["kind"].cast("string"), F.lit(mark), x)
+    shared = (
+        F.when(span["kind"] == 0, F.substring_index(value, "@", -1))
+        .when(span["kind"] == 1, F.substring_index(value, ".", 3))
+        .when(span["kind"] == 2, F.substring(digits, 1, 6))
+        .otherwise(F.left(digits, F.length(digits) - 4))
+    )
+    return F.array(named(":", value), named("@", shared))
 
 
 def _terms(text: Column) -> Column:
@@ -112,40 +130,75 @@ def _terms(text: Column) -> Column:
     return F.array_distinct(F.transform(F.regexp_extract_all(text, F.lit(TERM), F.lit(0)), F.lower))
 
 
-def _outside(rows: DataFrame) -> DataFrame:
-    """(s1, s2, terms) of (s1, s2, spans, text): the distinct terms of the whole text that no span touches."""
-    rows = rows.withColumn("covered", _united(F.col("spans")))
-    begin = lambda i: F.when(i == 0, F.lit(0).cast("long")).otherwise(F.try_element_at("covered", i)["end"])
-    piece = lambda s, i: F.substring("text", begin(i).cast("int") + 1, (s["start"] - begin(i)).cast("int"))
-    tail = F.substring("text", F.element_at("covered", -1)["end"].cast("int") + 1, F.length("text"))
-    pieces = F.concat(F.transform("covered", piece), F.array(tail))
-    # A mark stands for each span, so that words it touches go with it.
-    marked = F.array_join(F.transform(pieces, lambda p: F.translate(p, "\x01", " ")), "\x01")
-    return rows.select("s1", "s2", _terms(F.regexp_replace(marked, r"[\p{L}\p{N}]*+(?:\x01[\p{L}\p{N}]*+)+", " ")).alias("terms"))
+def _blanked(text: Column, covered: Column) -> Column:
+    """The text with a mark for every code point in the united spans ``covered``, all else in its place."""
+    clean = F.translate(text, "\x01", " ")
+    begin = lambda i: F.when(i == 0, F.lit(0).cast("long")).otherwise(F.try_element_at(covered, i)["end"])
+    piece = lambda s, i: F.concat(
+        F.substring(clean, begin(i).cast("int") + 1, (s["start"] - begin(i)).cast("int")),
+        F.repeat(F.lit("\x01"), (s["end"] - s["start"]).cast("int")),
+    )
+    tail = F.substring(clean, F.try_element_at(covered, F.lit(-1))["end"].cast("int") + 1, F.length(text))
+    return F.when(F.size(covered) > 0, F.concat(F.array_join(F.transform(covered, piece), ""), tail)).otherwise(clean)
+
 
+def _outside(texts: DataFrame) -> DataFrame:
+    """(s1, s2, term) of (s1, s2, spans, text): the distinct terms of a whole text that no span touches."""
+    rows = texts.withColumn("covered", _united(F.col("spans")))
+    rows = rows.select("s1", "s2", _blanked(F.col("text"), F.col("covered")).alias("text"))
+    found = F.array_distinct(F.transform(F.regexp_extract_all("text", F.lit(MARKED_TERM), F.lit(0)), F.lower))
+    return rows.select("s1", "s2", F.explode(F.filter(found, lambda w: ~F.contains(w, F.lit("\x01")))).alias("term"))
 
-def revealing(docs: DataFrame, texts: DataFrame, disclosure: float = DISCLOSURE, unseen: float = UNSEEN) -> DataFrame:
-    """(s1, s2, entity, term) for each text and each pair in it whose term discloses the entity.
+
+def assured(both: Column, term: Column, texts: Column) -> Column:
+    """The lower confidence bound (Wilson's) of p(c | t): ``both`` of ``term`` rows, ``texts`` distinct texts with both."""
+    share, trials = both / term, texts * term / both
+    spread = F.sqrt(share * (1 - share) / trials + SURE**2 / (4 * trials * trials))
+    return (share + SURE**2 / (2 * trials) - SURE * spread) / (1 + SURE**2 / trials)
+
+
+def surprise(both: Column, term: Column, texts: Column, chance: Column) -> Column:
+    """Nats against as many meetings by chance: trials times the divergence of their share from ``chance``."""
+    share, trials = both / term, texts * term / both
+    rest = F.when(share < 1, (1 - share) * F.log((1 - share) / (1 - chance))).otherwise(0.0)
+    return F.when(share > chance, trials * (share * F.log(share / chance) + rest)).otherwise(0.0)
+
+
+def revealing(docs: DataFrame, texts: DataFrame, residual: float = RESIDUAL) -> DataFrame:
+    """(s1, s2, term) for each text and each term in it that discloses an entity of it.
 
     ``texts`` are the distinct ones with entities, (s1, s2, copies, spans, text). Counts are over
-    all of ``docs``. A pair can only pass if n_term <= n_entity^d n^(1 - d), d being ``disclosure``,
-    as n_both <= n_entity; the others are left out before pairs are counted.
+    all of ``docs``. Entities of the same texts are one class, so that a list of many, repeated as a
+    whole, makes no pairs of each with each word. Entities of one distinct text and terms too common for
+    any entity of theirs (n_term over n_entity / p) cannot pass and are left out before pairs are counted.
     """
     n = max(1, docs.count())
-    named = texts.select("s1", "s2", "copies", F.explode(F.array_distinct(F.flatten(F.transform("spans", entities)))).alias("entity"))
-    named = stored(named, "entities")
-    n_entity = named.groupBy("entity").agg(F.sum("copies").alias("n_entity")).filter(F.col("n_entity") < n)
-    named = stored(named.join(n_entity, "entity"), "counted-entities")
+    least = math.exp(-residual)
+    each = F.explode(F.array_distinct(F.flatten(F.transform("spans", entities))))
+    named = stored(texts.select("s1", "s2", "copies", each.alias("entity")), "entities")
+    place = F.xxhash64("s1", "s2").cast("decimal(38,0)")
+    counted = named.groupBy("entity").agg(
+        F.count("*").alias("n_texts"), F.sum("copies").alias("n_entity"), F.sum(place).alias("places"), F.bit_xor(F.xxhash64("s2", "s1")).alias("mix")
+    )
+    counted = counted.filter((F.col("n_texts") > 1) & (F.col("n_entity") < n))
+    kind = ["n_texts", "n_entity", "places", "mix"]
+    classes = counted.groupBy(*kind).agg(F.min("entity").alias("class"))
+    members = named.join(counted.join(classes, kind).filter("entity = class").select("entity", "n_entity"), "entity")
+    members = stored(members, "counted-entities")
+    if members.isEmpty():  # then no pair can pass
+        return texts.select("s1", "s2", F.lit("").alias("term")).limit(0)
+    some = texts.join(members.select("s1", "s2").distinct().hint("merge"), ["s1", "s2"], "left_semi")
     known = docs.select(F.explode(_terms(F.col("text"))).alias("term")).groupBy("term").agg(F.count("*").alias("n_term"))
-    words = _outside(texts).select("s1", "s2", F.explode("terms").alias("term")).join(known, "term")
-    most = F.pow(F.col("n_entity"), F.lit(disclosure)) * F.pow(F.lit(float(n)), F.lit(1 - disclosure)) * (1 + 1e-9)
-    near = stored(named.join(words.hint("merge"), ["s1", "s2"]).filter(F.col("n_term") <= most), "near")
+    words = stored(_outside(some).join(known.hint("merge"), "term").filter("n_term > 1"), "words")
+    met = members.join(words.hint("merge"), ["s1", "s2"]).filter(F.col("n_term") * least <= F.col("n_entity"))
+    near = stored(met, "near")
     pairs = near.groupBy("entity", "term", "n_entity", "n_term").agg(F.sum("copies").alias("n_both"), F.count("*").alias("n_texts"))
-    sure = F.col("n_texts") / (F.col("n_texts") + unseen)
-    pairs = pairs.withColumn("information", -F.log(F.col("n_entity") / n))
-    pairs = pairs.withColumn("pmi", F.log(sure * F.col("n_both") * n / (F.col("n_entity") * F.col("n_term"))))
-    pairs = pairs.filter(F.col("pmi") >= disclosure * F.col("information")).select("entity", "term")
-    return near.select("s1", "s2", "entity", "term").join(pairs, ["entity", "term"], "left_semi")
+    pairs = stored(pairs.filter("n_texts > 1"), "pairs")
+    tried = max(1, pairs.count())
+    counts = [F.col(c).cast("double") for c in ("n_both", "n_term", "n_texts")]
+    passed = pairs.filter(assured(*counts) >= least)
+    passed = passed.filter(surprise(*counts, F.col("n_entity") / n) >= math.log(tried / CHANCE))
+    return near.select("s1", "s2", "entity", "term").join(passed.select("entity", "term"), ["entity", "term"], "left_semi").select("s1", "s2", "term").distinct()
 
 
 def _everywhere(rows: DataFrame, terms: DataFrame) -> DataFrame:
@@ -156,45 +209,52 @@ def _everywhere(rows: DataFrame, terms: DataFrame) -> DataFrame:
     return held.join(slots, "slot", "left_semi").select("k1", "k2", "term").join(terms.hint("merge"), "term", "left_semi")
 
 
-def _marked(rows: DataFrame) -> DataFrame:
-    """Adds terms, the places of the words in ``found`` outside of spans, to (text, spans, found)."""
-    has = F.size("found") > 0
-    rows = _located(rows, "text", TERM, has, "_words")
-    mine = F.filter("_words", lambda w: F.array_contains("found", F.lower(w["value"])))
-    apart = lambda w: ~F.exists("spans", lambda s: (w["start"] < s["end"]) & (w["end"] > s["start"]))
-    span = lambda w: F.struct(w["start"].alias("start"), F.lit(KINDS.index("term")).alias("kind"), w["end"].alias("end"), F.lower(w["value"]).alias("value"))
-    terms = F.transform(F.filter(mine, apart), span).cast(f"array<{_SPAN}>")
-    return rows.withColumn("terms", F.when(has, terms).otherwise(F.array().cast(f"array<{_SPAN}>"))).drop("_words")
+def _marked(rows: DataFrame, hits: DataFrame) -> DataFrame:
+    """(k1, k2, terms): the places of the words of ``hits`` (k1, k2, term) in (k1, k2, text, spans) outside of spans.
+
+    Words become rows with their places, are joined with the terms, and what is met is put together again.
+    """
+    rows = rows.withColumn("covered", _united(F.col("spans")))
+    rows = rows.select("k1", "k2", _blanked(F.col("text"), F.col("covered")).alias("text"))
+    placed = _located(rows, "text", MARKED_TERM, F.lit(True), "words")
+    words = placed.select("k1", "k2", F.explode("words").alias("w")).filter(~F.contains("w.value", F.lit("\x01")))
+    words = words.withColumn("term", F.lower("w.value"))
+    span = F.struct(F.col("w.start").alias("start"), F.lit(KINDS.index("term")).alias("kind"), F.col("w.end").alias("end"), F.col("term").alias("value")).cast(_SPAN)
+    met = words.join(hits.hint("merge"), ["k1", "k2", "term"], "left_semi")
+    return met.groupBy("k1", "k2").agg(F.sort_array(F.collect_list(span)).alias("terms"))
 
 
-def find(docs: DataFrame, disclosure: float = DISCLOSURE, unseen: float = UNSEEN, everywhere: bool = False) -> DataFrame:
+def find(docs: DataFrame, residual: float = RESIDUAL, everywhere: bool = False) -> DataFrame:
     """(doc_id, k1, k2, spans, terms) for every row: pattern matches and disclosing terms.
 
     spans and terms are array<struct<start, kind, end, value>> with kind a place in :data:`KINDS`,
-    places in code points and ends exclusive. Terms are all mentions in whole texts: of the terms
-    that disclose an entity of the same text or, if ``everywhere``, any entity of the corpus. A null
-    text is empty. Repeated rows have equal results.
+    places in code points and ends exclusive. Terms are all mentions in whole texts, however long: of the
+    terms that disclose an entity of the same text or, if ``everywhere``, any entity of the corpus. A
+    null text is empty. Repeated rows have equal results. Other columns are not looked at.
     """
-    rows = with_keys(documents(docs)).withColumnsRenamed({"_k1": "k1", "_k2": "k2"})
+    rows = with_keys(documents(docs), ("k1", "k2"))
     rows = rows.withColumn("text", F.coalesce("text", F.lit("")))
     some = F.size("spans") > 0
     base = base_spans(rows, "text").withColumns({"s1": F.xxhash64("text"), "s2": F.xxhash64(F.length("text"), "text")})
     base = stored(base.select("doc_id", "k1", "k2", "s1", "s2", "spans", F.when(some, F.col("text")).alias("text")), "spans")
+    none = F.array().cast(f"array<{_SPAN}>")
     same = base.filter(some).groupBy("s1", "s2")
     texts = stored(same.agg(F.count("*").alias("copies"), F.first("spans").alias("spans"), F.first("text").alias("text")), "texts")
-    pairs = stored(revealing(rows, texts, disclosure, unseen), "revealing")
+    pairs = stored(revealing(rows, texts, residual), "revealing")
+    if pairs.isEmpty():
+        return base.select("doc_id", "k1", "k2", "spans", none.alias("terms"))
     if everywhere:
         hits = _everywhere(rows, stored(pairs.select("term").distinct(), "terms"))
     else:
-        hits = base.filter(some).select("k1", "k2", "s1", "s2").join(pairs, ["s1", "s2"]).select("k1", "k2", "term")
-    hits = stored(hits.groupBy("k1", "k2").agg(F.collect_set("term").alias("found")), "hits")
+        hits = base.filter(some).select("k1", "k2", "s1", "s2").join(pairs.hint("merge"), ["s1", "s2"]).select("k1", "k2", "term")
+    hits = stored(hits.distinct(), "hits")
     # Only rows with a term need their text again; each is looked through once, repeated or not.
-    held = rows.select("k1", "k2", "text").join(hits.hint("merge"), ["k1", "k2"]).dropDuplicates(["k1", "k2"])
-    held = held.join(base.filter(some).select("k1", "k2", "spans").dropDuplicates(["k1", "k2"]).hint("merge"), ["k1", "k2"], "left")
-    held = held.withColumn("spans", F.coalesce("spans", F.array().cast(base.schema["spans"].dataType)))
-    terms = stored(_marked(held).select("k1", "k2", "terms"), "term-spans")
+    held = rows.select("k1", "k2", "text").join(hits.select("k1", "k2").distinct().hint("merge"), ["k1", "k2"], "left_semi")
+    spans = base.filter(some).select("k1", "k2", "spans").dropDuplicates(["k1", "k2"])
+    held = held.dropDuplicates(["k1", "k2"]).join(spans.hint("merge"), ["k1", "k2"], "left").withColumn("spans", F.coalesce("spans", none))
+    terms = stored(_marked(held, hits), "term-spans")
     joined = base.select("doc_id", "k1", "k2", "spans").join(terms.hint("merge"), ["k1", "k2"], "left")
-    return joined.withColumn("terms", F.coalesce("terms", F.array().cast(f"array<{_SPAN}>")))
+    return joined.withColumn("terms", F.coalesce("terms", none))
 
 
 def listed(spans: Column) -> Column:
@@ -221,17 +281,18 @@ def sanitised(docs: DataFrame, **thresholds) -> DataFrame:
 
     An entity becomes its kind in brackets, ``[EMAIL]``; a disclosing term becomes ``[TERM]``, or
     ``[NUMBER]`` if it is one. Spans that overlap become one, of the first one's kind. Texts without
-    spans, null ones too, stay as they are.
+    spans, null ones too, stay as they are. Columns may have any names.
     """
     text = "text"
+    k1, k2, spans = (unused(docs, name) for name in ("_k1", "_k2", "_spans"))
     found = find(docs, everywhere=True, **thresholds).filter(F.size("spans") + F.size("terms") > 0)
     numbered = F.transform("terms", lambda s: F.struct(s["start"], F.when(s["value"].rlike("^[0-9]+$"), len(KINDS)).otherwise(s["kind"]).alias("kind"), s["end"], s["value"]).cast(_SPAN))
-    masks = found.dropDuplicates(["k1", "k2"]).select(F.col("k1").alias("_k1"), F.col("k2").alias("_k2"), _united(F.concat("spans", numbered)).alias("_spans"))
+    masks = found.dropDuplicates(["k1", "k2"]).select(F.col("k1").alias(k1), F.col("k2").alias(k2), _united(F.concat("spans", numbered)).alias(spans))
     # Merged at every size: the masks grow with the documents.
-    rows = with_keys(docs).join(stored(masks, "masks").hint("merge"), ["_k1", "_k2"], "left")
+    rows = with_keys(docs, (k1, k2)).join(stored(masks, "masks").hint("merge"), [k1, k2], "left")
     names = F.array(*(F.lit(f"[{k.upper()}]") for k in [*KINDS, "number"]))
-    begin = lambda i: F.when(i == 0, F.lit(0).cast("long")).otherwise(F.try_element_at("_spans", i)["end"])
+    begin = lambda i: F.when(i == 0, F.lit(0).cast("long")).otherwise(F.try_element_at(F.col(spans), i)["end"])
     piece = lambda s, i: F.concat(F.substring(text, begin(i).cast("int") + 1, (s["start"] - begin(i)).cast("int")), F.element_at(names, s["kind"] + 1))
-    tail = F.substring(text, F.element_at("_spans", -1)["end"].cast("int") + 1, F.length(text))
-    masked = F.when(F.size("_spans") > 0, F.concat(F.array_join(F.transform("_spans", piece), ""), tail)).otherwise(F.col(text))
+    tail = F.substring(text, F.element_at(spans, -1)["end"].cast("int") + 1, F.length(text))
+    masked = F.when(F.size(spans) > 0, F.concat(F.array_join(F.transform(spans, piece), ""), tail)).otherwise(F.col(text))
     return rows.withColumn(text, masked).select(*(F.col(f"`{c}`") for c in docs.columns))

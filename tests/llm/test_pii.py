@@ -85,30 +85,103 @@ def test_terms_that_disclose(told):
     assert terms[200] == [] and ("zorro", "zorro") in terms[300]
 
 
-def test_pairs_equal_a_plain_count(told):
+def plain_terms(rows):
+    """The terms that disclose an entity, by plain counts over all rows and distinct texts."""
     import math
 
-    docs, texts = told
     near: dict = {}
-    entities: dict = {}
-    for text in set(texts.values()):
-        for m in re.finditer(r"\w+@\w+\.mx", text):
-            entities.setdefault(m[0], set()).add(text)
-            for t in re.finditer(r"\w+", text):
-                if (t.end() <= m.start() or t.start() >= m.end()) and t.start() >= m.start() - 80:
-                    near.setdefault((m[0], t[0]), set()).add(text)
-    n = len(texts)
-    expected = set()
-    for (entity, term), together in near.items():
-        n_term = sum(term in re.findall(r"\w+", t) for t in texts.values())
-        information = -math.log(len(entities[entity]) / n)
-        pmi = math.log(len(together) * n / (len(entities[entity]) * n_term))
-        if len(together) >= 3 and pmi >= 0.8 * information:
-            expected.add((entity, term))
-    flagged = set()
-    for r in pii.find(docs).collect():
-        flagged |= {t["value"] for t in r["terms"]}
-    assert flagged == {t for _, t in expected}
+    n_entity: dict = {}
+    n_term: dict = {}
+    for text in rows:
+        spans = brute(text)
+        named = set()
+        for start, kind, end in spans:
+            value = text[start:end].lower()
+            digits = re.sub("[^0-9]", "", value)
+            part = [value.rpartition("@")[2], ".".join(value.split(".")[:3]), digits[:6], digits[:-4]][kind]
+            named |= {f"{kind}:{value}", f"{kind}@{part}"}
+        outside = {m[0].lower() for m in re.finditer(r"[^\W_]+", text) if not any(m.start() < e and m.end() > s for s, _, e in spans)}
+        for e in named:
+            n_entity.setdefault(e, []).append(text)
+            for t in outside:
+                near.setdefault((e, t), []).append(text)
+        for t in {m[0].lower() for m in re.finditer(r"[^\W_]+", text)}:
+            n_term[t] = n_term.get(t, 0) + 1
+    least = math.exp(-0.9)
+    classes = {frozenset(v): min(e for e in n_entity if set(n_entity[e]) == set(v)) for v in n_entity.values() if len(set(v)) > 1}
+    pairs = {k: v for k, v in near.items() if k[0] in classes.values() and len(set(v)) > 1 and n_term[k[1]] * least <= len(n_entity[k[0]])}
+    out = set()
+    for (e, t), texts in pairs.items():
+        p, d = len(texts) / n_term[t], len(set(texts))
+        m, chance, z = d / p, len(n_entity[e]) / len(rows), 1.645
+        low = (p + z * z / 2 / m - z * math.sqrt(p * (1 - p) / m + z * z / 4 / m / m)) / (1 + z * z / m)
+        odd = m * (p * math.log(p / chance) + ((1 - p) * math.log((1 - p) / (1 - chance)) if p < 1 else 0)) if p > chance else 0
+        if low >= least and odd >= math.log(len(pairs) / 0.05):
+            out.add((e, t))
+    return out
+
+
+def crowd(seed=7, n=300):
+    """Texts with shared domains, lists of entities, copies and words that go with some of them."""
+    r = random.Random(seed)
+    rows = []
+    for i in range(n):
+        k = r.randrange(12)
+        said = [r.choice(["the", "a", "note", "goes", "on", f"w{r.randrange(60)}"]) for _ in range(r.randrange(3, 12))]
+        if k < 5:
+            said += [f"guild{k}", f"m{r.randrange(3)}@house{k}.org"]
+        if k == 5:
+            said += ["+1 (212) 555-01" + str(r.randrange(10, 14)), "switchboard"]
+        if k == 6:
+            said += ["10.1.2." + str(r.randrange(3)), "rack", "4111 1111 1111 1111", "a@b.co,c@d.co,e@f.co"]
+        if r.random() < 0.1:
+            said.append(r.choice(["guild1", "rack", "switchboard"]))
+        r.shuffle(said)
+        rows += [" ".join(said)] * (r.choice([1, 1, 1, 1, 40]) if k < 8 else 1)
+    return rows
+
+
+def test_disclosing_terms_equal_plain_counts(spark):
+    rows = crowd()
+    docs = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string").repartition(5)
+    expected = plain_terms(rows)
+    terms = {t for _, t in expected}
+    assert {"guild0", "rack"} <= terms and not {"the", "note"} & terms
+    for everywhere in (True, False):
+        for r in pii.find(docs, everywhere=everywhere).collect():
+            text, spans = rows[r["doc_id"]], brute(rows[r["doc_id"]])
+            named = set()
+            for start, kind, end in spans:
+                digits = re.sub("[^0-9]", "", text[start:end])
+                part = [text[start:end].rpartition("@")[2], ".".join(text[start:end].split(".")[:3]), digits[:6], digits[:-4]][kind]
+                named |= {f"{kind}:{text[start:end]}", f"{kind}@{part}"}
+            mine = terms if everywhere else {t for e, t in expected if any(same_texts(rows, e, x) for x in named)}
+            want = [(m.start(), m.end(), m[0]) for m in re.finditer(r"[^\W_]+", text) if m[0] in mine and not any(m.start() < e and m.end() > s for s, _, e in spans)]
+            assert [(t["start"], t["end"], t["value"]) for t in r["terms"]] == want, text
+
+
+_HOLDERS: dict = {}
+
+
+def same_texts(rows, one, other):
+    """Whether two entities are in the same texts."""
+    if not _HOLDERS:
+        for text in set(rows):
+            for start, kind, end in brute(text):
+                digits = re.sub("[^0-9]", "", text[start:end])
+                part = [text[start:end].rpartition("@")[2], ".".join(text[start:end].split(".")[:3]), digits[:6], digits[:-4]][kind]
+                for e in (f"{kind}:{text[start:end]}", f"{kind}@{part}"):
+                    _HOLDERS.setdefault(e, set()).add(text)
+    return _HOLDERS[one] == _HOLDERS[other]
+
+
+def test_words_of_one_text_disclose_nothing(spark):
+    """Neither words seen once beside an entity nor a corpus of any size makes them terms."""
+    r = random.Random(2)
+    for n in (40, 1500):
+        rows = [(i, " ".join(f"v{r.randrange(10**6)}" for _ in range(20)) + (f" u{i}@h{i}.org" if i % 9 == 0 else "")) for i in range(n)]
+        found = pii.find(spark.createDataFrame(rows, "doc_id long, text string"), everywhere=True)
+        assert found.filter("size(terms) > 0").count() == 0
 
 
 def test_sanitised(told, odd, none):
@@ -129,6 +202,12 @@ def test_overlaps_are_masked_once(spark):
     assert row["text"] == "[EMAIL] and [IP]"
 
 
+def test_columns_of_any_name_are_handed_on(spark):
+    names = "doc_id long, text string, _k1 int, _k2 int, __k1 int, _spans int, spans int, k1 string, terms string"
+    docs = spark.createDataFrame([(1, "to a@b.co", 1, 2, 3, 4, 5, "six", "seven"), (2, None, 1, 2, 3, 4, 5, "six", "seven")], names)
+    assert sorted(map(tuple, pii.sanitised(docs).collect())) == [(1, "to [EMAIL]", 1, 2, 3, 4, 5, "six", "seven"), (2, None, 1, 2, 3, 4, 5, "six", "seven")]
+
+
 def test_main_path_is_native(told):
     docs, _ = told
     for df in (pii.find(docs), pii.sanitised(docs)):
@@ -136,13 +215,13 @@ def test_main_path_is_native(told):
         assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
 
 
-def test_an_entity_of_one_or_two_texts_gets_terms(spark):
+def test_an_entity_of_two_texts_gets_terms_and_one_of_one_does_not(spark):
     rows = [(i, f"filler number w{i} goes on") for i in range(200)]
     rows += [(500, "filler rarissima calls rare@one.mx on"), (501, "filler twofold calls +1 (212) 555-0199"), (502, "filler twofold goes to +1 (212) 555-0199")]
     rows += [(600 + i, f"filler guildhall writes to member{i}@guild.mx") for i in range(4)]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     terms = {r["doc_id"]: {t["value"] for t in r["terms"]} for r in pii.find(docs).collect()}
-    assert "rarissima" in terms[500] and "twofold" in terms[501] & terms[502]
+    assert "rarissima" not in terms[500] and "twofold" in terms[501] & terms[502]  # one text is no statistic
     assert all("guildhall" in terms[600 + i] for i in range(4))  # each address is in one text, the domain in four
     assert not {"filler", "on", "goes"} & set().union(*terms.values())
 
