@@ -10,7 +10,7 @@ import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sluice.llm.common import map_rows, stored
+from sluice.llm.common import map_rows, stored, unused
 
 # Language families by ISO 639-1 code. A language not named is a family of its own.
 FAMILIES = {
@@ -27,7 +27,7 @@ FAMILY = {code: family for family, codes in FAMILIES.items() for code in codes}
 #: Hashed byte 3-gram features; rows of each language that the fit takes at most.
 FEATURES = 4096
 SAMPLE_PER_LANGUAGE = 400
-#: Languages that a fit accepts; with the sample it bounds the model and the broadcast of chosen hashes.
+#: Languages that a fit learns, the commonest ones; with the sample it bounds the model.
 MAX_LANGUAGES = 256
 UNKNOWN = "und"
 LETTER = regex.compile(r"\p{L}")
@@ -104,21 +104,39 @@ def squash(margin: float) -> float:
     return float(1 / (1 + np.exp(-2 * np.clip(margin, -30, 30))))
 
 
-def fit(examples: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE) -> Hierarchy | None:
-    """Fits on (text, lang) rows with both given and a letter in the text.
+def sampled(examples: DataFrame, per_language: int, max_languages: int) -> DataFrame:
+    """(lang, text) rows: of the commonest languages the distinct texts with the smallest hashes.
 
-    The fit takes at most ``per_language`` rows of each language, those with the smallest hash of
-    the text, so equal input gives an equal model. Their features, 16 KB a row, go to the driver.
-    None without usable rows.
+    How many distinct texts a language has tells below which hash its smallest ones lie, so only
+    these few, not all of a language, are brought together and ranked.
     """
     usable = examples.select("lang", "text").filter("text is not null and lang is not null")
     usable = usable.withColumn("h", F.xxhash64("text"))
+    hashes = stored(usable.select("lang", "h").distinct(), "language-hashes")
+    sizes = hashes.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(max_languages).collect()
+    if not sizes:
+        return usable.limit(0).select("lang", "text")
+    # Hashes are spread evenly; so much room that a language all but surely has enough below its bound.
+    wanted = per_language + 10 * per_language**0.5 + 10
+    bound = lambda n: min((1 << 63) - 1, int(-(1 << 63) + (1 << 64) * wanted / n))
+    bounds = F.create_map(*(F.lit(x) for lang, n in sizes for x in (lang, bound(n))))
+    low = hashes.withColumn("bound", F.try_element_at(bounds, F.col("lang"))).filter("h <= bound")
     rank = F.row_number().over(Window.partitionBy("lang").orderBy("h"))
-    chosen = usable.select("lang", "h").distinct().withColumn("rank", rank).filter(F.col("rank") <= per_language)
-    chosen = stored(chosen.select("lang", "h"), "language-sample")
-    if chosen.count() > MAX_LANGUAGES * per_language:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages")
-    taken = usable.join(F.broadcast(chosen), ["lang", "h"], "left_semi").dropDuplicates(["lang", "h"])
+    chosen = stored(low.select("lang", "h", rank.alias("rank")).filter(F.col("rank") <= per_language), "language-sample")
+    # At most max_languages x per_language hashes.
+    taken = usable.join(F.broadcast(chosen.select("lang", "h")), ["lang", "h"], "left_semi")
+    return taken.dropDuplicates(["lang", "h"]).select("lang", "text")
+
+
+def fit(examples: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE, max_languages: int = MAX_LANGUAGES) -> Hierarchy | None:
+    """Fits on (text, lang) rows with both given and a letter in the text.
+
+    The fit takes at most ``per_language`` texts of each of the ``max_languages`` languages with the most
+    distinct texts (ties by name), those with the smallest hash of the text, so equal input gives an
+    equal model; rarer values of ``lang`` are not learned. Their features, 16 KB a row, go to the
+    driver. None without usable rows.
+    """
+    taken = sampled(examples, per_language, max_languages)
 
     def make():
         return lambda text, lang: [(lang, features(text).tobytes())] if LETTER.search(text) else []
@@ -137,12 +155,9 @@ def identify(docs: DataFrame, model: Hierarchy | None, text: str = "text", names
     """
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(model)  # 16 KB for each pair of languages in a family
-    judge = _judge(shared)
-    return (
-        docs.withColumn("_judged", judge(F.col(text)))
-        .withColumns(dict(zip(names, (F.col("_judged.lang_pred"), F.col("_judged.score")))))
-        .drop("_judged")
-    )
+    judged = unused(docs, "_judged")
+    each = [F.col(f"{judged}.{c}") for c in ("lang_pred", "score")]
+    return docs.withColumn(judged, _judge(shared)(F.col(text))).withColumns(dict(zip(names, each))).drop(judged)
 
 
 def _judge(shared):
