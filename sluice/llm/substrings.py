@@ -9,9 +9,11 @@ duplicate spans.
 
 Only windows that can repeat are indexed. The smallest hash of the runs of :data:`ANCHOR` words in a
 window is its anchor; equal windows have equal anchors, and neighbouring windows mostly share
-theirs. So windows whose anchor is found in one text only, and once there, are left out before
-anything of their number is shuffled. Copies of a whole text are told by its digest first and take
-no part, since their first one stands for them.
+theirs. Bloom filters of one size pass on what matters and little else: rows that are the first copy of their
+text, the anchors that two texts or two places share, the texts that hold such anchors, and the
+windows found twice. Windows are compared by hash after that, so what a filter lets through in
+vain costs time and changes nothing. Copies of a whole text are told by its digest first and take no
+part, since their first one stands for them.
 """
 
 from __future__ import annotations
@@ -20,13 +22,14 @@ from collections.abc import Iterator
 from hashlib import sha256
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
-from sluice.llm.common import documents, map_arrays, map_rows, run_hashes, stored, word_hashes
+from sluice.llm.common import Bloom, discard, documents, map_arrays, map_rows, passing, run_hashes, stored, word_hashes, written
 
 WINDOW = 20
 ANCHOR = 8
@@ -57,74 +60,85 @@ def _number(digest: bytes) -> int:
     return int.from_bytes(digest[:8], "little", signed=True)
 
 
-def _parsed(docs: DataFrame) -> DataFrame:
-    """(doc_id, at, n_words, digest, text_key) of every row: its order, and what its words are."""
+def _keyed(docs: DataFrame) -> DataFrame:
+    """(doc_id, at, same, text): a row's place among all, and a hash that tells texts of one place apart."""
+    at = F.coalesce("doc_id", F.lit(LAST))
+    return docs.select("doc_id", at.alias("at"), F.xxhash64("text").alias("same"), F.col("text").cast("binary").alias("text"))
 
-    def make():
-        def give(doc_id, text):
-            words = (text or b"").split()
-            digest = _digest(words)
-            return [(doc_id, LAST if doc_id is None else doc_id, len(words), digest, _number(digest))]
-
-        return give
-
-    rows = docs.select("doc_id", F.col("text").cast("binary"))
-    return map_rows(rows, make, "doc_id long, at long, n_words long, digest binary, text_key long")
 
+def _parsed(docs: DataFrame, window: int) -> DataFrame:
+    """(doc_id, at, same, n_words, digest, text_key, anchors, again) of every row.
 
-def _repeated_anchors(docs: DataFrame, window: int) -> DataFrame:
-    """(text_key, anchors): the anchors of each text that other texts or other places in it have too."""
+    ``anchors`` are the distinct ones of a text's windows, ``again`` those of them that it has twice.
+    """
 
     def make():
         hashes = word_hashes()
 
-        def give(text):
+        def give(doc_id, at, same, text):
             words = (text or b"").split()
-            runs = run_hashes(hashes(words), ANCHOR)
+            digest = _digest(words)
+            runs = run_hashes(hashes(words), ANCHOR) if len(words) >= window else np.zeros(0, np.uint64)
             each = np.unique(anchors(runs, window))
-            if not len(each):
-                return ()
             known, counts = np.unique(runs, return_counts=True)
-            times = counts[np.searchsorted(known, each)]
-            key = _number(_digest(words))
-            return each.view(np.int64), np.full(len(each), key), times > 1
+            twice = each[counts[np.searchsorted(known, each)] > 1] if len(each) else each
+            lists = (x.view(np.int64).tolist() for x in (each, twice))
+            return [(doc_id, at, same, len(words), digest, _number(digest), *lists)]
 
         return give
 
-    rows = map_arrays(docs.select(F.col("text").cast("binary")), make, "anchor long, text_key long, again boolean")
-    shared = rows.groupBy("anchor").agg(F.min("text_key").alias("x"), F.max("text_key").alias("y"), F.max("again").alias("again"))
-    shared = shared.filter("again or x <> y").select("anchor")
-    return rows.join(shared, "anchor").groupBy("text_key").agg(F.collect_set("anchor").alias("anchors"))
+    schema = "doc_id long, at long, same long, n_words long, digest binary, text_key long, anchors array<long>, again array<long>"
+    return map_rows(_keyed(docs), make, schema, flush=256)
 
 
-def _candidates(docs: DataFrame, firsts: DataFrame, window: int) -> DataFrame:
-    """(at, text_key, text, anchors): first copies with repeated anchors, for which windows are looked up."""
-    wanted = firsts.join(_repeated_anchors(docs, window), "text_key").select(F.col("doc_id").alias("wanted_id"), "at", "text_key", "anchors")
-    rows = docs.select("doc_id", F.col("text").cast("binary"))
-    met = rows.join(wanted, F.col("doc_id").eqNullSafe(F.col("wanted_id")))
+def _shared_anchors(parsed: DataFrame, firsts: DataFrame) -> Bloom:
+    """The anchors that two texts share or one has twice.
 
-    def make():
-        def give(at, text, text_key, found):
-            return [(at, text_key, text, found)] if _number(_digest(text.split())) == text_key else []
+    Copies have their first one's text_key, so letting some through shares no anchor.
+    """
+    place = F.xxhash64("at", "text_key")
+    rows = passing(parsed.withColumn("place", place), "place", Bloom.of(firsts.select(place.alias("place"))))
+    each = rows.select("text_key", F.explode("anchors").alias("anchor"))
+    met = each.groupBy("anchor").agg(F.min("text_key").alias("x"), F.max("text_key").alias("y")).filter("x <> y")
+    return Bloom.of(met.select("anchor").unionByName(rows.select(F.explode("again").alias("anchor"))))
+
+
+def _with_any(rows: DataFrame, column: str, bloom: Bloom) -> DataFrame:
+    """The rows with an element of an array that a filter passes."""
+    shared = rows.sparkSession.sparkContext.broadcast(bloom)
+
+    def test(lists: pd.Series) -> pd.Series:
+        return pd.Series([len(x) > 0 and bool(shared.value.passing(np.asarray(x, np.int64)).any()) for x in lists], dtype=bool)
+
+    return rows.filter(F.pandas_udf(test, "boolean")(F.col(column)))
 
-        return give
 
-    # Where rows repeat an id, only the text that is meant stays; equal rows are one.
-    schema = "at long, text_key long, text binary, anchors array<long>"
-    return map_rows(met.filter("text is not null").select("at", "text", "text_key", "anchors"), make, schema, flush=64)
+def _candidates(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(at, text_key, text) of the wanted (at, same, text_key), once each: few other texts are moved."""
+    rows = passing(_keyed(docs).drop("doc_id").filter("text is not null"), "same", Bloom.of(wanted.select("same")))
+    met = rows.join(wanted.hint("merge"), ["at", "same"]).dropDuplicates(["at", "same"])
+    return met.select("at", "text_key", "text")
 
 
-def _windows(candidates: DataFrame, window: int) -> DataFrame:
-    """(hash, at, text_key, start) of the windows whose anchor is repeated."""
+def _windows(candidates: DataFrame, window: int, held: Bloom, repeated: Bloom | None = None) -> DataFrame:
+    """(hash, at, text_key, start) of the windows whose anchor is held, and that may be repeated."""
+    context = candidates.sparkSession.sparkContext
+    shared = context.broadcast((held, repeated))
 
     def make():
         hashes = word_hashes()
 
-        def give(at, text_key, text, found):
+        def give(at, text_key, text):
+            held, repeated = shared.value
             each = hashes(text.split())
-            repeated = np.isin(anchors(run_hashes(each, ANCHOR), window), np.array(found, np.int64).view(np.uint64))
-            starts = np.flatnonzero(repeated)
+            of = anchors(run_hashes(each, ANCHOR), window)
+            # Neighbours mostly share their anchor, so each run of equal ones is looked up once.
+            new = np.flatnonzero(np.append(True, of[1:] != of[:-1]))
+            starts = np.flatnonzero(np.repeat(held.passing(of[new].view(np.int64)), np.diff(np.append(new, len(of)))))
             keys = run_hashes(each, window)[starts].view(np.int64)
+            if repeated is not None:
+                some = repeated.passing(keys)
+                starts, keys = starts[some], keys[some]
             n = len(starts)
             return (keys, np.full(n, at), np.full(n, text_key), starts.astype(np.int32)) if n else ()
 
@@ -145,11 +159,13 @@ def factors(starts: np.ndarray, ref_ids: np.ndarray, ref_starts: np.ndarray, win
     return [dict(zip(names, values)) for values in zip(*(c.tolist() for c in columns))]
 
 
-def _factors(candidates: DataFrame, window: int) -> DataFrame:
+def _factors(candidates: DataFrame, window: int, held: Bloom) -> DataFrame:
     """(at, text_key, factors) of the texts that have any."""
-    rows = _windows(candidates, window)
+    rows = _windows(candidates, window, held).select("hash", "at", "start")
     earliest = rows.groupBy("hash").agg(F.min(F.struct("at", "start")).alias("first"), F.count("*").alias("k")).filter("k > 1")
-    met = rows.join(earliest.select("hash", "first"), "hash")
+    earliest = stored(earliest.select("hash", "first"), "repeated-windows")
+    rows = _windows(candidates, window, held, Bloom.of(earliest.select("hash")))
+    met = rows.join(earliest.hint("merge"), "hash")
     met = met.filter((F.col("at") != F.col("first.at")) | (F.col("start") != F.col("first.start")))
     found = F.collect_set(F.struct("start", F.col("first.at").alias("ref"), F.col("first.start").alias("ref_start")))
     each = met.groupBy("at", "text_key").agg(found.alias("found"))
@@ -186,25 +202,33 @@ def substring_duplicates(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     judged on the input, so a copy of a whole text loses all its words if it has ``window`` of
     them; its factor then is the first copy. Null texts have no words. Rows that share an id are
     one document: equal rows have equal results, and of different texts the earlier start counts.
-    A null id comes after all others, as ref_id too.
+    A null id comes after all others, as ref_id too. Texts are read whole, however long; other
+    columns are not looked at. An empty table gives no rows.
     """
     docs = documents(docs)
-    parsed = stored(_parsed(docs), "parsed")
+    spark = docs.sparkSession
+    path = written(_parsed(docs, window), "parsed")
+    wide = spark.read.parquet(path)
+    parsed = wide.select("doc_id", "at", "same", "n_words", "digest", "text_key")
     first = parsed.groupBy("digest").agg(F.min("at").alias("first_at"))
-    parsed = parsed.join(first, "digest")
+    parsed = stored(parsed.join(first.hint("merge"), "digest"), "places")
     firsts = parsed.filter(F.col("at") == F.col("first_at")).filter(F.col("n_words") >= window)
-    firsts = firsts.select("doc_id", "at", "text_key").distinct()
-    candidates = stored(_candidates(docs, firsts, window).dropDuplicates(["at", "text_key"]), "candidates")
-    found = stored(_factors(candidates, window), "factors")
+    firsts = stored(firsts.groupBy("at", "text_key").agg(F.min("same").alias("same")), "first-copies")
+    held = _shared_anchors(wide, firsts)
+    with_any = _with_any(wide.select("at", "text_key", "anchors"), "anchors", held).select("at", "text_key").distinct()
+    wanted = stored(firsts.join(with_any.hint("merge"), ["at", "text_key"]), "wanted")
+    discard(spark, path)
+    candidates = stored(_candidates(docs, wanted), "candidates")
+    found = stored(_factors(candidates, window, held), "factors")
 
     def make():
         return lambda at, text_key, text, spans: [(at, text_key, *_cut(text, spans), spans)]
 
-    met = candidates.join(found, ["at", "text_key"]).select("at", "text_key", "text", "factors")
+    met = candidates.join(found.hint("merge"), ["at", "text_key"]).select("at", "text_key", "text", "factors")
     cut = map_rows(met, make, f"at long, text_key long, n_cut long, cut_sha256 string, factors {FACTORS}", flush=256)
     copy = (F.col("at") > F.col("first_at")) & (F.col("n_words") >= window)
     whole = F.array(F.struct(F.lit(0).alias("start"), F.col("n_words").cast("int").alias("length"), F.col("first_at").alias("ref_id"), F.lit(0).alias("ref_start")))
-    return parsed.join(cut, ["at", "text_key"], "left").select(
+    return parsed.join(cut.hint("merge"), ["at", "text_key"], "left").select(
         "doc_id",
         "n_words",
         F.when(copy, F.col("n_words")).otherwise(F.coalesce("n_cut", F.lit(0))).alias("n_removed"),
