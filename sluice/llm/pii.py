@@ -13,15 +13,16 @@ for every entity and size of corpus, and must be met by a lower confidence bound
 - p(c | t) is the share of the rows with the term that have the entity too, all rows counted, copies
   included. Its confidence comes from the number of distinct texts with both, for copies are no
   evidence; one distinct text never is enough.
-- The meetings must be more than chance would give among all pairs of the corpus: by the Chernoff bound,
-  less than :data:`CHANCE` of such a pair is expected if terms fell on texts at random.
+- The meetings must be more than chance would give among all pairs of an entity and a term that have two
+  texts: by the Chernoff bound, less than :data:`CHANCE` of one such pair is expected in the whole
+  corpus if terms fell on texts at random.
 """
 
 from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sluice.llm.common import documents, stored, unused, with_keys
@@ -189,12 +190,13 @@ def revealing(docs: DataFrame, texts: DataFrame, residual: float = RESIDUAL) ->
         return texts.select("s1", "s2", F.lit("").alias("term")).limit(0)
     some = texts.join(members.select("s1", "s2").distinct().hint("merge"), ["s1", "s2"], "left_semi")
     known = docs.select(F.explode(_terms(F.col("text"))).alias("term")).groupBy("term").agg(F.count("*").alias("n_term"))
-    words = stored(_outside(some).join(known.hint("merge"), "term").filter("n_term > 1"), "words")
+    known = stored(known.filter("n_term > 1"), "terms")
+    words = _outside(some).join(known.hint("merge"), "term")
     met = members.join(words.hint("merge"), ["s1", "s2"]).filter(F.col("n_term") * least <= F.col("n_entity"))
     near = stored(met, "near")
     pairs = near.groupBy("entity", "term", "n_entity", "n_term").agg(F.sum("copies").alias("n_both"), F.count("*").alias("n_texts"))
-    pairs = stored(pairs.filter("n_texts > 1"), "pairs")
-    tried = max(1, pairs.count())
+    pairs = pairs.filter("n_texts > 1")
+    tried = max(1, known.count() * members.select("entity").distinct().count())
     counts = [F.col(c).cast("double") for c in ("n_both", "n_term", "n_texts")]
     passed = pairs.filter(assured(*counts) >= least)
     passed = passed.filter(surprise(*counts, F.col("n_entity") / n) >= math.log(tried / CHANCE))
@@ -216,10 +218,14 @@ def _marked(rows: DataFrame, hits: DataFrame) -> DataFrame:
     """
     rows = rows.withColumn("covered", _united(F.col("spans")))
     rows = rows.select("k1", "k2", _blanked(F.col("text"), F.col("covered")).alias("text"))
-    placed = _located(rows, "text", MARKED_TERM, F.lit(True), "words")
-    words = placed.select("k1", "k2", F.explode("words").alias("w")).filter(~F.contains("w.value", F.lit("\x01")))
-    words = words.withColumn("term", F.lower("w.value"))
-    span = F.struct(F.col("w.start").alias("start"), F.lit(KINDS.index("term")).alias("kind"), F.col("w.end").alias("end"), F.col("term").alias("value")).cast(_SPAN)
+    hit, gap = F.regexp_extract_all("text", F.lit(MARKED_TERM), F.lit(0)), F.split("text", MARKED_TERM, -1)
+    each = F.zip_with(hit, gap, lambda h, g: F.struct(F.lower(h).alias("term"), F.length(h).alias("size"), F.length(g).alias("gap")))
+    words = rows.select("k1", "k2", F.posexplode(each).alias("at", "w")).select("k1", "k2", "at", "w.*").filter("term is not null")
+    # Rows are dealt out by their keys already, so running sums over a text's words take no shuffle.
+    end = F.sum((F.col("gap") + F.col("size")).cast("long")).over(Window.partitionBy("k1", "k2").orderBy("at"))
+    words = words.select("k1", "k2", "term", end.alias("end"), (end - F.col("size")).alias("start"))
+    words = words.filter(~F.contains("term", F.lit("\x01")))
+    span = F.struct("start", F.lit(KINDS.index("term")).alias("kind"), "end", F.col("term").alias("value")).cast(_SPAN)
     met = words.join(hits.hint("merge"), ["k1", "k2", "term"], "left_semi")
     return met.groupBy("k1", "k2").agg(F.sort_array(F.collect_list(span)).alias("terms"))
 

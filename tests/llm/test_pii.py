@@ -109,6 +109,7 @@ def plain_terms(rows):
             n_term[t] = n_term.get(t, 0) + 1
     least = math.exp(-0.9)
     classes = {frozenset(v): min(e for e in n_entity if set(n_entity[e]) == set(v)) for v in n_entity.values() if len(set(v)) > 1}
+    tried = len(classes) * sum(n > 1 for n in n_term.values())
     pairs = {k: v for k, v in near.items() if k[0] in classes.values() and len(set(v)) > 1 and n_term[k[1]] * least <= len(n_entity[k[0]])}
     out = set()
     for (e, t), texts in pairs.items():
@@ -116,7 +117,7 @@ def plain_terms(rows):
         m, chance, z = d / p, len(n_entity[e]) / len(rows), 1.645
         low = (p + z * z / 2 / m - z * math.sqrt(p * (1 - p) / m + z * z / 4 / m / m)) / (1 + z * z / m)
         odd = m * (p * math.log(p / chance) + ((1 - p) * math.log((1 - p) / (1 - chance)) if p < 1 else 0)) if p > chance else 0
-        if low >= least and odd >= math.log(len(pairs) / 0.05):
+        if low >= least and odd >= math.log(tried / 0.05):
             out.add((e, t))
     return out
 
