@@ -68,11 +68,11 @@ def pack_sides(
     return i, d
 
 
-def merge_wide(joined: DataFrame, all_present: bool) -> DataFrame:
+def merge_wide(joined: DataFrame, all_present: bool, carry: tuple[str, ...] = ()) -> DataFrame:
     """Wide records from ``_info`` and ``_detail``: the detail is laid over the order, so a shared
     field is the detail's whenever there is a detail, even when it is NULL."""
     layers = [(F.col(c), joined.schema[c].dataType) for c in ("_info", "_detail")]
-    return joined.select(*overlay(ORDER_WIDE, layers, all_present))
+    return joined.select(*carry, *overlay(ORDER_WIDE, layers, all_present))
 
 
 def order_wide(info: DataFrame, detail: DataFrame, how: str = "inner") -> DataFrame:

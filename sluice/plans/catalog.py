@@ -6,6 +6,8 @@ folder below the shared scratch folder, and return what the sinks hold.
 
 from __future__ import annotations
 
+from datetime import timedelta
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,7 +25,7 @@ from sluice.sources.control import control_files, publish_control
 from sluice.sources.keyed_table import KeyedTable
 from sluice.sources.sinks import FileSink
 from sluice.sources.topics import ReplayTopic, from_offsets, next_offsets
-from sluice.streaming import derived, jobs
+from sluice.streaming import derived, dim_state, jobs, progress, wide
 
 LOG_TOPIC, DB_TOPIC = lr.LogTopics.source, cr.ChangeTopics.source
 
@@ -246,13 +248,84 @@ def log_split_stream(spark: SparkSession, sf: str) -> DataFrame:
     return sink.read(spark).select("topic", "key", "value")
 
 
+def _progress(spark: SparkSession, sf: str, name: str) -> DataFrame:
+    """The progress table of a log split over half the topic, restarted for the rest."""
+    root = scratch_dir(spark, name)
+    halves, _ = _halves(env.app_log(spark, sf))
+    topic = ReplayTopic(f"{root}/topic", LOG_TOPIC, partitions=env.LOG_PARTITIONS)
+    for half in halves:
+        topic.append(half)
+        # A listener a run, as after a restart of the driver: the table is all that is left of the one before.
+        listener = progress.ProgressListener(spark, f"{root}/progress")
+        spark.streams.addListener(listener)
+        try:
+            query = jobs.start_log_split(spark, topic, FileSink(f"{root}/out"), f"{root}/checkpoint", trigger=jobs.ONCE)
+            query.awaitTermination()
+            listener.settled(query)
+        finally:
+            spark.streams.removeListener(listener)
+    return listener.rows()
+
+
+def stream_progress(spark: SparkSession, sf: str) -> DataFrame:
+    """What each batch of a restarted log split has read, per partition."""
+    return _progress(spark, sf, "stream_progress").select("batch", "topic", "partition", "from_offset", "to_offset", "rows", "late_rows")
+
+
 def offset_progress(spark: SparkSession, sf: str) -> DataFrame:
-    """Where a group that has read the whole topic stands."""
-    return next_offsets(env.app_log(spark, sf)).select(
+    """Where a group that has read the whole topic stands, by the progress table of its stream."""
+    return progress.positions(_progress(spark, sf, "offset_progress")).select(
         "topic", F.lit(jobs.LOG_GROUP).alias("group_id"), "partition", "next_offset"
     )
 
 
+def log_counts_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """What a log split over a damaged topic counts per batch: records, verdicts, messages."""
+    root = scratch_dir(spark, "log_counts")
+    halves, _ = _halves(env.damaged_app_log(spark, sf))
+    topic, sink = ReplayTopic(f"{root}/topic", LOG_TOPIC), FileSink(f"{root}/out")
+    counts = jobs.count_log(spark, f"{root}/counts")
+    _replayed(
+        lambda: jobs.start_log_split(spark, topic, sink, f"{root}/checkpoint", trigger=jobs.ONCE, counts=counts),
+        topic.append, halves,
+    )
+    return counts.rows().filter("n > 0").select("batch", "step", "name", "n")
+
+
+def cdc_counts_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """What a change split counts per batch: records, data changes, facts and dimension rows."""
+    root = scratch_dir(spark, "cdc_counts")
+    log = env.change_log(spark, sf)
+    parts = [log.filter("partition < 2"), log.filter("partition >= 2")]
+    topic, dims = ReplayTopic(f"{root}/topic", DB_TOPIC), KeyedTable(spark, f"{root}/dims")
+    counts = jobs.count_log(spark, f"{root}/counts")
+    _replayed(
+        lambda: jobs.start_change_split(
+            spark, topic, lambda: env.control(spark), FileSink(f"{root}/out"), dims, f"{root}/checkpoint",
+            trigger=jobs.ONCE, counts=counts,
+        ),
+        topic.append, parts,
+    )
+    return counts.rows().filter("n > 0").select("batch", "step", "name", "n")
+
+
+def dim_state_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """The newest dimension images from the state of a stream that was stopped after the inserts and restarted."""
+    root = scratch_dir(spark, "dim_state")
+    log = env.change_log(spark, sf, only=("supplier_info", *env.DIM_TABLES))
+    step = F.shiftright("offset", env.STEP_BITS)
+    topic = ReplayTopic(f"{root}/topic", DB_TOPIC)
+    _replayed(
+        lambda: dim_state.start_dim_state(
+            spark, topic, env.control(spark), f"{root}/checkpoint", trigger=jobs.ONCE,
+            partitions=spark.sparkContext.defaultParallelism,
+        ),
+        topic.append, [log.filter(step == 0), log.filter(step > 0)],
+    )
+    rows = dim_state.dim_state(spark, f"{root}/checkpoint")
+    return rows.select(dim_key(F.col("space"), F.col("id")).alias("dim_key"), "op", "data")
+
+
 def sink_keyed(spark: SparkSession, sf: str) -> DataFrame:
     """Fact messages keyed by row id, through the topic sink."""
     sink = FileSink(scratch_dir(spark, "sink_keyed"))
@@ -353,6 +426,45 @@ def order_wide_stream(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.parquet(f"{root}/out")
 
 
+def order_merge_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """Two-sided merge of four batches: early records, later ones, late ones, and one that ends the wait.
+
+    Orders with an id divisible by 43 are never sent; early ones by 41 come late, with their details.
+    """
+    root = scratch_dir(spark, "order_merge")
+    info, detail = env.order_info(spark, sf), env.order_detail(spark, sf)
+    first, last = info.agg(F.min("created"), F.max("created")).first()
+    early = F.col("created") <= F.lit(first + (last - first) / 2)
+    held = early & (F.col("_order") % 41 == 0)
+    sides = [info.withColumn("_order", F.col("id")).filter("id % 43 <> 0"), detail.withColumn("_order", F.col("order_id"))]
+    names = ("DWD_ORDER_INFO_I_1018", "DWD_ORDER_DETAIL_I_1018")
+    topics = [ReplayTopic(f"{root}/{n}", n) for n in names]
+    end = spark.createDataFrame([(-1, -1, last + timedelta(days=30))], "id long, order_id long, created timestamp")
+
+    def append(part) -> None:
+        for rows, name, topic in zip(sides, names, topics):
+            topic.append(_messages(end if part is None else rows.filter(part).drop("_order"), name))
+
+    _replayed(
+        lambda: wide.start_order_merge(
+            spark, *topics, f"{root}/out", f"{root}/checkpoint", trigger=jobs.ONCE,
+            partitions=spark.sparkContext.defaultParallelism,
+        ),
+        append, [early & ~held, ~early, held, None],
+    )
+    columns = ["kind", "order_id", "detail_id", "order_status", "total_amount", "split_total_amount", "sku_name", "create_time"]
+    done = wide.merged(spark, f"{root}/out").filter("order_id >= 0").select(*columns)
+    out = wide.left_out(spark, f"{root}/out")
+    number = lambda name: F.get_json_object("value", f"$.{name}").cast("bigint")
+    is_order = F.col("side") == wide.ORDER
+    late = out.select(
+        F.concat_ws("_", "reason", "side").alias("kind"), F.when(is_order, number("id")).otherwise(number("order_id")).alias("order_id"),
+        F.when(is_order, 0).otherwise(number("id")).alias("detail_id"),
+        *(F.lit(None).cast(done.schema[c].dataType).alias(c) for c in columns[3:]),
+    )
+    return done.unionByName(late)
+
+
 def _page_messages(spark: SparkSession, sf: str) -> DataFrame:
     pages = lr.page_log(_log(spark, sf), carry=("partition", "offset"))
     return pages.select(
@@ -433,6 +545,11 @@ QUERIES = {
     "resume_from_checkpoint": resume_from_checkpoint,
     "log_split_stream": log_split_stream,
     "offset_progress": offset_progress,
+    "stream_progress": stream_progress,
+    "log_counts_stream": log_counts_stream,
+    "cdc_counts_stream": cdc_counts_stream,
+    "dim_state_stream": dim_state_stream,
+    "order_merge_stream": order_merge_stream,
     "sink_keyed": sink_keyed,
     "cdc_split_stream": cdc_split_stream,
     "control_refresh": control_refresh,
@@ -445,5 +562,6 @@ QUERIES = {
 # Queries that run a stream when called.
 STREAMING = (
     "source_topic", "resume_from_checkpoint", "log_split_stream", "cdc_split_stream", "control_refresh",
-    "order_wide_stream", "order_enrich_stream", "dau_stream", "dau_enrich_stream",
+    "order_wide_stream", "order_enrich_stream", "dau_stream", "dau_enrich_stream", "offset_progress", "stream_progress",
+    "log_counts_stream", "cdc_counts_stream", "dim_state_stream", "order_merge_stream",
 )

@@ -23,6 +23,10 @@ def epoch_ms(ts: Column) -> Column:
     return F.unix_millis(utc.cast("timestamp"))
 
 
+# Partitions of the app-log topic.
+LOG_PARTITIONS = 4
+
+
 def app_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """App-log topic: one record per event, with the columns of a topic source."""
     event_id, kind, event_type = F.col("event_id"), F.col("kind"), F.col("event_type")
@@ -113,7 +117,7 @@ def app_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     ))
     return joined.select(
         F.lit(LogTopics.source).alias("topic"),
-        (F.col("user_id") % 4).cast("int").alias("partition"),
+        (F.col("user_id") % LOG_PARTITIONS).cast("int").alias("partition"),
         event_id.alias("offset"),
         F.timestamp_millis("ms").alias("timestamp"),
         F.lit(None).cast("string").alias("key"),

@@ -389,6 +389,57 @@ FROM m, cut""",
 SELECT 'ODS_BASE_LOG_1018' AS topic, 'ODS_BASE_LOG_GROUP_1018' AS group_id,
        CAST(user_id % 4 AS INTEGER) AS "partition", max(event_id) + 1 AS next_offset
 FROM events GROUP BY user_id % 4""",
+    "stream_progress": """
+WITH h AS (
+  SELECT CAST(event_id >= (SELECT (max(event_id) + 1) // 2 FROM events) AS BIGINT) AS batch,
+         CAST(user_id % 4 AS INTEGER) AS "partition", min(event_id) AS first, max(event_id) + 1 AS to_offset, count(*) AS "rows"
+  FROM events JOIN customer ON user_id = c_custkey GROUP BY 1, 2
+)
+SELECT batch, 'ODS_BASE_LOG_1018' AS topic, "partition",
+       coalesce(lag(to_offset) OVER (PARTITION BY "partition" ORDER BY batch), first) AS from_offset, to_offset, "rows",
+       CAST(0 AS BIGINT) AS late_rows
+FROM h""",
+    "log_counts_stream": _MSG.rstrip() + f""",
+damage AS ({_DAMAGE}),
+judged AS (
+  SELECT f.event_id, coalesce(reason, CASE WHEN kind = 'error' THEN 'error' WHEN has_page OR has_start THEN 'routed'
+                                           ELSE 'unrouted' END) AS verdict
+  FROM f LEFT JOIN damage USING ("partition", "offset")
+),
+told AS (
+  SELECT event_id, 'judged' AS step, 'read' AS name FROM judged
+  UNION ALL SELECT event_id, 'judged', verdict FROM judged
+  UNION ALL SELECT event_id, 'sent', 'QUARANTINE_LOG_1018' FROM judged WHERE verdict NOT IN ('error', 'routed', 'unrouted')
+  UNION ALL SELECT event_id, 'sent', topic FROM m JOIN judged USING (event_id) WHERE verdict IN ('error', 'routed')
+)
+SELECT CAST(event_id >= middle AS BIGINT) AS batch, step, name, count(*) AS n FROM told, cut GROUP BY 1, 2, 3""",
+    "cdc_counts_stream": _CHG.rstrip() + """,
+told AS (
+  SELECT "partition", 'read' AS step, 'read' AS name FROM k
+  UNION ALL SELECT "partition", 'coded', 'changes' FROM k WHERE op IS NOT NULL
+  UNION ALL SELECT "partition", 'judged', 'routed' FROM k WHERE op IS NOT NULL AND (is_fact OR is_dim)
+  UNION ALL SELECT "partition", 'judged', 'fact' FROM fact
+  UNION ALL SELECT "partition", 'judged', 'dim' FROM dim
+)
+SELECT CAST("partition" >= 2 AS BIGINT) AS batch, step, name, count(*) AS n FROM told GROUP BY 1, 2, 3""",
+    "dim_state_stream": _CHG + "SELECT dim_key, op, data FROM last_dim",
+    "order_merge_stream": _with(ORDERS).rstrip() + """,
+t AS (SELECT o_orderkey AS id, epoch_ms(o_orderdate + to_seconds(o_orderkey % 86400)) AS ms FROM orders JOIN customer ON o_custkey = c_custkey),
+late AS (SELECT t.id FROM t, (SELECT min(ms) + max(ms) AS twice FROM t) WHERE 2 * ms <= twice AND t.id % 41 = 0),
+late_detail AS (
+  SELECT d.* FROM d JOIN (SELECT o_orderkey AS id, epoch_ms(o_orderdate + to_seconds(o_orderkey % 86400 + 1)) AS ms FROM orders) x ON x.id = order_id,
+       (SELECT min(ms) + max(ms) AS twice FROM t)
+  WHERE 2 * ms <= twice AND order_id % 41 = 0
+),
+oo AS (SELECT * FROM o WHERE id % 43 <> 0 AND id NOT IN (SELECT id FROM late)),
+dd AS (SELECT * FROM d ANTI JOIN late_detail USING (id))
+SELECT CASE WHEN oo.id IS NULL THEN 'detail_alone' WHEN dd.id IS NULL THEN 'order_alone' ELSE 'matched' END AS kind,
+       coalesce(oo.id, dd.order_id) AS order_id, coalesce(dd.id, 0) AS detail_id, order_status,
+       coalesce(total_amount, 0) AS total_amount, CASE WHEN dd.id IS NULL THEN 0 ELSE split_total_amount END AS split_total_amount, sku_name,
+       CASE WHEN dd.id IS NULL THEN oo.create_time ELSE dd.create_time END AS create_time
+FROM oo FULL JOIN dd ON oo.id = dd.order_id
+UNION ALL SELECT 'late_order', id, 0, NULL, NULL, NULL, NULL, NULL FROM late WHERE id % 43 <> 0
+UNION ALL SELECT 'late_detail', order_id, id, NULL, NULL, NULL, NULL, NULL FROM late_detail""",
     "sink_keyed": _CHG + "SELECT topic, CAST(key AS VARCHAR) AS key, data AS value FROM fact",
     "cdc_split_stream": _CHG + _HELD.format(facts="", dims=""),
     "control_refresh": _CHG + _HELD.format(

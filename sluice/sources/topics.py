@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 from sluice.schemas import TOPIC_RECORD
 
 LATEST, EARLIEST = "latest", "earliest"
+# Name of the metrics in which a file topic's stream tells its offsets: first, last and count per partition.
+OBSERVED = "offsets:"
 # A start position: "latest", "earliest", or the first offset to read per partition.
 Start = str | dict[int, int]
 
@@ -69,6 +71,8 @@ class ReplayTopic:
     path: str
     topic: str
     max_files_per_trigger: int | None = None
+    # Of the topic; with it, a stream's reports name the offsets of the records it has read.
+    partitions: int | None = None
 
     def batch(self, spark: SparkSession) -> DataFrame:
         return self._of_topic(spark.read.schema(TOPIC_RECORD).parquet(self.path))
@@ -77,7 +81,14 @@ class ReplayTopic:
         reader = spark.readStream.schema(TOPIC_RECORD)
         if self.max_files_per_trigger:
             reader = reader.option("maxFilesPerTrigger", self.max_files_per_trigger)
-        return self._of_topic(reader.parquet(self.path))
+        records = self._of_topic(reader.parquet(self.path))
+        if not self.partitions:
+            return records
+        each = []
+        for p in range(self.partitions):
+            mine = F.when(F.col("partition") == p, F.col("offset"))
+            each += [F.min(mine).alias(f"f{p}"), F.max(mine).alias(f"t{p}"), F.count(mine).alias(f"n{p}")]
+        return records.observe(f"{OBSERVED}{self.topic}", *each)
 
     def append(self, records: DataFrame) -> None:
         """Adds records as new files."""
