@@ -162,6 +162,8 @@ def run_hashes(hashes: np.ndarray, words: int) -> np.ndarray:
 
 #: Bits of a Bloom filter, a power of two: 8 MB to broadcast, whatever it holds; the fuller, the more passes.
 BLOOM_BITS = 1 << 26
+#: Words of 64 bits that are a row while the filter is put together.
+BLOOM_CHUNK = 1 << 10
 
 
 class Bloom:
@@ -172,20 +174,34 @@ class Bloom:
 
     @classmethod
     def of(cls, numbers: DataFrame) -> Bloom:
-        """From a table of one long column. Tasks set bits; at most 2^20 words of them come to the driver."""
+        """From a table of one long column. Tasks set bits and put them together; 8 MB in all come to the driver."""
 
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             words = np.zeros(BLOOM_BITS // 64, np.uint64)
             for batch in batches:
                 places = cls.places(batch.column(0).drop_null().to_numpy(zero_copy_only=False)).ravel()
                 np.bitwise_or.at(words, places >> np.uint64(6), np.uint64(1) << (places & np.uint64(63)))
-            some = np.flatnonzero(words)
-            yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(words[some].view(np.int64))], names=["word", "bits"])
+            yield from chunks(dict(enumerate(words.reshape(-1, BLOOM_CHUNK))))
 
-        found = numbers.mapInArrow(run, "word long, bits long").groupBy("word").agg(F.bit_or("bits").alias("bits")).toPandas()
-        words = np.zeros(BLOOM_BITS // 64, np.uint64)
-        words[found["word"].to_numpy(np.int64)] = found["bits"].to_numpy(np.int64).view(np.uint64)
-        return cls(words)
+        def unite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            found: dict[int, np.ndarray] = {}
+            for batch in batches:
+                for at, bits in zip(*(c.to_pylist() for c in batch.columns)):
+                    mine = found.setdefault(at, np.zeros(BLOOM_CHUNK, np.uint64))
+                    mine |= np.frombuffer(bits, np.uint64)
+            yield from chunks(found)
+
+        def chunks(found: dict[int, np.ndarray]) -> Iterator[pa.RecordBatch]:
+            some = {at: words.tobytes() for at, words in found.items() if words.any()}
+            columns = [pa.array(list(some), pa.int32()), pa.array(list(some.values()), pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, names=["at", "bits"])
+
+        schema = "at int, bits binary"
+        parts = numbers.mapInArrow(mark, schema).repartition("at").mapInArrow(unite, schema)
+        words = np.zeros((BLOOM_BITS // 64 // BLOOM_CHUNK, BLOOM_CHUNK), np.uint64)
+        for at, bits in parts.collect():
+            words[at] = np.frombuffer(bits, np.uint64)
+        return cls(words.ravel())
 
     @staticmethod
     def places(numbers: np.ndarray) -> np.ndarray:
@@ -204,12 +220,11 @@ def passing(rows: DataFrame, column: str, bloom: Bloom) -> DataFrame:
     shared = rows.sparkSession.sparkContext.broadcast(bloom)
 
     def test(values: pd.Series) -> pd.Series:
-        known = values.notna().to_numpy()
-        out = np.zeros(len(values), bool)
-        out[known] = shared.value.passing(values[known].to_numpy(np.int64))
-        return pd.Series(out)
+        return pd.Series(shared.value.passing(values.to_numpy(np.int64)))
 
-    return rows.filter(F.pandas_udf(test, "boolean")(F.col(column)))
+    # A null among them would turn the longs into doubles on the way.
+    found = F.pandas_udf(test, "boolean")(F.coalesce(F.col(column), F.lit(0).cast("long")))
+    return rows.filter(F.col(column).isNotNull() & found)
 
 
 def crc32_of_id(doc_id) -> F.Column:

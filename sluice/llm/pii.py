@@ -12,7 +12,9 @@ for every entity and size of corpus, and must be met by a lower confidence bound
 
 - p(c | t) is the share of the rows with the term that have the entity too, all rows counted, copies
   included. Its confidence comes from the number of distinct texts with both, for copies are no
-  evidence; one distinct text never is enough.
+  evidence, and near copies little: texts whose smallest hash of :data:`SHINGLE` words agrees stand for
+  each other, and the effective number is the inverse chance that two of the texts do. One text is never
+  enough.
 - The meetings must be more than chance would give among all pairs of an entity and a term that have two
   texts: by the Chernoff bound, less than :data:`CHANCE` of one such pair is expected in the whole
   corpus if terms fell on texts at random.
@@ -45,6 +47,8 @@ RESIDUAL = 0.9
 #: Deviations of the one-sided 95 % confidence bound, and the pairs that chance may give in a corpus.
 SURE = 1.645
 CHANCE = 0.05
+#: Consecutive words whose least hash is a text's signature.
+SHINGLE = 5
 _BLOCK = 256
 #: Hashes of terms in the filter before the join with disclosing terms; bounds its broadcast.
 _HASHES = 1 << 20
@@ -131,6 +135,13 @@ def _terms(text: Column) -> Column:
     return F.array_distinct(F.transform(F.regexp_extract_all(text, F.lit(TERM), F.lit(0)), F.lower))
 
 
+def signature(text: Column) -> Column:
+    """The smallest hash of a text's shingles, all its words being one if they are fewer: near copies mostly share it."""
+    words = F.transform(F.regexp_extract_all(text, F.lit(TERM), F.lit(0)), F.lower)
+    last = F.greatest(F.size(words) - SHINGLE, F.lit(0))
+    return F.array_min(F.transform(F.sequence(F.lit(0), last), lambda i: F.xxhash64(F.slice(words, i + 1, F.lit(SHINGLE)))))
+
+
 def _blanked(text: Column, covered: Column) -> Column:
     """The text with a mark for every code point in the united spans ``covered``, all else in its place."""
     clean = F.translate(text, "\x01", " ")
@@ -152,7 +163,7 @@ def _outside(texts: DataFrame) -> DataFrame:
 
 
 def assured(both: Column, term: Column, texts: Column) -> Column:
-    """The lower confidence bound (Wilson's) of p(c | t): ``both`` of ``term`` rows, ``texts`` distinct texts with both."""
+    """The lower confidence bound (Wilson's) of p(c | t): ``both`` of ``term`` rows, ``texts`` effective texts with both."""
     share, trials = both / term, texts * term / both
     spread = F.sqrt(share * (1 - share) / trials + SURE**2 / (4 * trials * trials))
     return (share + SURE**2 / (2 * trials) - SURE * spread) / (1 + SURE**2 / trials)
@@ -168,7 +179,7 @@ def surprise(both: Column, term: Column, texts: Column, chance: Column) -> Colum
 def revealing(docs: DataFrame, texts: DataFrame, residual: float = RESIDUAL) -> DataFrame:
     """(s1, s2, term) for each text and each term in it that discloses an entity of it.
 
-    ``texts`` are the distinct ones with entities, (s1, s2, copies, spans, text). Counts are over
+    ``texts`` are the distinct ones with entities, (s1, s2, sign, copies, spans, text). Counts are over
     all of ``docs``. Entities of the same texts are one class, so that a list of many, repeated as a
     whole, makes no pairs of each with each word. Entities of one distinct text and terms too common for
     any entity of theirs (n_term over n_entity / p) cannot pass and are left out before pairs are counted.
@@ -176,7 +187,7 @@ def revealing(docs: DataFrame, texts: DataFrame, residual: float = RESIDUAL) ->
     n = max(1, docs.count())
     least = math.exp(-residual)
     each = F.explode(F.array_distinct(F.flatten(F.transform("spans", entities))))
-    named = stored(texts.select("s1", "s2", "copies", each.alias("entity")), "entities")
+    named = stored(texts.select("s1", "s2", "sign", "copies", each.alias("entity")), "entities")
     place = F.xxhash64("s1", "s2").cast("decimal(38,0)")
     counted = named.groupBy("entity").agg(
         F.count("*").alias("n_texts"), F.sum("copies").alias("n_entity"), F.sum(place).alias("places"), F.bit_xor(F.xxhash64("s2", "s1")).alias("mix")
@@ -194,10 +205,14 @@ def revealing(docs: DataFrame, texts: DataFrame, residual: float = RESIDUAL) ->
     words = _outside(some).join(known.hint("merge"), "term")
     met = members.join(words.hint("merge"), ["s1", "s2"]).filter(F.col("n_term") * least <= F.col("n_entity"))
     near = stored(met, "near")
-    pairs = near.groupBy("entity", "term", "n_entity", "n_term").agg(F.sum("copies").alias("n_both"), F.count("*").alias("n_texts"))
+    pair = ["entity", "term", "n_entity", "n_term"]
+    kin = near.groupBy(*pair, "sign").agg(F.sum("copies").alias("rows"), F.count("*").cast("double").alias("texts"))
+    pairs = kin.groupBy(*pair).agg(
+        F.sum("rows").alias("n_both"), F.sum("texts").alias("n_texts"), (F.sum("texts") ** 2 / F.sum(F.col("texts") ** 2)).alias("n_apart")
+    )
     pairs = pairs.filter("n_texts > 1")
     tried = max(1, known.count() * members.select("entity").distinct().count())
-    counts = [F.col(c).cast("double") for c in ("n_both", "n_term", "n_texts")]
+    counts = [F.col(c).cast("double") for c in ("n_both", "n_term", "n_apart")]
     passed = pairs.filter(assured(*counts) >= least)
     passed = passed.filter(surprise(*counts, F.col("n_entity") / n) >= math.log(tried / CHANCE))
     return near.select("s1", "s2", "entity", "term").join(passed.select("entity", "term"), ["entity", "term"], "left_semi").select("s1", "s2", "term").distinct()
@@ -245,7 +260,8 @@ def find(docs: DataFrame, residual: float = RESIDUAL, everywhere: bool = False)
     base = stored(base.select("doc_id", "k1", "k2", "s1", "s2", "spans", F.when(some, F.col("text")).alias("text")), "spans")
     none = F.array().cast(f"array<{_SPAN}>")
     same = base.filter(some).groupBy("s1", "s2")
-    texts = stored(same.agg(F.count("*").alias("copies"), F.first("spans").alias("spans"), F.first("text").alias("text")), "texts")
+    texts = same.agg(F.count("*").alias("copies"), F.first("spans").alias("spans"), F.first("text").alias("text"))
+    texts = stored(texts.withColumn("sign", signature(F.col("text"))), "texts")
     pairs = stored(revealing(rows, texts, residual), "revealing")
     if pairs.isEmpty():
         return base.select("doc_id", "k1", "k2", "spans", none.alias("terms"))

@@ -3,8 +3,10 @@
 import hashlib
 import random
 import re
+from collections import Counter
 
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from sluice.llm import pii
@@ -85,6 +87,17 @@ def test_terms_that_disclose(told):
     assert terms[200] == [] and ("zorro", "zorro") in terms[300]
 
 
+def plain_signature(text):
+    words = [m[0].lower() for m in re.finditer(r"[^\W_]+", text)]
+    each = []
+    for i in range(max(len(words) - 5, 0) + 1):
+        h = 42
+        for w in words[i : i + 5]:
+            h = xxhash.xxh64_intdigest(w.encode(), seed=h)
+        each.append(h - (1 << 64) if h >> 63 else h)
+    return min(each)
+
+
 def plain_terms(rows):
     """The terms that disclose an entity, by plain counts over all rows and distinct texts."""
     import math
@@ -113,7 +126,8 @@ def plain_terms(rows):
     pairs = {k: v for k, v in near.items() if k[0] in classes.values() and len(set(v)) > 1 and n_term[k[1]] * least <= len(n_entity[k[0]])}
     out = set()
     for (e, t), texts in pairs.items():
-        p, d = len(texts) / n_term[t], len(set(texts))
+        kin = Counter(map(plain_signature, set(texts)))
+        p, d = len(texts) / n_term[t], kin.total() ** 2 / sum(n * n for n in kin.values())
         m, chance, z = d / p, len(n_entity[e]) / len(rows), 1.645
         low = (p + z * z / 2 / m - z * math.sqrt(p * (1 - p) / m + z * z / 4 / m / m)) / (1 + z * z / m)
         odd = m * (p * math.log(p / chance) + ((1 - p) * math.log((1 - p) / (1 - chance)) if p < 1 else 0)) if p > chance else 0
@@ -176,6 +190,19 @@ def same_texts(rows, one, other):
     return _HOLDERS[one] == _HOLDERS[other]
 
 
+def test_near_copies_are_little_evidence(spark):
+    """Many variants of one text make none of its words a term; as many independent texts do."""
+    r = random.Random(9)
+    first = [f"v{r.randrange(10**6)}" for _ in range(80)]
+    rows = [(i, " ".join(f"w{r.randrange(400)}" for _ in range(30))) for i in range(600)]
+    for i in range(30):
+        said = [w if r.random() > 0.01 else f"x{r.randrange(10**6)}" for w in first]
+        rows.append((1000 + i, " ".join([*said, "mia@house.org"])))
+    rows += [(2000 + i, " ".join([*(f"y{r.randrange(10**6)}" for _ in range(20)), "gwen +1 (212) 555-0199"])) for i in range(30)]
+    found = pii.find(spark.createDataFrame(rows, "doc_id long, text string")).select("doc_id", "terms.value").collect()
+    assert {w for x in found for w in x["value"]} == {"gwen"}
+
+
 def test_words_of_one_text_disclose_nothing(spark):
     """Neither words seen once beside an entity nor a corpus of any size makes them terms."""
     r = random.Random(2)
@@ -236,9 +263,9 @@ def test_copies_do_not_hide_a_term(spark):
 
 
 def test_disclosing_terms_are_marked_in_all_whole_texts(spark):
-    far = " ".join(["filler"] * 60)
+    far = lambda i: " ".join(["filler", f"far{i}"] * 30)  # noqa: E731 - near copies would be no evidence
     rows = [(i, f"filler number w{i} goes on") for i in range(100)]
-    rows += [(200 + i, f"Zorro {far} writes from don@villa.mx {far} so ZORRO, {i}") for i in range(4)] + [(300, "zorro was not seen")]
+    rows += [(200 + i, f"Zorro {far(i)} writes from don@villa.mx {far(i)} so ZORRO, {i}") for i in range(4)] + [(300, "zorro was not seen")]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     texts = dict(rows)
     terms = {r["doc_id"]: [texts[r["doc_id"]][t["start"] : t["end"]] for t in r["terms"]] for r in pii.find(docs, everywhere=True).collect()}
