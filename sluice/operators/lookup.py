@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -17,6 +19,36 @@ def no_user(user_id: Column) -> Column:
     return user_id.isNull() | (user_id.cast("string") == "")
 
 
+def heavy_keys(rows: DataFrame, key: str, share: float) -> list:
+    """The keys that hold more than ``share`` of the rows, found in one pass over the key column.
+
+    Each task counts its frequent keys in a sketch of bounded size, and the sketches are merged; they
+    overrate a key by less than ``share`` / 4. At most 2 / ``share`` keys come out.
+    """
+    most = max(1, math.ceil(2 / share))
+    top = F.expr(f"approx_top_k({key}, {most}, {min(1_000_000, 1 << math.ceil(math.log2(8 * most)))})")
+    found = rows.filter(F.col(key).isNotNull()).select(key).agg(top.alias("top"), F.count("*").alias("n")).first()
+    return [t["item"] for t in found["top"] or [] if t["count"] > share * found["n"]]
+
+
+def spread_key_join(left: DataFrame, side: DataFrame, left_key: str, side_key: str, spread: list[str]) -> DataFrame:
+    """Left join in which only keys that hold more than a part's share of ``left`` are spread.
+
+    A heavy key's rows go to as many tasks as there are shuffle partitions, by a hash of ``spread``, and its
+    rows in ``side`` are copied to each. All other rows of both sides are shuffled once, by their key. Needs
+    no runtime re-planning, so it also holds inside a streaming micro-batch.
+    """
+    salts = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    heavy = heavy_keys(left, left_key, 1 / (2 * salts)) if salts > 1 else []
+    if not heavy:
+        return left.join(side.hint("merge"), F.col(left_key) == F.col(side_key), "left").drop(side_key)
+    salt = F.when(F.col(left_key).isin(heavy), F.pmod(F.xxhash64(*spread), F.lit(salts)).cast("int")).otherwise(0)
+    every = F.sequence(F.lit(0), F.lit(salts - 1))
+    copies = side.withColumn("_copy", F.explode(F.when(F.col(side_key).isin(heavy), every).otherwise(F.array(F.lit(0)))))
+    on = (F.col(left_key) == F.col(side_key)) & (F.col("_salt") == F.col("_copy"))
+    return left.withColumn("_salt", salt).join(copies.hint("merge"), on, "left").drop("_salt", "_copy", side_key)
+
+
 def small_key_join(
     left: DataFrame,
     side: DataFrame,
@@ -28,17 +60,11 @@ def small_key_join(
     """Left join on a key with few values (a table name, a province).
 
     Shuffling on such a key alone would put a large share of all rows in one task. The side is
-    broadcast when it is proven ``small``; otherwise each row meets one of as many copies of the
-    side as there are shuffle partitions, picked by a hash of ``spread``. Needs no runtime re-planning, so it also holds inside a
-    streaming micro-batch.
+    broadcast when it is proven ``small``; otherwise the keys that hold many rows are spread.
     """
     if small:
         return left.join(F.broadcast(side), F.col(left_key) == F.col(side_key), "left").drop(side_key)
-    salts = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    copies = side.withColumn("_copy", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    salted = left.withColumn("_salt", F.pmod(F.xxhash64(*spread), F.lit(salts)).cast("int"))
-    on = (F.col(left_key) == F.col(side_key)) & (F.col("_salt") == F.col("_copy"))
-    return salted.join(copies, on, "left").drop("_salt", "_copy", side_key)
+    return spread_key_join(left, side, left_key, side_key, spread)
 
 
 def provinces(dim_rows: DataFrame) -> DataFrame:
@@ -62,7 +88,13 @@ def users(dim_rows: DataFrame) -> DataFrame:
 
 
 def _images(dim_rows: DataFrame, schema) -> DataFrame:
-    return dim_rows.select(F.col("id").alias("dim_id"), F.from_json("data", schema).alias("image"))
+    """Typed images: from the decoded ones where the rows have them, else from the text."""
+    if "image" in dim_rows.columns:
+        fields = [F.try_variant_get("image", f"$.{f.name}", f.dataType.simpleString()).alias(f.name) for f in schema]
+        image = F.when(F.col("image").isNotNull(), F.struct(*fields))
+    else:
+        image = F.from_json("data", schema)
+    return dim_rows.select(F.col("id").alias("dim_id"), image.alias("image"))
 
 
 def with_lookups(
@@ -85,5 +117,5 @@ def with_lookups(
     joined = keyed.join(user_side, F.col("_uid") == F.col("u_id"), "left").drop("u_id")
     small = is_small(province_side, broadcast_rows)
     return small_key_join(
-        joined, province_side, "_pid", "p_id", spread=["_uid"], small=small
+        joined, province_side, "_pid", "p_id", spread=facts.columns, small=small
     ).drop("_pid", "_uid")

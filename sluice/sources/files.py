@@ -21,6 +21,11 @@ class Files:
         fs, path = self._at(name)
         return fs.exists(path)
 
+    def size(self, name: str) -> int:
+        """Bytes below a folder."""
+        fs, path = self._at(name)
+        return fs.getContentSummary(path).getLength()
+
     def read(self, name: str) -> str:
         fs, path = self._at(name)
         stream = fs.open(path)

@@ -32,8 +32,8 @@ ROW = T.StructType([
     T.StructField("at", T.LongType()),
 ])
 KEYS = ["space", "id"]
-# As stored: with the version that a row came in.
-STORED = T.StructType([*ROW, T.StructField("version", T.LongType())])
+# As stored: with the row image decoded once, and the version that a row came in.
+STORED = T.StructType([*ROW, T.StructField("image", T.VariantType()), T.StructField("version", T.LongType())])
 BUCKETS = 16
 # Deltas of a bucket that are merged at once, at least; each at most twice as large as all newer ones together.
 FAN = 8
@@ -50,6 +50,7 @@ class KeyedTable:
         wins: str = "last",
         buckets: int | None = None,
         keep_days: float = 7.0,
+        images: bool = True,
     ):
         """``on_delete="keep"`` stores a deleted row's image like any other; ``"remove"`` hides it.
 
@@ -57,13 +58,15 @@ class KeyedTable:
         src_partition)``; with ``"first"`` the smallest ``(at, src_partition, src_offset)`` stays,
         whichever batch it comes in. Choose ``buckets`` (per space) so that a bucket of the largest space suits
         one task; another number than the table has makes the next batch deal its rows out anew.
+        With ``images`` the JSON in ``data`` is decoded when it is written and kept beside the text, so
+        that lookups read fields; NULL where it is no JSON.
         """
         if on_delete not in ("keep", "remove"):
             raise ValueError(f"on_delete: keep or remove, not {on_delete}")
         if wins not in ("last", "first"):
             raise ValueError(f"wins: last or first, not {wins}")
         self.spark, self.path, self.files = spark, path.rstrip("/"), Files(spark, path)
-        self.on_delete, self.wins, self.buckets, self.keep_days = on_delete, wins, buckets, keep_days
+        self.on_delete, self.wins, self.buckets, self.keep_days, self.images = on_delete, wins, buckets, keep_days, images
 
     def upsert(self, rows: DataFrame, run: str, batch_id: int) -> bool:
         """Takes one batch; False if this batch of this run was taken before."""
@@ -75,7 +78,8 @@ class KeyedTable:
         version, live = manifest["version"] + 1, manifest["live"]
         columns = [F.col(f.name) if f.name in rows.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in ROW]
         order = ["src_offset", "src_partition"] if self.wins == "last" else _FIRST
-        delta = self._rank(rows.select(*columns), order)
+        image = F.try_parse_json("data") if self.images else F.parse_json(F.lit(None).cast("string"))
+        delta = self._rank(rows.select(*columns), order).withColumn("image", image)
         for space, bucket, n in self._write(delta, manifest["buckets"], version):
             live.setdefault(space, {}).setdefault(bucket, []).append([version, n])
         manifest = self._commit({**manifest, "version": version, "taken": {**manifest["taken"], run: batch_id}})
@@ -84,8 +88,8 @@ class KeyedTable:
             self._merge(manifest, due)
         return True
 
-    def current(self, space: str | None = None, ids: DataFrame | None = None, prefix: str = "") -> DataFrame:
-        """The rows of one key space, or of all whose names begin with ``prefix``.
+    def current(self, space: str | None = None, ids: DataFrame | None = None, prefix: str = "", images: bool = False) -> DataFrame:
+        """The rows of one key space, or of all whose names begin with ``prefix``; with ``images`` decoded ones beside them.
 
         ``ids`` (one column ``id``) keeps only those rows of a space and opens only their buckets.
         Buckets of one delta are read as they are, the others ranked.
@@ -105,10 +109,10 @@ class KeyedTable:
                 rows = self._read(folders)
                 rows = rows if wanted is None else rows.join(wanted, "id", "left_semi").select(*STORED.names)
                 found.append(rows if one else self._counting(rows))
-        rows = self.spark.createDataFrame([], ROW) if not found else found[0] if len(found) == 1 else found[0].unionByName(found[1])
+        rows = self.spark.createDataFrame([], ROW).withColumn("image", F.parse_json(F.lit(None).cast("string"))) if not found else found[0] if len(found) == 1 else found[0].unionByName(found[1])
         if self.on_delete == "remove":
             rows = rows.filter("op is null or op <> 'D'")
-        return rows.select(*ROW.names)
+        return rows.select(*ROW.names, *(["image"] if images else []))
 
     def compact(self) -> None:
         """Merges all deltas of every bucket."""
@@ -153,7 +157,7 @@ class KeyedTable:
     def _write(self, rows: DataFrame, buckets: int, version: int) -> list[tuple[str, str, int]]:
         """Writes rows, one per key by now, a bucket to a task; which buckets, and their rows."""
         part = F.concat(F.substring(F.md5("space"), 1, 12), F.lit("-"), _bucket(buckets))
-        rows = rows.select(*ROW.names, F.lit(version).cast("long").alias("version"), part.alias("part"))
+        rows = rows.select(*ROW.names, "image", F.lit(version).cast("long").alias("version"), part.alias("part"))
         rows = rows.repartition("part").sortWithinPartitions("part", *KEYS)
         path = f"{self.path}/data/version={version}"
         rows.write.mode("overwrite").partitionBy("part").parquet(path)

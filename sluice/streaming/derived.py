@@ -97,8 +97,8 @@ def lookup_sides(dims: KeyedTable, facts: DataFrame | None = None) -> tuple[Data
     if facts is not None:
         ids = facts.filter(~no_user(F.col("user_id"))).select(F.col("user_id").cast("string").alias("id"))
     return (
-        provinces(dims.current("DIM:BASE_PROVINCE")),
-        users(dims.current("DIM:USER_INFO", ids)),
+        provinces(dims.current("DIM:BASE_PROVINCE", images=True)),
+        users(dims.current("DIM:USER_INFO", ids, images=True)),
     )
 
 
@@ -150,7 +150,7 @@ DAU_SPACE = "DAU:"
 
 def dau_table(spark: SparkSession, path: str, **options) -> KeyedTable:
     """A table for :func:`start_daily_active`: the earliest view of a device and day stays."""
-    return KeyedTable(spark, path, wins="first", **options)
+    return KeyedTable(spark, path, wins="first", images=False, **options)
 
 
 def start_daily_active(

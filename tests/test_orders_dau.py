@@ -222,3 +222,53 @@ def test_broadcast_probe_bounds_rows_and_bytes(spark, monkeypatch):
     assert sizes.is_small(side.limit(0))
     monkeypatch.setattr(sizes, "BROADCAST_BYTES", 5000)
     assert not sizes.is_small(side)
+
+
+def test_heavy_keys_are_found(spark):
+    from sluice.operators.lookup import heavy_keys
+
+    rows = spark.range(100_000).select(F.when(F.col("id") % 5 < 3, "hot").when(F.col("id") % 5 == 3, "warm").when(F.col("id") % 50 != 4, F.col("id").cast("string")).alias("k"))
+    assert set(heavy_keys(rows, "k", 0.1)) == {"hot", "warm"}
+    assert heavy_keys(rows, "k", 0.5) == ["hot"] and heavy_keys(rows.limit(0), "k", 0.1) == []
+
+
+def test_heavy_facts_meet_a_large_province_side_without_copying_it(spark):
+    """60 % of facts in one user and one province; the province side is too large to broadcast."""
+    from sluice.operators.lookup import with_lookups
+
+    facts = spark.range(20_000).select("id", F.when(F.col("id") % 5 < 3, 7).otherwise(F.col("id") % 900).alias("p"), F.when(F.col("id") % 5 < 3, 3).otherwise(F.col("id") % 70).alias("u"))
+    side = spark.range(5000).select(F.col("id").cast("string").alias("p_id"), F.concat(F.lit("n"), "id").alias("province_name"))
+    people = spark.range(50).select(F.col("id").cast("string").alias("u_id"), F.lit("F").alias("user_gender"))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        joined = with_lookups(facts, side, people, F.col("p"), F.col("u"), broadcast_rows=0)
+        rows = joined.select("id", "p", "u", "province_name", "user_gender", F.spark_partition_id().alias("at")).collect()
+        copied = joined._jdf.queryExecution().optimizedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert len(rows) == len({r["id"] for r in rows}) == 20_000
+    assert all(r["province_name"] == f"n{r['p']}" and (r["user_gender"] == "F") == (r["u"] < 50) for r in rows)
+    assert len({r["at"] for r in rows if r["p"] == 7}) > 1  # the heavy province is spread
+    # Only the heavy key's row is copied: the others explode an array of one.
+    assert "Generate explode(CASE WHEN" in copied
+
+
+def test_lookups_from_the_table_parse_no_json(spark):
+    from sluice.session import scratch_dir
+    from sluice.sources.keyed_table import KeyedTable
+    from sluice.streaming.derived import lookup_sides
+
+    dims = KeyedTable(spark, scratch_dir(spark, "images"))
+    rows = [("DIM:USER_INFO", "1", '{"id":1,"gender":"F","age":30}'), ("DIM:USER_INFO", "2", "no json"), ("DIM:USER_INFO", "3", '{"age":"41"}'), ("DIM:BASE_PROVINCE", "9", '{"name":"N","area_code":"10009"}')]
+    df = spark.createDataFrame(rows, "space string, id string, data string").selectExpr("*", "'I' as op", "0 as src_partition", "1L as src_offset")
+    dims.upsert(df, "r", 0)
+    dims.upsert(df.filter("id = '1'").withColumn("data", F.lit('{"gender":"M","age":31}')), "r", 1)
+    provinces, users = lookup_sides(dims, spark.createDataFrame([(1,), (2,), (3,)], "user_id long"))
+    assert sorted(map(tuple, users.collect())) == [("1", "M", "31"), ("2", None, None), ("3", None, "41")]
+    assert [r["province_name"] for r in provinces.collect()] == ["N"]
+    for side in (provinces, users):
+        plan = side._jdf.queryExecution().executedPlan().toString()
+        assert "from_json" not in plan and "data:string" not in plan
