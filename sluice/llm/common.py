@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 from operator import methodcaller
 
 import numpy as np
@@ -44,13 +46,32 @@ def with_keys(docs: DataFrame, names: tuple[str, str] = ("_k1", "_k2")) -> DataF
     return docs.withColumns(dict(zip(names, (F.xxhash64(doc_id, text), F.xxhash64(text, doc_id)))))
 
 
+#: Folders made within :func:`disposable`, where one is open.
+_MADE: ContextVar[list[str] | None] = ContextVar("made", default=None)
+
+
 def written(rows: DataFrame, name: str) -> str:
     """The fresh folder in the shared one that rows were written to."""
     path = scratch_dir(rows.sparkSession, name)
+    if (made := _MADE.get()) is not None:
+        made.append(path)
     rows.write.parquet(path)
     return path
 
 
+@contextmanager
+def disposable(spark: SparkSession) -> Iterator[None]:
+    """Deletes at its end the folders that operators wrote within; their results must be written outside by then."""
+    token = _MADE.set([])
+    try:
+        yield
+    finally:
+        made = _MADE.get() or []
+        _MADE.reset(token)
+        for path in made:
+            discard(spark, path)
+
+
 def stored(rows: DataFrame, name: str) -> DataFrame:
     """Writes rows to the shared folder and reads them back: cuts the lineage, survives lost executors."""
     return rows.sparkSession.read.schema(rows.schema).parquet(written(rows, name))

@@ -3,6 +3,12 @@
 Lengths are at most the capacity, so a plan needs only their histogram: it is made on the driver from
 at most ``capacity`` counts, whatever the number of documents, and names for every length and rank
 the sequence and offset. Documents never go to the driver.
+
+Large lengths are rounded up within groups of equal cardinality. Over these few sizes the fewest
+sequences are a linear program whose configurations are generated as they pay; whole parts of its
+solution are taken, the fullest configurations do the rest, and actual lengths take the rounded ones'
+places. Rounding costs something where lengths are many, so the same is done with finer groups and
+without the program, and once more by best fit alone; the plan with the fewest sequences counts.
 """
 
 from __future__ import annotations
@@ -23,6 +29,8 @@ END = 2
 #: Lengths over this share of the capacity are grouped; the others fill gaps by best fit.
 LARGE = 1 / 8
 GROUPS = 256
+#: Simplex steps for each size, at most.
+STEPS = 12
 #: Parts that each length is ranked in, so that a length that many documents have is not one task.
 SALTS = 256
 
@@ -72,6 +80,55 @@ def fullest(sizes: list[int], most: list[int], capacity: int) -> list[int]:
     return take
 
 
+def priced(sizes: list[int], values: np.ndarray, capacity: int) -> tuple[float, np.ndarray]:
+    """The most valuable configuration: its value, and how many of each size it takes."""
+    best = np.zeros(capacity + 1)
+    steps = []
+    for size, value in zip(sizes, values):
+        before = best
+        if value > 0:
+            best = before.copy()
+            for _ in range(capacity // size):
+                more = best[:-size] + value
+                if not (more > best[size:] + 1e-12).any():
+                    break
+                np.maximum(best[size:], more, out=best[size:])
+        steps.append(before)
+    take, fill = np.zeros(len(sizes), np.int64), capacity
+    worth = best[capacity]
+    for i in range(len(sizes) - 1, -1, -1):
+        while fill >= sizes[i] and best[fill] > steps[i][fill] + 1e-12:
+            fill -= sizes[i]
+            take[i] += 1
+        best = steps[i]
+    return float(worth), take
+
+
+def program(sizes: list[int], counts: list[int], capacity: int) -> tuple[float, list[tuple[np.ndarray, float]]]:
+    """The least number of sequences for so many of each size, fractions allowed, and the configurations that give it.
+
+    The simplex method starts from sequences of one size each; a configuration enters while its sizes
+    are worth more than a sequence at the current prices. Steps are bounded, and every state is a solution.
+    """
+    m, b = len(sizes), np.array(counts, float)
+    columns = np.diag([capacity // x for x in sizes]).astype(float)
+    inverse = np.diag(1 / np.diag(columns))
+    for _ in range(STEPS * m):
+        worth, take = priced(sizes, inverse.sum(0), capacity)
+        if worth <= 1 + 1e-7:
+            break
+        entering, x = inverse @ take, inverse @ b
+        some = entering > 1e-9
+        ratio = np.where(some, x / np.where(some, entering, 1), np.inf)
+        out = int(ratio.argmin())
+        row = inverse[out] / entering[out]
+        inverse -= np.outer(entering, row)
+        inverse[out] = row
+        columns[:, out] = take
+    x = np.maximum(inverse @ b, 0)
+    return float(x.sum()), [(columns[:, i].astype(np.int64), float(x[i])) for i in np.argsort(-x, kind="stable")]
+
+
 class _Run:
     """So many sequences of one content: (length, first rank) of each place, by gap left."""
 
@@ -89,7 +146,7 @@ class _Run:
         return self.gap < other.gap
 
 
-def _grouped(counts: dict[int, int], capacity: int, groups: int) -> list[_Run]:
+def _grouped(counts: dict[int, int], capacity: int, groups: int, optimised: bool = False) -> list[_Run]:
     """Configurations of rounded sizes, filled with the actual large lengths."""
     lengths = sorted(counts, reverse=True)
     first, total = {}, 0
@@ -104,11 +161,20 @@ def _grouped(counts: dict[int, int], capacity: int, groups: int) -> list[_Run]:
     size = [length_at(at) for at in range(0, total, each)]
     next_place = list(range(0, total, each))
     runs = []
-    while any(left):
-        open_groups = [g for g, n in enumerate(left) if n]
-        take = fullest([size[g] for g in open_groups], [left[g] for g in open_groups], capacity)
-        used = [(g, k) for g, k in zip(open_groups, take) if k]
-        times = min(left[g] // k for g, k in used)
+
+    def chosen():
+        """(group and how many of it, sequences): what the program repeats whole, then the fullest."""
+        for take, times in program(size, left, capacity)[1] if optimised else []:
+            used = [(g, int(k)) for g, k in enumerate(take) if k]
+            if whole := min(int(times + 1e-6), *(left[g] // k for g, k in used)):
+                yield used, whole
+        while any(left):
+            open_groups = [g for g, n in enumerate(left) if n]
+            take = fullest([size[g] for g in open_groups], [left[g] for g in open_groups], capacity)
+            used = [(g, k) for g, k in zip(open_groups, take) if k]
+            yield used, min(left[g] // k for g, k in used)
+
+    for used, times in chosen():
         places = []
         for g, k in used:
             places += [next_place[g] + j * times for j in range(k)]
@@ -130,14 +196,32 @@ def _grouped(counts: dict[int, int], capacity: int, groups: int) -> list[_Run]:
 def plan(counts: dict[int, int], capacity: int = CAPACITY, groups: int = GROUPS, large: float = LARGE) -> pd.DataFrame:
     """(length, rank, count, sequence_id, offset): where pieces of a length, by rank, go.
 
-    The ``count`` pieces from that rank on lie at the same offset of consecutive sequences. Large
-    lengths are rounded up within ``groups`` groups of equal cardinality; the fullest configuration
-    with the largest size left is repeated while it lasts; actual lengths then take the rounded
-    ones' places, and small lengths go, longest first, where they leave the smallest gap.
+    The ``count`` pieces from that rank on lie at the same offset of consecutive sequences. Lengths over
+    ``large`` of the capacity are rounded up within ``groups`` groups of equal cardinality, or four times
+    as many without the program; small lengths go, longest first, where they leave the smallest gap. Of
+    these plans, and of best fit for all lengths, the one with the fewest sequences counts.
     """
-    heavy = {x: n for x, n in counts.items() if n and x > capacity * large}
-    runs = sorted(_grouped(heavy, capacity, groups)) if heavy else []
-    for length in sorted((x for x in counts if x <= capacity * large), reverse=True):
+    counts = {x: n for x, n in counts.items() if n}
+    heavy = {x: n for x, n in counts.items() if x > capacity * large}
+    light = {x: n for x, n in counts.items() if x not in heavy}
+    plans = [_filled([], counts, capacity)]
+    if heavy:
+        plans.append(_filled(sorted(_grouped(heavy, capacity, 4 * groups)), light, capacity))
+        plans.append(_filled(sorted(_grouped(heavy, capacity, groups, optimised=True)), light, capacity))
+    runs = min(reversed(plans), key=lambda runs: sum(r.count for r in runs))
+    rows, sequence = [], 0
+    for run in runs:
+        offset = 0
+        for length, rank in run.places:
+            rows.append((length, rank, run.count, sequence, offset))
+            offset += length
+        sequence += run.count
+    return pd.DataFrame(rows, columns=["length", "rank", "count", "sequence_id", "offset"], dtype="int64")
+
+
+def _filled(runs: list[_Run], counts: dict[int, int], capacity: int) -> list[_Run]:
+    """Sorted runs with further lengths in them, longest first, each where it leaves the smallest gap."""
+    for length in sorted(counts, reverse=True):
         left, rank = counts[length], 0
         while left:
             at = bisect_left(runs, length, key=lambda r: r.gap)
@@ -157,14 +241,7 @@ def plan(counts: dict[int, int], capacity: int = CAPACITY, groups: int = GROUPS,
             placed = _Run(run.gap - length, run.count, (*run.places, (length, rank)))
             insort(runs, placed)
             left, rank = left - run.count, rank + run.count
-    rows, sequence = [], 0
-    for run in runs:
-        offset = 0
-        for length, rank in run.places:
-            rows.append((length, rank, run.count, sequence, offset))
-            offset += length
-        sequence += run.count
-    return pd.DataFrame(rows, columns=["length", "rank", "count", "sequence_id", "offset"], dtype="int64")
+    return runs
 
 
 def _lookup(shared):

@@ -35,3 +35,11 @@ def test_folders_are_written_and_discarded(spark):
     assert spark.read.parquet(path).count() == 3
     common.discard(spark, path)
     assert not os.path.exists(path.removeprefix("file:"))
+
+
+def test_disposable_folders_go_at_the_end(spark):
+    with common.disposable(spark):
+        inner = common.written(spark.range(3), "inner")
+        assert spark.read.parquet(inner).count() == 3
+    outer = common.written(spark.range(4), "outer")
+    assert not os.path.exists(inner.removeprefix("file:")) and spark.read.parquet(outer).count() == 4

@@ -256,6 +256,51 @@ def test_packing_of_odd_rows(odd, none):
     assert packing.pack_documents(none, PATH).count() == 0
 
 
+def best_fit(lengths, capacity=1024):
+    """Sequences that plain best fit takes, longest first."""
+    from bisect import bisect_left, insort
+
+    gaps, used = [], 0
+    for x in sorted(lengths, reverse=True):
+        at = bisect_left(gaps, x)
+        used += at == len(gaps)
+        insort(gaps, (capacity if at == len(gaps) else gaps.pop(at)) - x)
+    return used
+
+
+@pytest.mark.parametrize("case", range(6))
+def test_plan_is_never_above_best_fit(case):
+    r = random.Random(5)
+    lengths = [
+        [r.randint(1, 1023) for _ in range(10_000)],
+        [min(1023, max(1, int(r.lognormvariate(5.5, 0.8)))) for _ in range(10_000)],
+        [r.randint(100, 600) for _ in range(3000)],
+        [r.randint(200, 400) for _ in range(5000)],
+        [r.choice([300, 400, 512, 513, 100]) for _ in range(3000)],
+        [r.randint(1, 1023) for _ in range(90)],
+    ][case]
+    plan = packing.plan(dict(Counter(lengths)))
+    placed = Counter()
+    for row in plan.itertuples():
+        placed[row.length] += row.count
+    used = int((plan["sequence_id"] + plan["count"]).max())
+    assert placed == Counter(lengths) and used <= best_fit(lengths)
+    if case == 3:  # configurations pay here
+        assert used <= -(-sum(lengths) // 1024) * 1.003 and used < best_fit(lengths) * 0.97
+
+
+def test_program_finds_the_fractional_optimum():
+    # Two of 400 with one of 200 fill a sequence of 1000, four of 200 with one of 200 too.
+    bound, found = packing.program([400, 200], [100, 50], 1000)
+    assert abs(bound - 50) < 1e-9 and [(t.tolist(), round(x)) for t, x in found if x > 1e-9] == [([2, 1], 50)]
+    r = random.Random(3)
+    sizes, counts = list(range(400, 250, -5)), [r.randint(1, 30) for _ in range(30)]
+    bound, found = packing.program(sizes, counts, 1024)
+    made = sum(t * x for t, x in found)
+    assert all(m >= n - 1e-6 for m, n in zip(made, counts)) and bound >= sum(s * n for s, n in zip(sizes, counts)) / 1024 - 1e-6
+    assert all((t * sizes).sum() <= 1024 for t, _ in found)
+
+
 def test_plan_is_near_the_bound():
     r = random.Random(4)
     for lengths in ([r.randint(1, 1023) for _ in range(20_000)], [r.randint(200, 400) for _ in range(5000)], [7] * 999, [1023, 1]):
