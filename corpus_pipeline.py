@@ -7,19 +7,30 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sluice.llm import pii
-from sluice.llm.common import stored, table
+from sluice.llm.common import discard, disposable, table, unused
 from sluice.llm.decontamination import uncontaminated
 from sluice.llm.language import UNKNOWN, fit, identify
 from sluice.llm.near_duplicates import deduplicated
 from sluice.llm.packing import pack_documents
+from sluice.session import scratch_dir
 
 TOKENIZER = "byte_bpe_50k.json"
+#: Score from which the language model overrules what a document says of itself.
+CERTAIN = 0.9
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Learns from the rows that name a language; texts in no language (null, or without a letter) go."""
-    judged = identify(docs, fit(docs.select("text", "lang")), names=("_language", "_certainty"))
-    return judged.filter(F.col("_language") != UNKNOWN).select(*_columns(docs))
+    """Learns from the rows that name a language. Texts in no language (null, or without a letter) go, and
+    those whose stated language the model contradicts with a certainty of :data:`CERTAIN`; where no row
+    names a language there is no model, and only the former go."""
+    model = fit(docs.select("text", "lang"))
+    if model is None:
+        return docs.filter(F.col("text").rlike(r"\p{L}"))
+    found, sure = unused(docs, "_language"), unused(docs, "_certainty")
+    judged = identify(docs, model, names=(found, sure))
+    stated = F.col("lang").isin(model.langs)
+    contradicted = stated & (F.col("lang") != F.col(found)) & (F.col(sure) >= CERTAIN)
+    return judged.filter((F.col(found) != UNKNOWN) & ~F.coalesce(contradicted, F.lit(False))).select(*_columns(docs))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -59,8 +70,16 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Applies the stages to documents, each to what the one before has written."""
-    docs = table(spark, sf_dir, "documents")
+    """Applies the stages to documents, each to what the one before has written.
+
+    What a stage wrote for itself goes when its result is there, and that when the next one is.
+    """
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES[:-1]:
-        docs = stored(stage(spark, docs, sf_dir), name)
+        path = scratch_dir(spark, name)
+        with disposable(spark):
+            stage(spark, docs, sf_dir).write.parquet(path)
+        if before:
+            discard(spark, before)
+        docs, before = spark.read.parquet(path), path
     return STAGES[-1][1](spark, docs, sf_dir)
