@@ -181,6 +181,17 @@ def run_hashes(hashes: np.ndarray, words: int) -> np.ndarray:
     return mixed(out)
 
 
+def hash_bounds(sizes: list[tuple], most: int) -> F.Column:
+    """A map from each key of (key, rows) to a 64-bit hash below which its ``most`` smallest hashes lie.
+
+    Hashes are spread evenly, and there is so much room that a key all but surely has ``most`` below
+    its bound; so the smallest ones are found without bringing all of a key's rows together.
+    """
+    room = most + 10 * most**0.5 + 10
+    bound = lambda n: min((1 << 63) - 1, int(-(1 << 63) + (1 << 64) * room / n))
+    return F.create_map(*(F.lit(x) for key, n in sizes for x in (key, bound(n))))
+
+
 #: Bits of a Bloom filter, a power of two: 8 MB to broadcast, whatever it holds; the fuller, the more passes.
 BLOOM_BITS = 1 << 26
 #: Words of 64 bits that are a row while the filter is put together.

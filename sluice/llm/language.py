@@ -10,7 +10,7 @@ import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sluice.llm.common import map_rows, stored, unused
+from sluice.llm.common import hash_bounds, map_rows, stored, unused
 
 # Language families by ISO 639-1 code. A language not named is a family of its own.
 FAMILIES = {
@@ -116,10 +116,7 @@ def sampled(examples: DataFrame, per_language: int, max_languages: int) -> DataF
     sizes = hashes.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(max_languages).collect()
     if not sizes:
         return usable.limit(0).select("lang", "text")
-    # Hashes are spread evenly; so much room that a language all but surely has enough below its bound.
-    wanted = per_language + 10 * per_language**0.5 + 10
-    bound = lambda n: min((1 << 63) - 1, int(-(1 << 63) + (1 << 64) * wanted / n))
-    bounds = F.create_map(*(F.lit(x) for lang, n in sizes for x in (lang, bound(n))))
+    bounds = hash_bounds([tuple(r) for r in sizes], per_language)
     low = hashes.withColumn("bound", F.try_element_at(bounds, F.col("lang"))).filter("h <= bound")
     rank = F.row_number().over(Window.partitionBy("lang").orderBy("h"))
     chosen = stored(low.select("lang", "h", rank.alias("rank")).filter(F.col("rank") <= per_language), "language-sample")

@@ -12,8 +12,8 @@ for every entity and size of corpus, and must be met by a lower confidence bound
 
 - p(c | t) is the share of the rows with the term that have the entity too, all rows counted, copies
   included. Its confidence comes from the number of distinct texts with both, for copies are no
-  evidence, and near copies little: texts whose smallest hash of :data:`SHINGLE` words agrees stand for
-  each other, and the effective number is the inverse chance that two of the texts do. One text is never
+  evidence, and near copies little: the smallest hashes of :data:`SHINGLE` words agree in two texts as often
+  as the texts are alike, and the effective number is the inverse chance of that. One text is never
   enough.
 - The meetings must be more than chance would give among all pairs of an entity and a term that have two
   texts: by the Chernoff bound, less than :data:`CHANCE` of one such pair is expected in the whole
@@ -42,13 +42,14 @@ IP_PARTS = r"^(0*(25[0-5]|2[0-4][0-9]|1?[0-9]{1,2})(\.|$)){4}$"
 TERM = r"[\p{L}\p{N}]+"
 #: A term in a text whose spans are blanked; with a mark in it, a span touches it.
 MARKED_TERM = r"[\p{L}\p{N}\x01]+"
-#: Nats that a reader of the term may at most lack; 0.9: the guess is right in two of five cases.
-RESIDUAL = 0.9
+#: Nats that a reader of the term may at most lack; 1.1: the guess is right in one of three cases.
+RESIDUAL = 1.1
 #: Deviations of the one-sided 95 % confidence bound, and the pairs that chance may give in a corpus.
 SURE = 1.645
 CHANCE = 0.05
-#: Consecutive words whose least hash is a text's signature.
+#: Consecutive words whose least hashes are a text's signatures, and what hashes are flipped by for each of them.
 SHINGLE = 5
+FLIPS = [0x243F6A8885A308D3, 0x13198A2E03707344, 0x24093822299F31D0, 0x082EFA98EC4E6C89]
 _BLOCK = 256
 #: Hashes of terms in the filter before the join with disclosing terms; bounds its broadcast.
 _HASHES = 1 << 20
@@ -135,11 +136,14 @@ def _terms(text: Column) -> Column:
     return F.array_distinct(F.transform(F.regexp_extract_all(text, F.lit(TERM), F.lit(0)), F.lower))
 
 
-def signature(text: Column) -> Column:
-    """The smallest hash of a text's shingles, all its words being one if they are fewer: near copies mostly share it."""
-    words = F.transform(F.regexp_extract_all(text, F.lit(TERM), F.lit(0)), F.lower)
-    last = F.greatest(F.size(words) - SHINGLE, F.lit(0))
-    return F.array_min(F.transform(F.sequence(F.lit(0), last), lambda i: F.xxhash64(F.slice(words, i + 1, F.lit(SHINGLE)))))
+def with_signatures(rows: DataFrame) -> DataFrame:
+    """Adds signs, smallest hashes of a text's shingles, all its words being one if they are fewer."""
+    words = F.transform(F.regexp_extract_all("text", F.lit(TERM), F.lit(0)), F.lower)
+    last = F.greatest(F.size("words") - SHINGLE, F.lit(0))
+    hashes = F.transform(F.sequence(F.lit(0), last), lambda i: F.xxhash64(F.slice("words", i + 1, F.lit(SHINGLE))))
+    signs = F.array(*(F.array_min(F.transform("hashes", lambda h, c=c: h.bitwiseXOR(F.lit(c)))) for c in FLIPS))
+    # Words and hashes are columns of their own: within a lambda they would be found anew for each shingle.
+    return rows.withColumn("words", words).withColumn("hashes", hashes).withColumn("signs", signs).drop("words", "hashes")
 
 
 def _blanked(text: Column, covered: Column) -> Column:
@@ -179,7 +183,7 @@ def surprise(both: Column, term: Column, texts: Column, chance: Column) -> Colum
 def revealing(docs: DataFrame, texts: DataFrame, residual: float = RESIDUAL) -> DataFrame:
     """(s1, s2, term) for each text and each term in it that discloses an entity of it.
 
-    ``texts`` are the distinct ones with entities, (s1, s2, sign, copies, spans, text). Counts are over
+    ``texts`` are the distinct ones with entities, (s1, s2, signs, copies, spans, text). Counts are over
     all of ``docs``. Entities of the same texts are one class, so that a list of many, repeated as a
     whole, makes no pairs of each with each word. Entities of one distinct text and terms too common for
     any entity of theirs (n_term over n_entity / p) cannot pass and are left out before pairs are counted.
@@ -187,7 +191,7 @@ def revealing(docs: DataFrame, texts: DataFrame, residual: float = RESIDUAL) ->
     n = max(1, docs.count())
     least = math.exp(-residual)
     each = F.explode(F.array_distinct(F.flatten(F.transform("spans", entities))))
-    named = stored(texts.select("s1", "s2", "sign", "copies", each.alias("entity")), "entities")
+    named = stored(texts.select("s1", "s2", "copies", each.alias("entity")), "entities")
     place = F.xxhash64("s1", "s2").cast("decimal(38,0)")
     counted = named.groupBy("entity").agg(
         F.count("*").alias("n_texts"), F.sum("copies").alias("n_entity"), F.sum(place).alias("places"), F.bit_xor(F.xxhash64("s2", "s1")).alias("mix")
@@ -206,11 +210,14 @@ def revealing(docs: DataFrame, texts: DataFrame, residual: float = RESIDUAL) ->
     met = members.join(words.hint("merge"), ["s1", "s2"]).filter(F.col("n_term") * least <= F.col("n_entity"))
     near = stored(met, "near")
     pair = ["entity", "term", "n_entity", "n_term"]
-    kin = near.groupBy(*pair, "sign").agg(F.sum("copies").alias("rows"), F.count("*").cast("double").alias("texts"))
-    pairs = kin.groupBy(*pair).agg(
-        F.sum("rows").alias("n_both"), F.sum("texts").alias("n_texts"), (F.sum("texts") ** 2 / F.sum(F.col("texts") ** 2)).alias("n_apart")
-    )
-    pairs = pairs.filter("n_texts > 1")
+    pairs = near.groupBy(*pair).agg(F.sum("copies").alias("n_both"), F.count("*").alias("n_texts")).filter("n_texts > 1")
+    pairs = stored(pairs, "pairs")
+    # How alike a pair's texts are: the share of two of them, drawn at random, that have a signature in common.
+    each = near.join(pairs.select("entity", "term").hint("merge"), ["entity", "term"], "left_semi").select("s1", "s2", "entity", "term")
+    each = each.join(texts.select("s1", "s2", F.posexplode("signs").alias("flip", "sign")).hint("merge"), ["s1", "s2"])
+    kin = each.groupBy("entity", "term", "flip", "sign").agg(F.count("*").cast("double").alias("k"))
+    alike = kin.groupBy("entity", "term").agg((F.sum(F.col("k") ** 2) / len(FLIPS)).alias("same"))
+    pairs = pairs.join(alike.hint("merge"), ["entity", "term"]).withColumn("n_apart", F.col("n_texts").cast("double") ** 2 / F.col("same"))
     tried = max(1, known.count() * members.select("entity").distinct().count())
     counts = [F.col(c).cast("double") for c in ("n_both", "n_term", "n_apart")]
     passed = pairs.filter(assured(*counts) >= least)
@@ -261,7 +268,7 @@ def find(docs: DataFrame, residual: float = RESIDUAL, everywhere: bool = False)
     none = F.array().cast(f"array<{_SPAN}>")
     same = base.filter(some).groupBy("s1", "s2")
     texts = same.agg(F.count("*").alias("copies"), F.first("spans").alias("spans"), F.first("text").alias("text"))
-    texts = stored(texts.withColumn("sign", signature(F.col("text"))), "texts")
+    texts = stored(with_signatures(texts), "texts")
     pairs = stored(revealing(rows, texts, residual), "revealing")
     if pairs.isEmpty():
         return base.select("doc_id", "k1", "k2", "spans", none.alias("terms"))

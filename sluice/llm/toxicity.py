@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sluice.llm.common import Memo, documents, map_rows, stored
+from sluice.llm.common import Memo, documents, hash_bounds, map_rows, stored
 
 # Identity terms that may stand for each other, by kind and language.
 IDENTITY = [
@@ -46,7 +46,8 @@ SWAP = {term: kind[(i + 1) % len(kind)] for kind in reversed(IDENTITY) for i, te
 BITS = 18
 #: Labelled documents of each class that the fit takes at most.
 SAMPLE_PER_CLASS = 6000
-#: Words of a sentence; longer ones are cut, so that no text's length adds up.
+#: Words that are judged together. Longer sentences are judged by windows of so many, each half over the
+#: one before, so that no text's length adds up and no phrase of half a window is cut.
 SENTENCE = 32
 _TOKENS = re.compile(r"\w+|[.!?\n]+")
 BIAS = 1 << BITS
@@ -59,16 +60,16 @@ def word_features(word: str) -> tuple[int, ...]:
 
 
 def sentences(text: str) -> list[list[str]]:
-    """Lower-cased words by sentence; none for a text without words."""
-    out: list[list[str]] = [[]]
-    for token in _TOKENS.findall(text.lower()):
-        if token[0] in ".!?\n":
-            out.append([])
-        else:
-            if len(out[-1]) == SENTENCE:
-                out.append([])
-            out[-1].append(token)
-    return [s for s in out if s]
+    """Lower-cased words by sentence, or by window of a long one; none for a text without words."""
+    out: list[list[str]] = []
+    words: list[str] = []
+    for token in (*_TOKENS.findall(text.lower()), "\n"):
+        if token[0] not in ".!?\n":
+            words.append(token)
+        elif words:
+            out += [words[i : i + SENTENCE] for i in range(0, max(1, len(words) - SENTENCE // 2), SENTENCE // 2)]
+            words = []
+    return out
 
 
 def swapped(words: list[str]) -> list[str] | None:
@@ -83,9 +84,16 @@ def _features(words: list[str]) -> list[int]:
 
 def _sample(docs: DataFrame, labels: DataFrame, per_class: int) -> DataFrame:
     """(text, toxic) of at most ``per_class`` documents a class, those with the smallest hashes of their ids."""
-    rank = F.row_number().over(Window.partitionBy("toxic").orderBy(F.xxhash64("label_id"), "label_id"))
     each = labels.filter("doc_id is not null and toxic is not null").groupBy(F.col("doc_id").cast("long").alias("label_id"))
-    ids = each.agg(F.max("toxic").alias("toxic")).withColumn("rank", rank).filter(F.col("rank") <= per_class).drop("rank")
+    ids = each.agg(F.max("toxic").cast("int").alias("toxic")).filter("toxic in (0, 1)").withColumn("h", F.xxhash64("label_id"))
+    ids = stored(ids, "labelled")
+    sizes = [tuple(r) for r in ids.groupBy("toxic").count().collect()]
+    if not sizes:
+        return documents(docs).limit(0).select("text", F.lit(0).alias("toxic"))
+    # Only the rows with small hashes of a class come together, whatever its share.
+    low = ids.withColumn("bound", F.try_element_at(hash_bounds(sizes, per_class), F.col("toxic"))).filter("h <= bound")
+    rank = F.row_number().over(Window.partitionBy("toxic").orderBy("h", "label_id"))
+    ids = low.withColumn("rank", rank).filter(F.col("rank") <= per_class).select("label_id", "toxic")
     rows = documents(docs).filter("text is not null")
     chosen = rows.join(F.broadcast(ids), rows["doc_id"] == ids["label_id"])  # two classes of per_class ids
     return stored(chosen.select("text", F.col("toxic").cast("int").alias("toxic")), "toxicity-sample")

@@ -93,3 +93,42 @@ def test_toxicity_of_odd_rows(spark, odd, none, insults):
     rows = toxicity.score(odd, weights).collect()
     assert all(0 <= r["score"] <= 1 for r in rows)
     assert toxicity.score(none, weights).collect() == []
+
+
+def test_a_phrase_counts_wherever_a_long_sentence_is_cut(insults):
+    """Windows overlap by half, so where an insult lies in a text without stops makes no difference."""
+    weights = toxicity.fit(insults, insults)
+    spark = insults.sparkSession
+    plain = [f"w{i % 50}" for i in range(200)]
+    rows = [(at, " ".join([*plain[:at], "you", "are", "moronic", "vermint", *plain[at:]])) for at in range(0, 200, 7)]
+    scores = [r["score"] for r in toxicity.score(spark.createDataFrame(rows, "doc_id long, text string"), weights).collect()]
+    assert min(scores) >= 0.7
+    words = [str(i) for i in range(100)]
+    cut = toxicity.sentences(" ".join(words) + ". a b")
+    assert cut[-1] == ["a", "b"] and all(len(s) <= 32 for s in cut)
+    assert all(any(words[i : i + 16] == s[j : j + 16] for s in cut for j in range(len(s) - 15)) for i in range(85))
+    assert sorted({w for s in cut[:-1] for w in s}) == sorted(words)
+
+
+@pytest.mark.parametrize("share", [0.03, 0.5, 0.97])
+def test_samples_are_the_smallest_hashes_of_a_class(spark, share):
+    labels = spark.range(4000).select(F.col("id").alias("doc_id"), (F.col("id") < 4000 * share).cast("int").alias("toxic"))
+    docs = labels.select("doc_id", F.concat(F.lit("t"), "doc_id").alias("text"))
+    found = {(r["toxic"], r["text"]) for r in toxicity._sample(docs, labels, 100).collect()}
+    hashed = [tuple(r) for r in labels.select("toxic", F.xxhash64("doc_id"), F.concat(F.lit("t"), "doc_id")).collect()]
+    expected = {(c, t) for c in (0, 1) for _, _, t in sorted(x for x in hashed if x[0] == c)[:100]}
+    assert found == expected
+
+
+def test_only_the_commonest_languages_are_learned(spark):
+    rows = [(f"{lang} text {i} of words", lang) for lang, n in (("de", 30), ("en", 20), ("zz", 20), ("yy", 3)) for i in range(n)] * 2
+    examples = spark.createDataFrame(rows, "text string, lang string")
+    assert language.fit(examples, per_language=10, max_languages=3).langs == ["de", "en", "zz"]
+    found = language.sampled(examples, 10, 3)
+    assert {r["lang"]: r["count"] for r in found.groupBy("lang").count().collect()} == {"de": 10, "en": 10, "zz": 10}
+
+
+def test_columns_of_any_name_survive_identification(spark):
+    docs = spark.createDataFrame([("words here", "en", 1, 2)], "text string, lang string, _judged int, __judged int")
+    row = language.identify(docs, language.fit(docs)).first()
+    assert row["_judged"] == 1 and row["__judged"] == 2 and row["lang_pred"] == "en"

@@ -87,7 +87,7 @@ def test_terms_that_disclose(told):
     assert terms[200] == [] and ("zorro", "zorro") in terms[300]
 
 
-def plain_signature(text):
+def plain_signatures(text):
     words = [m[0].lower() for m in re.finditer(r"[^\W_]+", text)]
     each = []
     for i in range(max(len(words) - 5, 0) + 1):
@@ -95,7 +95,7 @@ def plain_signature(text):
         for w in words[i : i + 5]:
             h = xxhash.xxh64_intdigest(w.encode(), seed=h)
         each.append(h - (1 << 64) if h >> 63 else h)
-    return min(each)
+    return [min(h ^ flip for h in each) for flip in pii.FLIPS]
 
 
 def plain_terms(rows):
@@ -120,14 +120,14 @@ def plain_terms(rows):
                 near.setdefault((e, t), []).append(text)
         for t in {m[0].lower() for m in re.finditer(r"[^\W_]+", text)}:
             n_term[t] = n_term.get(t, 0) + 1
-    least = math.exp(-0.9)
+    least = math.exp(-1.1)
     classes = {frozenset(v): min(e for e in n_entity if set(n_entity[e]) == set(v)) for v in n_entity.values() if len(set(v)) > 1}
     tried = len(classes) * sum(n > 1 for n in n_term.values())
     pairs = {k: v for k, v in near.items() if k[0] in classes.values() and len(set(v)) > 1 and n_term[k[1]] * least <= len(n_entity[k[0]])}
     out = set()
     for (e, t), texts in pairs.items():
-        kin = Counter(map(plain_signature, set(texts)))
-        p, d = len(texts) / n_term[t], kin.total() ** 2 / sum(n * n for n in kin.values())
+        kin = Counter((i, x) for text in set(texts) for i, x in enumerate(plain_signatures(text)))
+        p, d = len(texts) / n_term[t], len(set(texts)) ** 2 / (sum(n * n for n in kin.values()) / 4)
         m, chance, z = d / p, len(n_entity[e]) / len(rows), 1.645
         low = (p + z * z / 2 / m - z * math.sqrt(p * (1 - p) / m + z * z / 4 / m / m)) / (1 + z * z / m)
         odd = m * (p * math.log(p / chance) + ((1 - p) * math.log((1 - p) / (1 - chance)) if p < 1 else 0)) if p > chance else 0
