@@ -192,56 +192,66 @@ def hash_bounds(sizes: list[tuple], most: int) -> F.Column:
     return F.create_map(*(F.lit(x) for key, n in sizes for x in (key, bound(n))))
 
 
-#: Bits of a Bloom filter, a power of two: 8 MB to broadcast, whatever it holds; the fuller, the more passes.
-BLOOM_BITS = 1 << 26
+#: Bits of a Bloom filter: powers of two, about 16 for each number, within these bounds. The largest has 8 MB to
+#: broadcast, whatever it holds; the fuller, the more passes.
+BLOOM_BITS = 1 << 18, 1 << 26
 #: Words of 64 bits that are a row while the filter is put together.
 BLOOM_CHUNK = 1 << 10
 
 
 class Bloom:
-    """A filter of 64-bit numbers, of fixed size: passes all that were put in, and few others."""
+    """A filter of 64-bit numbers, of bounded size: passes all that were put in, and few others."""
 
     def __init__(self, words: np.ndarray):
         self.words = words
 
     @classmethod
     def of(cls, numbers: DataFrame) -> Bloom:
-        """From a table of one long column. Tasks set bits and put them together; 8 MB in all come to the driver."""
+        """From a stored table of one long column, which is read twice. Tasks set bits and put them together; 8 MB at most come to the driver."""
+        least, most = BLOOM_BITS
+        size = min(most, max(least, 1 << (16 * numbers.count() - 1).bit_length())) // 64
 
         def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            words = np.zeros(BLOOM_BITS // 64, np.uint64)
+            words = np.zeros(size, np.uint64)
             for batch in batches:
-                places = cls.places(batch.column(0).drop_null().to_numpy(zero_copy_only=False)).ravel()
+                places = cls.places(batch.column(0).drop_null().to_numpy(zero_copy_only=False), size).ravel()
                 np.bitwise_or.at(words, places >> np.uint64(6), np.uint64(1) << (places & np.uint64(63)))
-            yield from chunks(dict(enumerate(words.reshape(-1, BLOOM_CHUNK))))
+            yield from chunks(enumerate(words.reshape(-1, BLOOM_CHUNK)))
 
         def unite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             found: dict[int, np.ndarray] = {}
             for batch in batches:
-                for at, bits in zip(*(c.to_pylist() for c in batch.columns)):
-                    mine = found.setdefault(at, np.zeros(BLOOM_CHUNK, np.uint64))
-                    mine |= np.frombuffer(bits, np.uint64)
-            yield from chunks(found)
+                for at, bits in zip(*batch.columns):
+                    mine = found.setdefault(at.as_py(), np.zeros(BLOOM_CHUNK, np.uint64))
+                    mine |= np.frombuffer(bits.as_py(), np.uint64)
+            yield from chunks(found.items())
 
-        def chunks(found: dict[int, np.ndarray]) -> Iterator[pa.RecordBatch]:
-            some = {at: words.tobytes() for at, words in found.items() if words.any()}
-            columns = [pa.array(list(some), pa.int32()), pa.array(list(some.values()), pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, names=["at", "bits"])
+        def chunks(found: Iterable[tuple[int, np.ndarray]]) -> Iterator[pa.RecordBatch]:
+            for at, words in found:
+                if words.any():
+                    columns = [pa.array([at], pa.int32()), pa.array([words.tobytes()], pa.binary())]
+                    yield pa.RecordBatch.from_arrays(columns, names=["at", "bits"])
 
         schema = "at int, bits binary"
         parts = numbers.mapInArrow(mark, schema).repartition("at").mapInArrow(unite, schema)
-        words = np.zeros((BLOOM_BITS // 64 // BLOOM_CHUNK, BLOOM_CHUNK), np.uint64)
+        words = np.zeros((size // BLOOM_CHUNK, BLOOM_CHUNK), np.uint64)
         for at, bits in parts.collect():
             words[at] = np.frombuffer(bits, np.uint64)
         return cls(words.ravel())
 
     @staticmethod
-    def places(numbers: np.ndarray) -> np.ndarray:
-        """The two bits of each number."""
+    def places(numbers: np.ndarray, size: int) -> np.ndarray:
+        """The two bits of each number among those of ``size`` words."""
         h = mixed(numbers.astype(np.int64).view(np.uint64).copy())
-        return np.stack([h, h >> np.uint64(32)], axis=1) & np.uint64(BLOOM_BITS - 1)
+        return np.stack([h, h >> np.uint64(32)], axis=1) & np.uint64(64 * size - 1)
 
     def passing(self, numbers: np.ndarray) -> np.ndarray:
+        """Which of the numbers may be held."""
+        places = self.places(numbers, len(self.words))
+        return (self.words[places >> np.uint64(6)] >> (places & np.uint64(63)) & np.uint64(1)).all(1)
+
+
+def passing(self, numbers: np.ndarray) -> np.ndarray:
         """Which of the numbers may be held."""
         places = self.places(numbers)
         return (self.words[places >> np.uint64(6)] >> (places & np.uint64(63)) & np.uint64(1)).all(1)

@@ -7,8 +7,8 @@ judged by one threshold, nothing is drawn at random: a fifth of the trusted docu
 ids, is left out of the target, and the threshold is a lower tolerance bound of theirs, which all but
 one in a thousand such documents reach.
 
-Counting the raw corpus moves no text. For the target, a Bloom filter of the trusted ids, of one size for
-any number of them, picks the rows that are joined with the ids.
+Counting the raw corpus moves no text. For the target, a Bloom filter of the trusted ids, of bounded size,
+picks the rows that are joined with the ids.
 """
 
 from __future__ import annotations

@@ -9,7 +9,7 @@ duplicate spans.
 
 Only windows that can repeat are indexed. The smallest hash of the runs of :data:`ANCHOR` words in a
 window is its anchor; equal windows have equal anchors, and neighbouring windows mostly share
-theirs. Bloom filters of one size pass on what matters and little else: rows that are the first copy of their
+theirs. Bloom filters of bounded size pass on what matters and little else: rows that are the first copy of their
 text, the anchors that two texts or two places share, the texts that hold such anchors, and the
 windows found twice. Windows are compared by hash after that, so what a filter lets through in
 vain costs time and changes nothing. Copies of a whole text are told by its digest first and take no
@@ -97,10 +97,11 @@ def _shared_anchors(parsed: DataFrame, firsts: DataFrame) -> Bloom:
     Copies have their first one's text_key, so letting some through shares no anchor.
     """
     place = F.xxhash64("at", "text_key")
-    rows = passing(parsed.withColumn("place", place), "place", Bloom.of(firsts.select(place.alias("place"))))
+    rows = passing(parsed.select("at", "text_key", "anchors").withColumn("place", place), "place", Bloom.of(firsts.select(place.alias("place"))))
     each = rows.select("text_key", F.explode("anchors").alias("anchor"))
     met = each.groupBy("anchor").agg(F.min("text_key").alias("x"), F.max("text_key").alias("y")).filter("x <> y")
-    return Bloom.of(met.select("anchor").unionByName(rows.select(F.explode("again").alias("anchor"))))
+    twice = parsed.select(F.explode("again").alias("anchor"))
+    return Bloom.of(stored(met.select("anchor").unionByName(twice), "shared-anchors"))
 
 
 def _with_any(rows: DataFrame, column: str, bloom: Bloom) -> DataFrame:

@@ -1,4 +1,4 @@
-"""Shared helpers: filters of one size, names that clash with nothing, scratch folders."""
+"""Shared helpers: filters of bounded size, names that clash with nothing, scratch folders."""
 
 import os
 
@@ -14,10 +14,10 @@ def test_a_filter_holds_what_was_put_in_and_little_else(spark):
     held = np.array([r["x"] for r in numbers.collect()])
     assert bloom.passing(held).all()
     others = np.random.default_rng(1).integers(-(1 << 63), 1 << 63, 100_000)
-    assert bloom.passing(others).mean() < 0.001
+    assert bloom.passing(others).mean() < 0.02
     rows = spark.range(0, 2000).select("id", F.when(F.col("id") < 1990, F.xxhash64("id")).alias("x"))
     kept = {r["id"] for r in common.passing(rows, "x", bloom).collect()}
-    assert {i for i in range(0, 1990, 2)} <= kept and len(kept) < 1000 and not kept & set(range(1990, 2000))
+    assert {i for i in range(0, 1990, 2)} <= kept and len(kept) < 1050 and not kept & set(range(1990, 2000))
 
 
 def test_an_empty_filter_passes_nothing(spark):
