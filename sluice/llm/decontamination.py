@@ -133,7 +133,8 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW, block
     are the ids, as strings, of the items with a window there. Items are taken in blocks of about
     ``block_bytes`` of text, each against all documents, so any number of them works. Null texts
     have no words; an item without words never occurs; rows that repeat an item_id are one item,
-    and a null item_id is the item ``null``. Document rows are judged one by one, repeated or not.
+    and a null item_id is the item ``null``. Document rows are judged one by one, repeated or not, by
+    their whole texts, however long; columns beside doc_id and text are not looked at.
     """
     docs = documents(docs)
     scans = [

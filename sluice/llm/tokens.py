@@ -107,7 +107,11 @@ def _glued(parts: list[str]) -> list[str]:
 
 
 def lengths(docs: DataFrame, path: str) -> DataFrame:
-    """(length, n_docs): the exact histogram of encoded lengths; a null text has length 0."""
+    """(length, n_docs): the exact histogram of encoded lengths; a null text has length 0.
+
+    Rows count as often as they occur, whole texts however long; other columns are not looked at. No
+    rows give none.
+    """
 
     def make():
         encode = Encoder(path)

@@ -136,7 +136,8 @@ def write_archives(pages: DataFrame, folder: str) -> DataFrame:
     Of rows with equal payloads of :data:`SMALL` bytes or more, those with the smallest page_id are
     responses and the others revisits of it; rows that repeat that id with the payload are
     responses too. A null html is an empty payload, a null url is ``about:blank``; a null page_id
-    counts as larger than all others and is left out of the record.
+    counts as larger than all others and is left out of the record. A payload is held whole while
+    its record is written; other columns are not looked at; no rows give no archive.
     """
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
