@@ -19,7 +19,7 @@ from sluice.operators.orders import (
 )
 from sluice.schemas import DAU_INFO, ORDER_DETAIL, ORDER_INFO, PAGE_LOG
 from sluice.sources.keyed_table import KeyedTable
-from sluice.streaming.jobs import INTERVAL, run_id, state_partitions
+from sluice.streaming.jobs import INTERVAL, run_id, start_batches, state_partitions
 
 
 def wide_orders(
@@ -62,7 +62,8 @@ def wide_orders(
 
 
 def late_rows(query: StreamingQuery) -> int:
-    """Rows that came later than the watermark in the progress reports that Spark holds of a query."""
+    """Rows that came later than the watermark in the progress reports that Spark still holds of a query;
+    the table of :mod:`sluice.streaming.progress` has those of all batches."""
     return sum(
         state["numRowsDroppedByWatermark"]
         for report in query.recentProgress for state in json.loads(report.json)["stateOperators"]
@@ -139,10 +140,7 @@ def start_order_enrich(
         finally:
             info.unpersist()
 
-    return (
-        orders.stream(spark).writeStream.foreachBatch(enrich)
-        .option("checkpointLocation", checkpoint).trigger(**trigger).start()
-    )
+    return start_batches(orders.stream(spark), enrich, checkpoint, trigger)
 
 
 DAU_SPACE = "DAU:"
@@ -188,10 +186,7 @@ def start_daily_active(
         finally:
             first.unpersist()
 
-    return (
-        pages.stream(spark).writeStream.foreachBatch(save)
-        .option("checkpointLocation", checkpoint).trigger(**trigger).start()
-    )
+    return start_batches(pages.stream(spark), save, checkpoint, trigger)
 
 
 def _dau_rows(dau: DataFrame) -> DataFrame:

@@ -7,6 +7,7 @@ that: at-least-once into Kafka, exactly-once into the table sinks, which know th
 
 from __future__ import annotations
 
+import threading
 from contextlib import contextmanager
 
 from pyspark import StorageLevel
@@ -74,23 +75,29 @@ class Counted:
         return [{"step": self.step, "name": name, "n": found[f"c{i}"]} for i, name in enumerate(self.names)]
 
 
+_SETTING = threading.RLock()
+
+
 @contextmanager
 def state_partitions(spark: SparkSession, count: int | None):
     """Starts a stream with ``count`` state partitions, whatever the session's shuffle setting.
 
     The number is kept in the checkpoint and cannot change later, so choose it for the state the
-    stream will come to hold.
+    stream will come to hold. A query takes the setting when it starts; streams that are started by
+    this library wait for each other, so none takes another's number.
     """
     if count is None:
-        yield
+        with _SETTING:
+            yield
         return
     key = "spark.sql.shuffle.partitions"
-    before = spark.conf.get(key)
-    spark.conf.set(key, str(count))
-    try:
-        yield
-    finally:
-        spark.conf.set(key, before)
+    with _SETTING:
+        before = spark.conf.get(key)
+        spark.conf.set(key, str(count))
+        try:
+            yield
+        finally:
+            spark.conf.set(key, before)
 
 
 def start_log_split(
@@ -122,7 +129,7 @@ def start_log_split(
         if counts is not None:
             counts.put(run_id(batch), batch_id, judged.lines() + sent.lines())
 
-    return _start(source.stream(spark), split, checkpoint, trigger)
+    return start_batches(source.stream(spark), split, checkpoint, trigger)
 
 
 def start_change_split(
@@ -171,13 +178,10 @@ def start_change_split(
         finally:
             routed.unpersist()
 
-    return _start(source.stream(spark), split, checkpoint, trigger)
+    return start_batches(source.stream(spark), split, checkpoint, trigger)
 
 
-def _start(records: DataFrame, batch_fn, checkpoint: str, trigger: dict) -> StreamingQuery:
-    return (
-        records.writeStream.foreachBatch(batch_fn)
-        .option("checkpointLocation", checkpoint)
-        .trigger(**trigger)
-        .start()
-    )
+def start_batches(records: DataFrame, batch_fn, checkpoint: str, trigger: dict, partitions: int | None = None) -> StreamingQuery:
+    """A started query that hands each batch to a function."""
+    with state_partitions(records.sparkSession, partitions):
+        return records.writeStream.foreachBatch(batch_fn).option("checkpointLocation", checkpoint).trigger(**trigger).start()

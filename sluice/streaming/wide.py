@@ -22,7 +22,7 @@ from sluice.operators.orders import decode_fact, merge_wide, pack_sides, with_or
 from sluice.operators.parse import unreadable
 from sluice.schemas import CORRUPT, ORDER_DETAIL, ORDER_INFO, ORDER_WIDE, strings
 from sluice.sources.files import Files
-from sluice.streaming.jobs import INTERVAL, run_id, state_partitions
+from sluice.streaming.jobs import INTERVAL, run_id, start_batches
 
 MATCHED, ORDER_ALONE, DETAIL_ALONE = "matched", "order_alone", "detail_alone"
 LATE, NO_TIME, UNREADABLE = "late", "no_time", "unreadable"
@@ -130,8 +130,7 @@ def start_order_merge(
             rows.unpersist()
 
     rows = two_sided(orders.stream(spark), details.stream(spark), within, delay, salts)
-    with state_partitions(spark, partitions):
-        return rows.writeStream.foreachBatch(save).option("checkpointLocation", checkpoint).trigger(**trigger).start()
+    return start_batches(rows, save, checkpoint, trigger, partitions)
 
 
 def merged(spark: SparkSession, path: str) -> DataFrame:
