@@ -24,7 +24,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sluice.llm.common import documents, stored, unused, with_keys
@@ -233,23 +233,30 @@ def _everywhere(rows: DataFrame, terms: DataFrame) -> DataFrame:
     return held.join(slots, "slot", "left_semi").select("k1", "k2", "term").join(terms.hint("merge"), "term", "left_semi")
 
 
-def _marked(rows: DataFrame, hits: DataFrame) -> DataFrame:
-    """(k1, k2, terms): the places of the words of ``hits`` (k1, k2, term) in (k1, k2, text, spans) outside of spans.
+def _marked(rows: DataFrame) -> DataFrame:
+    """(k1, k2, terms) of (k1, k2, text, spans, found): the places of the words in ``found`` outside of spans.
 
-    Words become rows with their places, are joined with the terms, and what is met is put together again.
+    Lengths of words and of what lies between them give the places, by sums over blocks and within a
+    block; only for words that are met.
     """
     rows = rows.withColumn("covered", _united(F.col("spans")))
-    rows = rows.select("k1", "k2", _blanked(F.col("text"), F.col("covered")).alias("text"))
+    rows = rows.select("k1", "k2", "found", _blanked(F.col("text"), F.col("covered")).alias("text"))
     hit, gap = F.regexp_extract_all("text", F.lit(MARKED_TERM), F.lit(0)), F.split("text", MARKED_TERM, -1)
-    each = F.zip_with(hit, gap, lambda h, g: F.struct(F.lower(h).alias("term"), F.length(h).alias("size"), F.length(g).alias("gap")))
-    words = rows.select("k1", "k2", F.posexplode(each).alias("at", "w")).select("k1", "k2", "at", "w.*").filter("term is not null")
-    # Rows are dealt out by their keys already, so running sums over a text's words take no shuffle.
-    end = F.sum((F.col("gap") + F.col("size")).cast("long")).over(Window.partitionBy("k1", "k2").orderBy("at"))
-    words = words.select("k1", "k2", "term", end.alias("end"), (end - F.col("size")).alias("start"))
-    words = words.filter(~F.contains("term", F.lit("\x01")))
-    span = F.struct("start", F.lit(KINDS.index("term")).alias("kind"), "end", F.col("term").alias("value")).cast(_SPAN)
-    met = words.join(hits.hint("merge"), ["k1", "k2", "term"], "left_semi")
-    return met.groupBy("k1", "k2").agg(F.sort_array(F.collect_list(span)).alias("terms"))
+    each = F.zip_with(hit, F.slice(gap, 1, F.size(hit)), lambda h, g: F.struct(F.lower(h).alias("term"), F.length(h).alias("size"), (F.length(h) + F.length(g)).cast("long").alias("step")))
+    rows = rows.select("k1", "k2", "found", each.alias("words"))
+    placed = F.transform("words", lambda w, i: F.struct(w["term"].alias("term"), w["size"].alias("size"), i.alias("at")))
+    steps = F.col("words.step")
+    numbers = F.sequence(F.lit(0), F.floor(F.size(steps) / _BLOCK).cast("int"))
+    blocks = F.transform(numbers, lambda b: _sum(F.slice(steps, b * _BLOCK + 1, F.lit(_BLOCK))))
+    met = F.filter(placed, lambda w: F.array_contains("found", w["term"]))
+    rows = rows.select("k1", "k2", steps.alias("steps"), blocks.alias("blocks"), met.alias("met"))
+
+    def span(w: Column) -> Column:
+        block = F.floor(w["at"] / _BLOCK).cast("int")
+        end = _sum(F.slice("blocks", 1, block)) + _sum(F.slice("steps", block * _BLOCK + 1, w["at"] - block * _BLOCK + 1))
+        return F.struct((end - w["size"]).alias("start"), F.lit(KINDS.index("term")).alias("kind"), end.alias("end"), w["term"].alias("value"))
+
+    return rows.select("k1", "k2", F.transform("met", span).cast(f"array<{_SPAN}>").alias("terms"))
 
 
 def find(docs: DataFrame, residual: float = RESIDUAL, everywhere: bool = False) -> DataFrame:
@@ -276,12 +283,12 @@ def find(docs: DataFrame, residual: float = RESIDUAL, everywhere: bool = False)
         hits = _everywhere(rows, stored(pairs.select("term").distinct(), "terms"))
     else:
         hits = base.filter(some).select("k1", "k2", "s1", "s2").join(pairs.hint("merge"), ["s1", "s2"]).select("k1", "k2", "term")
-    hits = stored(hits.distinct(), "hits")
+    hits = stored(hits.groupBy("k1", "k2").agg(F.collect_set("term").alias("found")), "hits")
     # Only rows with a term need their text again; each is looked through once, repeated or not.
-    held = rows.select("k1", "k2", "text").join(hits.select("k1", "k2").distinct().hint("merge"), ["k1", "k2"], "left_semi")
+    held = rows.select("k1", "k2", "text").join(hits.hint("merge"), ["k1", "k2"])
     spans = base.filter(some).select("k1", "k2", "spans").dropDuplicates(["k1", "k2"])
     held = held.dropDuplicates(["k1", "k2"]).join(spans.hint("merge"), ["k1", "k2"], "left").withColumn("spans", F.coalesce("spans", none))
-    terms = stored(_marked(held, hits), "term-spans")
+    terms = stored(_marked(held), "term-spans")
     joined = base.select("doc_id", "k1", "k2", "spans").join(terms.hint("merge"), ["k1", "k2"], "left")
     return joined.withColumn("terms", F.coalesce("terms", none))
 
