@@ -60,7 +60,7 @@ def test_odd_rows_pass_every_stage(spark, odd, none):
 
 def test_registered():
     names = set(driver.queries())
-    assert {"pipeline", *QUERIES} <= names and sorted(n[:3] for n in QUERIES) == sorted(f"op{i}_"[:3] for i in range(1, 11))
+    assert {"pipeline", *QUERIES} <= names and sorted(n[:3] for n in QUERIES) == sorted(f"op{i}_"[:3] for i in range(1, 14))
     assert set(ORACLE) <= set(driver.oracle_sql())
 
 
