@@ -57,7 +57,7 @@ def parser() -> argparse.ArgumentParser:
     cli.add_argument("--topic", help="source topic, if not the default")
     cli.add_argument("--start", choices=[LATEST, EARLIEST], help="Kafka only; latest if not given")
     cli.add_argument("--start-offsets", type=json.loads, help='Kafka only: first offsets, as {"0": 17, "3": 5}')
-    cli.add_argument("--partitions", type=int, help="of the topic; those --start-offsets leaves out start at their earliest record")
+    cli.add_argument("--partitions", type=int, help="of the topic; those --start-offsets leaves out start at their earliest record, and with --replay progress names their offsets")
     cli.add_argument("--max-offsets", type=int, help="bound on a micro-batch, in offsets")
     cli.add_argument("--min-partitions", type=int)
     cli.add_argument("--replay", help="read topics from parquet files below this path, from the first on")
@@ -90,7 +90,7 @@ def source(args: argparse.Namespace, topic: str):
     if args.replay:
         if args.start == LATEST or args.start_offsets:
             raise SystemExit("--replay reads all files; a start position is for Kafka")
-        return ReplayTopic(args.replay, topic)
+        return ReplayTopic(args.replay, topic, partitions=args.partitions)
     if not args.servers:
         raise SystemExit("name --servers or --replay")
     start = args.start or LATEST
@@ -107,8 +107,9 @@ def start(spark, args: argparse.Namespace):
     if missing := [n for n in NEEDS[args.job] if not given[n]]:
         raise SystemExit(f"{args.job} needs " + ", ".join(f"--{n}".replace("--sink", "--servers or --out") for n in missing))
     trigger = jobs.ONCE if args.once else {"processingTime": args.interval}
-    if args.progress:
-        spark.streams.addListener(ProgressListener(spark, args.progress))
+    args.listener = ProgressListener(spark, args.progress) if args.progress else None
+    if args.listener:
+        spark.streams.addListener(args.listener)
     counts = jobs.count_log(spark, args.counts) if args.counts else None
     writes_dims = args.buckets if args.job == "change-split" else None
     dims = KeyedTable(spark, args.dims, on_delete=args.on_delete, buckets=writes_dims) if args.dims else None
@@ -136,10 +137,18 @@ def start(spark, args: argparse.Namespace):
     return derived.start_order_wide(spark, *sides, keep_unmatched=args.keep_unmatched, salts=args.salts)
 
 
+def finish(spark, args: argparse.Namespace, query) -> None:
+    """Returns when the query has ended and its last batch is in the progress table."""
+    query.awaitTermination()
+    if args.listener:
+        args.listener.settled(query)
+        spark.streams.removeListener(args.listener)
+
+
 def main(argv: list[str] | None = None) -> None:
     args = parser().parse_args(argv)
     spark = build_session(f"sluice {args.job}")
-    start(spark, args).awaitTermination()
+    finish(spark, args, start(spark, args))
 
 
 if __name__ == "__main__":

@@ -13,11 +13,15 @@ from sluice.sources.control import publish_control
 from sluice.sources.keyed_table import KeyedTable
 from sluice.sources.sinks import FileSink
 from sluice.sources.topics import ReplayTopic
-from sluice.streaming import derived
+from sluice.streaming import derived, jobs
+from sluice.streaming.dim_state import dim_state
+from sluice.streaming.progress import ProgressListener
+from sluice.streaming.wide import merged
 
 
 def run(spark, *words):
-    app.start(spark, app.parser().parse_args(words)).awaitTermination()
+    args = app.parser().parse_args(words)
+    app.finish(spark, args, app.start(spark, args))
 
 
 def test_log_split(spark, records):
@@ -72,6 +76,27 @@ def test_change_split(spark, records):
     assert dims == [("DIM:A:1",)]
 
 
+def test_accounts_and_state_from_the_command_line(spark, records):
+    root = scratch_dir(spark, "app")
+    change = json.dumps({"type": "insert", "table": "a", "data": {"id": 1}})
+    ReplayTopic(f"{root}/t", "ODS_BASE_DB_1018").append(records([change, "nope"], "ODS_BASE_DB_1018", 0, 5))
+    ReplayTopic(f"{root}/t", derived.ENRICHED_ORDERS).append(records(['{"id":1}'], derived.ENRICHED_ORDERS).withColumn("timestamp", F.timestamp_seconds(F.lit(5))))
+    ReplayTopic(f"{root}/t", "DWD_ORDER_DETAIL_I_1018").append(records(['{"id":7,"order_id":1}'], "DWD_ORDER_DETAIL_I_1018").withColumn("timestamp", F.timestamp_seconds(F.lit(5))))
+    publish_control(spark.createDataFrame([("fact", "a"), ("dim", "a")], CONTROL), f"{root}/control")
+    common = ("--replay", f"{root}/t", "--control", f"{root}/control", "--once", "--checkpoint")
+    run(spark, "change-split", *common, f"{root}/c1", "--out", f"{root}/out", "--dims", f"{root}/dims", "--buckets", "3",
+        "--progress", f"{root}/progress", "--counts", f"{root}/counts", "--partitions", "2")
+    progress = ProgressListener(spark, f"{root}/progress")
+    assert [(r["partition"], r["from_offset"], r["to_offset"]) for r in progress.rows().collect()] == [(0, 5, 7)]
+    found = {r["name"]: r["n"] for r in jobs.count_log(spark, f"{root}/counts").rows().filter("n > 0").collect()}
+    assert found == {"read": 2, "changes": 1, "routed": 2, "fact": 1, "dim": 1, "malformed": 1}
+    assert KeyedTable(spark, f"{root}/dims")._manifest()["buckets"] == 3
+    run(spark, "dim-state", *common, f"{root}/c2", "--state-partitions", "2")
+    assert [(r["space"], r["id"]) for r in dim_state(spark, f"{root}/c2").collect()] == [("DIM:A", "1")]
+    run(spark, "order-merge", "--wide", f"{root}/merged", "--state-partitions", "2", "--salts", "2", *common, f"{root}/c3")
+    assert [(r["kind"], r["detail_id"]) for r in merged(spark, f"{root}/merged").collect()] == [("matched", 7)]
+
+
 @pytest.mark.parametrize("words", [
     ("log-split",), ("log-split", "--replay", "x"), ("change-split", "--servers", "h"),
     ("log-split", "--replay", "x", "--out", "y", "--start", "latest"), ("daily-active", "--replay", "x"),
