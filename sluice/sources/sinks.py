@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,6 +20,28 @@ FAN = 8
 FILE_BYTES = 128 << 20
 # Written by Spark when all files of a folder are there.
 COMPLETE = "_SUCCESS"
+# Files that a task keeps open beside each other, and the bytes that each gathers before it writes them out.
+OPEN_FILES = 16
+ROW_GROUP = 16 << 20
+
+
+@contextmanager
+def side_by_side(spark: SparkSession):
+    """Partitioned writes inside open a file per value, up to :data:`OPEN_FILES` a task, and sort nothing.
+
+    A sort by the partition column holds as much of a task's rows as it gets memory for. Write with
+    :data:`SMALL_GROUPS`, since each open file gathers a row group.
+    """
+    key = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(OPEN_FILES))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
+SMALL_GROUPS = {"parquet.block.size": str(ROW_GROUP)}
 
 
 @dataclass(frozen=True)
@@ -70,7 +93,8 @@ class FileSink:
     def write(self, messages: DataFrame, run: str, batch_id: int) -> None:
         spark, here = messages.sparkSession, Range(batch_id, batch_id, 0)
         rows = messages.select("topic", "key", "value", F.lit(batch_id).cast("long").alias("batch_id"))
-        rows.write.mode("overwrite").partitionBy("topic").parquet(f"{self.path}/run={run}/{here.name}")
+        with side_by_side(spark):
+            rows.write.mode("overwrite").options(**SMALL_GROUPS).partitionBy("topic").parquet(f"{self.path}/run={run}/{here.name}")
         # The batches before this one are committed; it may come again itself.
         self._merge(spark, run, batch_id)
 
