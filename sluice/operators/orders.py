@@ -18,11 +18,15 @@ def decode_fact(values: DataFrame, schema, carry: tuple[str, ...] = ()) -> DataF
     the record's default."""
     text = strings(" ".join(schema.names))
     decoded = values.withColumn("_d", F.from_json("value", text))
-    row = F.struct(*carry, *[
+    return emit(decoded, F.when(F.col("_d").isNotNull(), F.struct(*carry, *typed_fact(schema))))
+
+
+def typed_fact(schema) -> list[Column]:
+    """A record's fields from the texts decoded as ``_d``."""
+    return [
         F.coalesce(F.col("_d")[f.name].try_cast(f.dataType), type_default(f.dataType)).alias(f.name)
         for f in schema
-    ])
-    return emit(decoded, F.when(F.col("_d").isNotNull(), row))
+    ]
 
 
 def with_order_date(info: DataFrame) -> DataFrame:

@@ -1,12 +1,14 @@
-"""Wide orders as a two-sided stream merge that accounts for every record.
+"""Wide orders as a stream merge of orders and details: inner, or two-sided with an account of every record.
 
-A full outer merge of orders and details: matched ones, orders without details and details without
-an order come out, the unmatched ones once the watermark has passed them. Records that come later than
-the watermark, and those that cannot be decoded or have no time, go to a table of their own.
+Each micro-batch is merged by a batch join with the rows that are still open, those that a later record can
+meet; what is open after it is a folder of the checkpoint, written anew per batch. So a batch costs its own
+rows and the open ones, no row has an entry in a state store, and nothing is held on a heap.
 
-The details of one order are spread over ``salts`` tasks, each with a copy of the order. Copies that met no
-detail come out of the merge one by one, but all in the same batch, for they share their order's time; an
-order is unmatched if all its copies are, and comes out once. So one merge is all there is in the state.
+The two-sided merge gives matched records, orders without details and details without an order, the unmatched
+ones once the watermark has passed them. Records that come later than the watermark, and those that cannot be
+decoded or have no time, go to a table of their own.
+
+Details of an order that holds more than a task's share are spread over ``salts`` tasks, each with a copy of the order.
 """
 
 from __future__ import annotations
@@ -18,80 +20,179 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from sluice.operators.orders import decode_fact, merge_wide, pack_sides, with_order_date
+from sluice.functions.rows import emit
+from sluice.operators.lookup import heavy_keys
+from sluice.operators.orders import merge_wide, pack_sides, typed_fact, with_order_date
 from sluice.operators.parse import unreadable
 from sluice.schemas import CORRUPT, ORDER_DETAIL, ORDER_INFO, ORDER_WIDE, strings
 from sluice.sources.files import Files
+from sluice.sources.sinks import SMALL_GROUPS, side_by_side
 from sluice.streaming.jobs import INTERVAL, run_id, start_batches
 
 MATCHED, ORDER_ALONE, DETAIL_ALONE = "matched", "order_alone", "detail_alone"
 LATE, NO_TIME, UNREADABLE = "late", "no_time", "unreadable"
 ORDER, DETAIL = "order", "detail"
 _RECORD = ["topic", "partition", "offset", "timestamp", "value"]
+_OPEN = ["side", "_key", "_at", "_info", "_detail", "new", "met"]
+# Rows of both sides that a task of the merge is to take, at most.
+TASK_ROWS = 1_000_000
 
 
-def two_sided(orders: DataFrame, details: DataFrame, within: str = "1 day", delay: str = "1 hour", salts: int = 4) -> DataFrame:
-    """The merge's rows (``_info``, ``_detail``, ``_copy``, ``order_at``) and, beside them, all records as they came."""
+def two_sides(orders: DataFrame, details: DataFrame, strict: bool) -> DataFrame:
+    """Records of both sides, decoded once: ``side``, ``_key``, ``_info`` or ``_detail``, ``bad`` and the record.
 
-    def side(records: DataFrame, schema, at: str) -> DataFrame:
-        sound = records.filter(F.col("timestamp").isNotNull() & ~_bad(schema))
-        return decode_fact(sound, schema, ("timestamp",)).withColumnRenamed("timestamp", at)
+    With ``strict`` a value that is no JSON object is ``bad``; without, it is a record of defaults, and NULL is none.
+    """
 
-    info, detail = pack_sides(
-        with_order_date(side(orders, ORDER_INFO, "order_at")), side(details, ORDER_DETAIL, "detail_at"),
-        ("order_at",), ("detail_at",),
-    )
-    copies = F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
-    info = info.withWatermark("order_at", delay).withColumn("_copy", copies)
-    salt = F.pmod(F.xxhash64("_detail.detail_id"), F.lit(salts)).cast("int")
-    detail = detail.withWatermark("detail_at", delay).withColumn("_salt", salt)
-    near = F.expr(f"detail_at >= order_at - interval {within} and detail_at <= order_at + interval {within}")
-    on = (F.col("_did") == F.col("_oid")) & (F.col("_salt") == F.col("_copy")) & near
-    # Times leave the merge as plain numbers: what passes beside it has no watermark to wait for.
-    merged = detail.join(info, on, "fullOuter").select(
-        F.lit(None).cast("string").alias("side"), "_info", "_detail", "_copy", F.unix_micros("order_at").alias("_at"),
-        *(F.lit(None).cast(t).alias(n) for n, t in _record_types(orders)),
-    )
+    def side(records: DataFrame, schema, name: str) -> DataFrame:
+        fields, options = strings(" ".join(schema.names)), {}
+        if strict:
+            fields, options = fields.add(CORRUPT, "string"), {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+        decoded = records.withColumn("_d", F.from_json("value", fields, options))
+        bad = unreadable(F.col("_d")) if strict else F.lit(False)
+        row = F.struct(F.lit(name).alias("side"), bad.alias("bad"), F.struct(*_RECORD).alias("_record"), *typed_fact(schema))
+        return emit(decoded, row if strict else F.when(F.col("_d").isNotNull(), row))
 
-    def passed(records: DataFrame, name: str, schema) -> DataFrame:
-        none = (F.lit(None).cast(merged.schema[c].dataType).alias(c) for c in ("_info", "_detail", "_copy", "_at"))
-        return records.select(F.lit(name).alias("side"), *none, *_RECORD, _bad(schema).alias("bad"))
+    carry = ("side", "bad", "_record")
+    info, detail = pack_sides(with_order_date(side(orders, ORDER_INFO, ORDER)), side(details, ORDER_DETAIL, DETAIL), carry, carry)
+    info, detail = info.withColumnRenamed("_oid", "_key"), detail.withColumnRenamed("_did", "_key")
+    return info.unionByName(detail, allowMissingColumns=True)
 
-    merged = merged.withColumn("bad", F.lit(None).cast("boolean"))
-    return merged.unionByName(passed(orders, ORDER, ORDER_INFO)).unionByName(passed(details, DETAIL, ORDER_DETAIL))
 
+def fate(watermark_ms: int) -> Column:
+    """Why a record is in no merge; NULL if it is in one."""
+    at = F.col("_record.timestamp")
+    late = F.unix_micros(at) <= watermark_ms * 1000
+    return F.when(F.col("bad"), UNREADABLE).when(at.isNull(), NO_TIME).when(late & (watermark_ms > 0), LATE)
 
-def _bad(schema) -> Column:
-    """Whether a record's value is no JSON object."""
-    fields = strings(" ".join(schema.names)).add(CORRUPT, "string")
-    return unreadable(F.from_json("value", fields, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}))
 
+class OpenRows:
+    """What is open after each batch, and how far the times of both sides have come; the last two are kept."""
 
-def _record_types(records: DataFrame) -> list[tuple[str, str]]:
-    return [(n, records.schema[n].dataType.simpleString()) for n in _RECORD]
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.files = spark, Files(spark, path)
 
+    def _batches(self) -> list[int]:
+        return sorted(int(n.removesuffix(".json")) for n in self.files.names() if n.endswith(".json") and n[0] != ".")
 
-def alone(rows: DataFrame, salts: int) -> DataFrame:
-    """Orders of which no copy has met a detail, as often as their message came."""
-    copies = rows.filter("side is null and _detail is null")
-    each = copies.groupBy("_info", "_at").agg(F.count("*").alias("n"), F.count_distinct("_copy").alias("copies"))
-    each = each.filter(F.col("copies") == salts)
-    times = F.explode(F.sequence(F.lit(1), (F.col("n") / salts).cast("int")))
-    return each.select("_info", times.alias("time")).drop("time")
+    def before(self, batch_id: int) -> tuple[dict, DataFrame | None]:
+        """What the batch before left; a replayed batch begins with the same."""
+        earlier = [b for b in self._batches() if b < batch_id]
+        if not earlier:
+            return {"watermark": 0}, None
+        return json.loads(self.files.read(f"{earlier[-1]}.json")), self.spark.read.parquet(f"{self.files.path}/rows-{earlier[-1]}")
 
+    def put(self, batch_id: int, rows: DataFrame, marks: dict) -> None:
+        self.files.delete(f"{batch_id}.json")
+        rows.write.mode("overwrite").parquet(f"{self.files.path}/rows-{batch_id}")
+        self.files.create(f"{batch_id}.json", json.dumps(marks))
+        for old in [b for b in self._batches() if b <= batch_id][:-2]:
+            self.files.delete(f"{old}.json")
+            self.files.delete(f"rows-{old}")
 
-def watermark_of(spark: SparkSession, checkpoint: str, batch_id: int) -> int:
-    """Milliseconds up to which a batch's records are late: the watermark of the batch before it."""
-    if not batch_id:
-        return 0
-    log = Files(spark, checkpoint).read(f"offsets/{batch_id - 1}").splitlines()
-    return json.loads(log[1])["batchWatermarkMs"]
 
+def _micros(spark: SparkSession, interval: str) -> int:
+    return spark.range(1).select(F.expr(f"unix_micros(timestamp_seconds(0) + interval {interval})")).first()[0]
+
+
+def _marks(new: DataFrame, before: dict, delay: int) -> tuple[dict, int]:
+    """How far the times have come after a batch, and its sound rows. The slower side counts."""
+    marks, n = dict(before), 0
+    sound = new.filter("_why is null or _why = 'late'").groupBy("side").agg(F.max("_at").alias("at"), F.count("*").alias("n"))
+    for r in sound.collect():
+        n += r["n"]
+        marks[r["side"]] = max(r["at"], marks.get(r["side"], r["at"]))
+    if ORDER in marks and DETAIL in marks:
+        marks["watermark"] = max(marks["watermark"], (min(marks[ORDER], marks[DETAIL]) - delay) // 1000)
+    return marks, n
+
+
+def merge_batch(live: DataFrame, n: int, watermark_ms: int, within: int, salts: int, full: bool) -> tuple[DataFrame, DataFrame]:
+    """A batch's merge, and the rows that are open after it.
+
+    ``live`` has some ``n`` rows: the batch's (``new``) and the open ones, each with whether it was ``met`` before.
+    Pairs of two open rows are known; unmatched rows come out when they close.
+    """
+    spark = live.sparkSession
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-n // TASK_ROWS))
+
+    def side(name: str, own: str, prefix: str) -> DataFrame:
+        names = {"_key": f"_{prefix}id", "_at": f"{prefix}_at", "new": f"{prefix}_new", "met": f"{prefix}_met"}
+        return live.filter(F.col("side") == name).select(*(F.col(a).alias(b) for a, b in names.items()), own)
+
+    info, detail = side(ORDER, "_info", "o"), side(DETAIL, "_detail", "d")
+    heavy = heavy_keys(detail, "_did", 1 / (2 * parts)) if parts > 1 and salts > 1 else []
+    none, every = F.array(F.lit(0)), F.sequence(F.lit(0), F.lit(salts - 1))
+    hot_order, hot_detail = (F.col(c).isin(heavy) if heavy else F.lit(False) for c in ("_oid", "_did"))
+    copies = info.withColumn("_copy", F.explode(F.when(hot_order, every).otherwise(none)))
+    salt = F.when(hot_detail, F.pmod(F.xxhash64("_detail.detail_id"), F.lit(salts)).cast("int")).otherwise(0)
+    near = F.abs(F.col("d_at") - F.col("o_at")) <= within
+    on = (F.col("_did") == F.col("_oid")) & (F.col("_salt") == F.col("_copy")) & near
+    left = detail.withColumn("_salt", salt).repartition(parts, "_did", "_salt")
+    right = copies.repartition(parts, "_oid", "_copy")
+    closed = lambda at: F.col(at) + within <= watermark_ms * 1000
+    if not full:
+        return left.join(right, on, "inner").filter("o_new or d_new").select("_info", "_detail"), live.filter(~closed("_at"))
+    kind = (
+        F.when(F.col("_oid").isNotNull() & F.col("_did").isNotNull(), F.when(F.col("o_new") | F.col("d_new"), MATCHED))
+        .when(F.col("_did").isNotNull(), F.when(~F.col("d_met") & closed("d_at"), DETAIL_ALONE))
+        .when(~F.col("o_met") & closed("o_at") & ~hot_order, ORDER_ALONE)
+    )
+    out = left.join(right, on, "fullOuter").select(kind.alias("kind"), "_info", "_detail").filter("kind is not null")
+    if heavy:
+        # Of a spread order some copies may have met no detail; whether any has is asked for once.
+        times = detail.filter(hot_detail).select("_did", "d_at").distinct()
+        lone = info.filter(hot_order & ~F.col("o_met") & closed("o_at")).join(times, (F.col("_did") == F.col("_oid")) & near, "left_anti")
+        out = out.unionByName(lone.select(F.lit(ORDER_ALONE).alias("kind"), "_info", F.lit(None).cast(live.schema["_detail"].dataType).alias("_detail")))
+    # Rows are met or not by their key and time alone; only those can meet an open one that are near the end.
+    reach = watermark_ms * 1000 - 2 * within
+    times = info.filter(F.col("o_at") >= reach).select("_oid", "o_at").distinct().join(
+        detail.filter(F.col("d_at") >= reach).select("_did", "d_at").distinct(), (F.col("_did") == F.col("_oid")) & near
+    )
+    pairs = [times.select(F.lit(n).alias("side"), F.col(k).alias("_key"), F.col(t).alias("_at")) for n, k, t in ((ORDER, "_oid", "o_at"), (DETAIL, "_did", "d_at"))]
+    now = pairs[0].unionByName(pairs[1]).distinct().withColumn("_now", F.lit(True))
+    still = live.filter(~closed("_at")).join(now, ["side", "_key", "_at"], "left")
+    return out, still.withColumn("met", F.col("met") | F.coalesce("_now", F.lit(False))).select(*_OPEN)
 
-def fate(watermark_ms: int) -> Column:
-    """Why a record is in no merge; NULL if it is in one."""
-    late = F.unix_micros("timestamp") <= watermark_ms * 1000
-    return F.when(F.col("bad"), UNREADABLE).when(F.col("timestamp").isNull(), NO_TIME).when(late & (watermark_ms > 0), LATE)
+
+def start_merge(
+    spark: SparkSession, orders, details, path: str, checkpoint: str, trigger: dict, partitions: int | None,
+    within: str, delay: str, salts: int, full: bool,
+) -> StreamingQuery:
+    """The stream of both merges: ``full`` writes ``merged`` and ``left_out`` below ``path``, else pairs to ``path``."""
+    reach, wait = _micros(spark, within), _micros(spark, delay)
+
+    def save(batch: DataFrame, batch_id: int) -> None:
+        at = f"run={run_id(batch)}/batch_id={batch_id}"
+        state = OpenRows(batch.sparkSession, f"{checkpoint}/open")
+        before, kept = state.before(batch_id)
+        why = fate(before["watermark"])
+        time, record = F.unix_micros("_record.timestamp"), F.when(F.col("_why").isNotNull(), F.col("_record"))
+        # Decoded once; the record itself only stays where it is left out.
+        new = batch.withColumn("_why", why).select("side", "_key", time.alias("_at"), "_info", "_detail", "_why", record.alias("_record"))
+        new = new.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            marks, n = _marks(new, before, wait)
+            live = new.filter("_why is null").withColumns({"new": F.lit(True), "met": F.lit(False)}).select(*_OPEN)
+            if kept is not None:
+                n += before["open"]
+                live = live.unionByName(kept.withColumn("new", F.lit(False)).select(*_OPEN))
+            out, still = merge_batch(live, n, marks["watermark"], reach, salts, full)
+            with side_by_side(batch.sparkSession):
+                if full:
+                    wide = merge_wide(out, all_present=False, carry=("kind",))
+                    wide.write.mode("overwrite").options(**SMALL_GROUPS).partitionBy("kind").parquet(f"{path}/merged/{at}")
+                    left = new.filter("_why is not null").select(F.col("_why").alias("reason"), "side", "_record.*")
+                    left.write.mode("overwrite").options(**SMALL_GROUPS).partitionBy("reason").parquet(f"{path}/left_out/{at}")
+                else:
+                    merge_wide(out, all_present=True).write.mode("overwrite").parquet(f"{path}/{at}")
+            open_rows = n if not marks["watermark"] else live.filter(F.col("_at") + reach > marks["watermark"] * 1000).count()
+            state.put(batch_id, still, {**marks, "open": open_rows})
+        finally:
+            new.unpersist()
+
+    rows = two_sides(orders.stream(spark), details.stream(spark), strict=full)
+    return start_batches(rows, save, checkpoint, trigger, partitions)
 
 
 def start_order_merge(
@@ -106,31 +207,8 @@ def start_order_merge(
     delay: str = "1 hour",
     salts: int = 4,
 ) -> StreamingQuery:
-    """Merged orders and left-out records below ``path``, exactly once; see :func:`merged` and :func:`left_out`.
-
-    ``salts`` and ``partitions`` are fixed by the first run: details of one order go to ``salts`` tasks.
-    """
-
-    def save(batch: DataFrame, batch_id: int) -> None:
-        at = f"run={run_id(batch)}/batch_id={batch_id}"
-        # The state is gone through once; both tables are written from what it gave.
-        rows = batch.persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            found = rows.filter("side is null and _detail is not null")
-            kind = F.when(F.col("_info").isNull(), DETAIL_ALONE).otherwise(MATCHED)
-            lone = alone(rows, salts).withColumn("_detail", F.lit(None).cast(rows.schema["_detail"].dataType))
-            both = found.select(kind.alias("kind"), "_info", "_detail").unionByName(lone.withColumn("kind", F.lit(ORDER_ALONE)))
-            wide = merge_wide(both, all_present=False, carry=("kind",))
-            wide.write.mode("overwrite").partitionBy("kind").parquet(f"{path}/merged/{at}")
-            why = fate(watermark_of(spark, checkpoint, batch_id))
-            out = rows.filter("side is not null").withColumn("reason", why).filter("reason is not null")
-            out = out.select("reason", "side", *_RECORD)
-            out.write.mode("overwrite").partitionBy("reason").parquet(f"{path}/left_out/{at}")
-        finally:
-            rows.unpersist()
-
-    rows = two_sided(orders.stream(spark), details.stream(spark), within, delay, salts)
-    return start_batches(rows, save, checkpoint, trigger, partitions)
+    """Merged orders and left-out records below ``path``, exactly once; see :func:`merged` and :func:`left_out`."""
+    return start_merge(spark, orders, details, path, checkpoint, trigger, partitions, within, delay, salts, full=True)
 
 
 def merged(spark: SparkSession, path: str) -> DataFrame:
