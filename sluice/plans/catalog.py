@@ -424,7 +424,7 @@ def order_wide_stream(spark: SparkSession, sf: str) -> DataFrame:
         ),
         append, [0, 1],
     )
-    return spark.read.parquet(f"{root}/out")
+    return spark.read.parquet(f"{root}/out").drop("run", "batch_id")
 
 
 def order_merge_stream(spark: SparkSession, sf: str) -> DataFrame:

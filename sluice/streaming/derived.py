@@ -20,6 +20,7 @@ from sluice.operators.orders import (
 from sluice.schemas import DAU_INFO, ORDER_DETAIL, ORDER_INFO, PAGE_LOG
 from sluice.sources.keyed_table import KeyedTable
 from sluice.streaming.jobs import INTERVAL, run_id, start_batches, state_partitions
+from sluice.streaming.wide import start_merge
 
 
 def wide_orders(
@@ -78,10 +79,19 @@ def start_order_wide(
     checkpoint: str,
     trigger: dict = INTERVAL,
     partitions: int | None = None,
-    **how,
+    within: str = "1 day",
+    delay: str = "1 hour",
+    salts: int = 4,
+    keep_unmatched: bool = False,
 ) -> StreamingQuery:
-    """Wide orders appended to parquet at ``path``, exactly once."""
-    wide = wide_orders(orders.stream(spark), details.stream(spark), **how)
+    """Wide orders in parquet at ``path``, by ``run`` and ``batch_id``, exactly once.
+
+    Batches are merged as in :mod:`sluice.streaming.wide`. With ``keep_unmatched`` it is Spark's own stream
+    merge of :func:`wide_orders`, with all rows in its state store: for topics that come as they arise.
+    """
+    if not keep_unmatched:
+        return start_merge(spark, orders, details, path, checkpoint, trigger, partitions, within, delay, salts, full=False)
+    wide = wide_orders(orders.stream(spark), details.stream(spark), within, delay, salts, keep_unmatched)
     writer = wide.writeStream.format("parquet").option("path", path)
     with state_partitions(spark, partitions):
         return writer.option("checkpointLocation", checkpoint).trigger(**trigger).start()

@@ -20,3 +20,31 @@ def test_topics_are_written_without_a_sort(spark):
     assert "WriteFiles" in plan and "Sort" not in plan
     assert {r["topic"]: r["count"] for r in sink.read(spark).groupBy("topic").count().collect()} == {f"t{i}": 100 for i in range(6)}
     assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == "0"
+
+
+def test_order_merges_keep_no_state_store_and_only_open_rows(spark, records):
+    """Two batches days apart: what no later record can meet is not carried on, what can is, and is met in the next batch."""
+    from sluice.sources.topics import ReplayTopic
+    from sluice.streaming import derived, jobs, wide
+
+    day = 86_400
+    for start, found in (
+        (derived.start_order_wide, lambda at: spark.read.parquet(at)),
+        (wide.start_order_merge, lambda at: wide.merged(spark, at).filter("kind = 'matched'")),
+    ):
+        root = scratch_dir(spark, "open")
+        sides = [ReplayTopic(f"{root}/{n}", n) for n in ("orders", "details")]
+        steps = [
+            (['{"id":1}', '{"id":2}'], ['{"id":10,"order_id":1}', '{"id":11,"order_id":1}'], [0, 9 * day]),
+            (['{"id":3}', '{"id":4}'], ['{"id":20,"order_id":2}', '{"id":30,"order_id":3}'], [9 * day, 9 * day]),
+        ]
+        for n, (orders, details, times) in enumerate(steps):
+            for topic, values in zip(sides, (orders, details)):
+                at = F.timestamp_seconds(F.when(F.col("offset") % 2 == 0, 1000 + times[0]).otherwise(1000 + times[1]))
+                topic.append(records(values, topic.topic, 0, 2 * n).withColumn("timestamp", at))
+            query = start(spark, *sides, f"{root}/out", f"{root}/cp", trigger=jobs.ONCE, partitions=2)
+            query.awaitTermination()
+            assert not any(p.stateOperators for p in query.recentProgress)
+        assert sorted((r["order_id"], r["detail_id"]) for r in found(f"{root}/out").collect()) == [(1, 10), (2, 20), (3, 30)]
+        left = spark.read.parquet(f"{root}/cp/open/rows-0")
+        assert sorted((r["side"], r["_key"]) for r in left.collect()) == [("detail", 1), ("order", 2)]
