@@ -198,9 +198,9 @@ def _replayed(run, append, chunks: list[DataFrame]) -> None:
         run().awaitTermination()
 
 
-def _halves(records: DataFrame) -> tuple[list[DataFrame], int]:
-    """Records before and from the middle offset."""
-    top = records.agg(F.max("offset")).first()[0]
+def _halves(records: DataFrame, source: DataFrame | None = None) -> tuple[list[DataFrame], int]:
+    """Records before and from the middle offset, that of the ``source`` they are decoded from if given."""
+    top = (records if source is None else source).agg(F.max("offset")).first()[0]
     cut = (top + 1) // 2
     return [records.filter(F.col("offset") < cut), records.filter(F.col("offset") >= cut)], cut
 
@@ -477,7 +477,8 @@ def _page_messages(spark: SparkSession, sf: str) -> DataFrame:
 
 def _dau_stream(spark: SparkSession, sf: str, dims: KeyedTable | None) -> DataFrame:
     root = scratch_dir(spark, "dau")
-    halves, _ = _halves(_page_messages(spark, sf))
+    # The middle of the app log: that of its pages would take a decoding of the whole log to find.
+    halves, _ = _halves(_page_messages(spark, sf), env.app_log(spark, sf))
     topic = ReplayTopic(f"{root}/topic", lr.LogTopics.page)
     table = derived.dau_table(spark, f"{root}/table")
     _replayed(

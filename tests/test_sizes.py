@@ -48,3 +48,14 @@ def test_order_merges_keep_no_state_store_and_only_open_rows(spark, records):
         assert sorted((r["order_id"], r["detail_id"]) for r in found(f"{root}/out").collect()) == [(1, 10), (2, 20), (3, 30)]
         left = spark.read.parquet(f"{root}/cp/open/rows-0")
         assert sorted((r["side"], r["_key"]) for r in left.collect()) == [("detail", 1), ("order", 2)]
+
+
+def test_half_of_the_pages_is_told_without_decoding_the_log(spark):
+    from sluice.plans import catalog, envelopes
+
+    sf, seen = "/root/testdata/sf0.001", spark._jsparkSession.sharedState().statusStore().executionsList().size()
+    pages = catalog._page_messages(spark, sf)
+    halves, _ = catalog._halves(pages, envelopes.app_log(spark, sf))
+    assert spark._jsparkSession.sharedState().statusStore().executionsList().size() > seen
+    assert "from_json" not in last_plan(spark) and "to_json" not in last_plan(spark)
+    assert halves[0].count() + halves[1].count() == pages.count()
