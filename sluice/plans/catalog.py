@@ -191,7 +191,7 @@ def dau_enrich(spark: SparkSession, sf: str) -> DataFrame:
 # Streams
 
 
-def _replayed(run, append, chunks: list[DataFrame]) -> None:
+def _replayed(run, append, chunks: list) -> None:
     """Appends each chunk and runs the stream over it, restarting from its checkpoint."""
     for chunk in chunks:
         append(chunk)
@@ -297,15 +297,15 @@ def cdc_counts_stream(spark: SparkSession, sf: str) -> DataFrame:
     """What a change split counts per batch: records, data changes, facts and dimension rows."""
     root = scratch_dir(spark, "cdc_counts")
     log = env.change_log(spark, sf)
-    parts = [log.filter("partition < 2"), log.filter("partition >= 2")]
     topic, dims = ReplayTopic(f"{root}/topic", DB_TOPIC), KeyedTable(spark, f"{root}/dims")
+    append = topic.dealt(log, F.col("partition") >= 2)
     counts = jobs.count_log(spark, f"{root}/counts")
     _replayed(
         lambda: jobs.start_change_split(
             spark, topic, lambda: env.control(spark), FileSink(f"{root}/out"), dims, f"{root}/checkpoint",
             trigger=jobs.ONCE, counts=counts,
         ),
-        topic.append, parts,
+        append, [0, 1],
     )
     return counts.rows().filter("n > 0").select("batch", "step", "name", "n")
 

@@ -48,6 +48,17 @@ class Files:
         if fs.exists(final) or not fs.rename(path, final):
             raise FileExistsError(f"{self.path}/{name}")
 
+    def make(self, name: str) -> None:
+        """A folder, if there is none."""
+        fs, path = self._at(name)
+        fs.mkdirs(path)
+
+    def move(self, name: str, to: str) -> None:
+        """Puts a file or folder at another name, which must be free."""
+        (fs, path), (_, final) = self._at(name), self._at(to)
+        if fs.exists(final) or not fs.rename(path, final):
+            raise FileExistsError(f"{self.path}/{to}")
+
     def delete(self, name: str) -> None:
         fs, path = self._at(name)
         fs.delete(path, True)

@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 import json
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sluice.schemas import TOPIC_RECORD
+from sluice.sources.files import Files
+from sluice.sources.sinks import SMALL_GROUPS, side_by_side
 
 LATEST, EARLIEST = "latest", "earliest"
 # Name of the metrics in which a file topic's stream tells its offsets: first, last and count per partition.
@@ -94,6 +97,26 @@ class ReplayTopic:
         """Adds records as new files."""
         records.select(*TOPIC_RECORD.names).write.mode("append").parquet(self.path)
 
+    def dealt(self, records: DataFrame, part: Column) -> Callable[[int], None]:
+        """Writes records once, beside the topic, in parts numbered by ``part``; what is returned adds one part.
+
+        For records that are dear to make and come in several steps: filtering them would make them once
+        per step. Rows whose ``part`` is NULL belong to no step.
+        """
+        spark, there = records.sparkSession, f"{self.path}-dealt"
+        rows = records.select(*TOPIC_RECORD.names, part.cast("int").alias("_part"))
+        with side_by_side(spark):
+            rows.write.options(**SMALL_GROUPS).partitionBy("_part").parquet(there)
+        above, _, name = self.path.rpartition("/")
+        files = Files(spark, above)
+
+        def add(n: int) -> None:
+            files.make(name)
+            for file in files.names(f"{name}-dealt/_part={n}"):
+                files.move(f"{name}-dealt/_part={n}/{file}", f"{name}/{n}-{file}")
+
+        return add
+
     def _of_topic(self, records: DataFrame) -> DataFrame:
         return records.filter(F.col("topic") == self.topic)
 

@@ -10,7 +10,6 @@ from __future__ import annotations
 import threading
 from contextlib import contextmanager
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -24,6 +23,7 @@ from sluice.operators.parse import (
     BAD_NUMBER, GOOD, MALFORMED, NO_COMMON, NULL_ELEMENT, parse_change, parse_log,
 )
 from sluice.sources.control import ControlReader
+from sluice.sources.files import Files
 from sluice.sources.keyed_table import KeyedTable
 from sluice.streaming.batch_log import BatchLog
 
@@ -148,7 +148,8 @@ def start_change_split(
     """Change stream to fact topics and the dimension table.
 
     The control table is read anew for every batch. Records are decoded and joined once and kept
-    for the two sinks; the only shuffle is the one that brings a dimension key's images together.
+    for the two sinks, in a folder of the checkpoint rather than in memory, for as long as the batch
+    takes; the only shuffle is the one that brings a dimension key's images together.
 
     With ``counts``, of :func:`count_log`, each batch tells how many records it read, how many of these are
     data changes, and how many became a fact, a dimension row, or were set aside for which reason.
@@ -169,14 +170,16 @@ def start_change_split(
             kinds = {"fact": good & F.col("is_fact"), "dim": good & F.col("is_dim")}
             reasons = {r: F.col("reason") == r for r in (MALFORMED, NO_DATA, NO_ID)}
             routed = judged.over(routed, {"routed": F.lit(True), **kinds, **reasons})
-        routed = routed.persist(StorageLevel.MEMORY_AND_DISK)
+        files, kept = Files(batch.sparkSession, checkpoint), f"kept/batch-{batch_id}"
         try:
+            routed.write.mode("overwrite").parquet(f"{files.path}/{kept}")
+            routed = batch.sparkSession.read.schema(routed.schema).parquet(f"{files.path}/{kept}")
             sink.write(change_messages(routed, topics, on_malformed, key_by_id), run, batch_id)
             dims.upsert(dim_rows(routed), run, batch_id)
             if counts is not None:
                 counts.put(run, batch_id, read.lines() + coded.lines() + judged.lines())
         finally:
-            routed.unpersist()
+            files.delete(kept)
 
     return start_batches(source.stream(spark), split, checkpoint, trigger)
 

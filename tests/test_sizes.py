@@ -59,3 +59,62 @@ def test_half_of_the_pages_is_told_without_decoding_the_log(spark):
     assert spark._jsparkSession.sharedState().statusStore().executionsList().size() > seen
     assert "from_json" not in last_plan(spark) and "to_json" not in last_plan(spark)
     assert halves[0].count() + halves[1].count() == pages.count()
+
+
+def plans_since(spark, seen: int) -> list[str]:
+    runs = spark._jsparkSession.sharedState().statusStore().executionsList()
+    return [runs.apply(i).physicalPlanDescription() for i in range(seen, runs.size())]
+
+
+def test_dealt_records_are_made_once_and_come_part_by_part(spark, records):
+    from sluice.sources.topics import ReplayTopic
+
+    topic = ReplayTopic(f"{scratch_dir(spark, 'dealt')}/topic", "t")
+    made = spark.sparkContext.accumulator(0)
+
+    def counted(rows):
+        for r in rows:
+            made.add(1)
+            yield r
+
+    few = records([str(i) for i in range(9)], "t").repartition(2)
+    few = spark.createDataFrame(few.rdd.mapPartitions(counted), few.schema)
+    add = topic.dealt(few, F.when(F.col("offset") < 8, F.col("offset") % 2))
+    held = []
+    for part in (0, 1, 2):
+        add(part)
+        held.append(sorted(r["value"] for r in topic.batch(spark).collect()))
+    # A row of no part is never added, nor is anything by a part that has no rows.
+    assert held == [list("0246"), list("01234567"), list("01234567")]
+    assert made.value == 9
+
+
+def test_change_queries_make_their_input_once_and_cache_nothing(spark):
+    from sluice.plans import catalog
+
+    for query in (catalog.cdc_counts_stream, catalog.control_refresh, catalog.cdc_split_stream):
+        seen = spark._jsparkSession.sharedState().statusStore().executionsList().size()
+        assert query(spark, "/root/testdata/sf0.001").count()
+        plans = plans_since(spark, seen)
+        assert len([p for p in plans if "lineitem" in p]) == 1, query.__name__
+        assert not [p for p in plans if "InMemoryTableScan" in p], query.__name__
+
+
+def test_what_a_change_batch_keeps_goes_with_it(spark, records):
+    import os
+
+    from sluice.schemas import CONTROL
+    from sluice.sources.keyed_table import KeyedTable
+    from sluice.sources.topics import ReplayTopic
+    from sluice.streaming import jobs
+
+    root = scratch_dir(spark, "kept")
+    topic, sink, dims = ReplayTopic(f"{root}/topic", "t"), FileSink(f"{root}/out"), KeyedTable(spark, f"{root}/dims")
+    rules = spark.createDataFrame([("fact", "a"), ("dim", "b")], CONTROL)
+    rows = ['{"type":"insert","table":"a","data":{"id":1}}', '{"type":"insert","table":"b","data":{"id":2}}', "{"]
+    for first, values in ((0, rows), (3, ['{"type":"insert","table":"c","data":{"id":3}}'])):
+        topic.append(records(values, "t", 0, first))
+        jobs.start_change_split(spark, topic, lambda: rules, sink, dims, f"{root}/cp", trigger=jobs.ONCE).awaitTermination()
+        assert not os.listdir(f"{root}/cp/kept")
+    assert sorted(r["topic"] for r in sink.read(spark).collect()) == ["DWD_A_I_1018", "QUARANTINE_DB_1018"]
+    assert [r["id"] for r in dims.current().collect()] == ["2"]
