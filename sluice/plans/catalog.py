@@ -347,18 +347,15 @@ def _held(sink: FileSink, dims: KeyedTable, spark: SparkSession) -> DataFrame:
 def cdc_split_stream(spark: SparkSession, sf: str) -> DataFrame:
     """The change split in three restarts: inserts, then updates, then deletes."""
     root = scratch_dir(spark, "cdc_split")
-    step = F.shiftright("offset", env.STEP_BITS)
-    # Only users are ever changed again, so the later parts need no other table.
-    users = env.change_log(spark, sf, only=("user_info",))
-    parts = [env.change_log(spark, sf).filter(step == 0), users.filter(step == 1), users.filter(step == 2)]
     topic, sink = ReplayTopic(f"{root}/topic", DB_TOPIC), FileSink(f"{root}/out")
+    append = topic.dealt(env.change_log(spark, sf), F.shiftright("offset", env.STEP_BITS))
     dims = KeyedTable(spark, f"{root}/dims")
     _replayed(
         lambda: jobs.start_change_split(
             spark, topic, lambda: env.control(spark), sink, dims, f"{root}/checkpoint",
             trigger=jobs.ONCE,
         ),
-        topic.append, parts,
+        append, [0, 1, 2],
     )
     return _held(sink, dims, spark)
 
