@@ -370,15 +370,13 @@ def control_refresh(spark: SparkSession, sf: str) -> DataFrame:
     topic, sink = ReplayTopic(f"{root}/topic", DB_TOPIC), FileSink(f"{root}/out")
     dims = KeyedTable(spark, f"{root}/dims")
     rules = env.control(spark)
-    steps = [
-        (log.filter("partition < 2"), spark.createDataFrame(FIRST_CONTROL, rules.schema)),
-        (log.filter("partition >= 2"), rules),
-    ]
+    append = topic.dealt(log, F.col("partition") >= 2)
+    steps = [(0, spark.createDataFrame(FIRST_CONTROL, rules.schema)), (1, rules)]
     query = None
     try:
-        for records, control in steps:
+        for part, control in steps:
             publish_control(control, f"{root}/control")
-            topic.append(records)
+            append(part)
             if query is None:
                 query = jobs.start_change_split(
                     spark, topic, control_files(spark, f"{root}/control"), sink, dims,
