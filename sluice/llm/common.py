@@ -112,33 +112,6 @@ def map_rows(rows: DataFrame, make: Callable[[], Callable[..., Iterable[tuple]]]
     return rows.mapInArrow(run, schema)
 
 
-def map_arrays(rows: DataFrame, make: Callable[[], Callable[..., tuple]], schema: str, flush: int = 100_000) -> DataFrame:
-    """Like :func:`map_rows` where a row gives many: the function returns a NumPy array per column, or ()."""
-    names = T.StructType.fromDDL(schema).fieldNames()
-    arrow = to_arrow_schema(T.StructType.fromDDL(schema))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        give = make()
-        out: list[tuple] = []
-        held = 0
-        for batch in batches:
-            for values in zip(*(map(_VALUE, column) for column in batch.columns)):
-                if found := give(*values):
-                    out.append(found)
-                    held += len(found[0])
-                if held >= flush:
-                    yield packed(out)
-                    out, held = [], 0
-        if out:
-            yield packed(out)
-
-    def packed(out: list[tuple]) -> pa.RecordBatch:
-        columns = map(np.concatenate, zip(*out))
-        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, arrow)], names=names)
-
-    return rows.mapInArrow(run, schema)
-
-
 class Memo(dict):
     """A dict that computes missing values and forgets all at :data:`MEMO` entries."""
 

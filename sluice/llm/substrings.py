@@ -24,40 +24,103 @@ from hashlib import sha256
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
-from sluice.llm.common import Bloom, discard, documents, map_arrays, map_rows, passing, run_hashes, stored, word_hashes, written
+from sluice.llm.common import Bloom, discard, documents, map_rows, mixed, passing, run_hashes, stored, written
 
 WINDOW = 20
 ANCHOR = 8
+#: Bytes of text that a task works on at once; one text can be longer.
+SLICE = 1 << 20
+#: Bytes of the longest word that is hashed among others.
+SHORT = 64
 #: The place of a null id: after all others.
 LAST = (1 << 63) - 1
 FACTORS = "array<struct<start: int, length: int, ref_id: long, ref_start: int>>"
 NOTHING = sha256(b"").hexdigest()
 
 
-def anchors(runs: np.ndarray, window: int) -> np.ndarray:
-    """The anchor of each window, from the hashes of the shorter runs."""
-    width = window - ANCHOR + 1
-    if len(runs) < width:
-        return np.zeros(0, np.uint64)
-    least, done = runs, 1
-    while done < width:  # minima over 1, 2, 4, ... runs, then over what is left
+def sliding(values: np.ndarray, width: int, pick: np.ufunc) -> np.ndarray:
+    """The least (np.minimum) or largest (np.maximum) of each ``width`` consecutive values."""
+    if len(values) < width:
+        return values[:0]
+    done = 1
+    while done < width:  # over 1, 2, 4, ... values, then over what is left
         step = min(done, width - done)
-        least = np.minimum(least[:-step], least[step:])
+        values = pick(values[:-step], values[step:])
         done += step
-    return least
-
-
-def _digest(words: list[bytes]) -> bytes:
-    return sha256(b" ".join(words)).digest()
+    return values
 
 
-def _number(digest: bytes) -> int:
-    return int.from_bytes(digest[:8], "little", signed=True)
+def anchors(runs: np.ndarray, window: int) -> np.ndarray:
+    """The anchor of each window, from the hashes of the shorter runs."""
+    return sliding(runs, window - ANCHOR + 1, np.minimum)
+
+
+def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows in slices of about :data:`SLICE` bytes of text, the last column; a longer text is one by itself."""
+    for batch in batches:
+        sizes = pc.fill_null(pc.binary_length(batch.column(batch.num_columns - 1)), 0)
+        ends = np.append(0, np.cumsum(sizes.to_numpy(zero_copy_only=False), dtype=np.int64))
+        a = 0
+        while a < batch.num_rows:
+            b = max(a + 1, int(np.searchsorted(ends, ends[a] + SLICE, "right")) - 1)
+            yield batch.slice(a, b - a)
+            a = b
+
+
+def hashed(words: pa.Array) -> np.ndarray:
+    """64-bit hashes of many words at once: words of up to :data:`SHORT` bytes by 8 bytes after 8, longer ones by xxHash."""
+    _, offsets, text = words.buffers()
+    ends = np.frombuffer(offsets, np.int32)[words.offset :][: len(words) + 1].astype(np.int64)
+    data = np.append(np.frombuffer(text or b"", np.uint8)[: ends[-1]], np.zeros(8, np.uint8))
+    starts, sizes = ends[:-1], np.diff(ends)
+    eights = np.ndarray(len(data) - 7, "<u8", data, strides=(1,))
+    out = mixed(sizes.astype(np.uint64) + np.uint64(0x9E3779B97F4A7C15))
+    some = np.flatnonzero(sizes <= SHORT)
+    for done in range(0, SHORT, 8):
+        some = some[sizes[some] > done]
+        if not len(some):
+            break
+        kept = np.minimum(sizes[some] - done, 8).astype(np.uint64) * np.uint64(8)
+        out[some] = mixed(out[some] ^ eights[starts[some] + done] & np.uint64(2**64 - 1) >> (np.uint64(64) - kept))
+    for i in np.flatnonzero(sizes > SHORT).tolist():
+        out[i] = xxhash.xxh64_intdigest(data[starts[i] : ends[i + 1]])
+    return out
+
+
+class Words:
+    """The words of a slice's texts, one text after the other; all are worked on at once."""
+
+    def __init__(self, texts: pa.Array):
+        # As strings, since the kernels take no bytes; they look at ASCII alone and check nothing.
+        plain = pc.ascii_trim_whitespace(texts.cast(pa.binary()).view(pa.string()))
+        self.lists = pc.ascii_split_whitespace(pc.if_else(pc.equal(plain, ""), None, plain))
+        self.hashes = hashed(self.lists.flatten())
+        self.counts = pc.fill_null(pc.list_value_length(self.lists), 0).to_numpy(zero_copy_only=False)
+        self.ends = np.cumsum(self.counts, dtype=np.int64)
+        #: The text of each word.
+        self.text = np.repeat(np.arange(len(texts)), self.counts)
+
+    def inside(self, window: int) -> np.ndarray:
+        """Which windows end in the text that they start in, by their start."""
+        n = max(0, len(self.text) - window + 1)
+        return self.text[:n] == self.text[window - 1 :]
+
+    def digests(self) -> list[bytes]:
+        joined = pc.binary_join(self.lists, " ").view(pa.binary()).to_pylist()
+        return [sha256(text or b"").digest() for text in joined]
+
+
+def _lists(values: np.ndarray, texts: np.ndarray, n: int) -> pa.Array:
+    """Values in the order of their texts as a list for each of ``n`` texts."""
+    offsets = np.append(0, np.cumsum(np.bincount(texts, minlength=n))).astype(np.int32)
+    return pa.ListArray.from_arrays(offsets, pa.array(values))
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
@@ -69,26 +132,32 @@ def _keyed(docs: DataFrame) -> DataFrame:
 def _parsed(docs: DataFrame, window: int) -> DataFrame:
     """(doc_id, at, same, n_words, digest, text_key, anchors, again) of every row.
 
-    ``anchors`` are the distinct ones of a text's windows, ``again`` those of them that it has twice.
+    ``anchors`` are the distinct ones of a text's windows, ``again`` those of them that windows have at two places.
     """
-
-    def make():
-        hashes = word_hashes()
-
-        def give(doc_id, at, same, text):
-            words = (text or b"").split()
-            digest = _digest(words)
-            runs = run_hashes(hashes(words), ANCHOR) if len(words) >= window else np.zeros(0, np.uint64)
-            each = np.unique(anchors(runs, window))
-            known, counts = np.unique(runs, return_counts=True)
-            twice = each[counts[np.searchsorted(known, each)] > 1] if len(each) else each
-            lists = (x.view(np.int64).tolist() for x in (each, twice))
-            return [(doc_id, at, same, len(words), digest, _number(digest), *lists)]
-
-        return give
-
     schema = "doc_id long, at long, same long, n_words long, digest binary, text_key long, anchors array<long>, again array<long>"
-    return map_rows(_keyed(docs), make, schema, flush=256)
+    names = T.StructType.fromDDL(schema).fieldNames()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            words, n = Words(batch.column(3)), batch.num_rows
+            runs = run_hashes(words.hashes, ANCHOR)
+            of = np.where(words.inside(window), anchors(runs, window), 0)
+            # A run is an anchor where a window that covers it has no smaller one.
+            around = np.zeros(window - ANCHOR, np.uint64)
+            at = np.flatnonzero(sliding(np.concatenate([around, of, around]), window - ANCHOR + 1, np.maximum)[: len(runs)] == runs)
+            order = np.lexsort((runs[at], words.text[at]))
+            found, texts = runs[at][order].view(np.int64), words.text[at][order]
+            new = np.ones(len(found), bool)
+            new[1:] = (found[1:] != found[:-1]) | (texts[1:] != texts[:-1])
+            twice = np.zeros(len(found), bool)
+            twice[1:] = new[:-1] & ~new[1:]
+            digests = words.digests()
+            keys = np.frombuffer(b"".join(d[:8] for d in digests), "<i8")
+            lists = (_lists(found[some], texts[some], n) for some in (new, twice))
+            columns = [*batch.columns[:3], pa.array(words.counts, pa.int64()), pa.array(digests, pa.binary()), pa.array(keys), *lists]
+            yield pa.RecordBatch.from_arrays(columns, names=names)
+
+    return _keyed(docs).mapInArrow(run, schema)
 
 
 def _shared_anchors(parsed: DataFrame, firsts: DataFrame) -> Bloom:
@@ -125,39 +194,40 @@ def _windows(candidates: DataFrame, window: int, held: Bloom, repeated: Bloom |
     """(hash, at, text_key, start) of the windows whose anchor is held, and that may be repeated."""
     context = candidates.sparkSession.sparkContext
     shared = context.broadcast((held, repeated))
-
-    def make():
-        hashes = word_hashes()
-
-        def give(at, text_key, text):
-            held, repeated = shared.value
-            each = hashes(text.split())
-            of = anchors(run_hashes(each, ANCHOR), window)
+    schema = "hash long, at long, text_key long, start int"
+    names = T.StructType.fromDDL(schema).fieldNames()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, repeated = shared.value
+        for batch in slices(batches):
+            words = Words(batch.column(2))
+            of = anchors(run_hashes(words.hashes, ANCHOR), window)
+            if not len(of):
+                continue
             # Neighbours mostly share their anchor, so each run of equal ones is looked up once.
             new = np.flatnonzero(np.append(True, of[1:] != of[:-1]))
-            starts = np.flatnonzero(np.repeat(held.passing(of[new].view(np.int64)), np.diff(np.append(new, len(of)))))
-            keys = run_hashes(each, window)[starts].view(np.int64)
+            some = np.repeat(held.passing(of[new].view(np.int64)), np.diff(np.append(new, len(of))))
+            starts = np.flatnonzero(some & words.inside(window))
+            keys = run_hashes(words.hashes, window)[starts].view(np.int64)
             if repeated is not None:
                 some = repeated.passing(keys)
                 starts, keys = starts[some], keys[some]
-            n = len(starts)
-            return (keys, np.full(n, at), np.full(n, text_key), starts.astype(np.int32)) if n else ()
-
-        return give
+            text = words.text[starts]
+            at, text_key = (c.to_numpy(zero_copy_only=False)[text] for c in batch.columns[:2])
+            places = (starts - (words.ends - words.counts)[text]).astype(np.int32)
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in (keys, at, text_key, places)], names=names)
 
-    return map_arrays(candidates, make, "hash long, at long, text_key long, start int")
+    return candidates.mapInArrow(run, schema)
 
 
-def factors(starts: np.ndarray, ref_ids: np.ndarray, ref_starts: np.ndarray, window: int) -> list[dict[str, int]]:
-    """Greedy parse: the starts of repeated windows, with their earliest occurrences, to factors."""
-    order = np.argsort(starts, kind="stable")
-    starts, ref_ids, ref_starts = starts[order], ref_ids[order], ref_starts[order]
-    goes_on = (np.diff(starts) == 1) & (np.diff(ref_ids) == 0) & (np.diff(ref_starts) == 1)
-    first = np.flatnonzero(np.append(True, ~goes_on))
+def factors(texts: np.ndarray, starts: np.ndarray, ref_ids: np.ndarray, ref_starts: np.ndarray, window: int) -> list[np.ndarray]:
+    """Greedy parse: the starts of texts' repeated windows, with their earliest occurrences, to factors (text, start, length, ref_id, ref_start)."""
+    order = np.lexsort((starts, texts))
+    texts, starts, ref_ids, ref_starts = (x[order] for x in (texts, starts, ref_ids, ref_starts))
+    goes_on = (np.diff(texts) == 0) & (np.diff(starts) == 1) & (np.diff(ref_ids) == 0) & (np.diff(ref_starts) == 1)
+    first = np.flatnonzero(np.append(True, ~goes_on)) if len(starts) else order
     runs = np.diff(np.append(first, len(starts)))
-    columns = (starts[first], runs + window - 1, ref_ids[first], ref_starts[first])
-    names = ("start", "length", "ref_id", "ref_start")
-    return [dict(zip(names, values)) for values in zip(*(c.tolist() for c in columns))]
+    return [texts[first], starts[first], runs + window - 1, ref_ids[first], ref_starts[first]]
 
 
 def _factors(candidates: DataFrame, window: int, held: Bloom) -> DataFrame:
@@ -175,9 +245,12 @@ def _factors(candidates: DataFrame, window: int, held: Bloom) -> DataFrame:
         for batch in batches:
             lists = batch.column(2)
             fields = [f.to_numpy(zero_copy_only=False) for f in lists.flatten().flatten()]
-            ends = np.cumsum([0, *lists.value_lengths().to_pylist()])
-            parsed = [factors(*(f[a:b] for f in fields), window) for a, b in zip(ends, ends[1:])]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(parsed, kind)], names=["at", "text_key", "factors"])
+            texts = np.repeat(np.arange(len(lists)), lists.value_lengths().to_numpy(zero_copy_only=False))
+            of, *values = factors(texts, *fields, window)
+            each = pa.StructArray.from_arrays([pa.array(v, f.type) for v, f in zip(values, kind.value_type)], fields=list(kind.value_type))
+            offsets = np.append(0, np.cumsum(np.bincount(of, minlength=len(lists)))).astype(np.int32)
+            parsed = pa.ListArray.from_arrays(offsets, each, type=kind)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], parsed], names=["at", "text_key", "factors"])
 
     kind = to_arrow_type(T.StructType.fromDDL(f"f {FACTORS}")["f"].dataType)
     return each.mapInArrow(parse, f"at long, text_key long, factors {FACTORS}")

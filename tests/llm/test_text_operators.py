@@ -7,6 +7,7 @@ import zlib
 from collections import Counter
 
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -113,6 +114,41 @@ def test_substrings_of_odd_rows(odd, none):
     assert substrings.substring_duplicates(none).count() == 0
 
 
+def test_words_of_many_texts_are_hashed_at_once():
+    r = random.Random(7)
+    long = "".join(chr(r.randrange(97, 123)) for _ in range(700))
+    texts = [" a  b\tb\n", None, "", " \x0b ", "é\xa0ü \x1f", long, long + "x", long[:63] + " " + long[:64] + " " + long[:65], *(f"w{i} w{i % 9}" for i in range(400)), "a" * 9000]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array([t and t.encode() for t in texts], pa.binary())], names=["at", "text"])
+    parts = list(substrings.slices([batch.slice(3), batch]))
+    assert [x for p in parts for x in p["at"].to_pylist()] == [*range(3, len(texts)), *range(len(texts))]
+    known = {}
+    for part in parts:
+        found, plain = substrings.Words(part["text"]), [(t or b"").split() for t in part["text"].to_pylist()]
+        assert found.counts.tolist() == [len(w) for w in plain]
+        assert found.digests() == [hashlib.sha256(b" ".join(w)).digest() for w in plain]
+        flat = [w for words in plain for w in words]
+        assert all(known.setdefault(w, h) == h for w, h in zip(flat, found.hashes.tolist(), strict=True))
+        ends = [end for end, words in zip(found.ends.tolist(), plain) for _ in words]
+        assert found.inside(2).tolist() == [i + 2 <= end for i, end in enumerate(ends)][: max(0, len(flat) - 1)]
+    assert len(set(known.values())) == len(known)
+
+
+def test_slices_hold_a_bounded_number_of_bytes(monkeypatch):
+    monkeypatch.setattr(substrings, "SLICE", 100)
+    texts = [b"x" * n for n in (30, 30, 30, 30, 500, 0, 100, 1)]
+    parts = [p["text"].to_pylist() for p in substrings.slices([pa.RecordBatch.from_arrays([pa.array(texts)], names=["text"])])]
+    assert [[len(t) for t in p] for p in parts] == [[30, 30, 30], [30], [500], [0, 100], [1]]
+
+
+def test_equal_windows_within_one_text(spark):
+    r = random.Random(5)
+    some = [f"w{r.randrange(10**6)}" for _ in range(400)]
+    texts = [(0, " ".join(some[:100] + some[20:60] + some[100:])), (1, "a " * 90), (2, "a b " * 60), (3, " ".join(some[60:79])), (4, " ".join(some[200:230]))]
+    found = substrings.substring_duplicates(spark.createDataFrame(texts, "doc_id long, text string"), window=20).collect()
+    texts = [(i, t.strip()) for i, t in texts]
+    assert Counter((r["doc_id"], r["n_words"], r["n_removed"], r["kept_sha256"]) for r in found) == brute_substrings(texts, 20)
+
+
 # ---- quality
 
 
