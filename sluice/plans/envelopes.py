@@ -182,6 +182,14 @@ def order_info(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _hundredths(amount: Column) -> Column:
+    """``round(amount * 100)`` as a bigint, halves away from zero; Spark's own makes a text and a decimal of every value."""
+    scaled = amount * 100
+    whole = scaled.cast("bigint")
+    rest = scaled - whole
+    return whole + F.when((rest >= 0.5) & (rest < 1), 1).when((rest <= -0.5) & (rest > -1), -1).otherwise(0)
+
+
 def order_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Typed order details, and the record time ``created``. The id is a 52-bit hash of the row,
     since the table has no unique key."""
@@ -192,15 +200,16 @@ def order_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
         "|",
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
         F.col("l_quantity").cast("bigint"),
-        *[F.round(F.col(c) * 100).cast("bigint") for c in ("l_extendedprice", "l_discount", "l_tax")],
+        *[_hundredths(F.col(c)) for c in ("l_extendedprice", "l_discount", "l_tax")],
         "l_returnflag", "l_linestatus",
         F.unix_date(F.col("l_shipdate").cast("date")),
     )
     line_id = F.conv(F.substring(F.md5(identity), 1, 13), 16, 10).cast("bigint")
     rows = (
         lines.withColumn("id", line_id)
-        .join(parts, F.col("l_partkey") == F.col("p_partkey"))
+        # Where both are merged, the second shuffle carries a date instead of a part's name and price.
         .join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+        .join(parts, F.col("l_partkey") == F.col("p_partkey"))
         .withColumn("detail_time", _order_time(orders) + F.expr("interval 1 second"))
     )
     return rows.select(

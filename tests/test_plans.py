@@ -1,10 +1,14 @@
 """Physical plans: one decode, no needless shuffle, no unchecked broadcast, no pair-up of groups."""
 
+import re
+
 import pytest
+from pyspark.sql import functions as F
 
 from sluice.operators import change_routes as cr
 from sluice.operators import log_routes as lr
 from sluice.operators.parse import parse_change, parse_log
+from sluice.plans import envelopes as env
 from sluice.plans.catalog import QUERIES, STREAMING
 from sluice.schemas import CONTROL, TOPIC_RECORD
 from sluice.session import scratch_dir
@@ -70,3 +74,19 @@ def test_no_query_pairs_up_rows(spark):
 
 def test_control_schema():
     assert CONTROL.names == ["role", "table_name"]
+
+
+def test_hundredths_round_like_spark(spark):
+    near = [0.005, 0.015, 0.025, 1.005, 2.675, 0.125, 0.00499999999999999994, 1234567.885, 9.0e15, 45035996273704.955, 0.0, 17.5]
+    rows = [(sign * x,) for x in [*near, *(i / 1000 for i in range(4000)), *(i / 800 for i in range(4000))] for sign in (1.0, -1.0)]
+    amounts = spark.createDataFrame([*rows, (None,)], "x double")
+    found = amounts.select("x", env._hundredths(F.col("x")).alias("a"), F.round(F.col("x") * 100).cast("bigint").alias("b"))
+    assert found.filter("not (a <=> b)").collect() == []
+    assert found.schema["a"].dataType == found.schema["b"].dataType
+
+
+def test_order_details_round_no_decimals_and_shuffle_no_part_names(spark):
+    made = env.order_detail(spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    assert "round(" not in made
+    # The topmost join comes first.
+    assert re.findall(r"Join Inner, \((\w+)#", made) == ["l_partkey", "l_orderkey"]
