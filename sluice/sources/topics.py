@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from sluice.schemas import TOPIC_RECORD
 from sluice.sources.files import Files
-from sluice.sources.sinks import SMALL_GROUPS, side_by_side
+from sluice.sources.sinks import COMPACT, side_by_side
 
 LATEST, EARLIEST = "latest", "earliest"
 # Name of the metrics in which a file topic's stream tells its offsets: first, last and count per partition.
@@ -95,7 +95,7 @@ class ReplayTopic:
 
     def append(self, records: DataFrame) -> None:
         """Adds records as new files."""
-        records.select(*TOPIC_RECORD.names).write.mode("append").parquet(self.path)
+        records.select(*TOPIC_RECORD.names).write.mode("append").options(**COMPACT).parquet(self.path)
 
     def dealt(self, records: DataFrame, part: Column) -> Callable[[int], None]:
         """Writes records once, beside the topic, in parts numbered by ``part``; what is returned adds one part.
@@ -106,7 +106,7 @@ class ReplayTopic:
         spark, there = records.sparkSession, f"{self.path}-dealt"
         rows = records.select(*TOPIC_RECORD.names, part.cast("int").alias("_part"))
         with side_by_side(spark):
-            rows.write.options(**SMALL_GROUPS).partitionBy("_part").parquet(there)
+            rows.write.options(**COMPACT).partitionBy("_part").parquet(there)
         above, _, name = self.path.rpartition("/")
         files = Files(spark, above)
 

@@ -1,8 +1,9 @@
 """Wide orders as a stream merge of orders and details: inner, or two-sided with an account of every record.
 
 Each micro-batch is merged by a batch join with the rows that are still open, those that a later record can
-meet; what is open after it is a folder of the checkpoint, written anew per batch. So a batch costs its own
-rows and the open ones, no row has an entry in a state store, and nothing is held on a heap.
+meet; what is open after it is a folder of the checkpoint, written anew per batch. The batch itself is decoded
+once and kept in such a folder for as long as it takes. So a batch costs its own rows and the open ones, no row
+has an entry in a state store, and nothing is held on a heap.
 
 The two-sided merge gives matched records, orders without details and details without an order, the unmatched
 ones once the watermark has passed them. Records that come later than the watermark, and those that cannot be
@@ -15,7 +16,6 @@ from __future__ import annotations
 
 import json
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -26,7 +26,7 @@ from sluice.operators.orders import merge_wide, pack_sides, typed_fact, with_ord
 from sluice.operators.parse import unreadable
 from sluice.schemas import CORRUPT, ORDER_DETAIL, ORDER_INFO, ORDER_WIDE, strings
 from sluice.sources.files import Files
-from sluice.sources.sinks import SMALL_GROUPS, side_by_side
+from sluice.sources.sinks import COMPACT, side_by_side
 from sluice.streaming.jobs import INTERVAL, run_id, start_batches
 
 MATCHED, ORDER_ALONE, DETAIL_ALONE = "matched", "order_alone", "detail_alone"
@@ -35,7 +35,7 @@ ORDER, DETAIL = "order", "detail"
 _RECORD = ["topic", "partition", "offset", "timestamp", "value"]
 _OPEN = ["side", "_key", "_at", "_info", "_detail", "new", "met"]
 # Rows of both sides that a task of the merge is to take, at most.
-TASK_ROWS = 1_000_000
+TASK_ROWS = 250_000
 
 
 def two_sides(orders: DataFrame, details: DataFrame, strict: bool) -> DataFrame:
@@ -84,7 +84,7 @@ class OpenRows:
 
     def put(self, batch_id: int, rows: DataFrame, marks: dict) -> None:
         self.files.delete(f"{batch_id}.json")
-        rows.write.mode("overwrite").parquet(f"{self.files.path}/rows-{batch_id}")
+        rows.write.mode("overwrite").options(**COMPACT).parquet(f"{self.files.path}/rows-{batch_id}")
         self.files.create(f"{batch_id}.json", json.dumps(marks))
         for old in [b for b in self._batches() if b <= batch_id][:-2]:
             self.files.delete(f"{old}.json")
@@ -127,9 +127,15 @@ def merge_batch(live: DataFrame, n: int, watermark_ms: int, within: int, salts:
     copies = info.withColumn("_copy", F.explode(F.when(hot_order, every).otherwise(none)))
     salt = F.when(hot_detail, F.pmod(F.xxhash64("_detail.detail_id"), F.lit(salts)).cast("int")).otherwise(0)
     near = F.abs(F.col("d_at") - F.col("o_at")) <= within
-    on = (F.col("_did") == F.col("_oid")) & (F.col("_salt") == F.col("_copy")) & near
-    left = detail.withColumn("_salt", salt).repartition(parts, "_did", "_salt")
-    right = copies.repartition(parts, "_oid", "_copy")
+    on = (F.col("_did") == F.col("_oid")) & near
+    if heavy:
+        on &= F.col("_salt") == F.col("_copy")
+        left = detail.withColumn("_salt", salt).repartition(parts, "_did", "_salt")
+        right = copies.repartition(parts, "_oid", "_copy")
+    else:
+        # A salt that is always 0 would be folded out of the join, which then deals both sides out anew to the
+        # session's few partitions, however many rows there are.
+        left, right = detail.repartition(parts, "_did"), info.repartition(parts, "_oid")
     closed = lambda at: F.col(at) + within <= watermark_ms * 1000
     if not full:
         return left.join(right, on, "inner").filter("o_new or d_new").select("_info", "_detail"), live.filter(~closed("_at"))
@@ -168,10 +174,14 @@ def start_merge(
         before, kept = state.before(batch_id)
         why = fate(before["watermark"])
         time, record = F.unix_micros("_record.timestamp"), F.when(F.col("_why").isNotNull(), F.col("_record"))
-        # Decoded once; the record itself only stays where it is left out.
-        new = batch.withColumn("_why", why).select("side", "_key", time.alias("_at"), "_info", "_detail", "_why", record.alias("_record"))
-        new = new.persist(StorageLevel.MEMORY_AND_DISK)
+        # Decoded once; the record itself only stays where it is left out and told.
+        new = batch.withColumn("_why", why).select(
+            "side", "_key", time.alias("_at"), "_info", "_detail", "_why", *([record.alias("_record")] if full else [])
+        )
+        files, held = Files(batch.sparkSession, checkpoint), f"kept/batch-{batch_id}"
         try:
+            new.write.mode("overwrite").options(**COMPACT).parquet(f"{files.path}/{held}")
+            new = batch.sparkSession.read.schema(new.schema).parquet(f"{files.path}/{held}")
             marks, n = _marks(new, before, wait)
             live = new.filter("_why is null").withColumns({"new": F.lit(True), "met": F.lit(False)}).select(*_OPEN)
             if kept is not None:
@@ -181,15 +191,15 @@ def start_merge(
             with side_by_side(batch.sparkSession):
                 if full:
                     wide = merge_wide(out, all_present=False, carry=("kind",))
-                    wide.write.mode("overwrite").options(**SMALL_GROUPS).partitionBy("kind").parquet(f"{path}/merged/{at}")
+                    wide.write.mode("overwrite").options(**COMPACT).partitionBy("kind").parquet(f"{path}/merged/{at}")
                     left = new.filter("_why is not null").select(F.col("_why").alias("reason"), "side", "_record.*")
-                    left.write.mode("overwrite").options(**SMALL_GROUPS).partitionBy("reason").parquet(f"{path}/left_out/{at}")
+                    left.write.mode("overwrite").options(**COMPACT).partitionBy("reason").parquet(f"{path}/left_out/{at}")
                 else:
-                    merge_wide(out, all_present=True).write.mode("overwrite").parquet(f"{path}/{at}")
+                    merge_wide(out, all_present=True).write.mode("overwrite").options(**COMPACT).parquet(f"{path}/{at}")
             open_rows = n if not marks["watermark"] else live.filter(F.col("_at") + reach > marks["watermark"] * 1000).count()
             state.put(batch_id, still, {**marks, "open": open_rows})
         finally:
-            new.unpersist()
+            files.delete(held)
 
     rows = two_sides(orders.stream(spark), details.stream(spark), strict=full)
     return start_batches(rows, save, checkpoint, trigger, partitions)

@@ -118,3 +118,47 @@ def test_what_a_change_batch_keeps_goes_with_it(spark, records):
         assert not os.listdir(f"{root}/cp/kept")
     assert sorted(r["topic"] for r in sink.read(spark).collect()) == ["DWD_A_I_1018", "QUARANTINE_DB_1018"]
     assert [r["id"] for r in dims.current().collect()] == ["2"]
+
+
+def test_order_merges_deal_each_side_out_once_to_as_many_tasks_as_the_rows_need(spark, records, monkeypatch):
+    """Also without an order to spread, when nothing but the key tells rows apart."""
+    from sluice.streaming import wide
+
+    monkeypatch.setattr(wide, "TASK_ROWS", 10)
+    orders, details = (['{"id":%d}' % i for i in range(60)], ['{"id":%d,"order_id":%d}' % (100 + i, i) for i in range(90)])
+    rows = wide.two_sides(records(orders), records(details), strict=True)
+    at, new, met = F.lit(1_000_000).cast("long").alias("_at"), F.lit(True).alias("new"), F.lit(False).alias("met")
+    kept = f"{scratch_dir(spark, 'rows')}/kept"
+    rows.select("side", "_key", at, "_info", "_detail").write.parquet(kept)
+    live = spark.read.parquet(kept).select("*", new, met)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for full, found in ((False, 60), (True, 90)):
+            out, _ = wide.merge_batch(live, 150, 10**9, 1, 4, full)
+            plan = out._jdf.queryExecution().executedPlan().toString()
+            assert plan.count("Exchange hashpartitioning(_did") == 1 and plan.count("Exchange hashpartitioning(_oid") == 1, plan
+            assert plan.count(", 15)") >= 2 and ", 8)" not in plan, plan
+            assert out.count() == found
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_an_order_merge_holds_its_batch_in_no_memory(spark, records):
+    """A batch is written once beside the open rows, in small row groups, and goes when it has been merged."""
+    import os
+
+    from sluice.sources.topics import ReplayTopic
+    from sluice.streaming import derived, jobs, wide
+
+    for start in (derived.start_order_wide, wide.start_order_merge):
+        root, seen = scratch_dir(spark, "held"), spark._jsparkSession.sharedState().statusStore().executionsList().size()
+        sides = [ReplayTopic(f"{root}/{n}", n) for n in ("orders", "details")]
+        for topic, values in zip(sides, (['{"id":1}', "{"], ['{"id":10,"order_id":1}'])):
+            topic.append(records(values, topic.topic).withColumn("timestamp", F.timestamp_seconds(F.lit(1000))))
+        start(spark, *sides, f"{root}/out", f"{root}/cp", trigger=jobs.ONCE, partitions=2).awaitTermination()
+        plans = plans_since(spark, seen)
+        assert plans and not [p for p in plans if "InMemoryTableScan" in p or "InMemoryRelation" in p]
+        assert os.listdir(f"{root}/cp/kept") == []
+    assert wide.merged(spark, f"{root}/out").filter("kind = 'matched'").count() == 1
+    assert [r["reason"] for r in wide.left_out(spark, f"{root}/out").collect()] == ["unreadable"]
