@@ -25,6 +25,7 @@ from sluice.operators.parse import (
 from sluice.sources.control import ControlReader
 from sluice.sources.files import Files
 from sluice.sources.keyed_table import KeyedTable
+from sluice.sources.sinks import COMPACT
 from sluice.streaming.batch_log import BatchLog
 
 # Fixed value: micro-batch interval of both split jobs.
@@ -172,7 +173,10 @@ def start_change_split(
             routed = judged.over(routed, {"routed": F.lit(True), **kinds, **reasons})
         files, kept = Files(batch.sparkSession, checkpoint), f"kept/batch-{batch_id}"
         try:
-            routed.write.mode("overwrite").parquet(f"{files.path}/{kept}")
+            # Facts tell no position; as a column of its own it would be a good part of what is kept.
+            told = F.col("is_dim") | F.col("reason").isNotNull()
+            routed = routed.withColumns({c: F.when(told, F.col(c)) for c in ("topic", "partition", "offset")})
+            routed.write.mode("overwrite").options(**COMPACT).parquet(f"{files.path}/{kept}")
             routed = batch.sparkSession.read.schema(routed.schema).parquet(f"{files.path}/{kept}")
             sink.write(change_messages(routed, topics, on_malformed, key_by_id), run, batch_id)
             dims.upsert(dim_rows(routed), run, batch_id)

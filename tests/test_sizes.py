@@ -162,3 +162,49 @@ def test_an_order_merge_holds_its_batch_in_no_memory(spark, records):
         assert os.listdir(f"{root}/cp/kept") == []
     assert wide.merged(spark, f"{root}/out").filter("kind = 'matched'").count() == 1
     assert [r["reason"] for r in wide.left_out(spark, f"{root}/out").collect()] == ["unreadable"]
+
+
+def test_topics_and_what_batches_keep_are_written_compactly(spark, records):
+    import glob
+
+    import pyarrow.parquet as pq
+
+    from sluice.schemas import CONTROL
+    from sluice.sources.files import Files
+    from sluice.sources.keyed_table import KeyedTable
+    from sluice.sources.topics import ReplayTopic
+    from sluice.streaming import jobs
+
+    root = scratch_dir(spark, "compact")
+    topic, dealt, sink = ReplayTopic(f"{root}/topic", "t"), ReplayTopic(f"{root}/other", "t"), FileSink(f"{root}/out")
+    rules = spark.createDataFrame([("fact", "a"), ("dim", "b")], CONTROL)
+    rows = records(['{"type":"insert","table":"a","data":{"id":1}}', '{"type":"insert","table":"b","data":{"id":2}}', "{"], "t")
+    topic.append(rows)
+    dealt.dealt(rows, F.lit(0))(0)
+    kept, delete = [], Files.delete
+
+    def seen(self, name):
+        if name.startswith("kept/"):
+            kept.extend(spark.read.parquet(f"{self.path}/{name}").collect())
+            kept.extend(glob.glob(f"{self.path}/{name}/*.parquet"))
+            codecs.update(codec(f) for f in kept if isinstance(f, str))
+        delete(self, name)
+
+    def codec(file):
+        found = pq.read_metadata(file)
+        return found.row_group(0).column(0).compression if found.num_row_groups else "ZSTD"
+
+    codecs = set()
+    Files.delete = seen
+    try:
+        jobs.start_change_split(
+            spark, topic, lambda: rules, sink, KeyedTable(spark, f"{root}/dims"), f"{root}/cp", trigger=jobs.ONCE
+        ).awaitTermination()
+    finally:
+        Files.delete = delete
+    files = [f for at in ("topic", "other", "out") for f in glob.glob(f"{root}/{at}/**/*.parquet", recursive=True)]
+    assert codecs == {"ZSTD"} and {codec(f) for f in files} == {"ZSTD"}
+    # A fact tells no position in what is kept; what a dimension row or a record set aside tells is whole.
+    assert sorted((r["offset"] is None, r["table_name"]) for r in kept if not isinstance(r, str) and r["table_name"]) == [(False, "b"), (True, "a")]
+    aside = [r["value"] for r in sink.read(spark).collect() if r["topic"].startswith("QUARANTINE")]
+    assert len(aside) == 1 and '"offset":2' in aside[0] and '"topic":"t"' in aside[0]
