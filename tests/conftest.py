@@ -22,6 +22,8 @@ def spark(tmp_path_factory):
             "spark.ui.enabled": "false",
             "spark.ui.showConsoleProgress": "false",
             "spark.driver.memory": "8g",
+            # Tests count the plans that were run since; the session's list ends at 1,000 by default.
+            "spark.sql.ui.retainedExecutions": "100000",
             "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),
         },
     )
